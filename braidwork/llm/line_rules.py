@@ -16,11 +16,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
+#: White space of lines and words, the same everywhere.
+_S = r"[\x20\x09-\x0D]"
+_CLOSE = r"""["'”’»)\]]*"""
 #: What a sentence ends with, closing quotes and brackets aside.
-SENTENCE_END = re.compile(r"""[.!?…:;。！？]["'”’»)\]]*\s*$""")
+SENTENCE_END = re.compile(rf"[.!?…:;。！？]{_CLOSE}{_S}*$")
+#: A sentence that ends inside a line and is followed by a word: running text, even if cut off at the end.
+SENTENCE_INSIDE = re.compile(rf"[.!?…]{_CLOSE}{_S}+[^\x20\x09-\x0D|»›>•]")
 #: Fixed phrases of page furniture.
-BOILERPLATE = re.compile(r"javascript|cookies?\b|privacy policy|terms of (?:use|service)|all rights reserved|click here|lorem ipsum|log ?in to|subscribe", re.I)
-NAVIGATION = re.compile(r"\s[|»›>•]\s")
+BOILERPLATE = re.compile(r"javascript|cookie|privacy policy|terms of (?:use|service)|all rights reserved|click here|lorem ipsum|log ?in to|subscribe", re.I)
+NAVIGATION = re.compile(rf"{_S}[|»›>•]{_S}")
 #: A line with more symbols than this share of its words fails; so does one with so many separators.
 MOST_SYMBOLS, MOST_SEPARATORS = 0.3, 2
 #: A document must keep this share of its word characters.
@@ -30,7 +35,7 @@ WINDOW = 8
 
 def line_kept(line: str) -> bool:
     """Whether a line passes the rules; a line without words does, as nothing is lost."""
-    words = line.split()
+    words = line.encode().split()
     if not words:
         return True
     if len(NAVIGATION.findall(line)) >= MOST_SEPARATORS:
@@ -41,7 +46,7 @@ def line_kept(line: str) -> bool:
         return False
     if len(words) >= 4 and line.count("!!") > MOST_SYMBOLS * len(words):
         return False
-    return bool(SENTENCE_END.search(line)) or len(words) <= 12
+    return len(words) <= 12 or bool(SENTENCE_END.search(line) or SENTENCE_INSIDE.search(line))
 
 
 def cleaned(text: str) -> str:
