@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .staged import settle
+
 WIDTH = 1 << 16
 
 
@@ -22,13 +24,13 @@ def _both(how: str, a: Column, b: Column) -> Column:
 def running(df: DataFrame, key: list[str], pos: str, value: Column, out: str, how: str = "max", before: bool = False, then: list[str] | None = None, down: bool = False, width: int = WIDTH) -> DataFrame:
     """``df`` with ``out``: sum, max or min of ``value`` over the rows up to each one.
 
-    Rows are ordered by ``pos`` (descending if ``down``), ties by ``then``; ``before``
+    The rows are written once, as both windows read them.  They are ordered by ``pos`` (descending if ``down``), ties by ``then``; ``before``
     leaves the row itself out.  Null values don't count; where nothing came before,
     sums are 0 and others null.
     """
     fold = {"sum": F.sum, "max": F.max, "min": F.min}[how]
     turn = (lambda c: F.col(c).desc()) if down else F.col
-    binned = df.withColumn("_v", value).withColumn("_bin", F.floor(F.col(pos) / width))
+    binned = settle(df.withColumn("_v", value).withColumn("_bin", F.floor(F.col(pos) / width)))
     local = Window.partitionBy(*key, "_bin").orderBy(turn(pos), *(then or [])).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
     bins = binned.groupBy(*key, "_bin").agg(fold("_v").alias("_b"))
     ahead = bins.withColumn("_b", fold("_b").over(Window.partitionBy(*key).orderBy(turn("_bin")).rowsBetween(Window.unboundedPreceding, -1)))

@@ -588,8 +588,12 @@ def session_counts(spark, d):
 
 
 def queries() -> dict:
+    from . import catalog_models  # noqa: F401  registers its own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import catalog_models  # noqa: F401
+
     return dict(_SQL)
