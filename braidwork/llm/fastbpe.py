@@ -18,9 +18,10 @@ import numpy as np
 _PLAIN = "!-~¡-˿Ͱ-҂"
 _CUT = re.compile(f"(?<=[{_PLAIN}]) (?=[{_PLAIN}])")
 _OTHER = re.compile(f"[^\n {_PLAIN}]")
-#: Chunks that are one run of Latin letters and one of punctuation: such runs are
-#: the pre-tokens of both vocabularies, so the library's model takes them as they are.
-_RUNS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\\[-`{-~]*)")
+#: Chunks that are one run of Latin letters and one of punctuation, or two such pairs
+#: on two lines: these runs are the pre-tokens of both vocabularies, so the library's
+#: model takes them as they are.
+_RUNS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\\[-`{-~]*)(?:(?<!^)\n(?!$)([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\\[-`{-~]*))?")
 #: Texts of these characters lower-case one character at a time.
 _UNSAFE_LOWER = re.compile("[^\x00-įı-ɏ]")
 #: Longer chunks are encoded each time they occur; up to twice MOST others are remembered.
@@ -50,31 +51,49 @@ class Encoder:
     def forget(self) -> None:
         self.known: dict[str, bytes] = {}  # a chunk's ids, little-endian and 4 bytes each
         self.older: dict[str, bytes] = {}
+        self.short: dict[str, bytes] = {}
 
     def direct(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def chunk(self, text: str) -> list[int]:
+    def chunk(self, text: str) -> bytes:
         """The ids of a chunk behind a space."""
         runs = _RUNS.fullmatch(text)
         if not runs:
-            return self.direct(" " + text)
-        word, marks = runs.groups()
-        if not word:
-            return [t.id for t in self.model.tokenize(self.lead + marks)]
+            return raw(self.direct(" " + text))
+        word, marks, below, more = runs.groups()
+        out = self.word(self.lead, word) + self.marks("", marks) if word else self.marks(self.lead, marks)
+        if below is None:
+            return out
+        if not self.lower:
+            out += self.marks("", "Ċ")
+        return out + (self.word("", below) + self.marks("", more) if below else self.marks("", more))
+
+    def word(self, lead: str, word: str) -> bytes:
+        """The ids of a run of letters."""
         if self.lower:
             word = word.lower()
         if not word.isascii():
             word = word.translate(self.spelt)
-        ids = [t.id for t in self.model.tokenize(self.lead + word)]
-        return ids + [t.id for t in self.model.tokenize(marks)] if marks else ids
+        return raw([t.id for t in self.model.tokenize(lead + word)])
+
+    def marks(self, lead: str, marks: str) -> bytes:
+        """The ids of a run of punctuation; short ones are few and remembered."""
+        if not marks:
+            return b""
+        got = self.short.get(lead + marks)
+        if got is None:
+            got = raw([t.id for t in self.model.tokenize(lead + marks)])
+            if len(marks) <= 2:
+                self.short[lead + marks] = got
+        return got
 
     def learn(self, chunks: list[str]) -> None:
         if len(self.known) + len(chunks) > MOST:
             self.known, self.older = {}, self.known
         for c in chunks:
             if c not in self.known:
-                self.known[c] = self.older.get(c) or raw(self.chunk(c))
+                self.known[c] = self.older.get(c) or self.chunk(c)
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.raw(text), "<u4")
@@ -86,13 +105,11 @@ class Encoder:
         parts = text.split(" ") if all_plain(text) else _CUT.split(text)
         out = [raw(self.direct(parts[0]))] if parts[0] else []
         rest = parts[1:]
-        if rest and max(map(len, rest)) > LONGEST:
-            return b"".join(out + [raw(self.direct(" " + p)) if len(p) > LONGEST else self.known.get(p) or raw(self.chunk(p)) for p in rest])
         found = list(map(self.known.get, rest))
         if None in found:
-            self.learn([c for c, k in zip(rest, found) if k is None])
+            self.learn([c for c, k in zip(rest, found) if k is None and len(c) <= LONGEST])
             known, older = self.known, self.older
-            found = [(known[c] if c in known else older[c]) if k is None else k for c, k in zip(rest, found)]
+            found = [k or known.get(c) or older.get(c) or self.chunk(c) for c, k in zip(rest, found)]
         return b"".join(out + found)
 
 
