@@ -45,7 +45,7 @@ def benchmark_grams(benchmark: DataFrame, id_col: str, text_col: str, n: int) ->
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = 10, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``carry`` + (n_words, spans, items): one row for each input row.
+    """(doc, n_words, spans, items): one row for each input row; ``doc`` holds ``carry``.
 
     ``spans`` are the hit windows as (first, last) word positions from 1; ``items``
     the distinct benchmark ids, sorted as strings.  Null and wordless texts have no
@@ -56,7 +56,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id:
     grams = stage(benchmark_grams(benchmark, item_id, item_text, n), "grams")
     widths = sorted(r["width"] for r in grams.select("width").distinct().collect()) or [n]  # n values at most
     few = grams.count() <= MOST_BROADCAST
-    named = docs.select(F.monotonically_increasing_id().alias("_row"), *[F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)], words_of(F.col(text_col)).alias("_w"))
+    named = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*[F.col(c) for c in carry]).alias("_doc"), words_of(F.col(text_col)).alias("_w"))
 
     def scanned(width: int) -> Column:
         none = F.array().cast("array<bigint>")
@@ -65,7 +65,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id:
 
     hashes = scanned(widths[0]) if len(widths) == 1 else F.concat(*[scanned(w) for w in widths])
     rows = named.select("*", F.size("_w").cast("long").alias("_n"), hashes.alias("_h"))
-    rows = rows.select("_row", "_w", "_n", *[f"_c{k}" for k in range(len(carry))], F.posexplode_outer("_h").alias("_at", "_hash"))
+    rows = rows.select("_row", "_w", "_n", "_doc", F.posexplode_outer("_h").alias("_at", "_hash"))
     # The windows of each width follow each other: find width and place from the position.
     size, width, base = F.lit(0), F.lit(widths[0]), F.lit(0)
     for w in widths:
@@ -79,14 +79,14 @@ def hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id:
     true = F.when(F.col("gram").isNotNull(), F.array_join(F.slice("_w", first.cast("int"), width), " ") == F.col("gram")).otherwise(F.lit(False))
     met = met.withColumn("_true", true).where(F.col("_true") | (F.coalesce(F.col("_at"), F.lit(0)) == 0))
     span = F.when(F.col("_true"), F.struct(first.cast("int").alias("first"), (first + F.col("width") - 1).cast("int").alias("last")))
-    per = met.select("_row", "_n", *[f"_c{k}" for k in range(len(carry))], span.alias("span"), F.when(F.col("_true"), F.col("item_ids")).alias("item_ids"))
+    per = met.select("_row", "_n", "_doc", span.alias("span"), F.when(F.col("_true"), F.col("item_ids")).alias("item_ids"))
     out = per.groupBy("_row").agg(
         F.first("_n").alias("n_words"),
-        *[F.first(f"_c{k}").alias(f"_c{k}") for k in range(len(carry))],
+        F.first("_doc").alias("doc"),
         F.array_sort(F.collect_set("span")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("items"),
     )
-    return out.select(*[F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)], "n_words", "spans", "items")
+    return out.select("doc", "n_words", "spans", "items")
 
 
 def covered(spans: Column) -> Column:
@@ -105,7 +105,7 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "do
     found = hits(docs, benchmark, text_col, item_id, item_text, n, (id_col,))
     n_hit = covered(F.col("spans"))
     return found.select(
-        F.col(id_col).alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated")
+        F.col("doc").getField(id_col).alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated")
     )
 
 
@@ -118,13 +118,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, text_col:
     cols = docs.columns
     found = hits(docs, benchmark, text_col, item_id, item_text, n, tuple(cols))
     if remove == "documents":
-        return found.where(F.size("spans") == 0).select(*cols)
-    text = F.coalesce(F.col(text_col), F.lit(""))
+        return found.where(F.size("spans") == 0).select("doc.*")
+    text = F.coalesce(F.col("doc").getField(text_col), F.lit(""))
     lead = F.split(text, WORD_ANY)
     words = F.regexp_extract_all(text, F.lit(f"({WORD_ANY})"), 1)
     kept = F.transform(words, lambda w, i: F.when(F.exists("spans", lambda s: (s["first"] <= i + 1) & (i + 1 <= s["last"])), F.lit("")).otherwise(F.concat(F.get(lead, i), w)))
     rebuilt = F.concat(F.array_join(kept, ""), F.get(lead, F.size(words)))
-    return found.select(*[(F.when(F.size("spans") == 0, F.col(c)).otherwise(rebuilt).alias(c) if c == text_col else F.col(c)) for c in cols])
+    col = lambda c: F.col("doc").getField(c)
+    return found.select(*[(F.when(F.size("spans") == 0, col(c)).otherwise(rebuilt) if c == text_col else col(c)).alias(c) for c in cols])
 
 
 #: Words of a text whose A-Z are not lower-cased yet.

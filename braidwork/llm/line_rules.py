@@ -98,7 +98,7 @@ def figures(text: str | None, clean: bool) -> tuple:
 
 
 def judge(docs: DataFrame, text_col: str = "text", clean: bool = True) -> DataFrame:
-    """``docs`` with a struct column ``_rules``: the figures, base_failed, kept and,
+    """(doc, rules): ``doc`` holds the row; ``rules`` the figures, base_failed, kept and,
     if ``clean``, the text of the lines that passed.
 
     A null or empty text has no words and fails.  Each row is judged by itself.
@@ -109,20 +109,20 @@ def judge(docs: DataFrame, text_col: str = "text", clean: bool = True) -> DataFr
         names = [c.split()[0] for c in SCHEMA.split(", ")]
         return pd.DataFrame([figures(t, clean) for t in texts], columns=names)
 
-    r = docs.withColumn("_r", run.asNondeterministic()(F.col(text_col).cast("string")))
-    failed = (F.col("_r.n_words") < 20) | (100 * F.col("_r.n_repeat_words") > 30 * F.col("_r.n_words"))
-    kept = ~failed & (F.col("_r.kept_chars") >= LEAST_KEPT * F.col("_r.word_chars"))
-    return r.withColumn("_rules", F.struct("_r.*", failed.alias("base_failed"), kept.alias("kept"))).drop("_r")
+    r = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), run.asNondeterministic()(F.col(text_col).cast("string")).alias("r"))
+    failed = (F.col("r.n_words") < 20) | (100 * F.col("r.n_repeat_words") > 30 * F.col("r.n_words"))
+    kept = ~failed & (F.col("r.kept_chars") >= LEAST_KEPT * F.col("r.word_chars"))
+    return r.select("doc", F.struct("r.*", failed.alias("base_failed"), kept.alias("kept")).alias("rules"))
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept) for each row."""
     some = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return judge(some, clean=False).select("doc_id", *[F.col(f"_rules.{n}").alias(n) for n in names])
+    return judge(some, clean=False).select("doc.doc_id", *[F.col(f"rules.{n}").alias(n) for n in names])
 
 
 def keep_clean(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that are kept, with the lines that passed."""
-    kept = judge(docs, text_col).where("_rules.kept")
-    return kept.select(*[F.col("_rules.cleaned").alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    kept = judge(docs, text_col).where("rules.kept")
+    return kept.select(*[(F.col("rules.cleaned") if c == text_col else F.col("doc").getField(c)).alias(c) for c in docs.columns])

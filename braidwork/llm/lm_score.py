@@ -74,10 +74,11 @@ class Vocabulary:
     head: dict[bytes, tuple[int, int]] = field(repr=False)  # word -> (class, count)
     tail_n: np.ndarray = field(repr=False)  # tokens of each shared class
     tail_v: np.ndarray = field(repr=False)  # distinct words of each shared class
+    top: int = TOP  # words with a class of their own, besides the end
 
     def class_of(self, word: bytes) -> int:
         got = self.head.get(word)
-        return got[0] if got else TOP + 1 + tail_class(word)
+        return got[0] if got else self.top + 1 + tail_class(word)
 
 
 def cutoff(counts: DataFrame, most: int) -> int:
@@ -92,16 +93,16 @@ def cutoff(counts: DataFrame, most: int) -> int:
     return least
 
 
-def vocabulary(counts: DataFrame) -> Vocabulary:
-    least = cutoff(counts, HEAD)
+def vocabulary(counts: DataFrame, most: int = HEAD, own: int = TOP) -> Vocabulary:
+    least = cutoff(counts, most)
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     head = counts.where(F.col("c") >= least).toArrow()
     pairs = sorted(zip(head.column("word").to_pylist(), head.column("c").to_pylist()), key=lambda x: (-x[1], x[0]))
     ends = counts.where(F.col("word") == F.lit(END)).first()
     known: dict[bytes, tuple[int, int]] = {END: (0, ends["c"] if ends else 0)}
     for k, (w, c) in enumerate(p for p in pairs if p[0] != END):
-        known[w] = (k + 1 if k < TOP else TOP + 1 + tail_class(w), c)
-    top = {w for w, (k, _) in known.items() if k <= TOP}
+        known[w] = (k + 1 if k < own else own + 1 + tail_class(w), c)
+    top = {w for w, (k, _) in known.items() if k <= own}
 
     def run(batches):
         n, v = np.zeros(TAIL), np.zeros(TAIL)
@@ -117,18 +118,18 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     tail_n, tail_v = np.zeros(TAIL, np.int64), np.zeros(TAIL, np.int64)
     for r in sums:
         tail_n[r["k"]], tail_v[r["k"]] = r["n"], r["v"]
-    return Vocabulary(total["n"] or 0, total["v"] or 0, known, tail_n, tail_v)
+    return Vocabulary(total["n"] or 0, total["v"] or 0, known, tail_n, tail_v, own)
 
 
 def classes_of(vocab: Vocabulary, words: list[bytes]) -> np.ndarray:
     """Classes of a text's words and its end."""
-    head = vocab.head
-    return np.array([(head.get(w) or (TOP + 1 + tail_class(w),))[0] for w in words] + [0], np.int64)
+    head, base = vocab.head, vocab.top + 1
+    return np.array([(head.get(w) or (base + tail_class(w),))[0] for w in words] + [0], np.int64)
 
 
 def neighbour_counts(texts: DataFrame, vocab: Vocabulary) -> np.ndarray:
     """How often each class follows each, the end's class standing before a text."""
-    size, shared = TOP + 1 + TAIL, texts.sparkSession.sparkContext.broadcast(vocab)
+    size, shared = vocab.top + 1 + TAIL, texts.sparkSession.sparkContext.broadcast(vocab)
 
     def run(batches):
         total = np.zeros(size * size, np.int64)
@@ -199,17 +200,18 @@ def fit_nce(pairs: np.ndarray, rank: int = RANK, noise: int = 64, batch: int = 2
     return net
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", steps: int = 2500) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", steps: int = 2500, most: int = HEAD, own: int = TOP) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row.
 
     Null and empty texts are the end alone.  Rows with a null id count as training
     rows; repeated rows count and are scored each time.  With no training row at all,
-    every word is unseen.  Scores are log10 of the whole text's probability.
+    every word is unseen.  Scores are log10 of the whole text's probability.  ``most``
+    words' counts are broadcast at most; ``own`` words have a class of their own.
     """
     spark = docs.sparkSession
     train = docs.where(~held_out(id_col)).select(F.col(text_col).cast("string").alias("text"))
     counts = stage(count_words(train), "word-counts")
-    vocab = vocabulary(counts)
+    vocab = vocabulary(counts, most, own)
     net = fit_nce(neighbour_counts(train, vocab), steps=steps)
     table = net.log_probabilities().astype(np.float32)
     # the share of a word in its class, but for its own count
@@ -225,11 +227,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", steps
                 words = words_of(text)
                 got = [vocab.head.get(w) for w in words] + [vocab.head[END]]
                 missing = Counter(w for w, g in zip(words, got) if g is None)
-                k = np.array([TOP + 1 + tail_class(w) if g is None else g[0] for w, g in zip(words, got)] + [0], np.int64)
+                k = classes_of(vocab, words)
                 c = np.array([0 if g is None else g[1] for g in got], np.int64)
                 own, before = np.log10(c + 1.0), np.concatenate([[0], k[:-1]])
-                tail = k > TOP
-                model = table[before, k].sum(dtype=np.float64) / np.log(10) + own[tail].sum() + share[k[tail] - TOP - 1].sum()
+                tail = k > vocab.top
+                model = table[before, k].sum(dtype=np.float64) / np.log(10) + own[tail].sum() + share[k[tail] - vocab.top - 1].sum()
                 rows.append((doc, out, len(k), int((c > 0).sum()), float(own.sum() + base * len(k)), float(model), list(missing.keys()), list(missing.values())))
             cols = list(zip(*rows)) if rows else [[] for _ in range(8)]
             types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]

@@ -59,13 +59,13 @@ PARTS = "array<struct<start:int,kind:int,end:int>>"
 
 
 def find_parts(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
-    """``carry`` + parts, one row for each row; a null text has none."""
+    """(doc, _parts), one row for each row; ``doc`` holds ``carry``; a null text has none."""
 
     @F.pandas_udf(PARTS)
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([[{"start": s, "kind": k, "end": e} for s, k, e in candidates(t)] if t else [] for t in texts], dtype="object")
 
-    return docs.select(*[F.col(c) for c in carry], run.asNondeterministic()(F.col(text_col).cast("string")).alias("_parts"))
+    return docs.select(F.struct(*[F.col(c) for c in carry]).alias("doc"), run.asNondeterministic()(F.col(text_col).cast("string")).alias("_parts"))
 
 
 def linked(parts: DataFrame, row: str, scope: int = SCOPE) -> DataFrame:
@@ -91,7 +91,7 @@ def linked(parts: DataFrame, row: str, scope: int = SCOPE) -> DataFrame:
 
 
 def spans_of(docs: DataFrame, text_col: str, carry: list[str], scope: int = SCOPE) -> DataFrame:
-    """``carry`` + spans (array of start, kind, end): strong and linked weak candidates.
+    """(doc, spans): strong and linked weak candidates, (start, kind, end) each; ``doc`` holds ``carry``.
 
     One row for each row, repeated ones too.  Rows without weak candidates, nearly
     all, never meet the join.
@@ -100,8 +100,8 @@ def spans_of(docs: DataFrame, text_col: str, carry: list[str], scope: int = SCOP
     strong = F.filter("_parts", lambda p: p["kind"] < len(BASE))
     weak = F.exists("_parts", lambda p: p["kind"] >= len(BASE))
     more = linked(rows.where(weak).select("_row", "_parts"), "_row", scope).groupBy("_row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("_more"))
-    plain = rows.where(~weak).select(*carry, strong.alias("spans"))
-    joint = rows.where(weak).join(more, "_row", "left").select(*carry, F.array_sort(F.concat(strong, F.coalesce("_more", F.array().cast(PARTS)))).alias("spans"))
+    plain = rows.where(~weak).select("doc", strong.alias("spans"))
+    joint = rows.where(weak).join(more, "_row", "left").select("doc", F.array_sort(F.concat(strong, F.coalesce("_more", F.array().cast(PARTS)))).alias("spans"))
     return plain.unionByName(joint)
 
 
@@ -117,9 +117,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope:
     Null and empty texts have no spans; positions are code points."""
     some = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = spans_of(some, "text", ["doc_id"], scope)
-    count = [F.size(F.filter("spans", lambda p, k=k: p["kind"] == k)).cast("long").alias(f"n_{n}") for k, n in enumerate(BASE)]
+    kinds = F.transform("spans", lambda p: p["kind"])
+    count = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{n}") for k, n in enumerate(BASE)]
     base = listing(F.filter("spans", lambda p: p["kind"] < len(BASE)))
-    return found.select("doc_id", *count, F.sha2(base, 256).alias("base_sha256"), listing(F.col("spans")).alias("spans"))
+    return found.select("doc.doc_id", *count, F.sha2(base, 256).alias("base_sha256"), listing(F.col("spans")).alias("spans"))
 
 
 def redact(docs: DataFrame, text_col: str = "text", mask: str = MASK, scope: int = SCOPE) -> DataFrame:
@@ -141,4 +142,5 @@ def redact(docs: DataFrame, text_col: str = "text", mask: str = MASK, scope: int
         return pd.Series([one(t, s) for t, s in zip(texts, spans)], dtype="object")
 
     clean, dirty = found.where(F.size("spans") == 0), found.where(F.size("spans") > 0)
-    return clean.select(*cols).unionByName(dirty.select(*[cut(F.col(text_col), F.col("spans")).alias(c) if c == text_col else F.col(c) for c in cols]))
+    col = lambda c: F.col("doc").getField(c)
+    return clean.select("doc.*").unionByName(dirty.select(*[(cut(col(c), F.col("spans")) if c == text_col else col(c)).alias(c) for c in cols]))

@@ -233,5 +233,5 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     component; of those with equal texts one stays."""
     found = near_duplicates(docs, id_col, text_col, **how)
     stay = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_stay"))
-    kept = docs.join(stay, F.col(id_col) == F.col("_stay"), "left_semi").dropDuplicates([id_col])
+    kept = docs.join(stay, docs[id_col] == stay["_stay"], "left_semi").dropDuplicates([id_col])
     return kept.unionByName(docs.where(F.col(id_col).isNull()).dropDuplicates([text_col]))

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from braidwork.llm import decontaminate, fastbpe, line_rules, lm_score, packing, quality_cnn, registry, secrets, shards, simhash, staging, tokenfile, warc
 
 WORDS = "the of red sky and a sea Stone moon in by old wind over Étoile night ship sail far home".split()
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, row string"
+#: The last columns clash with names that operators use inside.
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, spans string"
 
 
 def prose(r, n):
@@ -278,10 +279,8 @@ def test_shards_small(docs, none, spark):
 
 
 def test_lm_base_counts_and_normalisation(spark, docs, monkeypatch):
-    monkeypatch.setattr(lm_score, "HEAD", 12)
-    monkeypatch.setattr(lm_score, "TOP", 6)
     monkeypatch.setattr(lm_score, "FLUSH", 5)
-    got = lm_score.score(docs, steps=50).collect()
+    got = lm_score.score(docs, steps=50, most=12, own=6).collect()
     rows = docs_rows()
     words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + [" "]
     out = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
@@ -295,11 +294,10 @@ def test_lm_base_counts_and_normalisation(spark, docs, monkeypatch):
     assert all(x["score"] < 0 for x in got)
 
 
-def test_lm_words_of_a_context_sum_to_one(spark, monkeypatch):
-    monkeypatch.setattr(lm_score, "TOP", 4)
+def test_lm_words_of_a_context_sum_to_one(spark):
     texts = spark.createDataFrame([(t,) for t in ("a b a c d", "b a e f g h", "a a b")], "text string")
     counts = lm_score.count_words(texts)
-    vocab = lm_score.vocabulary(counts)
+    vocab = lm_score.vocabulary(counts, own=4)
     table = lm_score.fit_nce(lm_score.neighbour_counts(texts, vocab), steps=30).log_probabilities()
     p = np.exp(table)
     assert np.allclose(p.sum(1), 1)
@@ -488,7 +486,7 @@ def test_secret_links_against_all_pairs(spark):
 
 
 def test_redact(spark):
-    d = spark.createDataFrame([(k, t, "clash") for k, t in enumerate([*PLANTED, None])], "doc_id long, text string, _parts string")
+    d = spark.createDataFrame([(k, t, "clash") for k, t in enumerate([*PLANTED, None])], "doc_id long, text string, spans string")
     got = {x["doc_id"]: x["text"] for x in secrets.redact(d).collect()}
     assert "hunter22" not in got[0] and got[0].count(secrets.MASK) == 2
     assert SECRET[:40] not in got[2] and got[3] == PLANTED[3] and got[8] is None
@@ -526,5 +524,5 @@ def test_line_rules_remove_lines_first(spark):
     good = "\n".join(" ".join(r.sample(WORDS, 14)) + "." for _ in range(10))
     nav, banner = "Home | News | Sport | Contact | Help", "We use cookies on this site."
     bad = "\n".join(" | ".join(r.sample(WORDS, 12)) for _ in range(10)) + "\n" + " ".join(r.sample(WORDS, 12)) + "."
-    d = spark.createDataFrame([(1, f"{nav}\n{good}\n{banner}"), (2, bad), (3, good)], "doc_id long, text string")
+    d = spark.createDataFrame([(1, f"{nav}\n{good}\n{banner}", 0), (2, bad, 0), (3, good, 0)], "doc_id long, text string, rules int")
     assert {x["doc_id"]: x["text"] for x in line_rules.keep_clean(d).collect()} == {1: good, 3: good}
