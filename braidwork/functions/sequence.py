@@ -32,7 +32,7 @@ def hamming(a: Column, b: Column) -> Column:
     return F.aggregate(same, F.lit(0), lambda acc, x: acc + x) + F.abs(F.length(a) - F.length(b))
 
 
-def gem_group(barcode: Column) -> Column:
+def library_suffix(barcode: Column) -> Column:
     """The part behind the dash as a number, null if there is none."""
     return F.when(F.size(F.split(barcode, "-")) == 2, F.split_part(barcode, F.lit("-"), F.lit(2)).try_cast("int"))
 
@@ -118,7 +118,15 @@ def cigar_offsets(cigar: Column) -> Column:
     return F.aggregate(cigar, start, step, lambda acc: acc["out"])
 
 
+def changes(seq: Column, after: Column | None = None) -> Column:
+    """All sequences at one substitution behind place ``after``, as structs (at, seq)."""
+    first = F.lit(1) if after is None else after + 1
+    at = F.filter(F.sequence(F.lit(1), F.length(seq)), lambda k: k >= first)
+    others = lambda k: F.filter(F.array(*[F.lit(b) for b in "ACGT"]), lambda b: b != F.substring(seq, k, F.lit(1)))
+    put = lambda k, b: F.concat(F.substring(seq, F.lit(1), k - 1), b, F.substring(seq, k + 1, F.length(seq)))
+    return F.flatten(F.transform(at, lambda k: F.transform(others(k), lambda b: F.struct(k.alias("at"), put(k, b).alias("seq")))))
+
+
 def neighbours(seq: Column) -> Column:
     """All sequences at one substitution, the sequence itself left out."""
-    at = F.sequence(F.lit(1), F.length(seq))
-    return F.flatten(F.transform(at, lambda k: F.transform(F.filter(F.array(*[F.lit(b) for b in "ACGT"]), lambda b: b != F.substring(seq, k, F.lit(1))), lambda b: F.concat(F.substring(seq, F.lit(1), k - 1), b, F.substring(seq, k + 1, F.length(seq))))))
+    return F.transform(changes(seq), lambda c: c["seq"])

@@ -21,13 +21,15 @@ def near(seqs: DataFrame, whitelist: DataFrame, most: int = 2) -> DataFrame:
     """(seq, cand): listed barcodes at 1 to ``most`` substitutions of each distinct sequence.
 
     Neighbours are made and looked up by an equality join, never all pairs."""
-    one = seqs.select("seq").distinct().select("seq", F.explode(seq.neighbours(F.col("seq"))).alias("cand"))
-    out = one
-    for _ in range(most - 1):
-        one = one.select("seq", F.explode(seq.neighbours(F.col("cand"))).alias("cand"))
-        out = out.unionByName(one)
+    # Few sequences make many neighbours, so they are dealt out whatever their size.
+    parts = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    one = seqs.select("seq").distinct().repartition(parts, "seq").select("seq", F.lit(0).alias("at"), F.col("seq").alias("cand"))
+    out = None
+    for _ in range(most):  # each change lies behind the one before, so no set of changes comes twice
+        one = one.select("seq", F.explode(seq.changes(F.col("cand"), F.col("at"))).alias("c")).select("seq", "c.at", F.col("c.seq").alias("cand"))
+        out = one if out is None else out.unionByName(one)
     listed = whitelist.select(F.col("barcode").alias("cand"))
-    return out.join(listed, "cand", "left_semi").where("seq <> cand").distinct()
+    return out.select("seq", "cand").join(listed, "cand", "left_semi")
 
 
 def changed_quality(a: Column, b: Column, qual: Column) -> Column:

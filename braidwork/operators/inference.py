@@ -69,10 +69,10 @@ def shrunk_dispersions(m: DataFrame, quantile: float = 0.995) -> DataFrame:
 def glm_test(m: DataFrame, groups: DataFrame, alpha: float = 1e-4) -> DataFrame:
     """(feature_id, log2_ratio, z): a count regression per feature on group and log depth.
 
-    Barcodes with the same group, depth and count are one weighted row, so what a
-    feature's task holds follows its distinct cases."""
-    depth = m.groupBy("barcode_id").agg(F.sum("value").alias("depth")).join(groups, "barcode_id")
-    base = [tuple(r) for r in depth.groupBy("in_group", "depth").agg(F.count("*").alias("w")).collect()]  # distinct depths and groups
+    Log depths count to two digits; barcodes with the same group, depth and count are
+    one weighted row, so the cases of a feature are bounded whatever the barcodes."""
+    depth = m.groupBy("barcode_id").agg(F.round(F.log(F.sum("value")), 2).alias("depth")).join(groups, "barcode_id")
+    base = [tuple(r) for r in depth.groupBy("in_group", "depth").agg(F.count("*").alias("w")).collect()]  # some thousands at most
     cells = m.join(depth, "barcode_id").groupBy("feature_id", "in_group", "depth", "value").agg(F.count("*").alias("w"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -80,7 +80,7 @@ def glm_test(m: DataFrame, groups: DataFrame, alpha: float = 1e-4) -> DataFrame:
         zero = [(g, d, 0, w - int(used.get((g, d), 0))) for g, d, w in base]
         rows = [(g, d, v, w) for g, d, v, w in zip(pdf["in_group"], pdf["depth"], pdf["value"], pdf["w"])] + [r for r in zero if r[3] > 0]
         g, d, y, w = (np.array(c, float) for c in zip(*rows))
-        x = np.stack([g, 1 - g, np.log(d)], 1)
+        x = np.stack([g, 1 - g, d], 1)
         mu, beta = (y + np.average(y, weights=w)) / 2 + 1e-3, np.zeros(3)
         for _ in range(100):
             k = w * mu / (1 + alpha * mu)

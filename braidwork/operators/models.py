@@ -7,7 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,8 +79,7 @@ def kmeans(points: DataFrame, k: int, seed: int = 1) -> DataFrame:
     """(barcode_id, label) with labels by falling cluster size from 1."""
     from .matrix import relabel_by_size
 
-    vector = F.udf(lambda a: Vectors.dense(a), VectorUDT())
-    data = points.select("barcode_id", vector("score").alias("features"))
+    data = points.select("barcode_id", array_to_vector("score").alias("features"))
     model = KMeans(k=k, seed=seed).fit(data)
     return relabel_by_size(model.transform(data).select("barcode_id", "prediction"), "barcode_id", "prediction")
 

@@ -88,7 +88,7 @@ def above_threshold(spark, d):
     return matrix.above_threshold(derived(spark, d, "coo"), 20)
 
 
-@query(f"with {cte('coo')} select barcode_id, sum(case when feature_id % 3 = 0 then value else 0 end) as masked, count(case when value >= 2 and feature_id % 3 = 0 then 1 end) as at_least_two from coo group by 1")
+@query(f"with {cte('coo')} select barcode_id, sum(case when feature_id % 3 = 0 then value else 0 end)::bigint as masked, count(case when value >= 2 and feature_id % 3 = 0 then 1 end) as at_least_two from coo group by 1")
 def masked_sums(spark, d):
     m = derived(spark, d, "coo")
     return m.groupBy("barcode_id").agg(F.sum(F.when(F.col("feature_id") % 3 == 0, F.col("value")).otherwise(0)).alias("masked"), F.count_if((F.col("value") >= 2) & (F.col("feature_id") % 3 == 0)).alias("at_least_two"))
@@ -354,7 +354,7 @@ def sort_unique_bed(spark, d):
 def tiling_windows(spark, d):
     c = spark.range(1, 6).select(F.concat(F.lit("chr"), F.col("id").cast("string")).alias("contig"))
     s = F.explode(F.sequence(F.lit(0), F.lit(LENGTH - 1), F.lit(100_000)))
-    return c.select("contig", s.alias("start")).select("contig", F.col("start").cast("long").alias("start"), F.least(F.col("start") + 110_000, F.lit(LENGTH)).alias("end"))
+    return c.select("contig", s.alias("start")).select("contig", F.col("start").cast("long").alias("start"), F.least(F.col("start") + 110_000, F.lit(LENGTH)).cast("long").alias("end"))
 
 
 # --- matrices

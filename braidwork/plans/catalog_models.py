@@ -217,7 +217,7 @@ def purity_metrics(spark, d):
 
 
 @query(f"""with {cte('reads')} select count(*) as total, round(count(case when mapq <= 30 then 1 end) / count(*), 6) as low_mapq, round(count(case when ref_id = 4 then 1 end) / count(*), 6) as mito, round(count(distinct barcode) / count(*), 6) as barcodes,
-  case when count(case when ref_id = 9 then 1 end) = 0 then null else 1.0 end as unseen from reads""")
+  case when count(case when ref_id = 9 then 1 end) = 0 then null else 1.0::double end as unseen from reads""")
 def waste_metrics(spark, d):
     r = derived(spark, d, "reads")
     share = lambda c: F.count_if(c) / F.count("*")

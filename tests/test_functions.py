@@ -17,8 +17,8 @@ def test_sequences(spark):
     assert one(spark, seq.reverse_complement(F.col("s")), s="ACGTNRy") == "rYNACGT"
     assert one(spark, seq.mask(F.col("s"), 2, 4), s="ACGTAC") == "NNGTNN"
     assert one(spark, seq.hamming(F.col("a"), F.col("b")), a="ACGT", b="AGG") == 2
-    assert one(spark, seq.gem_group(F.col("s")), s="ACGT-3") == 3
-    assert one(spark, seq.gem_group(F.col("s")), s="ACGT") is None
+    assert one(spark, seq.library_suffix(F.col("s")), s="ACGT-3") == 3
+    assert one(spark, seq.library_suffix(F.col("s")), s="ACGT") is None
     assert one(spark, seq.two_bit(F.col("s")), s="ACGT") == 0b00011011
     assert len(set(one(spark, seq.neighbours(F.col("s")), s="ACG"))) == 9
     assert one(spark, seq.bases_at_least(F.col("q"), 30), q="I?!") == 2
