@@ -25,7 +25,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: Weak kinds: an account name, a key of mixed characters, an address of a service.
 ACCOUNT = re.compile(r"""\b(?:user(?:name)?|login|account|client_id|access_key(?:_id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@=-]{3,})""", re.I | re.A)
-KEY40 = re.compile(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])")
+KEY40 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])")
 ENDPOINT = re.compile(r"\b(?:https?|ftp|sftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[A-Za-z0-9._~:@%-]+", re.I | re.A)
 KINDS = ("assign", "access", "hex", "account", "key40", "endpoint")
 BASE = KINDS[:3]

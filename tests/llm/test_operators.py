@@ -492,6 +492,16 @@ def test_redact(spark):
     assert SECRET[:40] not in got[2] and got[3] == PLANTED[3] and got[8] is None
 
 
+@pytest.mark.parametrize("form", ["AWS_SECRET_ACCESS_KEY={}", "AWS_SECRET_ACCESS_KEY = {}", "aws_secret_key=='{}'", "export KEY={};"])
+def test_keys_after_an_equals_sign(spark, form):
+    text = "AWS_ACCESS_KEY_ID=AKIA" + "Z9" * 8 + "\n" + form.format(SECRET[:40]) + "\n"
+    rows = spark.createDataFrame([(1, text), (2, form.format(SECRET[:40])), (3, "AKIA" + "Z9" * 8 + " KEY=" + SECRET[:40] + "=")], "doc_id long, text string")
+    at = text.index(SECRET[:40])
+    spans = {x["doc_id"]: x["spans"] for x in secrets.scan(rows).collect()}
+    assert f"key40:{at}:{at + 40}" in spans[1].split(",") and "key40" not in spans[2] + spans[3]
+    assert SECRET[:40] not in {x["doc_id"]: x["text"] for x in secrets.redact(rows).collect()}[1]
+
+
 # --- 9
 
 
