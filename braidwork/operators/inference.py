@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import stats
+from .staged import settle
+
+#: Counts that a simulated walk adds at once.
+WALK = 1 << 20
 
 #: Depth at which a site counts as enriched where there is too little data to fit.
 DEFAULT_DEPTH = 15
@@ -184,7 +188,9 @@ def two_pool_fit(total: np.ndarray, unique: np.ndarray, rounds: int = 300) -> np
 def ambient_p_values(m: DataFrame, background: DataFrame, draws: int = 1000, seed: int = 0) -> DataFrame:
     """(barcode_id, total, p_value): how often a draw from the background profile is less likely than the barcode.
 
-    Draws depend on the total alone, so each distinct total is simulated once."""
+    A draw is a walk that adds one count at a time and is read at every distinct total,
+    so all totals share ``draws`` walks, which are dealt over the tasks.  Barcodes meet
+    the draws of their total in a join that adaptive execution can split."""
     prof = background.groupBy("feature_id").agg(F.sum("value").alias("s")).withColumn("s", F.col("s").cast("double"))
     t = prof.agg(F.sum("s").alias("t"))
     p = prof.join(F.broadcast(t)).select("feature_id", (F.col("s") / F.col("t")).alias("p"))
@@ -193,18 +199,36 @@ def ambient_p_values(m: DataFrame, background: DataFrame, draws: int = 1000, see
     def lgam(v: pd.Series) -> pd.Series:
         return v.map(lambda x: math.lgamma(x + 1))
 
-    like = m.join(p, "feature_id").groupBy("barcode_id").agg(F.sum("value").alias("total"), F.sum(F.col("value") * F.log("p") - lgam("value")).alias("ll")).withColumn("ll", F.col("ll") + lgam("total"))
+    like = settle(m.join(p, "feature_id").groupBy("barcode_id").agg(F.sum("value").alias("total"), F.sum(F.col("value") * F.log("p") - lgam("value")).alias("ll")).withColumn("ll", F.col("ll") + lgam("total")))
     profile = np.array([r["p"] for r in p.orderBy("feature_id").select("p").collect()])  # one number per feature of the profile
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        n = int(pdf["total"].iloc[0])
-        g = np.random.default_rng([seed, n])
-        lg, lp = np.array([math.lgamma(k + 1) for k in range(n + 1)]), np.log(profile)
-        sims = np.sort([(x := g.multinomial(n, profile)) @ lp - lg[x].sum() + lg[n] for _ in range(draws)])
-        low = np.searchsorted(sims, pdf["ll"].to_numpy() + 1e-9)
-        return pd.DataFrame({"barcode_id": pdf["barcode_id"], "total": pdf["total"], "p_value": (1 + low) / (1 + draws)})
-
-    return like.groupBy("total").applyInPandas(run, "barcode_id long, total long, p_value double")
+    totals = np.array(sorted(r["total"] for r in like.select("total").distinct().collect()), np.int64)
+
+    def run(pdfs):
+        edges, lp = np.cumsum(profile), np.log(profile)
+        edges /= edges[-1]
+        for pdf in pdfs:
+            for k in pdf["id"]:
+                g, seen, at, done = np.random.default_rng([seed, int(k)]), np.zeros(len(profile), np.int64), 0.0, 0
+                while done < (totals[-1] if len(totals) else 0):
+                    n = int(min(WALK, totals[-1] - done))
+                    x = np.searchsorted(edges, g.random(n), side="right")
+                    order = np.argsort(x, kind="stable")
+                    first = np.searchsorted(x[order], x[order])
+                    times = np.empty(n, np.int64)
+                    times[order] = np.arange(n) - first
+                    times += seen[x] + 1
+                    seen += np.bincount(x, minlength=len(seen))
+                    # one more count of a feature that has c - 1: the chance grows by p / c, times the new total
+                    path = at + np.cumsum(lp[x] - np.log(times) + np.log(np.arange(done + 1, done + n + 1)))
+                    stops = totals[(totals > done) & (totals <= done + n)]
+                    yield pd.DataFrame({"total": stops, "sim": path[stops - done - 1]})
+                    at, done = path[-1], done + n
+
+    spark = m.sparkSession
+    walks = spark.range(0, draws, 1, min(draws, 4 * spark.sparkContext.defaultParallelism)).mapInPandas(run, "total long, sim double")
+    sims = walks.groupBy("total").agg(F.collect_list("sim").alias("sims"))
+    low = F.size(F.filter("sims", lambda x: x < F.col("ll") + 1e-9))
+    return like.join(sims, "total").select("barcode_id", "total", ((1 + low) / F.lit(1.0 + draws)).alias("p_value"))
 
 
 def kolmogorov(histogram: DataFrame, cdf) -> float:

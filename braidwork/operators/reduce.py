@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .matrix import idf
+from .staged import settle
 
 
 def lsa(m: DataFrame, k: int, rounds: int = 4, seed: int = 5) -> DataFrame:
@@ -55,26 +56,22 @@ def plsa(m: DataFrame, k: int, rounds: int = 20, seed: int = 3) -> DataFrame:
     """(barcode_id, topics): shares of k latent topics, fitted by expectation-maximisation in joins.
 
     Each round spreads every entry over the topics and adds up by feature and by
-    barcode; both tables of k numbers per row are checkpointed now and then."""
-    from .graph import _set_checkpoints
-
-    _set_checkpoints(m)
+    barcode; both tables of k numbers per row are written, as the next round reads each
+    more than once."""
     x = m.select("feature_id", "barcode_id", F.col("value").cast("double").alias("value")).persist()
 
     def start(key):
         return x.select(key).distinct().select(key, F.array(*[1.0 + F.pmod(F.xxhash64(key, F.lit(seed + j)), F.lit(1000)) / 1000.0 for j in range(k)]).alias("p"))
 
     words, docs = start("feature_id"), start("barcode_id")
-    for r in range(rounds):
+    for _ in range(rounds):
         total = words.agg(*[F.sum(F.col("p")[j]).alias(f"t{j}") for j in range(k)]).first()
         w = words.select("feature_id", F.transform("p", lambda v, i: v / F.get(F.array(*[F.lit(max(total[f"t{j}"], 1e-300)) for j in range(k)]), i)).alias("w"))
         d = docs.select("barcode_id", F.transform("p", lambda v: v / F.aggregate("p", F.lit(0.0), lambda a, b: a + b)).alias("d"))
         z = x.join(w, "feature_id").join(d, "barcode_id").select("feature_id", "barcode_id", "value", F.zip_with("w", "d", lambda a, b: a * b).alias("z"))
         z = z.withColumn("z", F.transform("z", lambda v: F.col("value") * v / F.greatest(F.aggregate("z", F.lit(0.0), lambda a, b: a + b), F.lit(1e-300))))
         fold = lambda key: z.groupBy(key).agg(F.array(*[F.sum(F.col("z")[j]) for j in range(k)]).alias("p"))
-        words, docs = fold("feature_id"), fold("barcode_id")
-        if r % 3 == 2:
-            words, docs = words.checkpoint(), docs.checkpoint()
+        words, docs = settle(fold("feature_id")), settle(fold("barcode_id"))
     return docs.select("barcode_id", F.transform("p", lambda v: v / F.aggregate("p", F.lit(0.0), lambda a, b: a + b)).alias("topics"))
 
 

@@ -155,7 +155,7 @@ def empirical_dispersion(spark, d):
 
 @query()
 def glm_features(spark, d):
-    m = derived(spark, d, "coo").where("feature_id <= 40")  # a feature selection, as a user would make
+    m = derived(spark, d, "coo")
     g = m.select("barcode_id").distinct().withColumn("in_group", F.col("barcode_id") % 2 == 0)
     return inference.glm_test(m, g)
 
@@ -167,8 +167,8 @@ def fitted_peaks(spark, d):
 
 @query()
 def ambient_barcodes(spark, d):
-    m = derived(spark, d, "coo").withColumn("feature_id", F.col("feature_id") % 50).groupBy("feature_id", "barcode_id").agg(F.sum("value").alias("value"))
-    return inference.ambient_p_values(m, m, draws=200)
+    m = derived(spark, d, "coo")
+    return inference.ambient_p_values(m, m)
 
 
 # --- reduction and clusters
@@ -181,8 +181,7 @@ def lsa_scores(spark, d):
 
 @query()
 def plsa_topics(spark, d):
-    m = derived(spark, d, "coo").withColumn("feature_id", F.col("feature_id") % 100).groupBy("feature_id", "barcode_id").agg(F.sum("value").alias("value"))
-    return reduce.plsa(m, 3, rounds=6)
+    return reduce.plsa(derived(spark, d, "coo"), 3)
 
 
 @query("""with x as (select vec_id, label, unnest(embedding)::double as x, generate_subscripts(embedding, 1) as i from embeddings), c as (select label, i, avg(x) as c from x group by 1, 2),
