@@ -15,7 +15,7 @@ def nearest(vectors: DataFrame, key: str, vector: str, k: int, blocks: int | Non
     """(src, dst, distance): the exact k nearest others of each vector, smaller key on ties.
 
     Vectors are packed into blocks by a hash of the key; each block meets every other
-    once, and of each meeting only the k best of a row go on.  This is an exact search
+    once, and of each meeting only the k best of a row by (distance, key) go on.  This is an exact search
     of a stated query set, all rows here, against all rows.
     """
     n = blocks or max(1, -(-vectors.count() // BLOCK))
@@ -40,12 +40,16 @@ def nearest(vectors: DataFrame, key: str, vector: str, k: int, blocks: int | Non
                     part = x[lo : lo + 512]
                     d2 = np.maximum((part**2).sum(1)[:, None] + (y**2).sum(1)[None] - 2 * part @ y.T, 0)
                     d2[a[lo : lo + 512, None] == c[None]] = np.inf
-                    m = min(k + 4, len(c))
-                    best = np.argpartition(d2, m - 1, axis=1)[:, :m] if m < len(c) else np.broadcast_to(np.arange(len(c)), d2.shape)
-                    src = np.repeat(a[lo : lo + 512], best.shape[1])
-                    dst = c[best].ravel()
-                    exact = np.sqrt(((np.repeat(part, best.shape[1], 0) - y[best.ravel()]) ** 2).sum(1))
+                    # all up to the k-th distance and what rounding may hide, so no tie is lost
+                    kth = np.partition(d2, k - 1, axis=1)[:, k - 1] if k < len(c) else np.full(len(part), np.inf)
+                    margin = 8 * np.finfo(float).eps * (x.shape[1] + 2) * ((part**2).sum(1) + (y**2).sum(1).max())
+                    at, to = np.nonzero(d2 <= (kth + margin)[:, None])
+                    exact = np.concatenate([np.sqrt(((part[at[s : s + 65536]] - y[to[s : s + 65536]]) ** 2).sum(1)) for s in range(0, max(len(at), 1), 65536)])
+                    src, dst = a[lo : lo + 512][at], c[to]
                     ok = src != dst
+                    at, src, dst, exact = at[ok], src[ok], dst[ok], exact[ok]
+                    order = np.lexsort((dst, exact, at))
+                    ok = order[np.arange(len(at)) - np.searchsorted(at, at) < k]  # at ascends, also in this order
                     yield pa.record_batch([pa.array(src[ok]), pa.array(dst[ok]), pa.array(exact[ok])], ["src", "dst", "distance"])
 
     found = pairs.mapInArrow(run, "src long, dst long, distance double")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from braidwork.operators import inference, reduce
+from braidwork.operators import graph, inference, reduce
 from braidwork.plans import catalog
 from braidwork.plans.fixtures import derived
 
@@ -61,3 +61,20 @@ def test_ambient_against_all_outcomes(spark, monkeypatch):
     for b, c in cells:
         want = sum(q for o, q in chance.items() if sum(o) == sum(c) and q <= chance[c] * (1 + 1e-9))
         assert got[b] == pytest.approx(want, abs=5 * math.sqrt(want * (1 - want) / 4000) + 1e-3)
+
+
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_nearest_among_equal_vectors(spark, blocks):
+    r = np.random.default_rng(4)
+    some = r.normal(size=8)
+    vectors = [some.tolist() if i < 50 else r.normal(size=8).tolist() for i in range(400)]
+    keys = r.permutation(400).tolist()
+    df = spark.createDataFrame(list(zip(keys, vectors)), "key long, v array<double>")
+    got = {}
+    for e in graph.nearest(df, "key", "v", 3, blocks).collect():
+        got.setdefault(e["src"], []).append((e["distance"], e["dst"]))
+    x = np.array(vectors)
+    for i, key in enumerate(keys):
+        d = np.sqrt(((x[i] - x) ** 2).sum(1))
+        want = sorted((d[j], keys[j]) for j in range(400) if j != i)[:3]
+        assert [j for _, j in sorted(got[key])] == [j for _, j in want]
