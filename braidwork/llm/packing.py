@@ -64,8 +64,8 @@ def _pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, lower:
         enc = encoder(tokenizer, lower)
         for b in batches:
             rows = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = enc.raw(text or "") + END.to_bytes(4, "little")
+            for doc, raw in zip(b.column(0).to_pylist(), enc.each(b.column(1).to_pylist())):
+                ids = raw + END.to_bytes(4, "little")
                 n = len(ids) // 4
                 for k in range(0, n, window):
                     size = min(window, n - k)

@@ -58,7 +58,7 @@ def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = tokenfile.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 50257)
+    rows = tokenfile.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .fastbpe import encoder
+from .fastbpe import encoder, vocabulary_of
 from .staging import fresh_path, open_folder, put_file, stage
 
 END = 2
@@ -33,7 +34,9 @@ def width_of(vocabulary: int) -> int:
 
 
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
-    """Ids one after another, ``bits`` each, lowest bit first."""
+    """Ids one after another, ``bits`` each, lowest bit first; an id that doesn't fit is an error."""
+    if len(ids) and int(ids.max()) >> bits:
+        raise ValueError(f"id {ids.max()} doesn't fit into {bits} bits")
     if bits in (8, 16, 32):
         return ids.astype(f"<u{bits // 8}").tobytes()
     spread = (ids[:, None] >> np.arange(bits, dtype=np.uint32)) & 1
@@ -51,12 +54,14 @@ class Writer:
     """Collects ids and writes whole blocks as they fill."""
 
     def __init__(self, bits: int):
-        self.bits, self.blocks, self.docs, self.sizes, self.n = bits, [], [], [], 0
+        self.bits, self.blocks, self.n = bits, [], 0
+        self.missing, self.docs, self.sizes = array("B"), array("q"), array("q")
         self.held: list[bytes] = []
         self.waiting = 0
 
     def add(self, doc: int | None, raw: bytes) -> None:
-        self.docs.append(doc)
+        self.missing.append(doc is None)
+        self.docs.append(doc or 0)
         self.sizes.append(len(raw) // 4)
         self.held.append(raw)
         self.waiting += len(raw) // 4
@@ -78,8 +83,8 @@ class Writer:
         for b in self.blocks:
             out.write(b)
         out.write(offsets.astype("<i8").tobytes())
-        out.write(np.array([d is None for d in self.docs], np.uint8).tobytes())
-        out.write(np.array([d or 0 for d in self.docs], "<i8").tobytes())
+        out.write(np.array(self.missing, np.uint8).tobytes())
+        out.write(np.array(self.docs, "<i8").tobytes())
         out.write(np.array(self.sizes, "<i8").tobytes())
 
 
@@ -94,9 +99,8 @@ class Reader:
             raise ValueError(f"{name} is no token file")
         self.file.seek(at)
         self.offsets = np.frombuffer(self.file.read(8 * blocks), "<i8")
-        missing = np.frombuffer(self.file.read(docs), np.uint8)
-        ids = np.frombuffer(self.file.read(8 * docs), "<i8")
-        self.docs = [None if m else int(d) for d, m in zip(ids, missing)]
+        self.missing = np.frombuffer(self.file.read(docs), np.uint8).astype(bool)
+        self.docs = np.frombuffer(self.file.read(8 * docs), "<i8")
         self.sizes = np.frombuffer(self.file.read(8 * docs), "<i8")
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.end = at
@@ -117,15 +121,17 @@ class Reader:
         return held[start - begin : start - begin + n]
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, lower: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_tokens(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int | None = None, lower: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode every text whole, end it with the end id, and write the files.
 
     Returns the manifest (part, number, file, n_docs, n_tokens): files in ascending
     id order.  Null ids come first; rows that repeat an id stand together, ordered
     by text.  A null or empty text is the end id alone.  Files are at most FILE_IDS
-    ids and a document long, and appear only when whole.
+    ids and a document long, and appear only when whole.  Ids take the bits of
+    ``vocabulary`` ids, by default of the tokenizer's.  Strings of special tokens in
+    a text become those tokens, as the library has it.
     """
-    bits = width_of(vocabulary)
+    bits = width_of(vocabulary or vocabulary_of(tokenizer))
 
     def run(batches):
         from pyspark import TaskContext
@@ -138,8 +144,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int,
             return pa.record_batch([pa.array([x]) for x in (part, number, name, len(writer.docs), writer.n)], ["part", "number", "file", "n_docs", "n_tokens"])
 
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                writer.add(doc, enc.raw(text or "") + END.to_bytes(4, "little"))
+            for doc, raw in zip(b.column(0).to_pylist(), enc.each(b.column(1).to_pylist())):
+                writer.add(doc, raw + END.to_bytes(4, "little"))
                 if writer.n >= FILE_IDS:
                     yield close()
                     number, writer = number + 1, Writer(bits)
@@ -171,9 +177,10 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
             for name, ahead in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 reader = Reader(folder, name)
                 for k in range(0, len(reader.docs), 256):
-                    docs, starts, sizes = reader.docs[k : k + 256], reader.starts[k : k + 256], reader.sizes[k : k + 256]
+                    starts, sizes = reader.starts[k : k + 256], reader.sizes[k : k + 256]
+                    docs = pa.array(reader.docs[k : k + 256], mask=reader.missing[k : k + 256])
                     ids = [reader.ids(int(s), int(n)).astype("<u4").tobytes() for s, n in zip(starts, sizes)]
-                    yield pa.record_batch([pa.array(docs, pa.int64()), pa.array(starts + ahead), pa.array(sizes), pa.array(ids, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
+                    yield pa.record_batch([docs, pa.array(starts + ahead), pa.array(sizes), pa.array(ids, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
     return listed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
@@ -182,7 +189,7 @@ def crc32_of(ids: bytes) -> int:
     return zlib.crc32(ids)
 
 
-def round_trip(docs: DataFrame, tokenizer: str, vocabulary: int, **how) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, vocabulary: int | None = None, **how) -> DataFrame:
     """Write the files into a fresh shared folder, then read them back."""
     folder = fresh_path(docs.sparkSession, "token-files")
     return read_tokens(write_tokens(docs, folder, tokenizer, vocabulary, **how), folder)
