@@ -5,8 +5,9 @@ convolution over bytes is a sum of table look-ups.  Each filter's responses are
 max-pooled over chunks that overlap by half and cover the whole text; the chunks'
 mean and maximum go through one hidden layer into a probability.
 
-The network is fitted on the driver from a bounded sample of labelled rows
-(``sample`` rows of lowest id hash); scoring runs in Arrow batches on every row.
+The network is fitted on the driver from a bounded sample of labelled rows (at most
+``sample`` rows and ``sample_bytes`` bytes of text, those of lowest hash); scoring runs
+in Arrow batches on every row.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 FILTERS, WIDTH, HALF, HIDDEN = 12, 5, 128, 16
 #: Labelled rows to learn from, at most; passes over them.
 SAMPLE, EPOCHS = 3000, 8
+#: Bytes of text to learn from, at most.
+SAMPLE_BYTES = 64 << 20
 CUT = 0.3
 #: Bytes convolved at a time, so that memory doesn't grow with a text.
 SPAN = HALF * 512
@@ -46,6 +49,13 @@ def fresh_net(seed: int = 7) -> Net:
     return Net(r.normal(0, 0.3, (WIDTH, 256, FILTERS)).astype(f), np.zeros(FILTERS, f), r.normal(0, 0.3, (2 * FILTERS, HIDDEN)).astype(f), np.zeros(HIDDEN, f), r.normal(0, 0.3, HIDDEN).astype(f), np.zeros(1, f))
 
 
+def blank_net() -> Net:
+    """A net that knows nothing: it scores 0.5."""
+    net = fresh_net()
+    net.w2 *= 0
+    return net
+
+
 def half_maxima(net: Net, text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Per half chunk and filter: the largest response and its position.
 
@@ -99,9 +109,9 @@ def score(net: Net, text: bytes | None) -> float:
 
 def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, batch: int = 16, rate: float = 0.01, seed: int = 7) -> Net:
     """Adam on the log loss, with both labels weighing the same in all."""
-    net = fresh_net(seed)
     if not texts:
-        return net
+        return blank_net()
+    net = fresh_net(seed)
     y = np.array(labels, np.float32)
     share = np.clip(y.mean(), 0.02, 0.98)
     weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share)) ** 0.5
@@ -140,14 +150,30 @@ def held_out(id_col: str, folds: int = 5):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, epochs: int = EPOCHS) -> Net:
-    """Fit on at most ``sample`` labelled rows that are not held out.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, epochs: int = EPOCHS, sample_bytes: int = SAMPLE_BYTES) -> Net:
+    """Fit on at most ``sample`` labelled rows of at most ``sample_bytes``, none held out.
 
-    Null labels are left out; an id's labels that repeat count once each."""
-    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
-    chosen = known.where(~held_out("_id")).orderBy(F.xxhash64("_id"), "_id", "_label").limit(sample)
+    Null labels are left out; an id with several labels or texts gives a row for each
+    pair of them, one for equal pairs.  Of all such rows those of lowest hash are taken,
+    as long as they fit.  Without any the net can't be fitted, and all scores are 0.5.
+    """
+    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).distinct()
+    # Twice the rows, so that ids without a document leave enough.
+    chosen = known.where(~held_out("_id")).orderBy(F.xxhash64("_id"), "_id", "_label").limit(2 * sample)
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")).join(F.broadcast(chosen), "_id")
-    got = rows.orderBy(F.xxhash64("_id"), "_id", "_label", "_text").limit(2 * sample).toArrow()
+    place = [F.xxhash64("_id"), F.col("_id"), F.col("_label"), F.xxhash64("_text")]
+    # The bound on bytes is held before any text is sent: sizes first, then the texts.
+    sizes = rows.select(*[c.alias(f"_{k}") for k, c in enumerate(place)], F.octet_length("_text").alias("n")).distinct().orderBy("_0", "_1", "_2", "_3").limit(sample).collect()
+    fits, total = [], 0
+    for r in sizes:
+        total += r["n"]
+        if total > sample_bytes:
+            break
+        fits.append((r["_1"], r["_2"], r["_3"]))
+    if not fits:
+        return blank_net()
+    wanted = docs.sparkSession.createDataFrame(fits, rows.select("_id", "_label", place[3].alias("_h")).schema)
+    got = rows.withColumn("_h", place[3]).join(F.broadcast(wanted), ["_id", "_label", "_h"]).dropDuplicates(["_id", "_label", "_h"]).orderBy(F.xxhash64("_id"), "_id", "_label", "_h").toArrow()
     return fit(got.column("_text").cast(pa.binary()).to_pylist(), got.column("_label").to_pylist(), epochs=epochs)
 
 

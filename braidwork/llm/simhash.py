@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import stage
+from .staging import stage, unstage
 
 SEED = 42
 TILE = 2048
@@ -143,69 +143,97 @@ def forest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     return label
 
 
-def compare_tiles(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links between two tiles (b None: within one)."""
-    other, shift = (a, 0) if b is None else (b, len(a))
-    nodes = a if b is None else np.concatenate([a, b])
-    label = np.arange(len(nodes))
-    x, y = a.view(np.uint64), other.view(np.uint64)
+def compare_tiles(nodes, prints, radius: int, other=None) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links between two tiles (``other`` None: within one).
+
+    A tile is its nodes and their prints, a row of 64-bit words each; ``other`` is
+    the second tile's pair of these."""
+    x = prints.view(np.uint64).reshape(len(nodes), -1)
+    y, shift = (x, 0) if other is None else (other[1].view(np.uint64).reshape(len(other[0]), -1), len(nodes))
+    every = nodes if other is None else np.concatenate([nodes, other[0]])
+    label = np.arange(len(every))
     for k in range(0, len(x), 256):
-        near = np.bitwise_count(x[k : k + 256, None] ^ y[None, :]) <= radius
-        i, j = np.nonzero(near)
+        away = sum(np.bitwise_count(x[k : k + 256, None, w] ^ y[None, :, w]).astype(np.uint16) for w in range(x.shape[1]))
+        i, j = np.nonzero(away <= radius)
         i, j = i + k, j + shift
-        if b is None:
+        if other is None:
             i, j = i[i < j], j[i < j]
         if len(i):
-            grown = np.flatnonzero(label != np.arange(len(nodes)))
-            label = forest(len(nodes), np.concatenate([i, grown]), np.concatenate([j, label[grown]]))
-    linked = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[linked], nodes[label[linked]]
+            grown = np.flatnonzero(label != np.arange(len(every)))
+            label = forest(len(every), np.concatenate([i, grown]), np.concatenate([j, label[grown]]))
+    linked = np.flatnonzero(label != np.arange(len(every)))
+    return every[linked], every[label[linked]]
 
 
-def links(prints: DataFrame, radius: int, segments: int) -> DataFrame:
-    """(u, v): edges that connect just what pairs within ``radius`` bits connect."""
-    tiles = stage(cut_tiles(prints, segments, radius), "tiles")
-    steps = F.array(*[F.lit(s) for s in neighbour_steps(segments, radius)])
-    left = tiles.select(F.explode(steps).alias("step"), "cell", F.col("first").alias("a_first"), F.col("fps").alias("a")).select((F.col("cell") + F.col("step")).alias("cell"), "step", "a_first", "a")
-    right = tiles.select("cell", F.col("first").alias("b_first"), F.col("fps").alias("b"))
-    pairs = left.join(right, "cell").where((F.col("step") != 0) | (F.col("a_first") <= F.col("b_first")))
+def compared(pairs: DataFrame, radius: int) -> DataFrame:
+    """(u, v): forests of tile pairs (a_first, b_first, same, a, a_prints, b, b_prints).
+
+    Pairs are dealt out by their names, so a crowded cell's pairs go to many tasks."""
 
     def run(batches):
         for batch in batches:
             out_u, out_v = [], []
-            same = pa.compute.and_(pa.compute.equal(batch.column(0), 0), pa.compute.equal(batch.column(1), batch.column(2))).to_pylist()
-            for one, a, b in zip(same, batch.column(3).to_pylist(), batch.column(4).to_pylist()):
-                u, v = compare_tiles(np.frombuffer(a, np.int64), None if one else np.frombuffer(b, np.int64), radius)
+            for same, *tiles in zip(*(c.to_pylist() for c in batch.columns)):
+                a, x, b, y = tiles
+                a, b = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)
+                u, v = compare_tiles(a, np.frombuffer(x, np.uint64), radius, None if same else (b, np.frombuffer(y, np.uint64)))
                 out_u.append(u)
                 out_v.append(v)
             if out_u:
                 yield pa.record_batch([pa.array(np.concatenate(out_u)), pa.array(np.concatenate(out_v))], ["u", "v"])
 
-    import pyarrow.compute  # noqa: F401
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pairs.repartition(tasks, "a_first", "b_first")
+    return dealt.select("same", "a", "a_prints", "b", "b_prints").mapInArrow(run, "u long, v long")
 
-    return pairs.select("step", "a_first", "b_first", "a", "b").mapInArrow(run, "u long, v long")
+
+def links(prints: DataFrame, radius: int, segments: int) -> DataFrame:
+    """(u, v): edges that connect just what pairs within ``radius`` bits connect."""
+    tiles = stage(cut_tiles(prints, segments, radius), "tiles")
+    steps = F.array(*[F.lit(s) for s in neighbour_steps(segments, radius)])
+    left = tiles.select(F.explode(steps).alias("step"), "cell", F.col("first").alias("a_first"), F.col("fps").alias("a")).select((F.col("cell") + F.col("step")).alias("cell"), "step", "a_first", "a")
+    right = tiles.select("cell", F.col("first").alias("b_first"), F.col("fps").alias("b"))
+    pairs = left.join(right, "cell").where((F.col("step") != 0) | (F.col("a_first") <= F.col("b_first")))
+    same = (F.col("step") == 0) & (F.col("a_first") == F.col("b_first"))
+    # A print is its own node.
+    return compared(pairs.select("a_first", "b_first", same.alias("same"), "a", F.col("a").alias("a_prints"), "b", F.col("b").alias("b_prints")), radius)
 
 
-def stars(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def stars(edges: DataFrame) -> DataFrame:
     """(node, root): connected components by alternating large and small stars.
 
-    Every round is written and read again.  Nodes without an edge don't appear."""
+    Runs until a round changes nothing, a number of rounds that grows with the
+    logarithm of the longest path.  Every round is written and read again; the one
+    before it is removed.  Nodes without an edge don't appear."""
     now = stage(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
     mark = None
-    for _ in range(most_rounds):
+    while True:
         seen = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
         if seen == mark or not seen["n"]:
             break
-        mark = seen
+        mark, before = seen, now
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         now = stage(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        unstage(before)
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+#: Keys that hold over one in so many rows are joined by broadcast; there can be no more of them.
+HOT = 10_000
+
+
+def by_key(rows: DataFrame, named: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with ``named`` (``key``, ``n`` rows that have it, more): hot keys
+    by broadcast, as at most HOT keys can be hot, all others by shuffle."""
+    least = named.agg(F.sum("n")).first()[0] or 0
+    hot, cold = named.where(F.col("n") * HOT > least).drop("n"), named.where(F.col("n") * HOT <= least).drop("n")
+    return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, width: int = 3, segments: int | None = None) -> DataFrame:
     """(doc_id, fp, component_id): one row for each input row.
 
@@ -217,21 +245,161 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gives an empty result.  Other columns are not read.
     """
     rows = stage(with_fingerprints(docs, id_col, text_col, width), "prints")
-    nodes = stage(rows.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
+    nodes = stage(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "nodes")
     root = stars(links(nodes, radius, segments or segments_for(nodes.count())))
-    known = nodes.join(root, nodes.fp == root.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    known = stage(known, "rooted")
-    component = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = known.join(component, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(F.col("id").alias("doc_id"), "fp", "component_id")
-
-
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component.
-
-    Of rows that repeat that id one stays.  A row with a null id can't stand for a
-    component; of those with equal texts one stays."""
-    found = near_duplicates(docs, id_col, text_col, **how)
-    stay = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_stay"))
-    kept = docs.join(stay, docs[id_col] == stay["_stay"], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()).dropDuplicates([text_col]))
+    named = stage(components(nodes, root, "fp", "least"), "named")
+    return by_key(rows, named, "fp").select(F.col("id").alias("doc_id"), "fp", F.col("best").alias("component_id"))
+
+
+def components(nodes: DataFrame, root: DataFrame, key: str, least: str) -> DataFrame:
+    """(key, n, best): for every node the smallest ``least`` of its component."""
+    known = nodes.join(root, nodes[key] == root["node"], "left").select(key, "n", least, "root")
+    alone = known.where("root is null").select(key, "n", F.col(least).alias("best"))
+    joint = stage(known.where("root is not null"), "rooted")
+    best = joint.groupBy("root").agg(F.min(least).alias("best"))
+    return alone.unionByName(joint.join(best, "root").select(key, "n", "best"))
+
+
+# --- near copies by similarity
+
+#: Words of a wide fingerprint; smallest hashes taken of a text, so many to a cell's name.
+WIDE, SMALLEST, NAME = 4, 64, 4
+_MIX = np.random.default_rng(SEED).integers(1, 1 << 63, (2, SMALLEST), dtype=np.uint64) | np.uint64(1)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """A finaliser of 64-bit hashes (multiply and shift, twice)."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def radius_for(similarity: float, bits: int = 64 * WIDE) -> int:
+    """Differing bits of two texts whose shingle sets have that Jaccard similarity.
+
+    Their expected number and one and a half standard deviations more, so that of
+    texts that are just so similar nine in ten are met."""
+    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(bits * p + 1.5 * np.sqrt(bits * p * (1 - p)))
+
+
+def wide_print(text: bytes | None, width: int) -> tuple[int, bytes, list[int]]:
+    """(name, print, cells) of a text's set of shingles.
+
+    The name is a hash of the set, the print WIDE words of SimHash over it, and the
+    cells are hashes of NAME smallest hashes each: texts of Jaccard similarity s share
+    a given cell with probability s**NAME."""
+    h = np.unique(np.array(shingle_hashes(text or b"", width), np.uint64))
+    if not len(h):
+        return 0, bytes(8 * WIDE), [0]
+    counts, least = np.zeros(64 * WIDE, np.int64), np.full(SMALLEST, (1 << 64) - 1, np.uint64)
+    for k in range(0, len(h), 4096):
+        some = h[k : k + 4096]
+        wide = np.stack([mixed(some + np.uint64(w)) for w in range(WIDE)], 1)
+        counts += np.unpackbits(wide.view(np.uint8).reshape(len(some), -1), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        least = np.minimum(least, mixed(some[:, None] * _MIX[0] + _MIX[1]).min(0))
+    cells = [xxhash.xxh64_intdigest(least[k : k + NAME].tobytes(), k) for k in range(0, SMALLEST, NAME)]
+    return xxhash.xxh64_intdigest(h.tobytes(), SEED), np.packbits(2 * counts > len(h), bitorder="little").tobytes(), cells
+
+
+def _signed(values: list[int]) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64))
+
+
+def with_wide_prints(docs: DataFrame, text_col: str, width: int) -> DataFrame:
+    """(doc, name, print, bits, cells): ``doc`` holds the row, ``bits`` counts the print's."""
+    from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructType
+
+    kind = StructType().add("name", LongType()).add("print", BinaryType()).add("bits", IntegerType()).add("cells", ArrayType(LongType()))
+
+    @F.arrow_udf(kind)
+    def run(texts: pa.Array) -> pa.Array:
+        found = [wide_print(t, width) for t in texts.cast(pa.binary()).to_pylist()]
+        at = np.cumsum([0, *(len(c) for _, _, c in found)])
+        cells = pa.ListArray.from_arrays(pa.array(at, pa.int32()), _signed([x for _, _, c in found for x in c]))
+        prints = [p for _, p, _ in found]
+        bits = np.bitwise_count(np.frombuffer(b"".join(prints), np.uint64)).reshape(-1, WIDE).sum(1).astype(np.int32)
+        return pa.StructArray.from_arrays([_signed([n for n, _, _ in found]), pa.array(prints, pa.binary()), pa.array(bits), cells], ["name", "print", "bits", "cells"])
+
+    own = F.struct(*[F.col(c) for c in docs.columns]).alias("doc")
+    return docs.select(own, run.asNondeterministic()(F.col(text_col).cast("string")).alias("w")).select("doc", "w.name", "w.print", "w.bits", "w.cells")
+
+
+def cells_and_tiles(nodes: DataFrame, radius: int) -> DataFrame:
+    """(cell, first, low, high, names, prints, u, v) of cells with two nodes or more.
+
+    A cell that lies whole inside a task and fits into a tile is compared at once and
+    leaves its forest (u, v); others leave tiles, in order of the bit counts, which
+    ``low`` and ``high`` bound."""
+    schema = "cell long, first long, low int, high int, names binary, prints binary, u array<long>, v array<long>"
+
+    def row(cell, at, names, prints, low, high, u, v):
+        cols = [pa.array([x], t) for x, t in zip((cell, at, low, high, names, prints, u, v), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())))]
+        return pa.record_batch(cols, ["cell", "first", "low", "high", "names", "prints", "u", "v"])
+
+    def out(cell, parts, edge):
+        names = np.concatenate([p[0] for p in parts])
+        prints, bits = b"".join(b"".join(p[1]) for p in parts), np.concatenate([p[2] for p in parts])
+        if not edge and len(names) <= TILE:
+            u, v = compare_tiles(names, np.frombuffer(prints, np.uint64), radius)
+            if len(u):
+                yield row(cell, None, None, None, None, None, u, v)
+            return
+        for k in range(0, len(names), TILE):
+            some = slice(k, k + TILE)
+            yield row(cell, int(names[k]), names[some].tobytes(), prints[8 * WIDE * k : 8 * WIDE * (k + TILE)], int(bits[some][0]), int(bits[some][-1]), None, None)
+
+    def run(batches):
+        held, at, edge = [], None, True  # a task's first and last cell may go on in another task
+        for b in batches:
+            cells, bits, names = (b.column(k).to_numpy() for k in (0, 1, 2))
+            prints = b.column(3).to_pylist()
+            cuts = np.flatnonzero(np.diff(cells)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(cells)]):
+                if lo == hi:
+                    continue
+                if held and cells[lo] != at:
+                    if edge or len(held) > 1 or len(held[0][0]) > 1:
+                        yield from out(int(at), held, edge)
+                    held, edge = [], False
+                at = cells[lo]
+                held.append((names[lo:hi], prints[lo:hi], bits[lo:hi]))
+                if sum(len(h[0]) for h in held) >= 16 * TILE:
+                    yield from out(int(at), held, True)
+                    held, edge = [], True
+        if held:
+            yield from out(int(at), held, True)
+
+    laid = nodes.select(F.explode("cells").alias("cell"), "bits", "name", "print")
+    return laid.repartitionByRange("cell", "bits", "name").sortWithinPartitions("cell", "bits", "name").mapInArrow(run, schema)
+
+
+def similar_links(nodes: DataFrame, radius: int) -> DataFrame:
+    """(u, v): edges that connect what pairs of one cell within ``radius`` bits connect."""
+    found = stage(cells_and_tiles(nodes, radius), "wide-tiles")
+    done = found.where("u is not null").select(F.explode(F.arrays_zip("u", "v")).alias("e")).select("e.u", "e.v")
+    tiles = found.where("first is not null")
+    a, b = (tiles.select("cell", *[F.col(c).alias(f"{side}_{c}") for c in ("first", "low", "high", "names", "prints")]) for side in "ab")
+    pairs = a.join(b, "cell").where(f"(a_low, a_first) <= (b_low, b_first) and b_low - a_high <= {radius}")
+    same = (F.col("a_first") == F.col("b_first")).alias("same")
+    return done.unionByName(compared(pairs.select("a_first", "b_first", same, F.col("a_names").alias("a"), "a_prints", F.col("b_names").alias("b"), "b_prints"), radius))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row of each group of near copies: that of the smallest id.
+
+    Near copies are texts whose sets of ``width``-word shingles have a Jaccard
+    similarity of ``similarity`` or more, as wide fingerprints tell it (``radius_for``).
+    A radius that wide would make tiles of bit counts meet nearly all others, so tiles
+    are laid out by cells of smallest hashes, which such texts share with a
+    probability of 0.9998, and compared as above.  Texts with equal sets are one
+    node.  Rows count as rows: ids may repeat or be null (null ids stand last, then
+    the order of reading decides).  Texts without words are one group.  An empty table
+    gives an empty one.  Columns of ``docs`` may have any names.
+    """
+    rows = stage(with_wide_prints(docs, text_col, width).withColumn("row", F.monotonically_increasing_id()), "wide-prints")
+    place = F.struct(F.col("doc").getField(id_col).isNull().alias("no"), F.col("doc").getField(id_col).alias("id"), "row")
+    nodes = stage(rows.groupBy("name").agg(F.min(place).alias("least"), F.first("print").alias("print"), F.first("bits").alias("bits"), F.first("cells").alias("cells"), F.count("*").alias("n")), "wide-nodes")
+    root = stars(similar_links(nodes, radius_for(similarity)))
+    stay = components(nodes.select("name", "n", "least"), root, "name", "least").select(F.col("best.row").alias("row")).distinct()
+    return rows.join(stay, "row", "left_semi").select("doc.*")

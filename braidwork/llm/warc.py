@@ -3,7 +3,7 @@
 Records are grouped into independent frames; a bundle ends with the seek table of the
 seekable format (a skippable frame, so any Zstandard tool reads the file), and an
 index maps each record to its frame and its place inside.  One frame is all that a
-look-up decompresses and all that a task holds.
+look-up decompresses and all that a task holds, as a writer or as a reader.
 
 Equal payloads are found by digest before anything is written: the narrow digest
 table is shuffled, the payloads once only, on their way into the bundles.
@@ -22,11 +22,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import fresh_path, open_folder, put_file, stage
+from .staging import NewFile, fresh_path, open_folder, stage
 
 #: Payloads of fewer bytes are always responses.
 LEAST_SHARED = 1000
 FRAME, BUNDLE = 1 << 20, 256 << 20
+#: A reader's task gets about so many bytes of records, in runs of so many frames.
+READ, RUN = 32 << 20, 16
 DATE = "1970-01-01T00:00:00Z"
 #: The seekable format's fixed numbers.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -114,38 +116,35 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
         part, number = TaskContext.get().partitionId(), 0
         packer = zstandard.ZstdCompressor(level=3)
-        frames, sizes, held, rows, size, total = [], [], [], [], 0, 0
+        file, sizes, held, rows, size, total = None, [], [], [], 0, 0
 
         def close_frame():
-            nonlocal held, size
+            nonlocal file, held, size
             if held:
-                frames.append(packer.compress(b"".join(held)))
-                sizes.append((len(frames[-1]), size))
+                file = file or NewFile(folder, f"pages-{part:06d}-{number:04d}-{uuid.uuid4().hex[:12]}.warc.zst")
+                packed = packer.compress(b"".join(held))
+                file.out.write(packed)
+                sizes.append((len(packed), size))
                 held, size = [], 0
 
         def close_bundle():
-            nonlocal frames, sizes, rows, total, number
+            nonlocal file, sizes, rows, total, number
             close_frame()
-            name = f"pages-{part:06d}-{number:04d}-{uuid.uuid4().hex[:12]}.warc.zst"
-
-            def write(out):
-                for f in frames:
-                    out.write(f)
-                out.write(seek_table(sizes))
-
-            put_file(folder, name, write)
+            file.out.write(seek_table(sizes))
+            file.finish()
+            name = file.path.rsplit("/", 1)[1]
             out = pa.record_batch(
                 [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.int64()), pa.array([name] * len(rows)), *[pa.array([r[k] for r in rows], t) for k, t in ((2, pa.int32()), (3, pa.int64()), (4, pa.int64()))]],
                 ["record_id", "page_id", "file", "frame", "at", "length"],
             )
-            frames, sizes, rows, total, number = [], [], [], 0, number + 1
+            file, sizes, rows, total, number = None, [], [], 0, number + 1
             return out
 
         for b in batches:
             cols = b.to_pydict()
             for page, url, payload, sha1, refers in zip(cols["page_id"], cols["url"], cols["payload"], cols["sha1"], cols["refers_to"]):
                 raw = record(page, url, payload, sha1, refers)
-                rows.append((urn(page, sha1), page, len(frames), size, len(raw)))
+                rows.append((urn(page, sha1), page, len(sizes), size, len(raw)))
                 held.append(raw)
                 size += len(raw)
                 total += len(raw)
@@ -170,27 +169,35 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
         store, path = open_folder(folder)
         for b in batches:
             cols = b.to_pydict()
-            for name, frame, places in zip(cols["file"], cols["frame"], cols["places"]):
-                out = []
+            for name, places in zip(cols["file"], cols["places"]):
                 with store.open_input_file(f"{path}/{name}") as file:
-                    offset, packed = read_seek_table(file, file.size())[frame]
-                    file.seek(offset)
-                    data = zstandard.ZstdDecompressor().decompress(file.read(packed))
-                for at in sorted(places):
-                    head, block, _ = parse(data, at)
-                    http, _, payload = block.partition(b"\r\n\r\n")
-                    digest = base64.b32decode(head["warc-payload-digest"].removeprefix("sha1:")).hex()
-                    n = int(re.search(rb"Content-Length: (\d+)", http)[1])
-                    whole = head["warc-type"] == "response"
-                    if whole and (len(payload) != n or hashlib.sha1(payload).hexdigest() != digest):
-                        raise ValueError(f"{head['warc-record-id']} is damaged")
-                    page, refers = (re.search(r"<urn:page:(-?\d*):", head.get(k, "<urn:page::>"))[1] for k in ("warc-record-id", "warc-refers-to"))
-                    out.append((int(page) if page else None, head["warc-target-uri"], head["warc-type"], n, digest, int(refers) if refers else None, payload if whole else None))
-                columns = list(zip(*out))
-                types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"])
-
-    frames = index.groupBy("file", "frame").agg(F.collect_list("at").alias("places"))
+                    table, by = read_seek_table(file, file.size()), {}
+                    for p in places:
+                        by.setdefault(p["frame"], []).append(p["at"])
+                    for frame in sorted(by):
+                        offset, packed = table[frame]
+                        file.seek(offset)
+                        yield records(zstandard.ZstdDecompressor().decompress(file.read(packed)), sorted(by[frame]))
+
+    def records(data, places):
+        out = []
+        for at in places:
+            head, block, _ = parse(data, at)
+            http, _, payload = block.partition(b"\r\n\r\n")
+            digest = base64.b32decode(head["warc-payload-digest"].removeprefix("sha1:")).hex()
+            n = int(re.search(rb"Content-Length: (\d+)", http)[1])
+            whole = head["warc-type"] == "response"
+            if whole and (len(payload) != n or hashlib.sha1(payload).hexdigest() != digest):
+                raise ValueError(f"{head['warc-record-id']} is damaged")
+            page, refers = (re.search(r"<urn:page:(-?\d*):", head.get(k, "<urn:page::>"))[1] for k in ("warc-record-id", "warc-refers-to"))
+            out.append((int(page) if page else None, head["warc-target-uri"], head["warc-type"], n, digest, int(refers) if refers else None, payload if whole else None))
+        types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"])
+
+    # The index is small beside what it points to: its own size must not set the tasks.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    runs = index.withColumn("run", F.expr(f"frame div {RUN}")).repartition(max(1, -(-total // READ)), "file", "run")
+    frames = runs.groupBy("file", "run").agg(F.collect_list(F.struct("frame", "at")).alias("places")).drop("run")
     return frames.mapInArrow(run, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary")
 
 

@@ -110,11 +110,73 @@ def test_forest_is_exact():
     assert list(simhash.forest(8, u, v)) == [0, 1, 0, 3, 0, 5, 5, 0]
 
 
-def test_keep_first(docs):
-    kept = simhash.keep_first(docs)
-    assert kept.columns == docs.columns
-    ids = [x["doc_id"] for x in kept.where("doc_id is not null").collect()]
-    assert len(ids) == len(set(ids)) and 3 in ids and 60 not in ids and 61 not in ids
+def test_stars_of_a_long_chain(spark):
+    """No number of rounds is laid down: a chain of 5000 nodes is one component."""
+    order = random.Random(3).sample(range(5000), 5000)
+    edges = spark.createDataFrame(list(zip(order, order[1:])), "u long, v long")
+    got = simhash.stars(edges).collect()
+    assert {x["node"] for x in got} == set(range(5000)) and {x["root"] for x in got} == {0}
+
+
+def test_simhash_empty_and_hot_keys(none, docs, monkeypatch):
+    assert simhash.near_duplicates(none).count() == 0 and simhash.keep_first(none).count() == 0
+    want = sorted(map(tuple, simhash.near_duplicates(docs).collect()), key=key)
+    monkeypatch.setattr(simhash, "HOT", 30)  # texts of more than a thirtieth of the rows
+    assert sorted(map(tuple, simhash.near_duplicates(docs).collect()), key=key) == want
+
+
+def shingles(text, width=5):
+    w = (text or "").lower().split()
+    return frozenset(tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))) if w else frozenset()
+
+
+def brute_similar(texts, least):
+    """Component labels of the texts under links of that Jaccard similarity, all pairs compared."""
+    label, sets = list(range(len(texts))), [shingles(t) for t in texts]
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+                old, new = label[a], label[b]
+                label = [new if x == old else x for x in label]
+    return label
+
+
+@pytest.mark.parametrize("tile", [2048, 3])
+def test_keep_first(spark, docs, monkeypatch, tile):
+    monkeypatch.setattr(simhash, "TILE", tile)
+    r = random.Random(30)
+    rows, at = [(x[0], x[1]) for x in docs_rows()], 1000
+    for _ in range(25):  # copies with one changed word, and half copies, which stay
+        t = [f"w{r.randrange(500)}" for _ in range(r.randint(120, 300))]
+        near = [list(t) for _ in range(4)]
+        for k in near:
+            k[r.randrange(len(k))] = "changed"
+        half = t[: len(t) // 2] + [f"v{r.randrange(500)}" for _ in range(len(t) // 2)]
+        for words in (t, *near, half):
+            rows.append((at, " ".join(words)))
+            at += 1
+    rows += [(None, rows[-1][1] + " x"), (1001, "another text of that id " * 9)]
+    d = spark.createDataFrame([(*x, "clash", 1, 2) for x in rows], "doc_id long, text string, name string, cells int, row int").repartition(5)
+    kept = simhash.keep_first(d)
+    assert kept.columns == d.columns
+    label, first = brute_similar([t for _, t in rows], 0.8), {}
+    for k, (i, t) in zip(label, rows):
+        first[k] = min(first.get(k, (True, 0)), (i is None, i or 0))
+    want = Counter(i if not no else None for no, i in first.values())
+    assert Counter(x["doc_id"] for x in kept.collect()) == want
+
+
+def test_similarity_of_the_radius():
+    """Texts of similarity 0.85 are within the radius, those of 0.5 are not."""
+    r, radius, met = random.Random(31), simhash.radius_for(0.8), Counter()
+    for similarity in (0.85, 0.5):
+        for _ in range(60):
+            both = round(400 * similarity)
+            words = [[f"{x}{k} b c d e" for k in range(both if x == "s" else (400 - both) // 2)] for x in "sab"]
+            prints = [simhash.wide_print("\n".join(words[0] + words[k] + [str(r.random())]).encode(), 1)[1] for k in (1, 2)]
+            a, b = (np.frombuffer(p, np.uint64) for p in prints)
+            met[similarity] += int(np.bitwise_count(a ^ b).sum()) <= radius
+    assert met[0.85] >= 57 and met[0.5] <= 3
 
 
 # --- 2
@@ -139,7 +201,8 @@ def brute_hits(text, items, n=10):
 @pytest.mark.parametrize("few", [True, False])
 def test_decontaminate(spark, docs, monkeypatch, few):
     if not few:
-        monkeypatch.setattr(decontaminate, "MOST_BROADCAST", 0)
+        monkeypatch.setattr(decontaminate, "MOST_BYTES", 0)
+        monkeypatch.setattr(decontaminate, "MOST_TEXTS", 0)
     r = random.Random(4)
     rows = docs_rows()
     long = [t for _, t, *_ in rows if t and len(t.split()) > 30]
@@ -206,6 +269,60 @@ def test_quality_gradient():
     assert quality_cnn.score(net, b"abc abc") > 0.8 > 0.2 > quality_cnn.score(net, b"zz!! zz!!")
 
 
+def log_loss(net, texts, y, weight):
+    p = np.array([quality_cnn.score(net, t) for t in texts])
+    return float((-weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).mean())
+
+
+def test_quality_score_by_brute_force():
+    net = quality_cnn.fresh_net(5)
+    text = bytes(random.Random(2).randrange(256) for _ in range(700))
+    pad, half = text + bytes(quality_cnn.WIDTH), quality_cnn.HALF
+    full = np.array([sum(net.tables[j][pad[i + j]] for j in range(quality_cnn.WIDTH)) for i in range(len(text))])
+    chunks = np.tanh(np.array([full[k : k + 2 * half].max(0) for k in range(0, len(text) - half, half)]) + net.bias)
+    x = np.concatenate([chunks.mean(0), chunks.max(0)])
+    want = 1 / (1 + np.exp(-(np.tanh(x @ net.w1 + net.b1) @ net.w2 + net.b2[0])))
+    assert quality_cnn.score(net, text) == pytest.approx(float(want), abs=1e-5)
+
+
+def test_quality_one_step_lowers_the_loss_along_the_gradient():
+    """The first Adam step moves every weight against the numerical derivative's sign."""
+    texts, y = [b"abc abd " * 20, b"zz!! zy!! " * 20], np.array([1, 0])
+    before, after = quality_cnn.fresh_net(7), quality_cnn.fit(texts, [1, 0], epochs=1, batch=2, rate=1e-3)
+    weight, checked = np.ones(2), 0
+    for name in ("w2", "b1", "bias", "tables"):
+        old, new = getattr(before, name), getattr(after, name)
+        places = np.argwhere(np.abs(new - old) > 9e-4)[:12]
+        for at in map(tuple, places):
+            held = old[at]
+            old[at] = held + 1e-2
+            up = log_loss(before, texts, y, weight)
+            old[at] = held - 1e-2
+            slope = up - log_loss(before, texts, y, weight)
+            old[at] = held
+            if abs(slope) > 1e-4:
+                checked += 1
+                assert np.sign(slope) == -np.sign(new[at] - held), (name, at)
+    assert checked > 10
+
+
+def test_quality_bounds(spark, none, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(quality_cnn, "fit", lambda texts, labels, epochs: seen.update(n=len(texts), size=sum(map(len, texts))) or quality_cnn.blank_net())
+    d = spark.createDataFrame([(k, f"text {k % 50} " * 5) for k in range(100) for _ in range(3)], "doc_id long, text string")
+    l = spark.createDataFrame([(k, k % 2) for k in range(100) for _ in range(2)], "doc_id long, quality int")
+    ids = [k for k in range(100) if zlib.crc32(str(k).encode()) % 5]
+    quality_cnn.train(d, l)
+    assert seen["n"] == len(ids)
+    quality_cnn.train(d, l, sample=10)
+    assert seen["n"] == 10
+    quality_cnn.train(d, l, sample_bytes=400)
+    assert 300 < seen["size"] <= 400
+    unknown = quality_cnn.classify(d, l.limit(0)).select("score").distinct().collect()
+    assert [x["score"] for x in unknown] == [0.5]
+    assert quality_cnn.classify(none, l).count() == 0
+
+
 # --- 4
 
 

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from test_operators import SECRET, brute_components, brute_hits, brute_print, prose
+from test_operators import SECRET, brute_hits, brute_similar, prose
 
 import corpus_pipeline
 from braidwork.llm import quality_cnn
@@ -34,7 +34,7 @@ def test_stages(spark, folder):
 
     rest = steps["SimHash near-dedup"](spark, good, folder).cache()
     rows = good.collect()
-    label = brute_components([brute_print(x["text"]) for x in rows])
+    label = brute_similar([x["text"] for x in rows], 0.8)
     want = {min(x["doc_id"] for x, k in zip(rows, label) if k == j) for j in set(label)}
     assert {x["doc_id"] for x in rest.collect()} == want and rest.columns == docs.columns
 
