@@ -130,3 +130,25 @@ def changes(seq: Column, after: Column | None = None) -> Column:
 def neighbours(seq: Column) -> Column:
     """All sequences at one substitution, the sequence itself left out."""
     return F.transform(changes(seq), lambda c: c["seq"])
+
+
+def all_sequences(spark, length: int):
+    """(seq): all 4 ** length sequences, made by the executors."""
+    digit = lambda k: F.get(F.array(*[F.lit(b) for b in "ACGT"]), (F.expr(f"id div {4**k}") % 4).cast("int"))
+    return spark.range(4**length).select(F.concat(*[digit(k) for k in reversed(range(length))]).alias("seq"))
+
+
+def clustering_key(kind: str, parameter: int | None = None) -> str:
+    """The name of a clustering."""
+    return f"{kind}_{parameter}_clusters" if parameter is not None else kind
+
+
+def parse_clustering_key(key: str) -> tuple[str, int | None]:
+    parts = key.split("_")
+    return (parts[0], int(parts[1])) if len(parts) == 3 and parts[2] == "clusters" else (key, None)
+
+
+def even_slices(n: int, parts: int) -> list[tuple[int, int]]:
+    """The bounds of ``parts`` runs of nearly equal size; empty ones are left out."""
+    edges = [n * k // parts for k in range(parts + 1)]
+    return [(a, b) for a, b in zip(edges, edges[1:]) if b > a]

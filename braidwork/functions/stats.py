@@ -43,29 +43,36 @@ def nx(lengths: DataFrame, length: str, fraction: float) -> DataFrame:
 
 
 def bh_adjust(p: DataFrame, key: str, value: str) -> DataFrame:
-    """``p`` with ``adjusted``: step-up false discovery rates.
+    """``p`` with ``adjusted``: step-up false discovery rates; null values have none.
 
-    Equal p-values are one row in the ordered windows and share their result."""
-    groups = p.groupBy(value).agg(F.count("*").alias("n"))
-    up = groups.withColumn("rank", F.sum("n").over(Window.orderBy(value)))
-    total = p.agg(F.count("*").alias("total"))
-    q = up.join(F.broadcast(total)).withColumn("q", F.col(value) * F.col("total") / F.col("rank"))
-    q = q.withColumn("adjusted", F.least(F.min("q").over(Window.orderBy(F.desc(value))), F.lit(1.0)))
-    return p.join(q.select(value, "adjusted"), value)
+    Equal p-values are one row in the running aggregates and share their result."""
+    from ..operators.ranks import folded, ordered
+
+    groups = p.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
+    up = folded(ordered(groups, F.col(value)), F.col("_n"), "_rank").drop("_part", "_at")
+    total = p.agg(F.count(value).alias("_total"))
+    q = up.join(F.broadcast(total)).withColumn("_q", F.col(value) * F.col("_total") / F.col("_rank")).select(value, "_q")
+    q = folded(ordered(q, F.col(value).desc()), F.col("_q"), "_least", "min")
+    return p.join(q.select(value, F.least("_least", F.lit(1.0)).alias("adjusted")), value, "left")
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
-    """(rho): correlation of average ranks; each rank window is over distinct values."""
+    """(rho): correlation of average ranks."""
+    from ..operators.ranks import folded, ordered
 
     def ranked(x):
-        g = df.groupBy(x).agg(F.count("*").alias("_same"))
-        w = Window.orderBy(x)
-        return g.select(x, (F.sum("_same").over(w) - (F.col("_same") - 1) / 2.0).alias(f"rank_{x}"))
+        g = folded(ordered(df.groupBy(x).agg(F.count("*").alias("_same")), F.col(x)), F.col("_same"), "_to")
+        return g.select(x, (F.col("_to") - (F.col("_same") - 1) / 2.0).alias(f"rank_{x}"))
 
     both = df.join(ranked(a), a).join(ranked(b), b)
     return both.agg(F.corr(f"rank_{a}", f"rank_{b}").alias("rho"))
 
 
+def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
+    """(r): correlation; rows with a null are left out."""
+    return df.agg(F.corr(a, b).alias("r"))
+
+
 def good_turing(counts: list[int], frequencies: list[int]) -> tuple[np.ndarray, float]:
     """(expected share of one item of each count, share of the unseen): simple Good-Turing."""
     r, n = np.asarray(counts, float), np.asarray(frequencies, float)
@@ -74,6 +81,8 @@ def good_turing(counts: list[int], frequencies: list[int]) -> tuple[np.ndarray,
     before, after = np.concatenate([[0], r[:-1]]), np.concatenate([r[1:], [2 * r[-1] - (r[-2] if len(r) > 1 else 0)]])
     z = 2 * n / (after - before)
     slope = np.polyfit(np.log(r), np.log(z), 1)[0] if len(r) > 1 else -1.0
+    if slope > -1:
+        raise ValueError(f"the frequencies fall too slowly (slope {slope:.3f}) for Good-Turing smoothing")
     smooth = r * (1 + 1 / r) ** (slope + 1)
     at = {int(k): v for k, v in zip(r, n)}
     out, by_curve = np.zeros(len(r)), False
@@ -141,3 +150,29 @@ def nb_glm(y: np.ndarray, x: np.ndarray, alpha: float, rounds: int = 100, eps: f
         beta = new
     w = mu / (1 + alpha * mu)
     return beta, np.linalg.inv(x.T @ (w[:, None] * x) + 1e-10 * np.eye(x.shape[1]))
+
+
+def incomplete_beta(a: float, b: float, x: float) -> float:
+    """The regularised incomplete beta function, by its continued fraction."""
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    if x > (a + 1) / (a + b + 2):
+        return 1 - incomplete_beta(b, a, 1 - x)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    tiny, c, d = 1e-300, 1.0, 1 - (a + b) * x / (a + 1)
+    d = 1 / (d if abs(d) > tiny else tiny)
+    out = d
+    for m in range(1, 10_000):
+        for top in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d, c = 1 + top * d, 1 + top / c
+            d, c = 1 / (d if abs(d) > tiny else tiny), c if abs(c) > tiny else tiny
+            out *= d * c
+        if abs(d * c - 1) < 1e-14:
+            break
+    return front * out
+
+
+def student_sf(t: float, df: float) -> float:
+    """The chance that a Student t variable exceeds ``t``."""
+    half = incomplete_beta(df / 2, 0.5, df / (df + t * t)) / 2
+    return half if t >= 0 else 1 - half

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .intervals import depth, merge, overlap_join, point_join
+from .ranks import ranked
 
 #: Half of the window that each cut site counts in, and the gap that peaks bridge.
 HALF_WINDOW, PEAK_GAP = 200, 500
@@ -55,12 +56,18 @@ def classify(reads: DataFrame, mapq: Column, mate_mapq: Column, mito: Column, ch
 
 
 def targeting(fragments: DataFrame, tracks: dict[str, DataFrame]) -> DataFrame:
-    """(barcode, n, one count for each track) of fragments that overlap the track."""
-    out = fragments.groupBy("barcode").agg(F.count("*").alias("n"))
+    """(barcode, n, one count for each track) of fragments that overlap the track.
+
+    All tracks are one tagged table, so the fragments meet them in one join; a fragment
+    counts once for a track, however many of its regions it meets."""
+    tagged = None
     for name, regions in tracks.items():
-        hit = overlap_join(fragments, regions, "left_semi").groupBy("barcode").agg(F.count("*").alias(name))
-        out = out.join(hit, "barcode", "left")
-    return out.fillna(0, list(tracks))
+        rows = merge(regions.select("contig", "start", "end"), 0).withColumn("_track", F.lit(name))
+        tagged = rows if tagged is None else tagged.unionByName(rows)
+    rows = fragments.select("contig", "start", "stop", "barcode").groupBy("contig", "start", "stop", "barcode").agg(F.count("*").alias("_n"))
+    met = overlap_join(rows, tagged, "inner").select("contig", "start", "stop", "barcode", "_n", F.col("r__track").alias("_track")).distinct()
+    hits = met.groupBy("barcode").agg(*[F.sum(F.when(F.col("_track") == name, F.col("_n")).otherwise(0)).alias(name) for name in tracks])
+    return fragments.groupBy("barcode").agg(F.count("*").alias("n")).join(hits, "barcode", "left").fillna(0, list(tracks))
 
 
 def covered_bases(fragments: DataFrame, pad: int, length: int) -> DataFrame:
@@ -133,4 +140,4 @@ def first_reason(lists: list[tuple[str, DataFrame]], key: list[str]) -> DataFram
 
 def knee(counts: DataFrame, value: str) -> DataFrame:
     """``counts`` with ``rank`` by descending value; ties by name."""
-    return counts.withColumn("rank", F.row_number().over(Window.orderBy(F.col(value).desc(), "barcode")))
+    return ranked(counts, F.col(value).desc(), F.col("barcode"))

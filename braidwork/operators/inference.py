@@ -70,35 +70,118 @@ def shrunk_dispersions(m: DataFrame, quantile: float = 0.995) -> DataFrame:
     return g.join(F.broadcast(a)).select("feature_id", "mean", "var", ((1 - F.col("delta")) * F.col("raw") + F.col("delta") * F.col("zeta")).alias("phi"))
 
 
-def glm_test(m: DataFrame, groups: DataFrame, alpha: float = 1e-4) -> DataFrame:
-    """(feature_id, log2_ratio, z): a count regression per feature on group and log depth.
-
-    Log depths count to two digits; barcodes with the same group, depth and count are
-    one weighted row, so the cases of a feature are bounded whatever the barcodes."""
-    depth = m.groupBy("barcode_id").agg(F.round(F.log(F.sum("value")), 2).alias("depth")).join(groups, "barcode_id")
-    base = [tuple(r) for r in depth.groupBy("in_group", "depth").agg(F.count("*").alias("w")).collect()]  # some thousands at most
+def count_regression(y: np.ndarray, x: np.ndarray, w: np.ndarray, alpha: float, rounds: int = 1500, eps: float = 1e-6) -> tuple[np.ndarray, np.ndarray]:
+    """(coefficients, covariance) of a log-link negative binomial fit to weighted rows,
+    by reweighted least squares until the coefficients stand still."""
+    mu, beta, ridge = (y + np.average(y, weights=w)) / 2 + 1e-3, np.zeros(x.shape[1]), 1e-10 * np.eye(x.shape[1])
+    for _ in range(rounds):
+        k = w * mu / (1 + alpha * mu)
+        info = x.T @ (k[:, None] * x) + ridge
+        new = np.linalg.solve(info, x.T @ (k * (np.log(mu) + (y - mu) / mu)))
+        mu = np.exp(np.clip(x @ new, -30, 30))
+        if np.abs(new - beta).max() < eps:
+            break
+        beta = new
+    k = w * mu / (1 + alpha * mu)
+    return new, np.linalg.inv(x.T @ (k[:, None] * x) + ridge)
+
+
+def glm_test(m: DataFrame, groups: DataFrame, alpha: float = 1e-4, dispersions: DataFrame | None = None) -> DataFrame:
+    """(feature_id, log2_ratio, z, p_value, adjusted): a count regression per feature on
+    group and log depth, and a one-sided Wald test of the groups' difference.
+
+    ``alpha``: 1e-4 for nearly Poisson counts, 1 for geometric ones; ``dispersions``
+    (feature_id, alpha) gives a feature its own.  Barcodes of the same group, depth and
+    count are one weighted row.  The rows without an entry come from the (group, depth)
+    pairs, at most one for each barcode, which are sent to the driver and back: barcodes
+    here are called cells, some 20,000 of them.
+    """
+    depth = m.groupBy("barcode_id").agg(F.sum("value").alias("depth")).join(groups, "barcode_id")
+    base = [tuple(r) for r in depth.groupBy("in_group", "depth").agg(F.count("*").alias("w")).collect()]
     cells = m.join(depth, "barcode_id").groupBy("feature_id", "in_group", "depth", "value").agg(F.count("*").alias("w"))
+    cells = cells.join(dispersions.select("feature_id", "alpha"), "feature_id") if dispersions is not None else cells.withColumn("alpha", F.lit(float(alpha)))
+    free = sum(w for *_, w in base) - 3
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         used = pdf.groupby(["in_group", "depth"])["w"].sum()
         zero = [(g, d, 0, w - int(used.get((g, d), 0))) for g, d, w in base]
         rows = [(g, d, v, w) for g, d, v, w in zip(pdf["in_group"], pdf["depth"], pdf["value"], pdf["w"])] + [r for r in zero if r[3] > 0]
         g, d, y, w = (np.array(c, float) for c in zip(*rows))
-        x = np.stack([g, 1 - g, d], 1)
-        mu, beta = (y + np.average(y, weights=w)) / 2 + 1e-3, np.zeros(3)
-        for _ in range(100):
-            k = w * mu / (1 + alpha * mu)
-            info = x.T @ (k[:, None] * x) + 1e-10 * np.eye(3)
-            new = np.linalg.solve(info, x.T @ (k * (np.log(mu) + (y - mu) / mu)))
-            mu = np.exp(np.clip(x @ new, -30, 30))
-            if np.abs(new - beta).max() < 1e-8:
-                break
-            beta = new
-        var = np.linalg.inv(info)
-        sd = math.sqrt(max(var[0, 0] + var[1, 1] - 2 * var[0, 1], 1e-300))
-        return pd.DataFrame({"feature_id": [pdf["feature_id"].iloc[0]], "log2_ratio": [(new[0] - new[1]) / math.log(2)], "z": [(new[0] - new[1]) / sd]})
+        beta, var = count_regression(y, np.stack([g, 1 - g, np.log(d)], 1), w, float(pdf["alpha"].iloc[0]))
+        z = (beta[0] - beta[1]) / math.sqrt(max(var[0, 0] + var[1, 1] - 2 * var[0, 1], 1e-300))
+        p = stats.student_sf(abs(z), free) if free > 0 else 1.0
+        return pd.DataFrame({"feature_id": [pdf["feature_id"].iloc[0]], "log2_ratio": [(beta[0] - beta[1]) / math.log(2)], "z": [z], "p_value": [p]})
+
+    found = settle(cells.groupBy("feature_id").applyInPandas(fit, "feature_id long, log2_ratio double, z double, p_value double"))
+    return stats.bh_adjust(found, "feature_id", "p_value").select("feature_id", "log2_ratio", "z", "p_value", "adjusted")
+
+
+def clusters_against_rest(m: DataFrame, labels: DataFrame, test=glm_test, **how) -> DataFrame:
+    """``test`` of each cluster of (barcode_id, label) against all others, with ``label``.
+
+    Of two clusters the second's result is the first's turned round, as its one-sided
+    p-values are then one less the first's."""
+    names = sorted(r["label"] for r in labels.select("label").distinct().collect())  # clusters are few
+    out = None
+    for name in names[:1] if len(names) == 2 else names:
+        one = test(m, labels.select("barcode_id", (F.col("label") == F.lit(name)).alias("in_group")), **how).withColumn("label", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    if len(names) == 2:
+        turned = out.withColumns({"label": F.lit(names[1]), "log2_ratio": -F.col("log2_ratio"), "z": -F.col("z"), "p_value": 1 - F.col("p_value"), "adjusted": 1 - F.col("adjusted")})
+        out = out.unionByName(turned)
+    return out
+
+
+def nb_log_pmf(k: np.ndarray, mu: float, phi: float) -> np.ndarray:
+    """Log probabilities of counts with a mean and a dispersion (Poisson where that is 0)."""
+    lg = np.vectorize(math.lgamma, otypes=[float])
+    return stats.log_nb_pmf(k, mu, phi) if phi > 0 else k * math.log(mu) - mu - lg(k + 1.0)
+
+
+def exact_nb_test(a: int, b: int, size_a: float, size_b: float, mu: float, phi: float) -> float:
+    """The chance, given a + b, of a split no likelier than the one seen, where the sums
+    are negative binomial with means ``mu`` times the groups' sizes."""
+    k = np.arange(a + b + 1)
+    logp = nb_log_pmf(k, size_a * mu, phi / size_a) + nb_log_pmf(a + b - k, size_b * mu, phi / size_b)
+    p = np.exp(logp - logp.max())
+    return float(min(1.0, p[logp <= logp[a] + 1e-9].sum() / p.sum()))
+
+
+def asymptotic_nb_test(a: int, b: int, size_a: float, size_b: float, mu: float, phi: float) -> float:
+    """The same for large sums: the share of the first is nearly beta distributed."""
+    alpha = size_a * mu / (1 + phi * mu)
+    beta = size_b / size_a * alpha
+    total = a + b
+    median = alpha / (alpha + beta)
+    x = (a + 0.5) / total if a / total < median else (a - 0.5) / total
+    low = stats.incomplete_beta(alpha, beta, min(max(x, 0.0), 1.0))
+    return float(min(1.0, 2 * min(low, 1 - low)))
+
+
+#: Above this sum in both groups the large-sample form is used.
+BIG = 900
+
+
+def sum_test(m: DataFrame, groups: DataFrame, big: int = BIG) -> DataFrame:
+    """(feature_id, sum_a, sum_b, log2_ratio, p_value, adjusted): exact tests of two groups' sums.
+
+    Means and shrunk dispersions come from both groups, sizes from the barcodes' size
+    factors; only features that were seen, and whose variance isn't zero, are tested."""
+    m = m.join(groups, "barcode_id").select("feature_id", "barcode_id", "value", "in_group")
+    kept = m.drop("in_group")
+    phi = shrunk_dispersions(kept).select("feature_id", "mean", "phi")
+    sizes = size_factors(kept).join(groups, "barcode_id").agg(F.sum(F.when(F.col("in_group"), F.col("factor"))).alias("size_a"), F.sum(F.when(~F.col("in_group"), F.col("factor"))).alias("size_b"))
+    sums = m.groupBy("feature_id").agg(F.sum(F.when(F.col("in_group"), F.col("value")).otherwise(0)).alias("sum_a"), F.sum(F.when(~F.col("in_group"), F.col("value")).otherwise(0)).alias("sum_b"))
+    rows = sums.join(phi, "feature_id").join(F.broadcast(sizes))
+
+    @F.pandas_udf("double")
+    def p(a: pd.Series, b: pd.Series, size_a: pd.Series, size_b: pd.Series, mean: pd.Series, phi: pd.Series) -> pd.Series:
+        one = lambda x, y, *r: (asymptotic_nb_test if min(x, y) > big else exact_nb_test)(int(x), int(y), *r)
+        return pd.Series([one(*r) for r in zip(a, b, size_a, size_b, mean, phi)], dtype="float64")
 
-    return cells.groupBy("feature_id").applyInPandas(fit, "feature_id long, log2_ratio double, z double")
+    ratio = F.log2((1 + F.col("sum_a")) / (1 + F.col("size_a"))) - F.log2((1 + F.col("sum_b")) / (1 + F.col("size_b")))
+    found = settle(rows.select("feature_id", "sum_a", "sum_b", ratio.alias("log2_ratio"), p("sum_a", "sum_b", "size_a", "size_b", "mean", "phi").alias("p_value")))
+    return stats.bh_adjust(found, "feature_id", "p_value").select("feature_id", "sum_a", "sum_b", "log2_ratio", "p_value", "adjusted")
 
 
 def depth_mixture(histogram: dict[int, int], rounds: int = 500, eps: float = 1e-6) -> dict | None:

@@ -56,8 +56,9 @@ def overlap_join(left: DataFrame, right: DataFrame, how: str = "inner", touching
         narrow = left.where(one).withColumn("_bin", F.floor(F.col("start") / bin_width)).join(r, met & (F.col("_bin") == F.col("r_bin")), "left_anti").drop("_bin")
         bins = _spread(keyed.where(~one), F.col("start"), F.col(end) - 1, bin_width)
         misses = bins.join(r, met & (F.col("_bin") == F.col("r_bin")), "left_anti")
-        whole = bins.groupBy("_row").agg(F.count("*").alias("_all"))
-        clear = misses.groupBy("_row", *left.columns).agg(F.count("*").alias("_n")).join(whole, "_row").where("_n = _all")
+        # A row is clear if it is in all the bins that it touches.
+        whole = F.floor((F.col(end) - 1) / bin_width) - F.floor(F.col("start") / bin_width) + 1
+        clear = misses.groupBy("_row", *left.columns).agg(F.count("*").alias("_n")).where(F.col("_n") == whole)
         return narrow.unionByName(clear.select(*left.columns))
     raise ValueError(f"no such join: {how}")
 

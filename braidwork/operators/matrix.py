@@ -99,3 +99,45 @@ def normalised_dispersion(stats: DataFrame, bins: int = 20) -> DataFrame:
     dev = at.join(med, "bin").withColumn("dev", F.abs(F.col("disp") - F.col("med")))
     mad = dev.groupBy("bin").agg(F.percentile("dev", F.lit(0.5)).alias("mad"))
     return dev.join(mad, "bin").select("feature_id", "bin", F.try_divide(F.col("disp") - F.col("med"), F.nullif("mad", F.lit(0.0))).alias("z"))
+
+
+def select_by(m: DataFrame, dimension: DataFrame, axis: str, condition) -> DataFrame:
+    """Entries whose row or column has an attribute: a genome, a type, a list of ids."""
+    return select(m, dimension.where(condition), axis)
+
+
+def filter_barcodes(m: DataFrame, sets: list[DataFrame]) -> DataFrame:
+    """Entries whose barcode is in any of the sets, such as the cells of each genome."""
+    ids = sets[0].select("barcode_id")
+    for s in sets[1:]:
+        ids = ids.unionByName(s.select("barcode_id"))
+    return select(m, ids, "barcode_id")
+
+
+def count_at_least(m: DataFrame, threshold: float, axis: str, mask=None) -> DataFrame:
+    """(axis, n): entries of at least ``threshold`` that the mask lets through."""
+    keep = F.col("value") >= threshold
+    return m.groupBy(axis).agg(F.count_if(keep if mask is None else keep & mask).alias("n"))
+
+
+def stacked(top: DataFrame, below: DataFrame) -> DataFrame:
+    """Two matrices over the same barcodes, the second's features numbered after the first's."""
+    last = top.agg(F.coalesce(F.max("feature_id"), F.lit(0)).alias("_last"))
+    moved = below.join(F.broadcast(last)).withColumn("feature_id", F.col("feature_id") + F.col("_last")).drop("_last")
+    return top.unionByName(moved)
+
+
+def join_features(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two feature tables (feature_id, id, more) as one, numbered from 0; an id in both is an error.
+
+    The window runs over features, which are few beside the entries."""
+    again = a.join(b.select("id"), "id", "left_semi").limit(1).collect()
+    if again:
+        raise ValueError(f"feature {again[0]['id']} is in both tables")
+    rows = a.withColumn("_k", F.lit(0)).unionByName(b.withColumn("_k", F.lit(1)))
+    return rows.withColumn("feature_id", F.row_number().over(Window.orderBy("_k", "feature_id")) - 1).drop("_k")
+
+
+def weighted_mean(m: DataFrame, weights: DataFrame, weight: str) -> DataFrame:
+    """(barcode_id, weight): the mean over a barcode's entries of a feature's weight."""
+    return m.join(weights.select("feature_id", weight), "feature_id").groupBy("barcode_id").agg((F.sum(F.col(weight) * F.col("value")) / F.sum("value")).alias(weight))

@@ -435,9 +435,9 @@ def relabel_by_size(spark, d):
 # --- statistics
 
 
-@query("with p as (select l_orderkey as key, ((l_partkey * 7919 + l_suppkey) % 9973 + 1) / 10000.0::double as p from lineitem where l_linenumber = 1), r as (select *, rank() over (order by p) + count(*) over (partition by p) - 1 as rk, count(*) over () as n from p) select key, p, round(least(min(p * n / rk) over (order by p desc), 1.0), 8) as adjusted from r")
+@query("with p as (select l_orderkey * 10 + l_linenumber as key, ((l_partkey * 7919 + l_suppkey) % 9973 + 1) / 10000.0::double as p from lineitem), r as (select *, rank() over (order by p) + count(*) over (partition by p) - 1 as rk, count(*) over () as n from p) select key, p, round(least(min(p * n / rk) over (order by p desc), 1.0), 8) as adjusted from r")
 def bh_adjust(spark, d):
-    p = table(spark, d, "lineitem").where("l_linenumber = 1").select(F.col("l_orderkey").alias("key"), (((F.col("l_partkey") * 7919 + F.col("l_suppkey")) % 9973 + 1) / F.lit(10000.0)).alias("p"))
+    p = table(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("key"), (((F.col("l_partkey") * 7919 + F.col("l_suppkey")) % 9973 + 1) / F.lit(10000.0)).alias("p"))
     return rounded(stats.bh_adjust(p, "key", "p"), "adjusted", digits=8).select("key", "p", "adjusted")
 
 
@@ -588,12 +588,12 @@ def session_counts(spark, d):
 
 
 def queries() -> dict:
-    from . import catalog_models  # noqa: F401  registers its own
+    from . import catalog_cells, catalog_models  # noqa: F401  they register their own
 
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import catalog_models  # noqa: F401
+    from . import catalog_cells, catalog_models  # noqa: F401
 
     return dict(_SQL)

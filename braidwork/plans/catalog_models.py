@@ -298,3 +298,46 @@ def normalised_dispersion(spark, d):
     return rounded(matrix.normalised_dispersion(matrix.moments(derived(spark, d, "coo"), "feature_id", 211), 4), "z", digits=5)
 
 
+# --- group sums and size factors of the differential tests
+
+
+@query(f"""with {cte('coo')}, b as (select barcode_id, sum(value) as s from coo group by 1), z as (select barcode_id, s / (select median(s) from b) as f from b),
+t as (select sum(case when barcode_id % 2 = 0 then f else 0 end) as sa, sum(case when barcode_id % 2 = 1 then f else 0 end) as sb from z),
+x as (select feature_id, sum(case when barcode_id % 2 = 0 then value else 0 end)::bigint as sum_a, sum(case when barcode_id % 2 = 1 then value else 0 end)::bigint as sum_b from coo group by 1)
+select feature_id, sum_a, sum_b, round(log2((1 + sum_a) / (1 + sa)) - log2((1 + sum_b) / (1 + sb)), 6) as log2_ratio from x, t""")
+def group_sums(spark, d):
+    m = derived(spark, d, "coo")
+    g = m.select("barcode_id").distinct().withColumn("in_group", F.col("barcode_id") % 2 == 0)
+    return rounded(inference.sum_test(m, g).drop("p_value", "adjusted"), "log2_ratio")
+
+
+@query()
+def sum_test_features(spark, d):
+    m = derived(spark, d, "coo")
+    return inference.sum_test(m, m.select("barcode_id").distinct().withColumn("in_group", F.col("barcode_id") % 2 == 0))
+
+
+@query("""with e as (select vec_id, embedding::double[] as v, label from embeddings), p as (select a.vec_id as src, b.vec_id as dst, a.label as la, b.label as lb, list_distance(a.v, b.v) as dist from e a, e b where a.vec_id <> b.vec_id),
+k as (select * from p qualify row_number() over (partition by src order by dist, dst) <= 5), s as (select label, count(*) / (select count(*) from e)::double as share from e group by 1),
+q as (select src, la, avg(case when la = lb then 1.0 else 0.0 end) as same from k group by 1, 2) select round(avg(same / share), 6) as score from q join s on s.label = la""")
+def batch_mixing(spark, d):
+    e = table(spark, d, "embeddings")
+    return rounded(graph.batch_mixing(graph.nearest(e, "vec_id", "embedding", 5).select("src", "dst"), e.select(F.col("vec_id").alias("node"), F.col("label").alias("batch"))), "score")
+
+
+_GRAPH = "g as (select c_custkey as src, c_nationkey + 100000 as dst, count(*) as w from customer group by 1, 2)"
+
+
+@query(f"""with {_GRAPH}, n as (select node, row_number() over (order by node) - 1 as k from (select src as node from g union select dst from g)) select a.k as src, b.k as dst, w from g join n a on a.node = src join n b on b.node = dst""")
+def renumbered_graph(spark, d):
+    return graph.renumbered(customer_graph(spark, d))[0]
+
+
+@query(f"""with {_GRAPH}, b as (select src, dst, w from g union all select dst, src, w from g) select src % 10 as src, dst % 10 as dst, sum(w)::bigint as w from b group by 1, 2""")
+def contracted_graph(spark, d):
+    both = graph.symmetric(customer_graph(spark, d))
+    return graph.contracted(both, both.select(F.col("src").alias("node"), (F.col("src") % 10).alias("community")).distinct())
+
+
+def customer_graph(spark, d):
+    return table(spark, d, "customer").groupBy(F.col("c_custkey").alias("src"), (F.col("c_nationkey") + 100000).cast("long").alias("dst")).agg(F.count("*").alias("w"))

@@ -20,7 +20,7 @@ TRACK = """select concat('chr', cast(s_suppkey%5+1 as {s})) as contig, (s_suppke
   concat('track', cast(s_nationkey%4 as {s})) as track from supplier"""
 COO = "select l_partkey as feature_id, l_orderkey%211 as barcode_id, count(*) as value from lineitem group by 1,2"
 READS = """select l_orderkey as qname, concat('BC', lpad(cast(l_orderkey%211 as {s}),4,'0'),'-1') as barcode, l_suppkey%5 as ref_id, l_partkey%300 as pos,
-  l_suppkey%5 as mate_ref_id, l_partkey%300+l_linenumber as mate_pos, 60 - (l_quantity::int)%50 as mapq from lineitem where l_linenumber<=3"""
+  l_suppkey%5 as mate_ref_id, l_partkey%300+l_linenumber as mate_pos, 60 - (l_quantity::int)%50 as mapq from lineitem"""
 TABLES = {"frag": (FRAG, "lineitem"), "tss": (TSS, "part"), "track": (TRACK, "supplier"), "coo": (COO, "lineitem"), "reads": (READS, "lineitem")}
 
 

@@ -40,23 +40,67 @@ def read_cell_barcodes(spark: SparkSession, path: str) -> DataFrame:
     return rows.where(~F.col("barcode").isin("", "null"))
 
 
+MEX_HEAD = "%%MatrixMarket matrix coordinate integer general"
+
+
 def read_mex(spark: SparkSession, path: str) -> DataFrame:
-    """(feature_id, barcode_id, value) with ids from 0, of a Matrix Market file.
-
-    The size line is the one line of the file that isn't an entry; it is told by its
-    place, the first after the comments."""
-    lines = spark.read.text(path).where(~F.col("value").startswith("%")).select("value", F.monotonically_increasing_id().alias("at"))
-    first = lines.agg(F.min("at").alias("first"))
-    f = F.split("value", " ")
-    rows = lines.join(F.broadcast(first), F.col("at") > F.col("first"))
+    """(feature_id, barcode_id, value) with ids from 0, of a Matrix Market file or folder.
+
+    The size line, three numbers like an entry, is the first after the comments of the
+    part that begins with the header; parts without a header hold entries alone."""
+    lines = spark.read.text(path, wholetext=False).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at")).where(F.trim("value") != "")
+    headed = lines.where(F.col("value").startswith("%%MatrixMarket")).select("file")
+    first = lines.where(~F.col("value").startswith("%")).join(F.broadcast(headed), "file").groupBy("file").agg(F.min("at").alias("at"))
+    rows = lines.where(~F.col("value").startswith("%")).join(F.broadcast(first), ["file", "at"], "left_anti")
+    f = F.split(F.trim("value"), "[ \t]+")
     return rows.select((F.get(f, F.lit(0)).cast("long") - 1).alias("feature_id"), (F.get(f, F.lit(1)).cast("long") - 1).alias("barcode_id"), F.get(f, F.lit(2)).cast("long").alias("value"))
 
 
-def write_mex(m: DataFrame, path: str) -> None:
-    """Entries as 1-based text triples, in parts; the size is the file ``size`` beside them."""
-    m.select(F.concat_ws(" ", F.col("feature_id") + 1, F.col("barcode_id") + 1, F.col("value"))).write.text(f"{path}/entries")
-    size = m.agg(F.max("feature_id") + 1, F.max("barcode_id") + 1, F.count("*"))
-    size.select(F.concat_ws(" ", *size.columns)).write.text(f"{path}/size")
+def write_mex(m: DataFrame, path: str, features: DataFrame | None = None, barcodes: DataFrame | None = None) -> None:
+    """A Matrix Market text in parts below ``path``/matrix: the first has the header and
+    the size, the others entries, so the parts one after another are the file.
+
+    ``features`` (feature_id, more) and ``barcodes`` (barcode_id, barcode) give the shape
+    and are written in order beside it; without them the largest ids do."""
+    count = lambda t, c: t.count() if t is not None else (m.agg(F.max(c)).first()[0] or -1) + 1 if m.limit(1).count() else 0
+    shape = (count(features, "feature_id"), count(barcodes, "barcode_id"), m.count())
+    head = m.sparkSession.createDataFrame([(f"{MEX_HEAD}\n{shape[0]} {shape[1]} {shape[2]}",)], "value string").coalesce(1)
+    entries = m.sortWithinPartitions("barcode_id", "feature_id").select(F.concat_ws(" ", F.col("feature_id") + 1, F.col("barcode_id") + 1, F.col("value")).alias("value"))
+    head.unionByName(entries).write.text(f"{path}/matrix")
+    for table, key, name in ((features, "feature_id", "features"), (barcodes, "barcode_id", "barcodes")):
+        if table is not None:
+            table.orderBy(key).drop(key).write.option("sep", "\t").csv(f"{path}/{name}")
+
+
+def write_dense(m: DataFrame, path: str, barcodes: list) -> None:
+    """Features by the named barcodes as CSV with a header, absent entries zero."""
+    m.groupBy("feature_id").pivot("barcode_id", barcodes).agg(F.sum("value")).fillna(0).orderBy("feature_id").write.option("header", True).csv(path)
+
+
+def region_columns(name) -> list:
+    """contig, start and end of ``contig:start-end``."""
+    part = lambda k: F.regexp_extract(name, r"^(.*):(\d+)-(\d+)$", k)
+    return [part(1).alias("contig"), part(2).cast("long").alias("start"), part(3).cast("long").alias("end")]
+
+
+def write_peaks(features: DataFrame, path: str) -> None:
+    """Features named ``contig:start-end`` as BED rows, in feature order."""
+    features.orderBy("feature_id").select(*region_columns(F.col("id"))).write.option("sep", "\t").csv(path)
+
+
+def read_csvs(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Several CSV files with the same header as one table."""
+    return spark.read.option("header", True).option("enforceSchema", False).csv(paths)
+
+
+def read_insert_sizes(spark: SparkSession, path: str, sizes: range | None = None, barcodes: DataFrame | None = None) -> DataFrame:
+    """(barcode, size, n) of the wide table with a column for each size; columns and rows as asked for."""
+    wide = spark.read.option("header", True).csv(path)
+    named = [c for c in wide.columns[1:] if sizes is None or (c.isdigit() and int(c) in sizes)]
+    if barcodes is not None:
+        wide = wide.join(barcodes.select(F.col("barcode").alias(wide.columns[0])), wide.columns[0], "left_semi")
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("size"), F.col(f"`{c}`").cast("long").alias("n")) for c in named])).alias("e")
+    return wide.select(F.col(wide.columns[0]).alias("barcode"), cells).select("barcode", "e.size", "e.n")
 
 
 def read_aggregation(spark: SparkSession, path: str, required: tuple[str, ...] = ("library_id", "fragments", "cells"), barred: tuple[str, ...] = ("batch",)) -> DataFrame:
@@ -76,13 +120,94 @@ def read_aggregation(spark: SparkSession, path: str, required: tuple[str, ...] =
     return df
 
 
+_PAIR = r'([A-Za-z0-9_]+)[ =]+"?([^";]+)"?'
+
+
+def attributes(text):
+    """A map from each attribute of a GTF or GFF3 row to its values, in order.
+
+    Keys may repeat (``tag "basic"; tag "CCDS";``)."""
+    keys, values = (F.regexp_extract_all(text, F.lit(_PAIR), F.lit(k)) for k in (1, 2))
+    distinct = F.array_distinct(keys)
+    return F.map_from_arrays(distinct, F.transform(distinct, lambda k: F.transform(F.filter(F.arrays_zip(keys.alias("k"), values.alias("v")), lambda e: e["k"] == k), lambda e: F.trim(e["v"]))))
+
+
+def _gene_rows(spark: SparkSession, path: str):
+    f = F.split("value", "\t")
+    return spark.read.text(path).where(~F.col("value").startswith("#") & (F.size(f) >= 9)), f
+
+
 def read_gtf(spark: SparkSession, path: str) -> DataFrame:
-    """(contig, feature, start, end, strand, attributes) with a map of attributes; starts from 0."""
+    """(contig, feature, start, end, strand, attributes, all_attributes); starts from 0.
+
+    ``attributes`` has the first value of each key, ``all_attributes`` all of them."""
+    lines, f = _gene_rows(spark, path)
+    rows = lines.select(F.get(f, F.lit(0)).alias("contig"), F.get(f, F.lit(2)).alias("feature"), (F.get(f, F.lit(3)).cast("long") - 1).alias("start"), F.get(f, F.lit(4)).cast("long").alias("end"), F.get(f, F.lit(6)).alias("strand"), attributes(F.get(f, F.lit(8))).alias("all_attributes"))
+    return rows.withColumn("attributes", F.transform_values("all_attributes", lambda _, v: F.get(v, F.lit(0))))
+
+
+def gene_format(spark: SparkSession, path: str, first: int = 100) -> str:
+    """"gff3" or "gtf", by how the first rows write their attributes; an error if they differ."""
+    lines, f = _gene_rows(spark, path)
+    seen = lines.limit(first).agg(F.count("*").alias("n"), F.count_if(F.get(f, F.lit(8)).rlike(r"^\s*\w+=")).alias("gff")).first()
+    if not seen["n"] or seen["gff"] not in (0, seen["n"]):
+        raise ValueError(f"{path} is neither GTF nor GFF3")
+    return "gff3" if seen["gff"] else "gtf"
+
+
+def gff3_to_gtf(spark: SparkSession, path: str) -> DataFrame:
+    """(value): GTF rows of a GFF3 file.
+
+    A record's gene is itself or its parent's; ``Name`` becomes gene_name on genes, and
+    ``ID`` and ``Parent`` become transcript_id and gene_id on what they name."""
+    lines, f = _gene_rows(spark, path)
+    first = lambda k: F.get(F.col("a")[k], F.lit(0))
+    rows = lines.select(*[F.get(f, F.lit(k)).alias(f"c{k}") for k in range(8)], attributes(F.get(f, F.lit(8))).alias("a"))
+    rows = rows.select("*", first("ID").alias("id"), first("Parent").alias("parent"), first("Name").alias("name"))
+    genes = rows.where("c2 = 'gene'").select(F.col("id").alias("g"), F.coalesce("name", "id").alias("gene_name"))
+    parts = rows.where("c2 in ('transcript', 'mRNA')").select(F.col("id").alias("t"), F.col("parent").alias("of"))
+    joined = rows.join(parts, rows["parent"] == parts["t"], "left")
+    gene = F.when(F.col("c2") == "gene", F.col("id")).when(F.col("c2").isin("transcript", "mRNA"), F.col("parent")).otherwise(F.col("of"))
+    made = F.when(F.col("c2").isin("transcript", "mRNA"), F.col("id")).when(F.col("c2") != "gene", F.col("parent"))
+    named = joined.withColumns({"gene": gene, "made": made}).join(genes, F.col("gene") == F.col("g"), "left")
+    pair = lambda k, c: F.when(c.isNotNull(), F.concat(F.lit(f'{k} "'), c, F.lit('";')))
+    text = F.concat_ws(" ", pair("gene_id", F.col("gene")), pair("transcript_id", F.col("made")), pair("gene_name", F.col("gene_name")))
+    return named.select(F.concat_ws("\t", *[f"c{k}" for k in range(8)], text).alias("value"))
+
+
+def read_vcf(spark: SparkSession, path: str, contig: str | None = None, start: int = 0, end: int | None = None) -> DataFrame:
+    """(contig, pos, id, ref, alts, qual, filters, info) with positions from 0, of a locus if asked for."""
     f = F.split("value", "\t")
-    lines = spark.read.text(path).where(~F.col("value").startswith("#") & (F.size(f) >= 9))
-    pairs = F.regexp_extract_all(F.get(f, F.lit(8)), F.lit(r'([A-Za-z0-9_]+)[ =]"?([^";]+)"?'), F.lit(1))
-    values = F.regexp_extract_all(F.get(f, F.lit(8)), F.lit(r'([A-Za-z0-9_]+)[ =]"?([^";]+)"?'), F.lit(2))
-    return lines.select(F.get(f, F.lit(0)).alias("contig"), F.get(f, F.lit(2)).alias("feature"), (F.get(f, F.lit(3)).cast("long") - 1).alias("start"), F.get(f, F.lit(4)).cast("long").alias("end"), F.get(f, F.lit(6)).alias("strand"), F.map_from_entries(F.arrays_zip(pairs.alias("k"), values.alias("v"))).alias("attributes"))
+    at = lambda k: F.get(f, F.lit(k))
+    blank = lambda c: F.when(c != ".", c)
+    info = F.transform(F.split(at(7), ";"), lambda e: F.struct(F.split_part(e, F.lit("="), F.lit(1)).alias("k"), F.when(F.contains(e, F.lit("=")), F.substring_index(e, "=", -1)).otherwise("true").alias("v")))
+    rows = spark.read.text(path).where(~F.col("value").startswith("#") & (F.size(f) >= 8)).select(
+        at(0).alias("contig"), (at(1).cast("long") - 1).alias("pos"), blank(at(2)).alias("id"), at(3).alias("ref"), F.split(at(4), ",").alias("alts"), blank(at(5)).cast("double").alias("qual"), F.split(blank(at(6)), ";").alias("filters"), F.when(at(7) != ".", info).alias("info")
+    )
+    if contig is None:
+        return rows
+    return rows.where((F.col("contig") == contig) & (F.col("pos") >= start) & (F.col("pos") < end if end is not None else F.lit(True)))
+
+
+VARIANT = ["contig", "pos", "ref", "alts"]
+
+
+def shared_variants(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of ``a`` that ``b`` has as well."""
+    return a.join(b.select(*VARIANT).distinct(), VARIANT, "left_semi")
+
+
+def other_variants(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of ``a`` that ``b`` lacks."""
+    return a.join(b.select(*VARIANT).distinct(), VARIANT, "left_anti")
+
+
+def variants_in(a: DataFrame, regions: DataFrame) -> DataFrame:
+    """Rows of ``a`` inside any region."""
+    from ..operators.intervals import overlap_join
+
+    spans = a.withColumns({"start": F.col("pos"), "stop": F.col("pos") + F.length("ref")})
+    return overlap_join(spans, regions, "left_semi", touching=False).drop("start", "stop")
 
 
 def transcription_starts(gtf: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ def test_glm_takes_every_feature(spark):
         depth[b] = depth.get(b, 0) + v
     codes = sorted(depth)
     g = np.array([b % 2 == 0 for b in codes], float)
-    x = np.stack([g, 1 - g, [round(math.log(depth[b]), 2) for b in codes]], 1)
+    x = np.stack([g, 1 - g, [math.log(depth[b]) for b in codes]], 1)
     for f in sorted(got)[50:60]:
         y = np.zeros(len(codes))
         for e in entries:
@@ -78,3 +78,129 @@ def test_nearest_among_equal_vectors(spark, blocks):
         d = np.sqrt(((x[i] - x) ** 2).sum(1))
         want = sorted((d[j], keys[j]) for j in range(400) if j != i)[:3]
         assert [j for _, j in sorted(got[key])] == [j for _, j in want]
+
+
+@pytest.fixture(scope="module")
+def planted(spark):
+    """Counts of 1200 features in 300 cells of two kinds, of which 60 differ twofold."""
+    r = np.random.default_rng(12)
+    base = 40 / np.arange(1, 1201) ** 0.7 + 0.8
+    up, down = base.copy(), base.copy()
+    chosen = r.choice(1200, 60, replace=False)
+    up[chosen[:30]] *= 2.5
+    down[chosen[30:]] *= 2.5
+    depth = r.uniform(0.7, 1.4, 300)
+    mean = np.where(np.arange(300)[:, None] % 2 == 0, up, down) * depth[:, None]
+    y = r.negative_binomial(10, 10 / (10 + mean))  # dispersion 0.1
+    b, f = np.nonzero(y)
+    rows = list(zip(f.tolist(), b.tolist(), y[b, f].tolist()))
+    m = spark.createDataFrame(rows, "feature_id long, barcode_id long, value long").repartition(4).cache()
+    return m, m.select("barcode_id").distinct().withColumn("in_group", F.col("barcode_id") % 2 == 0), set(chosen[:30].tolist()), set(chosen[30:].tolist())
+
+
+def gates(found, up, down, level, least=0.94):
+    called = {(r["feature_id"], r["log2_ratio"] > 0) for r in found if r["adjusted"] < level}
+    true = {(f, True) for f in up} | {(f, False) for f in down}
+    assert len(called & true) >= least * len(true), "sensitivity"
+    assert len(called & true) >= least * len(called), "positive predictive value"
+
+
+def test_wald_test_finds_what_was_planted(planted):
+    m, groups, up, down = planted
+    # The p-values are one-sided, so half the level gives the same rate.
+    gates(inference.glm_test(m, groups, alpha=0.1).collect(), up, down, 0.025)
+
+
+def test_sum_test_finds_what_was_planted(planted):
+    m, groups, up, down = planted
+    gates(inference.sum_test(m, groups).collect(), up, down, 0.05)
+
+
+def test_clusters_against_rest(spark):
+    m = spark.createDataFrame([(f, b, 1 + (f == b % 3) * 6 + (f * b) % 2) for f in range(6) for b in range(45)], "feature_id long, barcode_id long, value long")
+    labels = m.select("barcode_id").distinct().withColumn("label", (F.col("barcode_id") % 3).cast("int"))
+    got = inference.clusters_against_rest(m, labels).collect()
+    assert len(got) == 18
+    for k in range(3):
+        assert max((r for r in got if r["label"] == k), key=lambda r: r["z"])["feature_id"] == k
+    two = inference.clusters_against_rest(m, labels.withColumn("label", F.col("label") % 2)).collect()
+    by = {(r["feature_id"], r["label"]): r for r in two}
+    assert all(by[f, 1]["p_value"] == pytest.approx(1 - by[f, 0]["p_value"]) and by[f, 1]["z"] == -by[f, 0]["z"] for f in range(6))
+
+
+def test_regression_recovers_known_coefficients():
+    r = np.random.default_rng(3)
+    g = (np.arange(100_000) < 30_000).astype(float)
+    mean = np.where(g > 0, 2.5, 0.9)
+    y = r.negative_binomial(10, 10 / (10 + mean)).astype(float)
+    beta, _ = inference.count_regression(y, np.stack([g, 1 - g], 1), np.ones(len(y)), 0.1)
+    assert np.exp(beta) == pytest.approx([2.5, 0.9], rel=0.02)
+
+
+def test_exact_and_large_sample_tests_agree():
+    for a, b in ((2000, 2200), (2000, 2000), (1500, 1000)):
+        args = (a, b, 100.0, 100.0, (a + b) / 200, 0.05)
+        assert inference.asymptotic_nb_test(*args) == pytest.approx(inference.exact_nb_test(*args), rel=0.1, abs=2e-3)
+    # without dispersion the split is binomial
+    want = sum(math.comb(12, k) for k in range(13) if math.comb(12, k) <= math.comb(12, 2)) / 2**12
+    assert inference.exact_nb_test(2, 10, 5.0, 5.0, 1.2, 0.0) == pytest.approx(want)
+
+
+def test_fisher_against_all_tables(spark):
+    for a, b, c, d in ((3, 7, 8, 2), (0, 5, 5, 0), (4, 4, 4, 4), (1, 9, 0, 10)):
+        n, m = a + b, a + c
+        chance = lambda x: math.comb(n, x) * math.comb(c + d, m - x) / math.comb(n + c + d, m)
+        want = sum(chance(x) for x in range(max(0, m - c - d), min(n, m) + 1) if chance(x) <= chance(a) * (1 + 1e-9))
+        assert inference.fisher_two_sided(a, b, c, d) == pytest.approx(want)
+
+
+@pytest.mark.parametrize("t, df, want", [(0, 5, 0.5), (1, 1, 0.25), (2, 10, 0.036694), (-2, 10, 0.963306), (3.5, 200, 0.000286)])
+def test_student_tail(t, df, want):
+    from braidwork.functions import stats
+
+    assert stats.student_sf(t, df) == pytest.approx(want, abs=2e-6)
+
+
+def test_good_turing_refuses_flat_frequencies():
+    from braidwork.functions import stats
+
+    with pytest.raises(ValueError):
+        stats.good_turing([1, 2, 3, 4], [10, 11, 12, 14])
+
+
+def test_communities_of_cliques_in_a_ring(spark):
+    """Thirty cliques of five, each tied to the next: the first level finds the cliques,
+    later ones unite neighbours, and each level gains modularity."""
+    edges = [(5 * c + i, 5 * c + j) for c in range(30) for i in range(5) for j in range(i)] + [(5 * c, (5 * c + 5) % 150) for c in range(30)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    both, levels = graph.symmetric(df), graph.hierarchy(df)
+    gained = [graph.weighted_modularity(both, level) for level in levels]
+    assert gained == sorted(gained) and gained[-1] > 0.85
+    got = {r["node"]: r["community"] for r in levels[-1].collect()}
+    assert len(got) == 150 and all(len({got[5 * c + i] for i in range(5)}) == 1 for c in range(30))
+    assert graph.communities(df.limit(0)).count() == 0
+
+
+def test_neighbour_count():
+    assert [graph.neighbour_count(n, 10) for n in (1, 5, 100, 1000, 100_000)] == [0, 4, 10, 130, 370]
+
+
+def test_ranks_over_many_ranges(spark):
+    from braidwork.operators.ranks import folded, ordered, ranked
+
+    r = np.random.default_rng(5)
+    values = r.integers(0, 50, 3000).tolist()
+    df = spark.createDataFrame(list(enumerate(values)), "k long, v long").repartition(7)
+    got = {x["k"]: x["rank"] for x in ranked(df, F.col("v").desc(), F.col("k")).collect()}
+    assert [k for k, _ in sorted(got.items(), key=lambda x: x[1])] == [k for k, _ in sorted(enumerate(values), key=lambda x: (-x[1], x[0]))]
+    least = folded(ordered(df, "k"), F.col("v"), "m", "min").collect()
+    assert {x["k"]: x["m"] for x in least} == {k: int(m) for k, m in enumerate(np.minimum.accumulate(values))}
+    assert ranked(df.limit(0), "k").count() == 0
+
+
+def test_inferred_doublets():
+    from braidwork.operators import cells
+
+    assert cells.inferred_doublets(0, 100, 0) == 0
+    # with equal shares half of the doublets show
+    assert abs(cells.inferred_doublets(40, 500, 500) - 80) <= 2
