@@ -23,8 +23,14 @@ _CLOSE = r"""["'”’»)\]]*"""
 SENTENCE_END = re.compile(rf"[.!?…:;。！？]{_CLOSE}{_S}*$")
 #: A sentence that ends inside a line and is followed by a word: running text, even if cut off at the end.
 SENTENCE_INSIDE = re.compile(rf"[.!?…]{_CLOSE}{_S}+[^\x20\x09-\x0D|»›>•]")
-#: Fixed phrases of page furniture.
-BOILERPLATE = re.compile(r"javascript|cookie|privacy policy|terms of (?:use|service)|all rights reserved|click here|lorem ipsum|log ?in to|subscribe", re.I)
+#: Fixed phrases of page furniture, in English, German, French and Spanish.
+PHRASES = (
+    "javascript|cookie|privacy policy|terms of (?:use|service)|all rights reserved|click here|lorem ipsum|log ?in to|subscribe",
+    "datenschutzerklärung|nutzungsbedingungen|alle rechte vorbehalten|hier klicken|klicken sie hier|impressum|newsletter abonnieren",
+    "politique de confidentialité|conditions d.utilisation|tous droits réservés|cliquez ici|mentions légales|abonnez-vous|se connecter",
+    "política de privacidad|términos de uso|términos y condiciones|todos los derechos reservados|haga clic aquí|aviso legal|suscríbe(?:te|ase)|iniciar sesión",
+)
+BOILERPLATE = re.compile("|".join(PHRASES), re.I)
 NAVIGATION = re.compile(rf"{_S}[|»›>•]{_S}")
 #: A line with more symbols than this share of its words fails; so does one with so many separators.
 MOST_SYMBOLS, MOST_SEPARATORS = 0.3, 2

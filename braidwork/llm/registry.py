@@ -104,7 +104,7 @@ rep as (select r, count(distinct p) as n from (select r, unnest(range(i, i + 8))
 l as (select r, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as n from (select r, unnest(string_split(t, chr(10))) as line from d)),
 k as (select *, n = 0 or not (
     len(regexp_extract_all(line, '[\x20\x09-\x0D][|»›>•][\x20\x09-\x0D]')) >= 2
-    or (n <= 30 and regexp_matches(line, '(?i)javascript|cookie|privacy policy|terms of (?:use|service)|all rights reserved|click here|lorem ipsum|log ?in to|subscribe'))
+    or (n <= 30 and regexp_matches(line, '(?i)PHRASES'))
     or len(regexp_extract_all(line, '[#*$%&|<>]')) > 0.3 * n or (n >= 4 and len(regexp_extract_all(line, '!!')) > 0.3 * n)
     or not (n <= 12 or regexp_matches(line, '[.!?…:;。！？]["''”’»)\]]*[\x20\x09-\x0D]*$') or regexp_matches(line, '[.!?…]["''”’»)\]]*[\x20\x09-\x0D]+[^\x20\x09-\x0D|»›>•]'))
   ) as good, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) as chars from l),
@@ -113,7 +113,7 @@ f as (select doc_id, len(w)::bigint as n_words, word_chars::bigint as word_chars
   from d join w using (r) join s using (r) left join rep using (r))
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
   not (n_words < 20 or 100 * n_repeat_words > 30 * n_words) and kept_chars >= 0.5 * word_chars as kept from f
-"""
+""".replace("PHRASES", "|".join(line_rules.PHRASES))
 
 
 def oracle_sql() -> dict[str, str]:

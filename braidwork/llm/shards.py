@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .staging import stage
+from .staging import free_name, stage
 
 SEED = 1
 
@@ -64,6 +64,13 @@ def assign(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
 
 
 def write_shards(docs: DataFrame, assigned: DataFrame, folder: str, id_col: str = "doc_id") -> None:
-    """The rows of ``docs`` in one folder for each shard, in slot order (ids must be unique)."""
-    keyed = docs.join(assigned.select(F.col("doc_id").alias("_id"), "shard", "slot"), F.col(id_col) == F.col("_id")).drop("_id")
-    keyed.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(folder)
+    """The rows of ``docs`` in a folder for each shard, the files' rows in slot order.
+
+    Ids must be unique; a null id is told like any other.  Rows are dealt out by ranges
+    of (shard, slot), so a shard is as many files as its size asks for.  The added
+    columns are ``shard`` and ``slot``, with underscores before them where ``docs`` has
+    such columns itself."""
+    key, shard, slot = free_name(docs, "id"), free_name(docs, "shard"), free_name(docs, "slot")
+    places = assigned.select(F.col("doc_id").alias(key), F.col("shard").alias(shard), F.col("slot").alias(slot))
+    keyed = docs.join(places, docs[id_col].eqNullSafe(places[key])).drop(key)
+    keyed.repartitionByRange(shard, slot).sortWithinPartitions(shard, slot).write.partitionBy(shard).parquet(folder)

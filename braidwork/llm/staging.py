@@ -28,6 +28,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column has it, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def stage(df: DataFrame, label: str, *by: str) -> DataFrame:
     """Write ``df`` once and return the written table."""
     path = fresh_path(df.sparkSession, label)

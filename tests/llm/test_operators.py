@@ -386,6 +386,19 @@ def test_shards_do_not_depend_on_partitions(docs):
     assert a == {(x["doc_id"], x["shard"], x["slot"]) for x in shards.assign(unique.repartition(9), 5).collect()}
 
 
+def test_write_shards(spark, docs, tmp_path):
+    unique = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).withColumns({"shard": F.lit("clash"), "slot": F.lit(1)})
+    placed = shards.assign(unique, 4)
+    shards.write_shards(unique, placed, str(tmp_path / "s"))
+    got = spark.read.parquet(str(tmp_path / "s"))
+    assert {x["doc_id"]: (x["_shard"], x["_slot"], x["shard"]) for x in got.collect()} == {x["doc_id"]: (x["shard"], x["slot"], "clash") for x in placed.collect()}
+
+
+def test_empty_tables(none):
+    for f in (secrets.scan, secrets.redact, line_rules.report, line_rules.keep_clean):
+        assert f(none).count() == 0
+
+
 def test_shards_small(docs, none, spark):
     assert shards.assign(none, 4).count() == 0
     few = [x["shard"] for x in shards.assign(docs.limit(2), 5).collect()]
@@ -656,7 +669,8 @@ def test_line_rules(spark, docs):
 def test_line_rules_remove_lines_first(spark):
     r = random.Random(12)
     good = "\n".join(" ".join(r.sample(WORDS, 14)) + "." for _ in range(10))
-    nav, banner = "Home | News | Sport | Contact | Help", "We use cookies on this site."
+    nav = "Home | News | Sport | Contact | Help"
+    banner = "We use cookies on this site.\nAlle Rechte vorbehalten\nPOLITIQUE DE CONFIDENTIALITÉ\nHaga clic aquí"
     bad = "\n".join(" | ".join(r.sample(WORDS, 12)) for _ in range(10)) + "\n" + " ".join(r.sample(WORDS, 12)) + "."
     d = spark.createDataFrame([(1, f"{nav}\n{good}\n{banner}", 0), (2, bad, 0), (3, good, 0)], "doc_id long, text string, rules int")
     assert {x["doc_id"]: x["text"] for x in line_rules.keep_clean(d).collect()} == {1: good, 3: good}
