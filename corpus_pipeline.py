@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from braidwork.llm import decontaminate, packing, quality_cnn, secrets, simhash
 from braidwork.llm.registry import tokenizer_path
-from braidwork.llm.staging import stage
+from braidwork.llm.staging import free_name, stage
 
 #: No stage but decontamination and packing can be told in SQL; the stages are
 #: tested against brute force instead.
@@ -26,11 +26,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from ``labels``, does not reject."""
     net = quality_cnn.train(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
-    return quality_cnn.with_score(docs, net, out="_score").where(F.col("_score") >= quality_cnn.CUT).drop("_score")
+    score = free_name(docs, "score")
+    return quality_cnn.with_score(docs, net, out=score).where(F.col(score) >= quality_cnn.CUT).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies."""
+    """One document, that of the smallest id, of each group of near copies: texts whose
+    sets of five-word shingles have a similarity of 0.8 or more."""
     return simhash.keep_first(docs)
 
 
@@ -41,8 +43,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets masked; ``n_chars`` follows a changed text."""
-    masked = secrets.redact(docs.withColumn("_was", F.crc32(F.col("text").cast("binary"))))
-    changed = ~F.col("_was").eqNullSafe(F.crc32(F.col("text").cast("binary")))
+    was, now = free_name(docs, "was"), F.crc32(F.col("text").cast("binary"))
+    masked = secrets.redact(docs.withColumn(was, now))
+    changed = ~F.col(was).eqNullSafe(now)
     return masked.select(*[F.when(changed, F.char_length("text").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
