@@ -1,34 +1,48 @@
 """A log-bilinear language model, trained with noise-contrastive estimation.
 
-Gathered over all training texts: the count of every word (a table as large as the
-corpus makes it) and the counts of neighbouring classes (a bounded matrix).  The
-``TOP`` most frequent words and the end are classes of their own; all other words
-share ``TAIL`` classes by their last letters.  The model's score of class w after
-class v is r(v) . q(w) + b(w); it is fitted to the neighbour counts in numpy, and one
-batched matrix product then gives all normalised log-probabilities.  A word of a
-shared class has its class's probability times an add-one share within the class, so
-the probabilities of all words, one unseen word of each class included, sum to one.
+Gathered over all training texts, in tables and sums that Spark makes:
+
+* the count of every word, a table as large as the corpus makes it;
+* for the ``LEARNT`` most frequent words, how often each of the ``MARKS`` most
+  frequent ones stands among the words before them, which tells words of one language
+  or topic from others; they are clustered into topics and classes;
+* how often each class follows each context, a context being the class of the word
+  before and the topic that the words before it vote for by position weights.
+
+The ``TOP`` most frequent words and the end are classes of their own, the other learnt
+words share ``KINDS`` classes by their neighbours, all others ``TAIL`` classes by
+their last letters, and the unseen word is a class too: every distinct word of a shared
+class gives it a part of a count, in all as many as there are words that occur once.
+The model's score of class w in context (v, t) is (r(v) + u(t)) . q(w) + b(w).  Every
+step of the estimation passes over all gathered counts, and one batched matrix product
+gives all normalised log-probabilities.  A word of a shared class has its class's
+probability times its discounted share of the class, so the probabilities of all words
+and of the unseen one sum to one.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .staging import stage
 
-TOP, TAIL, RANK = 1024, 256, 24
+TOP, TAIL, RANK = 512, 64, 32
+#: Words with learnt neighbours, words that they are learnt from, classes and topics.
+LEARNT, MARKS, KINDS, TOPICS = 20_000, 96, 64, 12
 #: Words whose counts are broadcast, at most; the others' are joined.
 HEAD = 200_000
-#: Flush a task's word counts when it holds so many words.
-FLUSH = 300_000
-END = b" "  # no word holds a space
+#: Weights of the words before, nearest first, in the vote for a topic.
+WEIGHTS = (20, 18, 16, 14, 12, 10)
+#: Tokens handled at a time; a long text more.
+SLICE = 200_000
+END = " "  # no word holds a space
 
 
 def held_out(id_col, fold: int = 2, folds: int = 7):
@@ -36,33 +50,45 @@ def held_out(id_col, fold: int = 2, folds: int = 7):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    return (text or b"").lower().split()  # bytes: A-Z and ASCII space only
+def tail_class(word: str) -> int:
+    return zlib.crc32(word.encode()[-3:]) % TAIL
 
 
-def tail_class(word: bytes) -> int:
-    return zlib.crc32(word[-3:]) % TAIL
+def tokenised(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct words, each token's word, first token of each text and the end).
+
+    A-Z are lower-cased and ASCII white space splits; the last distinct word is END,
+    and every text ends with it."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")))
+    words, edge = lists.values, lists.offsets.to_numpy()
+    full = pc.binary_length(words).to_numpy() > 0  # white space at a text's ends leaves empty parts
+    ahead = np.concatenate([[0], np.cumsum(full)])
+    found = words.filter(pa.array(full)).dictionary_encode()
+    first = ahead[edge] + np.arange(len(edge))
+    at = np.full(first[-1], len(found.dictionary), np.int64)
+    at[np.delete(np.arange(first[-1]), first[1:] - 1)] = found.indices.to_numpy()
+    return [*found.dictionary.to_pylist(), END], at, first
+
+
+def slices(first: np.ndarray):
+    """(text, next text) of runs of texts of SLICE tokens, or one longer text."""
+    lo = 0
+    while lo < len(first) - 1:
+        hi = max(lo + 1, int(np.searchsorted(first, first[lo] + SLICE, "right")) - 1)
+        yield lo, hi
+        lo = hi
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """(word, c) over all texts; tasks count first, so the shuffle carries distinct words."""
+    """(word, c) over all texts; batches are counted first, so the shuffle carries distinct words."""
 
     def run(batches):
-        c: Counter = Counter()
         for b in batches:
-            for t in b.column(0).cast(pa.binary()).to_pylist():
-                c.update(words_of(t))
-                c[END] += 1
-            if len(c) > FLUSH:
-                yield flush(c)
-                c = Counter()
-        if c:
-            yield flush(c)
+            if b.num_rows:
+                words, at, _ = tokenised(b.column(0))
+                yield pa.record_batch([pa.array(words), pa.array(np.bincount(at, minlength=len(words)))], ["word", "c"])
 
-    def flush(c):
-        return pa.record_batch([pa.array(list(c.keys()), pa.binary()), pa.array(list(c.values()), pa.int64())], ["word", "c"])
-
-    return texts.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return texts.mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 @dataclass
@@ -71,14 +97,44 @@ class Vocabulary:
 
     n: int  # training tokens
     v: int  # distinct training tokens
-    head: dict[bytes, tuple[int, int]] = field(repr=False)  # word -> (class, count)
-    tail_n: np.ndarray = field(repr=False)  # tokens of each shared class
-    tail_v: np.ndarray = field(repr=False)  # distinct words of each shared class
-    top: int = TOP  # words with a class of their own, besides the end
-
-    def class_of(self, word: bytes) -> int:
-        got = self.head.get(word)
-        return got[0] if got else self.top + 1 + tail_class(word)
+    rank: dict[str, int] = field(repr=False)  # of the words in the head, by falling count; END is 0
+    count: np.ndarray = field(repr=False)
+    kind: np.ndarray = field(repr=False)  # class of each word of the head
+    topic: np.ndarray = field(repr=False)  # TOPICS: none
+    own: int = TOP  # words with a class of their own, besides the end
+    tail_n: np.ndarray = None  # tokens of each shared class
+    tail_v: np.ndarray = None  # distinct words of each shared class
+    once: int = 0  # of those, the words that occur once
+
+    @property
+    def classes(self) -> int:
+        """The end, own words, learnt classes, classes by letters, the unseen word."""
+        return 1 + self.own + KINDS + TAIL + 1
+
+    @property
+    def present(self) -> np.ndarray:
+        """Classes that have words; the unseen word's always has."""
+        out = self.tail_v > 0
+        out[: 1 + min(self.own, len(self.count) - 1)] = True
+        out[-1] = True
+        return out
+
+    def letters(self, word: str) -> int:
+        return 1 + self.own + KINDS + tail_class(word)
+
+    @property
+    def discount(self) -> float:
+        """What each distinct word of a shared class gives to the unseen word: in all one
+        count for each word that occurs once, but never more than 0.9 of a word's own."""
+        return min(0.9, self.once / max(1, int(self.tail_v.sum())))
+
+    def looked_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rank or -1, class, topic) of distinct words."""
+        rank = np.array([self.rank.get(w, -1) for w in words], np.int64)
+        kind, topic = self.kind[rank], self.topic[rank]
+        for k in np.flatnonzero(rank < 0):
+            kind[k], topic[k] = self.letters(words[k]), TOPICS
+        return rank, kind, topic
 
 
 def cutoff(counts: DataFrame, most: int) -> int:
@@ -93,158 +149,271 @@ def cutoff(counts: DataFrame, most: int) -> int:
     return least
 
 
-def vocabulary(counts: DataFrame, most: int = HEAD, own: int = TOP) -> Vocabulary:
+def head_of(counts: DataFrame, most: int, own: int) -> Vocabulary:
+    """The head's words; all but ``own`` of them are classed by their letters so far."""
     least = cutoff(counts, most)
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    head = counts.where(F.col("c") >= least).toArrow()
+    head = counts.where((F.col("c") >= least) & (F.col("word") != END)).toArrow()
     pairs = sorted(zip(head.column("word").to_pylist(), head.column("c").to_pylist()), key=lambda x: (-x[1], x[0]))
-    ends = counts.where(F.col("word") == F.lit(END)).first()
-    known: dict[bytes, tuple[int, int]] = {END: (0, ends["c"] if ends else 0)}
-    for k, (w, c) in enumerate(p for p in pairs if p[0] != END):
-        known[w] = (k + 1 if k < own else own + 1 + tail_class(w), c)
-    top = {w for w, (k, _) in known.items() if k <= own}
+    ends = counts.where(F.col("word") == END).first()
+    words = [END, *(w for w, _ in pairs)]
+    count = np.array([ends["c"] if ends else 0, *(c for _, c in pairs)], np.int64)
+    kind = np.array([k if k <= own else 1 + own + KINDS + tail_class(w) for k, w in enumerate(words)], np.int64)
+    return Vocabulary(total["n"] or 0, total["v"] or 0, {w: k for k, w in enumerate(words)}, count, kind, np.full(len(words), TOPICS, np.int64), own)
 
-    def run(batches):
-        n, v = np.zeros(TAIL), np.zeros(TAIL)
-        for b in batches:
-            for w, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if w not in top and w != END:
-                    k = tail_class(w)
-                    n[k] += c
-                    v[k] += 1
-        yield pa.record_batch([pa.array(range(TAIL), pa.int32()), pa.array(n.astype(np.int64)), pa.array(v.astype(np.int64))], ["k", "n", "v"])
 
-    sums = counts.mapInArrow(run, "k int, n long, v long").groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
-    tail_n, tail_v = np.zeros(TAIL, np.int64), np.zeros(TAIL, np.int64)
-    for r in sums:
-        tail_n[r["k"]], tail_v[r["k"]] = r["n"], r["v"]
-    return Vocabulary(total["n"] or 0, total["v"] or 0, known, tail_n, tail_v, own)
+def marks_before(texts: DataFrame, vocab: Vocabulary) -> np.ndarray:
+    """How often each of the MARKS most frequent words stands among the words before each learnt word."""
+    shared = texts.sparkSession.sparkContext.broadcast(vocab.rank)
 
+    def run(batches):
+        for b in batches:
+            words, at, first = tokenised(b.column(0))
+            rank = np.array([shared.value.get(w, -1) for w in words], np.int64)
+            for lo, hi in slices(first):
+                r = rank[at[first[lo] : first[hi]]]
+                keys = []
+                for k in range(1, len(WEIGHTS) + 1):
+                    target, mark = r[k:], r[:-k]
+                    # An end between the two parts texts.
+                    parted = np.cumsum(r == 0)
+                    ok = (target > 0) & (target <= LEARNT) & (mark > 0) & (mark <= MARKS) & (parted[k:] == parted[:-k])
+                    keys.append(target[ok] * (MARKS + 1) + mark[ok])
+                pair, n = np.unique(np.concatenate(keys), return_counts=True)
+                yield pa.record_batch([pa.array(pair), pa.array(n)], ["pair", "n"])
 
-def classes_of(vocab: Vocabulary, words: list[bytes]) -> np.ndarray:
-    """Classes of a text's words and its end."""
-    head, base = vocab.head, vocab.top + 1
-    return np.array([(head.get(w) or (base + tail_class(w),))[0] for w in words] + [0], np.int64)
-
+    got = texts.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(((LEARNT + 1), MARKS + 1), np.int64)
+    out.ravel()[got.column("pair").to_numpy()] = got.column("n").to_numpy()
+    return out
+
+
+def grouped(x: np.ndarray, weight: np.ndarray, k: int, rounds: int = 25, seed: int = 5) -> np.ndarray:
+    """Clusters of unit rows by cosine, weighted, from far-apart heavy rows."""
+    g, n = np.random.default_rng(seed), len(x)
+    if n <= k:
+        return np.arange(n)
+    centres, far = [int(np.argmax(weight))], np.full(n, np.inf)
+    for _ in range(k - 1):
+        far = np.minimum(far, 1 - x @ x[centres[-1]])
+        chance = np.maximum(far, 0) * np.sqrt(weight)
+        centres.append(int(g.choice(n, p=chance / chance.sum())) if chance.sum() > 0 else int(g.integers(n)))
+    c, label = x[centres], None
+    for _ in range(rounds):
+        new = (x @ c.T).argmax(1)
+        if label is not None and (new == label).all():
+            break
+        label = new
+        sums = np.zeros_like(c)
+        np.add.at(sums, label, x * weight[:, None])
+        norm = np.linalg.norm(sums, axis=1, keepdims=True)
+        c = np.where(norm > 0, sums / np.maximum(norm, 1e-9), c)
+    return label
+
+
+def learn_kinds(vocab: Vocabulary, before: np.ndarray) -> None:
+    """Give learnt words their topics, and those without a class of their own learnt classes."""
+    n = min(LEARNT, len(vocab.count) - 1)
+    seen = before[1 : n + 1, 1:].astype(np.float64)
+    enough = np.flatnonzero(seen.sum(1) >= 5)
+    if len(enough) < TOPICS:
+        return
+    share = (seen[enough].sum(0) + 1) / (seen[enough].sum() + MARKS)
+    x = np.sqrt(seen[enough] / seen[enough].sum(1, keepdims=True)) - np.sqrt(share)
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    x = x.astype(np.float32)
+    weight = np.sqrt(vocab.count[1 + enough].astype(np.float64))
+    vocab.topic[1 + enough] = grouped(x, weight, TOPICS)
+    rest = enough >= vocab.own
+    if rest.any():
+        vocab.kind[1 + enough[rest]] = 1 + vocab.own + grouped(x[rest], weight[rest], KINDS)
+
+
+def tail_sums(counts: DataFrame, vocab: Vocabulary) -> None:
+    """Tokens, distinct words and words that occur once of the shared classes, over all words."""
+    size, base = vocab.classes, 1 + vocab.own
+    shared = counts.sparkSession.sparkContext.broadcast(vocab)
 
-def neighbour_counts(texts: DataFrame, vocab: Vocabulary) -> np.ndarray:
-    """How often each class follows each, the end's class standing before a text."""
-    size, shared = vocab.top + 1 + TAIL, texts.sparkSession.sparkContext.broadcast(vocab)
+    def run(batches):
+        n, v, once = (np.zeros(size, np.int64) for _ in range(3))
+        for b in batches:
+            words, c = b.column(0).to_pylist(), b.column(1).to_numpy()
+            kind = shared.value.looked_up(words)[1]
+            np.add.at(n, kind, c)
+            v += np.bincount(kind, minlength=size)
+            once += np.bincount(kind[c == 1], minlength=size)
+        yield pa.record_batch([pa.array(range(size), pa.int32()), pa.array(n), pa.array(v), pa.array(once)], ["k", "n", "v", "once"])
+
+    vocab.tail_n, vocab.tail_v = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    sums = counts.mapInArrow(run, "k int, n long, v long, once long").where(F.col("k") >= base).groupBy("k").agg(*[F.sum(x).alias(x) for x in ("n", "v", "once")])
+    for r in sums.collect():
+        vocab.tail_n[r["k"]], vocab.tail_v[r["k"]] = r["n"], r["v"]
+        vocab.once += r["once"]
+
+
+def vocabulary(texts: DataFrame, counts: DataFrame, most: int = HEAD, own: int = TOP) -> Vocabulary:
+    vocab = head_of(counts, most, own)
+    learn_kinds(vocab, marks_before(texts, vocab))
+    tail_sums(counts, vocab)
+    return vocab
+
+
+def contexts(kind: np.ndarray, topic: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Each token's context: the class before times TOPICS + 1, plus the topic voted for."""
+    n = len(kind)
+    text = np.concatenate([[0], np.cumsum(ends)[:-1]])
+    votes = np.zeros((n, TOPICS + 1), np.int16)
+    votes[:, TOPICS] = 1  # none, unless some word votes
+    for k, weight in enumerate(WEIGHTS, 1):
+        row = np.flatnonzero((text[k:] == text[:-k]) & (topic[:-k] < TOPICS)) + k
+        votes[row, topic[row - k]] += weight
+    before = np.concatenate([[0], kind[:-1]])
+    return before * (TOPICS + 1) + votes.argmax(1)
+
+
+def class_counts(texts: DataFrame, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """(contexts, counts): how often each class follows each context that occurs."""
+    size, shared = vocab.classes, texts.sparkSession.sparkContext.broadcast(vocab)
 
     def run(batches):
-        total = np.zeros(size * size, np.int64)
         for b in batches:
-            keys = []
-            for t in b.column(0).cast(pa.binary()).to_pylist():
-                k = classes_of(shared.value, words_of(t))
-                keys.append(np.concatenate([[0], k[:-1]]) * size + k)
-            if keys:
-                at, n = np.unique(np.concatenate(keys), return_counts=True)
-                total[at] += n
-        at = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(at), pa.array(total[at])], ["pair", "n"])
+            words, at, first = tokenised(b.column(0))
+            _, kind, topic = shared.value.looked_up(words)
+            for lo, hi in slices(first):
+                here = at[first[lo] : first[hi]]
+                k = kind[here]
+                pair, n = np.unique(contexts(k, topic[here], here == len(words) - 1) * size + k, return_counts=True)
+                yield pa.record_batch([pa.array(pair), pa.array(n)], ["pair", "n"])
 
     got = texts.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(size * size, np.int64)
-    out[got.column("pair").to_numpy()] = got.column("n").to_numpy()
-    return out.reshape(size, size)
+    pair, n = got.column("pair").to_numpy(), got.column("n").to_numpy()
+    seen = np.unique(pair // size)
+    out = np.zeros((len(seen), size), np.float32)
+    out[np.searchsorted(seen, pair // size), pair % size] = n
+    # Absolute discounting: every distinct word of a shared class leaves a part of a count.
+    left = np.where(vocab.tail_n > 0, vocab.discount * vocab.tail_v / np.maximum(vocab.tail_n, 1), 0.0).astype(np.float32)
+    out[:, -1] = out @ left
+    out[:, :-1] *= 1 - left[:-1]
+    return seen, out
 
 
 @dataclass
 class LogBilinear:
-    r: np.ndarray  # what a class says of the next
+    r: np.ndarray  # what the class before says of the next
+    u: np.ndarray  # what the topic does
     q: np.ndarray
     b: np.ndarray
 
-    def log_probabilities(self) -> np.ndarray:
-        """Natural logs, normalised: row v holds those of every class after v."""
-        s = (self.r @ self.q.T + self.b).astype(np.float64)
-        top = s.max(1, keepdims=True)
-        return s - top - np.log(np.exp(s - top).sum(1, keepdims=True))
+    def log_probabilities(self, present: np.ndarray) -> np.ndarray:
+        """Natural logs, normalised over the classes present: row v * (TOPICS + 1) + t holds
+        those of every class in context (v, t)."""
+        out = np.empty((len(self.r) * len(self.u), len(self.q)), np.float32)
+        for v in range(len(self.r)):
+            s = ((self.r[v] + self.u) @ self.q.T + self.b).astype(np.float64)
+            s[:, ~present] = -np.inf
+            s -= s.max(1, keepdims=True)
+            out[v * len(self.u) : (v + 1) * len(self.u)] = s - np.log(np.exp(s).sum(1, keepdims=True))
+        return out
 
 
-def fit_nce(pairs: np.ndarray, rank: int = RANK, noise: int = 64, batch: int = 2048, steps: int = 2500, rate: float = 0.05, seed: int = 11) -> LogBilinear:
+def fit_nce(seen: np.ndarray, counts: np.ndarray, rank: int = RANK, noise: float = 256.0, steps: int = 120, rate: float = 0.08, seed: int = 11) -> LogBilinear:
     """Noise-contrastive estimation with the unigram distribution as noise.
 
-    Positives are drawn in proportion to the gathered counts; every batch shares
-    ``noise`` noise classes, so scores of data and noise are two matrix products."""
-    g, size = np.random.default_rng(seed), len(pairs)
-    unigram = (pairs.sum(0) + 0.5) / (pairs.sum() + 0.5 * size)
-    log_noise = np.log(unigram * noise).astype(np.float32)
-    net = LogBilinear(g.normal(0, 0.1, (size, rank)).astype(np.float32), g.normal(0, 0.1, (size, rank)).astype(np.float32), np.log(unigram).astype(np.float32))
-    if not pairs.sum():
+    Every step passes over all gathered counts: a context's data are its counts, its
+    noise what ``noise`` draws for each of them would give on average."""
+    g, size = np.random.default_rng(seed), counts.shape[1]
+    each = counts.sum(1, keepdims=True)
+    total = float(each.sum())
+    unigram = (counts.sum(0) + 0.5) / (total + 0.5 * size)
+    net = LogBilinear(*[g.normal(0, 0.1, (n, rank)).astype(np.float32) for n in (size, TOPICS + 1, size)], np.log(unigram).astype(np.float32))
+    if not total:
         return net
-    cells = np.flatnonzero(pairs)
-    cum, noise_cum = np.cumsum(pairs.ravel()[cells]), np.cumsum(unigram)
-    parts = [net.r, net.q, net.b]
-    sq = [np.full_like(p, 1e-6) for p in parts]
-    for t in range(steps):
-        at = cells[np.searchsorted(cum, g.integers(0, cum[-1], batch), "right")]
-        v, w = at // size, at % size
-        z = np.minimum(np.searchsorted(noise_cum, g.random(noise)), size - 1)
-        rv, qw, qz = net.r[v], net.q[w], net.q[z]
-        good = 1 / (1 + np.exp(np.clip((rv * qw).sum(1) + net.b[w] - log_noise[w], -30, 30)))  # 1 - P(data)
-        bad = 1 / (1 + np.exp(np.clip(-(rv @ qz.T + net.b[z] - log_noise[z]), -30, 30)))
+    v, t = seen // (TOPICS + 1), seen % (TOPICS + 1)
+    log_noise = np.log(unigram * noise).astype(np.float32)
+    # Frequent contexts would drown the others: a context weighs as the root of its count.
+    weight = (1 / np.sqrt(each)).astype(np.float32)
+    weight /= float((weight * each).sum())
+    parts = [net.r, net.u, net.q, net.b]
+    m, s = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
+    for k in range(1, steps + 1):
+        h = net.r[v] + net.u[t]
+        data = 1 / (1 + np.exp(np.clip(log_noise - net.b - h @ net.q.T, -30, 30)))  # P(data) of each pair
+        push = (counts * (1 - data) - each * (noise * unigram).astype(np.float32) * data) * weight
+        dh = push @ net.q
         grads = [np.zeros_like(p) for p in parts]
-        np.add.at(grads[0], v, good[:, None] * qw - bad @ qz)
-        np.add.at(grads[1], w, good[:, None] * rv)
-        np.add.at(grads[1], z, -(bad.T @ rv))
-        np.add.at(grads[2], w, good)
-        np.add.at(grads[2], z, -bad.sum(0))
-        step = rate * (1 - t / steps) + 1e-4
-        for p, d, s in zip(parts, grads, sq):
-            d /= batch
-            s *= 0.99
-            s += 0.01 * d * d
-            p += step * d / np.sqrt(s + 1e-10)
+        np.add.at(grads[0], v, dh)
+        np.add.at(grads[1], t, dh)
+        grads[2], grads[3] = push.T @ h, push.sum(0)
+        step = rate * (1 - (k - 1) / steps) + 1e-3
+        for p, d, a, b in zip(parts, grads, m, s):
+            a += 0.1 * (d - a)
+            b += 0.05 * (d * d - b)
+            p += step * (a / (1 - 0.9**k)) / (np.sqrt(b / (1 - 0.95**k)) + 1e-9)
     return net
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", steps: int = 2500, most: int = HEAD, own: int = TOP) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", steps: int = 120, most: int = HEAD, own: int = TOP) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row.
 
     Null and empty texts are the end alone.  Rows with a null id count as training
     rows; repeated rows count and are scored each time.  With no training row at all,
-    every word is unseen.  Scores are log10 of the whole text's probability.  ``most``
-    words' counts are broadcast at most; ``own`` words have a class of their own.
+    every word is unseen.  Scores are log10 of the whole text's probability, all unseen
+    words being one.  ``most`` words' counts are broadcast at most; ``own`` words have a
+    class of their own.
     """
     spark = docs.sparkSession
     train = docs.where(~held_out(id_col)).select(F.col(text_col).cast("string").alias("text"))
     counts = stage(count_words(train), "word-counts")
-    vocab = vocabulary(counts, most, own)
-    net = fit_nce(neighbour_counts(train, vocab), steps=steps)
-    table = net.log_probabilities().astype(np.float32)
-    # the share of a word in its class, but for its own count
-    share = -np.log10(vocab.tail_n + vocab.tail_v + 1.0)
-    base = -np.log10(float(vocab.n + vocab.v + 1))
-    shared = spark.sparkContext.broadcast((vocab, table, share))
+    vocab = vocabulary(train, counts, most, own)
+    net = fit_nce(*class_counts(train, vocab), steps=steps)
+    table = (net.log_probabilities(vocab.present) / np.log(10)).astype(np.float32)
+    base = -float(np.log10(vocab.n + vocab.v + 1))
+    room = np.maximum(vocab.tail_n - vocab.discount * vocab.tail_v, 1e-9)  # what shares are of
+    shared = spark.sparkContext.broadcast((vocab, table, -np.log10(room)))
 
     def run(batches):
         vocab, table, share = shared.value
+        lost = vocab.discount
         for b in batches:
-            rows = []
-            for doc, out, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist()):
-                words = words_of(text)
-                got = [vocab.head.get(w) for w in words] + [vocab.head[END]]
-                missing = Counter(w for w, g in zip(words, got) if g is None)
-                k = classes_of(vocab, words)
-                c = np.array([0 if g is None else g[1] for g in got], np.int64)
-                own, before = np.log10(c + 1.0), np.concatenate([[0], k[:-1]])
-                tail = k > vocab.top
-                model = table[before, k].sum(dtype=np.float64) / np.log(10) + own[tail].sum() + share[k[tail] - vocab.top - 1].sum()
-                rows.append((doc, out, len(k), int((c > 0).sum()), float(own.sum() + base * len(k)), float(model), list(missing.keys()), list(missing.values())))
-            cols = list(zip(*rows)) if rows else [[] for _ in range(8)]
-            types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
-            yield pa.record_batch([pa.array(x, t) for x, t in zip(cols, types)], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "times"])
+            words, at, first = tokenised(b.column(2))
+            rank, kind, topic = vocab.looked_up(words)
+            count = np.where(rank >= 0, vocab.count[rank], 0)
+            tail, known = kind > vocab.own, rank >= 0
+            inner = np.where(tail, share[kind] + np.log10(np.maximum(count - lost, 1e-9)), 0.0)
+            docs_at = 0
+            for lo, hi in slices(first):
+                here = at[first[lo] : first[hi]]
+                text = np.repeat(np.arange(hi - lo), np.diff(first[lo : hi + 1]))
+                ctx = contexts(kind[here], topic[here], here == len(words) - 1)
+                per = lambda x: np.bincount(text, x, hi - lo)
+                seen = table[ctx, kind[here]].astype(np.float64)
+                unseen = table[ctx, -1].astype(np.float64)
+                far = ~known[here]
+                # Words beyond the head count as unseen until the join finds them.
+                model = per(np.where(far, unseen, seen + inner[here]))
+                own = per(np.log10(count[here] + 1.0) + base)
+                pair, which = np.unique(text[far] * len(words) + here[far], return_inverse=True)
+                gain = np.bincount(which, (seen - unseen)[far] + share[kind[here[far]]], len(pair))
+                edges = np.searchsorted(pair, np.arange(hi - lo + 1) * len(words))
+                lists = [pa.array(words).take(pa.array(pair % len(words))), pa.array(np.bincount(which, minlength=len(pair))), pa.array(gain)]
+                rare = [pa.ListArray.from_arrays(pa.array(edges, pa.int32()), x) for x in lists]
+                rows = b.slice(lo, hi - lo)
+                yield pa.record_batch(
+                    [rows.column(0), rows.column(1), pa.array(np.diff(first[lo : hi + 1])), pa.array(per(count[here] > 0).astype(np.int64)), pa.array(own), pa.array(model), *rare],
+                    ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "times", "turns"],
+                )
 
     some = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<binary>, times array<long>"
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<string>, times array<long>, turns array<double>"
     rows = stage(some.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     # Words beyond the broadcast head: their counts come by a join, and only if they have any.
-    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
-    least = min((c for w, (_, c) in vocab.head.items() if w != END), default=0)
-    found = rare.join(counts.where(F.col("c") < least) if least else counts, "word").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("gain"))
-    gain = F.coalesce("gain", F.lit(0.0))
-    return rows.drop("rare", "times").join(found, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(vocab.n).cast("long").alias("train_tokens"), (F.col("base_score") + gain).alias("base_score"), (F.col("score") + gain).alias("score")
+    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times", "turns")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"), F.col("x.turns").alias("turns"))
+    least = int(vocab.count[1:].min()) if len(vocab.count) > 1 else 0
+    c = F.col("c")
+    found = rare.join(counts.where(c < least) if least else counts, "word").groupBy("row").agg(
+        F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(c + 1.0)).alias("gain"), F.sum(F.col("turns") + F.col("times") * F.log10(c - F.lit(float(vocab.discount)))).alias("turn")
+    )
+    plus = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias(a)
+    return rows.drop("rare", "times", "turns").join(found, "row", "left").select(
+        "doc_id", "held_out", "n_tokens", plus("n_known", "more"), F.lit(vocab.n).cast("long").alias("train_tokens"), plus("base_score", "gain"), plus("score", "turn")
     )

@@ -408,9 +408,52 @@ def test_shards_small(docs, none, spark):
 # --- 6
 
 
-def test_lm_base_counts_and_normalisation(spark, docs, monkeypatch):
-    monkeypatch.setattr(lm_score, "FLUSH", 5)
-    got = lm_score.score(docs, steps=50, most=12, own=6).collect()
+def test_lm_words(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(lm_score, "SLICE", 7)
+    texts = [*ODD, "A\tb\x0b\x0cÉ\r\n a ", None, *(x[1] for x in docs_rows())]
+    words, at, first = lm_score.tokenised(pa.array(texts))
+    for k, t in enumerate(texts):
+        want = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + [" "]
+        assert [words[i] for i in at[first[k] : first[k + 1]]] == want
+    parts = list(lm_score.slices(first))
+    assert parts[0][0] == 0 and parts[-1][1] == len(texts) and all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
+
+
+def test_lm_score_by_brute_force(spark, docs, monkeypatch):
+    """Every token by itself: its context, its class's probability, its share, in plain Python."""
+    monkeypatch.setattr(lm_score, "SLICE", 50)
+    none = lm_score.TOPICS
+    got = {(x["doc_id"], x["n_tokens"]): x["score"] for x in lm_score.score(docs, steps=20, most=16, own=5).collect()}
+    train = docs.where(~lm_score.held_out("doc_id")).select("text")
+    counts = lm_score.count_words(train)
+    vocab = lm_score.vocabulary(train, counts, 16, 5)
+    assert len(set(vocab.topic[1:])) > 1 and (vocab.kind[6:] < 1 + 5 + lm_score.KINDS).any()
+    table = lm_score.fit_nce(*lm_score.class_counts(train, vocab), steps=20).log_probabilities(vocab.present) / np.log(10)
+    c = {r["word"]: r["c"] for r in counts.collect()}
+    kind = lambda w: int(vocab.kind[vocab.rank[w]]) if w in vocab.rank else vocab.letters(w)
+    topic = lambda w: int(vocab.topic[vocab.rank[w]]) if w in vocab.rank else none
+    for r in docs_rows():
+        words, total = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r[1] or "")) + [" "], 0.0
+        for k, w in enumerate(words):
+            votes = [0] * none + [1]
+            for j, weight in enumerate(lm_score.WEIGHTS, 1):
+                if j <= k and topic(words[k - j]) < none:
+                    votes[topic(words[k - j])] += weight
+            row = table[(kind(words[k - 1]) if k else 0) * (none + 1) + int(np.argmax(votes))]
+            if w not in c:
+                total += row[-1]
+                continue
+            total += row[kind(w)]
+            if kind(w) > 5:
+                total += np.log10((c[w] - vocab.discount) / (vocab.tail_n[kind(w)] - vocab.discount * vocab.tail_v[kind(w)]))
+        assert got[r[0], len(words)] == pytest.approx(total, rel=1e-4, abs=1e-3)
+
+
+def test_lm_base_counts(spark, docs, monkeypatch):
+    monkeypatch.setattr(lm_score, "SLICE", 100)
+    got = lm_score.score(docs, steps=10, most=12, own=6).collect()
     rows = docs_rows()
     words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + [" "]
     out = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
@@ -427,27 +470,29 @@ def test_lm_base_counts_and_normalisation(spark, docs, monkeypatch):
 def test_lm_words_of_a_context_sum_to_one(spark):
     texts = spark.createDataFrame([(t,) for t in ("a b a c d", "b a e f g h", "a a b")], "text string")
     counts = lm_score.count_words(texts)
-    vocab = lm_score.vocabulary(counts, own=4)
-    table = lm_score.fit_nce(lm_score.neighbour_counts(texts, vocab), steps=30).log_probabilities()
-    p = np.exp(table)
-    assert np.allclose(p.sum(1), 1)
-    c = {bytes(r["word"]): r["c"] for r in counts.collect()}
-    total = 0.0
-    for w, k in c.items():
-        cls = vocab.class_of(w)
-        total += p[3, cls] * (1 if cls <= 4 else (k + 1) / (vocab.tail_n[cls - 5] + vocab.tail_v[cls - 5] + 1))
-    unseen = sum(p[3, 5 + k] / (vocab.tail_n[k] + vocab.tail_v[k] + 1) for k in range(lm_score.TAIL))
-    absent = sum(p[3, k] for k in range(5) if k not in {vocab.class_of(w) for w in c})
-    assert total + unseen + absent == pytest.approx(1.0)
+    vocab = lm_score.vocabulary(texts, counts, own=4)
+    p = np.exp(lm_score.fit_nce(*lm_score.class_counts(texts, vocab), steps=5).log_probabilities(vocab.present).astype(np.float64))
+    assert np.allclose(p.sum(1), 1, atol=1e-5)
+    total = p[30, -1]
+    for r in counts.collect():
+        k = int(vocab.kind[vocab.rank[r["word"]]])
+        total += p[30, k] * (1 if k <= 4 else (r["c"] - vocab.discount) / (vocab.tail_n[k] - vocab.discount * vocab.tail_v[k]))
+    assert total == pytest.approx(1.0, abs=1e-5)
 
 
 def test_lm_beats_unigrams_where_order_counts(spark):
     r = random.Random(8)
     rows = [(k, " ".join(w for _ in range(40) for w in r.choice([("red", "sky"), ("old", "sea"), ("far", "moon")]))) for k in range(120)]
-    got = lm_score.score(spark.createDataFrame(rows, "doc_id long, text string"), steps=1500).where("held_out").agg(F.sum("base_score"), F.sum("score")).first()
+    got = lm_score.score(spark.createDataFrame(rows, "doc_id long, text string")).where("held_out").agg(F.sum("base_score"), F.sum("score")).first()
     assert got[1] > got[0] * 0.8  # log probabilities: nearer zero
 
 
+def test_lm_held_out_gain_on_real_tables(spark):
+    """On the test tables held-out texts are far likelier than by word counts alone."""
+    got = lm_score.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out").agg(F.sum("base_score"), F.sum("score")).first()
+    assert got[1] > got[0] * 0.9
+
+
 def test_lm_empty(none):
     assert lm_score.score(none, steps=2).count() == 0
 
