@@ -59,14 +59,18 @@ def tokenised(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
     A-Z are lower-cased and ASCII white space splits; the last distinct word is END,
     and every text ends with it."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")))
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts.cast(pa.large_string()).fill_null(""))))
     words, edge = lists.values, lists.offsets.to_numpy()
-    full = pc.binary_length(words).to_numpy() > 0  # white space at a text's ends leaves empty parts
-    ahead = np.concatenate([[0], np.cumsum(full)])
-    found = words.filter(pa.array(full)).dictionary_encode()
-    first = ahead[edge] + np.arange(len(edge))
-    at = np.full(first[-1], len(found.dictionary), np.int64)
-    at[np.delete(np.arange(first[-1]), first[1:] - 1)] = found.indices.to_numpy()
+    if pc.min(pc.binary_length(words)).as_py() == 0:  # an empty text has one empty part
+        full = pc.binary_length(words).to_numpy() > 0
+        edge = np.concatenate([[0], np.cumsum(full)])[edge]
+        words = words.filter(pa.array(full))
+    found = words.dictionary_encode()
+    first = edge + np.arange(len(edge))
+    word = np.ones(first[-1], bool)
+    word[first[1:] - 1] = False
+    at = np.full(first[-1], len(found.dictionary), np.int32)
+    at[word] = found.indices.to_numpy()
     return [*found.dictionary.to_pylist(), END], at, first
 
 
@@ -261,7 +265,7 @@ def vocabulary(texts: DataFrame, counts: DataFrame, most: int = HEAD, own: int =
 def contexts(kind: np.ndarray, topic: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Each token's context: the class before times TOPICS + 1, plus the topic voted for."""
     n = len(kind)
-    text = np.concatenate([[0], np.cumsum(ends)[:-1]])
+    text = np.concatenate([[0], np.cumsum(ends, dtype=np.int32)[:-1]])
     votes = np.zeros((n, TOPICS + 1), np.int16)
     votes[:, TOPICS] = 1  # none, unless some word votes
     for k, weight in enumerate(WEIGHTS, 1):
@@ -393,7 +397,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", steps
                 model = per(np.where(far, unseen, seen + inner[here]))
                 own = per(np.log10(count[here] + 1.0) + base)
                 pair, which = np.unique(text[far] * len(words) + here[far], return_inverse=True)
-                gain = np.bincount(which, (seen - unseen)[far] + share[kind[here[far]]], len(pair))
+                gain = np.bincount(which, (seen - unseen)[far] + share[kind[here[far]]], len(pair)).astype(np.float64)
                 edges = np.searchsorted(pair, np.arange(hi - lo + 1) * len(words))
                 lists = [pa.array(words).take(pa.array(pair % len(words))), pa.array(np.bincount(which, minlength=len(pair))), pa.array(gain)]
                 rare = [pa.ListArray.from_arrays(pa.array(edges, pa.int32()), x) for x in lists]
