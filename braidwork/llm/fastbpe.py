@@ -35,9 +35,9 @@ _RUNS = re.compile(f"([{_LETTER}]*)([{_MARKS}]*)(\n?)")
 #: Texts of these characters lower-case one character at a time.
 _UNSAFE_LOWER = re.compile("[^\x00-įı-ɏ]")
 #: Longer chunks are encoded each time they occur; up to twice MOST others are remembered.
-LONGEST, MOST = 64, 400_000
+LONGEST, MOST = 64, 150_000
 #: Characters cut and put together at a time (a long text is never cut).
-SLICE = 8_000_000
+SLICE = 4_000_000
 
 
 class Encoder:
@@ -120,6 +120,7 @@ class Encoder:
             size += len(text or "")
             if size >= SLICE or hi == len(texts):
                 yield from self.batch(texts[lo:hi])
+                pa.default_memory_pool().release_unused()  # a worker lives on beside others
                 lo, size = hi, 0
 
     def batch(self, texts: list[str | None]) -> list[bytes]:

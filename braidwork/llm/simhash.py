@@ -293,11 +293,12 @@ def wide_print(text: bytes | None, width: int) -> tuple[int, bytes, list[int]]:
     if not len(h):
         return 0, bytes(8 * WIDE), [0]
     counts, least = np.zeros(64 * WIDE, np.int64), np.full(SMALLEST, (1 << 64) - 1, np.uint64)
-    for k in range(0, len(h), 4096):
-        some = h[k : k + 4096]
+    for k in range(0, len(h), 255):  # as many as bytes can count
+        some = h[k : k + 255]
         wide = np.stack([mixed(some + np.uint64(w)) for w in range(WIDE)], 1)
-        counts += np.unpackbits(wide.view(np.uint8).reshape(len(some), -1), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        least = np.minimum(least, mixed(some[:, None] * _MIX[0] + _MIX[1]).min(0))
+        counts += np.unpackbits(wide.view(np.uint8).reshape(len(some), -1), axis=1, bitorder="little").sum(0, dtype=np.uint8)
+        # Multiply and add: the order of the products depends on all bits of a hash.
+        least = np.minimum(least, (some[:, None] * _MIX[0] + _MIX[1]).min(0))
     cells = [xxhash.xxh64_intdigest(least[k : k + NAME].tobytes(), k) for k in range(0, SMALLEST, NAME)]
     return xxhash.xxh64_intdigest(h.tobytes(), SEED), np.packbits(2 * counts > len(h), bitorder="little").tobytes(), cells
 
