@@ -142,9 +142,7 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "do
     found = hits(texts, benchmark, item_id, item_text, n, ("doc_id", *KEY), every=True)
     n_hit = covered(F.col("spans"))
     each = found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "copies")
-    # Nearly all rows are there once: only others are multiplied.
-    once, more = each.where("copies = 1").drop("copies"), each.where("copies > 1")
-    return once.unionByName(more.withColumn("_k", F.explode(F.sequence(F.lit(1), "copies"))).drop("_k", "copies"))
+    return each.withColumn("_k", F.explode(F.sequence(F.lit(1), "copies"))).drop("_k", "copies")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", remove: str = "documents") -> DataFrame:
