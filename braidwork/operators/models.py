@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -39,42 +38,6 @@ def cell_calls(counts: DataFrame, odds: float = 20.0) -> DataFrame:
     return counts.withColumn("is_cell", F.col("n") >= F.lit(cut))
 
 
-def pca(m: DataFrame, k: int, features: int = 500) -> DataFrame:
-    """(barcode_id, score): the first k components of log counts of the most dispersed features.
-
-    The features' cross products, ``features`` squared numbers, are summed by Spark;
-    the driver takes their eigenvectors; projections are sums over the entries."""
-    n = m.select("barcode_id").distinct().count()
-    dense = m.groupBy("feature_id").agg(F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("q"))
-    spread = dense.withColumn("disp", (F.col("q") / n - F.pow(F.col("s") / n, 2)) / (F.col("s") / n))
-    chosen = spread.orderBy(F.desc("disp"), "feature_id").limit(features).select("feature_id").toPandas()["feature_id"].sort_values().tolist()
-    at = {f: i for i, f in enumerate(chosen)}
-    spark = m.sparkSession
-    names = spark.createDataFrame([(f, i) for f, i in at.items()], "feature_id long, i int")
-    x = m.join(F.broadcast(names), "feature_id").select("barcode_id", "i", F.log2(F.col("value") + 1.0).alias("x"))
-    rows = x.groupBy("barcode_id").agg(F.collect_list(F.struct("i", "x")).alias("r"))
-
-    def gram(pdfs):
-        g, s = np.zeros((len(at), len(at))), np.zeros(len(at))
-        for pdf in pdfs:
-            for r in pdf["r"]:
-                i, v = np.array([e["i"] for e in r]), np.array([e["x"] for e in r])
-                g[np.ix_(i, i)] += np.outer(v, v)
-                s[i] += v
-        yield pd.DataFrame({"g": [g.tobytes()], "s": [s.tobytes()]})
-
-    parts = rows.mapInPandas(gram, "g binary, s binary").toPandas()  # features squared numbers for each partition
-    g = sum(np.frombuffer(b).reshape(len(at), -1) for b in parts["g"])
-    mean = sum(np.frombuffer(b) for b in parts["s"]) / n
-    cov = g / n - np.outer(mean, mean)
-    values, vectors = np.linalg.eigh(cov)
-    top = vectors[:, ::-1][:, :k]
-    top = top * np.sign(top[np.abs(top).argmax(0), np.arange(top.shape[1])])
-    load = spark.createDataFrame([(int(i), [float(z) for z in row]) for i, row in enumerate(top)], f"i int, w array<double>")
-    sums = x.join(F.broadcast(load), "i").groupBy("barcode_id").agg(*[F.sum(F.col("x") * F.col("w")[j]).alias(f"s{j}") for j in range(k)])
-    return sums.select("barcode_id", F.array(*[F.round(F.col(f"s{j}") - F.lit(float(mean @ top[:, j])), 6) for j in range(k)]).alias("score"))
-
-
 def kmeans(points: DataFrame, k: int, seed: int = 1) -> DataFrame:
     """(barcode_id, label) with labels by falling cluster size from 1."""
     from .matrix import relabel_by_size

@@ -2,33 +2,127 @@
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .matrix import idf
+from .matrix import depth_normalise, idf, moments, normalised_dispersion, select
 from .staged import settle
 
 
-def lsa(m: DataFrame, k: int, rounds: int = 4, seed: int = 5) -> DataFrame:
-    """(barcode_id, score): the k leading left singular vectors' scores of the IDF-weighted matrix.
+def lsa(m: DataFrame, k: int, seed: int = 5, tolerance: float = 1e-4, features: int | None = None, fit_on: DataFrame | None = None) -> DataFrame:
+    """(barcode_id, score): the IDF-weighted matrix times its k leading feature vectors.
+
+    ``features`` keeps the most dispersed ones for the fit, ``fit_on`` (barcode_id) some
+    barcodes; all barcodes are projected."""
+    barcodes = m.select("barcode_id").distinct()
+
+    def weighted(some):
+        n = some.select("barcode_id").distinct().count()
+        return settle(idf(some, n).select("feature_id", "barcode_id", "value"))
+
+    x = weighted(m)
+    fit = x if features is None and fit_on is None else weighted(_part(m, features, fit_on))
+    return project(x, barcodes, leading(fit, k, seed, tolerance))
+
+
+def pca(m: DataFrame, k: int, seed: int = 5, tolerance: float = 1e-4, features: int | None = None, fit_on: DataFrame | None = None) -> DataFrame:
+    """(barcode_id, score): the first k principal components of log counts.
+
+    Barcodes are brought to the median depth, counts become log2(1 + x), and features
+    are centred and scaled to a variance of one; centring is done in the products, so the
+    matrix stays sparse.  ``features`` and ``fit_on`` as in ``lsa``."""
+    barcodes = m.select("barcode_id").distinct()
+
+    def scaled(some):
+        n = some.select("barcode_id").distinct().count()
+        logs = settle(depth_normalise(some).select("feature_id", "barcode_id", F.log2(F.col("value") + 1.0).alias("value")))
+        size = moments(logs, "feature_id", n).select("feature_id", "mean", F.sqrt(F.when(F.col("var") > 1e-12, F.col("var")).otherwise(1.0)).alias("sd"))
+        x = settle(logs.join(size, "feature_id").select("feature_id", "barcode_id", (F.col("value") / F.col("sd")).alias("value")))
+        return x, size.select("feature_id", (F.col("mean") / F.col("sd")).alias("mean")), n
+
+    x, means, n = scaled(m)
+    fit = (x, means, n) if features is None and fit_on is None else scaled(_part(m, features, fit_on))
+    return project(x, barcodes, leading(fit[0], k, seed, tolerance, fit[1], fit[2]), means)
+
+
+def _part(m: DataFrame, features: int | None, barcodes: DataFrame | None) -> DataFrame:
+    """Entries of the most dispersed features and of some barcodes."""
+    if features is not None:
+        n = m.select("barcode_id").distinct().count()
+        z = normalised_dispersion(moments(depth_normalise(m), "feature_id", n))
+        m = select(m, z.orderBy(F.desc_nulls_last("z"), "feature_id").limit(features), "feature_id")
+    return settle(m if barcodes is None else select(m, barcodes, "barcode_id"))
+
+
+# --- leading vectors of a sparse matrix
+
+
+def leading(x: DataFrame, k: int, seed: int = 5, tolerance: float = 1e-4, means: DataFrame | None = None, n: int = 0, most_rounds: int = 50) -> DataFrame:
+    """(feature_id, v): the k leading right singular vectors of a barcode by feature matrix.
+
+    Block Krylov iteration: a feature's row holds its numbers in a basis ``v`` and in the
+    basis' image ``w`` under the matrix and its transpose.  A round finds the best vectors
+    within the basis, and what their images leave over widens it, through joins with the
+    entries.  Only products of columns, some 100 by 100 numbers summed by Spark, reach
+    the driver.  It ends when every vector's residual is below ``tolerance`` times the
+    largest singular value; with ``most_rounds`` passed it warns.  ``means`` centres the
+    features over ``n`` barcodes without filling the matrix.  A matrix of lower rank
+    gives fewer vectors."""
+    names = x.select("feature_id").distinct()
+    width = k + 4
+    start = F.array(*[F.pmod(F.xxhash64("feature_id", F.lit(seed + j)), F.lit(2001)) / 1000.0 - 1.0 for j in range(width)])
+    mean = names.withColumn("mean", F.lit(0.0)) if means is None else names.join(means, "feature_id")
+    t = settle(mean.select("feature_id", F.array("mean", F.lit(1.0)).alias("extra"), start.alias("v"), F.array().cast("array<double>").alias("w")))
+    g = products(t)
+    if not len(g):
+        return names.withColumn("v", F.array().cast("array<double>"))
+    turn = whitened(g[2:, 2:])
+    t, along = turned(t, {"v": [], "w": [], "p": [("v", turn)]}), g[0, 2:] @ turn
+    for r in range(most_rounds):
+        t = settle(_with_image(t, x, along * n))
+        g = products(t)
+        j = (len(g) - 2) // 2
+        basis, image = slice(2, 2 + j), slice(2 + j, 2 + 2 * j)
+        free = whitened(g[basis, basis])
+        inner = free.T @ g[basis, image] @ free
+        values, best = np.linalg.eigh((inner + inner.T) / 2)
+        values, best = np.maximum(values[::-1], 0), free @ best[:, ::-1]
+        kept = best[:, :k]
+        left = kept.T @ g[image, image] @ kept - np.diag(values[:k] ** 2)
+        top, own = np.sqrt(values[0]), np.sqrt(values[:k])
+        far = np.sqrt(np.maximum(np.diag(left), 0)) > tolerance * top * np.maximum(own, 1e-3 * top)
+        if not far.any() or r == most_rounds - 1:
+            break
+        # At five blocks the basis begins again from its best vectors, images included.
+        stay = best[:, :width] if j + k > 5 * width else np.eye(j)
+        rest = left[np.ix_(far, far)]
+        size = 1 / np.sqrt(np.diag(rest))
+        out = whitened(rest * size[:, None] * size)
+        over_w, over_v = (kept[:, far] * size) @ out, -(kept[:, far] * values[:k][far] * size) @ out
+        along = g[0, image] @ over_w + g[0, basis] @ over_v
+        t = turned(t, {"v": [("v", stay)], "w": [("w", stay)], "p": [("w", over_w), ("v", over_v)]})
+    if far.any():
+        warnings.warn(f"{int(far.sum())} of {k} vectors are not within {tolerance} after {most_rounds} rounds", stacklevel=2)
+    kept = kept[:, values[:k] > 1e-12 * values[0]]
+    sign = np.where(g[1, basis] @ kept < 0, -1.0, 1.0)
+    return turned(t, {"v": [("v", kept * sign)]}, extra=False).select("feature_id", "v")
+
 
-    Subspace iteration: the features' basis (k numbers each) is joined to the entries,
-    multiplied through to barcodes and back, and made orthogonal from a k by k
-    product; nothing but such k by k sums reaches the driver."""
-    n = m.select("barcode_id").distinct().count()
-    x = idf(m, n).select("feature_id", "barcode_id", "value").persist()
-    basis = x.select("feature_id").distinct().select("feature_id", F.array(*[F.pmod(F.xxhash64("feature_id", F.lit(seed + j)), F.lit(2001)) / 1000.0 - 1.0 for j in range(k)]).alias("v"))
-    for r in range(rounds):
-        basis = _orthonormal(basis, "feature_id", k)
-        left = _times(x, basis, "feature_id", "barcode_id", k)
-        if r < rounds - 1:
-            basis = _times(x, left, "barcode_id", "feature_id", k)
-    g = _gram(left, k)
-    _, turn = np.linalg.eigh(g)
-    turn = turn[:, ::-1]
-    turn = turn * np.sign(turn[np.abs(turn).argmax(0), np.arange(k)])
-    return left.select("barcode_id", F.array(*[sum((F.col("v")[i] * float(turn[i, j]) for i in range(1, k)), F.col("v")[0] * float(turn[0, j])) for j in range(k)]).alias("score"))
+def project(x: DataFrame, barcodes: DataFrame, vectors: DataFrame, means: DataFrame | None = None) -> DataFrame:
+    """(barcode_id, score): each barcode's row times the vectors; one without entries counts as well."""
+    vectors = settle(vectors)
+    k = vectors.agg(F.max(F.size("v"))).first()[0] or 0
+    if not k:
+        return barcodes.select("barcode_id", F.array().cast("array<double>").alias("score"))
+    middle = [0.0] * k
+    if means is not None:
+        middle = list(vectors.join(means, "feature_id").agg(*[F.sum(F.col("mean") * F.col("v")[j]) for j in range(k)]).first())
+    sums = barcodes.join(_times(x, vectors, "feature_id", "barcode_id", k), "barcode_id", "left")
+    return sums.select("barcode_id", F.array(*[F.coalesce(F.col("v")[j], F.lit(0.0)) - F.lit(float(middle[j])) for j in range(k)]).alias("score"))
 
 
 def _times(x: DataFrame, vectors: DataFrame, over: str, to: str, k: int) -> DataFrame:
@@ -36,43 +130,108 @@ def _times(x: DataFrame, vectors: DataFrame, over: str, to: str, k: int) -> Data
     return sums.select(to, F.array(*[f"s{j}" for j in range(k)]).alias("v"))
 
 
-def _gram(vectors: DataFrame, k: int) -> np.ndarray:
-    row = vectors.agg(*[F.sum(F.col("v")[i] * F.col("v")[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
-    g = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            g[i, j] = g[j, i] = row[f"g{i}_{j}"] or 0.0
+def _with_image(t: DataFrame, x: DataFrame, along: np.ndarray) -> DataFrame:
+    """``t`` with its new columns ``p`` added to the basis and their image to ``w``."""
+    k = len(along)
+    there = _times(x, t.select("feature_id", F.col("p").alias("v")), "feature_id", "barcode_id", k)
+    back = _times(x, there, "barcode_id", "feature_id", k).withColumnRenamed("v", "z")
+    centred = F.array(*[F.col("z")[j] - F.col("extra")[0] * F.lit(float(along[j])) for j in range(k)])
+    return t.join(back, "feature_id").select("feature_id", "extra", F.concat("v", "p").alias("v"), F.concat("w", centred).alias("w"))
+
+
+def _table(column) -> np.ndarray:
+    return np.asarray(column.flatten(), float).reshape(len(column), -1)
+
+
+def products(t: DataFrame) -> np.ndarray:
+    """Products of all columns (extra, v, w), summed by Spark, one number of each task and pair."""
+
+    def run(batches):
+        total = 0
+        for b in batches:
+            if b.num_rows:
+                rows = np.concatenate([_table(c) for c in b.columns if len(c.flatten())], 1)
+                total = total + rows.T @ rows
+        if not np.isscalar(total):
+            i, j = np.indices(total.shape)
+            yield pa.record_batch([pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(total.ravel())], ["i", "j", "s"])
+
+    sums = t.select("extra", "v", "w").mapInArrow(run, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).toPandas()
+    size = int(sums["i"].max()) + 1 if len(sums) else 0
+    g = np.zeros((size, size))
+    g[sums["i"], sums["j"]] = sums["s"]
     return g
 
 
-def _orthonormal(vectors: DataFrame, key: str, k: int) -> DataFrame:
-    g = _gram(vectors, k)
-    r = np.linalg.inv(np.linalg.cholesky(g + 1e-12 * np.trace(g) * np.eye(k)).T)
-    cols = [sum((F.col("v")[i] * float(r[i, j]) for i in range(1, k)), F.col("v")[0] * float(r[0, j])) for j in range(k)]
-    return vectors.select(key, F.array(*cols).alias("v"))
+def turned(t: DataFrame, to: dict, extra: bool = True) -> DataFrame:
+    """``t`` with columns replaced by sums of its columns times matrices; no matrix: no numbers."""
+    have = ["feature_id", "extra", "v", "w"]
+
+    def run(batches):
+        for b in batches:
+            old = {c: _table(b.column(i)) for i, c in enumerate(have) if i and len(b.column(i).flatten())}
+            new = []
+            for parts in to.values():
+                rows = sum((old[c] @ m for c, m in parts), np.zeros((b.num_rows, parts[0][1].shape[1] if parts else 0)))
+                ends = np.arange(b.num_rows + 1, dtype=np.int32) * rows.shape[1]
+                new.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel())))
+            yield pa.record_batch([b.column(0), *([b.column(1)] if extra else []), *new], ["feature_id", *(["extra"] if extra else []), *to])
+
+    key = t.schema["feature_id"].dataType.simpleString()
+    schema = ", ".join([f"feature_id {key}", *(["extra array<double>"] if extra else []), *[f"{c} array<double>" for c in to]])
+    return t.select(*have).mapInArrow(run, schema)
 
 
-def plsa(m: DataFrame, k: int, rounds: int = 20, seed: int = 3) -> DataFrame:
+def whitened(g: np.ndarray) -> np.ndarray:
+    """A matrix that makes columns of these products orthonormal, dependent ones left out."""
+    size = np.sqrt(np.maximum(np.diag(g), 0))
+    used = size > 1e-12 * size.max()
+    scaled = g[np.ix_(used, used)] / np.outer(size[used], size[used])
+    values, vectors = np.linalg.eigh((scaled + scaled.T) / 2)
+    good = values > 1e-10 * values[-1]
+    out = np.zeros((len(g), int(good.sum())))
+    out[used] = vectors[:, good] / np.sqrt(values[good]) / size[used][:, None]
+    return out
+
+
+# --- latent topics
+
+
+def plsa(m: DataFrame, k: int, seed: int = 3, tolerance: float = 0.002, most_rounds: int = 3000) -> DataFrame:
     """(barcode_id, topics): shares of k latent topics, fitted by expectation-maximisation in joins.
 
     Each round spreads every entry over the topics and adds up by feature and by
-    barcode; both tables of k numbers per row are written, as the next round reads each
-    more than once."""
-    x = m.select("feature_id", "barcode_id", F.col("value").cast("double").alias("value")).persist()
-
-    def start(key):
-        return x.select(key).distinct().select(key, F.array(*[1.0 + F.pmod(F.xxhash64(key, F.lit(seed + j)), F.lit(1000)) / 1000.0 for j in range(k)]).alias("p"))
-
-    words, docs = start("feature_id"), start("barcode_id")
-    for _ in range(rounds):
-        total = words.agg(*[F.sum(F.col("p")[j]).alias(f"t{j}") for j in range(k)]).first()
-        w = words.select("feature_id", F.transform("p", lambda v, i: v / F.get(F.array(*[F.lit(max(total[f"t{j}"], 1e-300)) for j in range(k)]), i)).alias("w"))
-        d = docs.select("barcode_id", F.transform("p", lambda v: v / F.aggregate("p", F.lit(0.0), lambda a, b: a + b)).alias("d"))
-        z = x.join(w, "feature_id").join(d, "barcode_id").select("feature_id", "barcode_id", "value", F.zip_with("w", "d", lambda a, b: a * b).alias("z"))
-        z = z.withColumn("z", F.transform("z", lambda v: F.col("value") * v / F.greatest(F.aggregate("z", F.lit(0.0), lambda a, b: a + b), F.lit(1e-300))))
-        fold = lambda key: z.groupBy(key).agg(F.array(*[F.sum(F.col("z")[j]) for j in range(k)]).alias("p"))
-        words, docs = settle(fold("feature_id")), settle(fold("barcode_id"))
-    return docs.select("barcode_id", F.transform("p", lambda v: v / F.aggregate("p", F.lit(0.0), lambda a, b: a + b)).alias("topics"))
+    barcode in one pass; the sums, k numbers for a row, are written.  It ends after more
+    than ten rounds when no barcode's shares changed by ``tolerance`` in all; with
+    ``most_rounds`` passed it warns."""
+    x = settle(m.where("value > 0").select("feature_id", "barcode_id", F.col("value").cast("double").alias("value")))
+
+    def start(key, is_doc):
+        return x.select(key).distinct().select(F.lit(is_doc).alias("doc"), F.col(key).cast("long").alias("id"), F.array(*[1.0 + F.pmod(F.xxhash64(key, F.lit(seed + j)), F.lit(1000)) / 1000.0 for j in range(k)]).alias("p"))
+
+    def whole(v):
+        return F.aggregate(v, F.lit(0.0), lambda a, b: a + b)
+
+    def shares(v):
+        return F.transform(v, lambda p: p / F.greatest(whole(v), F.lit(1e-300)))
+
+    now = settle(start("feature_id", False).unionByName(start("barcode_id", True)).withColumn("was", F.lit(None).cast("array<double>")))
+    for r in range(most_rounds):
+        change = whole(F.zip_with(shares("p"), "was", lambda a, b: F.abs(a - b)))
+        seen = now.agg(F.max(change).alias("change"), *[F.sum(F.when(~F.col("doc"), F.col("p")[j])).alias(f"t{j}") for j in range(k)]).first()
+        if seen["t0"] is None or (r > 10 and seen["change"] < tolerance):
+            break
+        total = [max(seen[f"t{j}"], 1e-300) for j in range(k)]
+        w = now.where("not doc").select(F.col("id").alias("feature_id"), F.array(*[F.col("p")[j] / total[j] for j in range(k)]).alias("w"))
+        d = now.where("doc").select(F.col("id").alias("barcode_id"), shares("p").alias("d"))
+        z = x.join(w, "feature_id").join(d, "barcode_id").withColumn("z", F.zip_with("w", "d", lambda a, b: a * b))
+        z = z.withColumn("z", F.transform("z", lambda v: F.col("value") * v / F.greatest(whole("z"), F.lit(1e-300))))
+        ends = F.array(F.struct(F.lit(False).alias("doc"), F.col("feature_id").cast("long").alias("id"), F.lit(None).cast("array<double>").alias("was")), F.struct(F.lit(True).alias("doc"), F.col("barcode_id").cast("long").alias("id"), F.col("d").alias("was")))
+        rows = z.select(F.explode(ends).alias("e"), "z").select("e.doc", "e.id", "e.was", "z")
+        now = settle(rows.groupBy("doc", "id").agg(F.array(*[F.sum(F.col("z")[j]) for j in range(k)]).alias("p"), F.first("was").alias("was")))
+    else:
+        warnings.warn(f"topics still change by {seen['change']:.4f} after {most_rounds} rounds", stacklevel=2)
+    return now.where("doc").select(F.col("id").alias("barcode_id"), shares("p").alias("topics"))
 
 
 def davies_bouldin(points: DataFrame, labels: DataFrame, key: str, vector: str) -> DataFrame:

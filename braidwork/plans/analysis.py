@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import fragments as fr
-from ..operators import inference, intervals, matrix, metrics, models, reduce
+from ..operators import graph, inference, intervals, matrix, metrics, models, reduce
 from ..operators.staged import settle
 
 
@@ -67,18 +67,45 @@ def count(fragments: DataFrame, peaks: DataFrame | None = None) -> dict[str, Dat
 
 
 def analyse(counts: DataFrame, p: Parameters) -> dict[str, DataFrame]:
-    """Reduction and clusters of a count matrix (feature_id, barcode_id, value)."""
+    """Reduction, k-means for 2 to ``max_clusters`` and graph clusters of a count matrix
+    (feature_id, barcode_id, value).
+
+    Vectors of lsa and plsa are brought to length one before they are clustered.  The
+    tsne parameters have no effect, and ``num_dr_bcs`` and ``num_dr_features`` none on plsa."""
     m = matrix.above_threshold(counts, 0)
-    kinds = {"lsa": lambda: reduce.lsa(m, p.num_comps, seed=p.random_seed), "pca": lambda: models.pca(m, p.num_comps, p.num_dr_features or 500), "plsa": lambda: reduce.plsa(m, p.num_comps, seed=p.random_seed).withColumnRenamed("topics", "score")}
+    if p.num_analysis_bcs is not None:
+        m = matrix.select(m, _some(m, p.num_analysis_bcs, p.random_seed), "barcode_id")
+    m = settle(m)
+    how = {"features": p.num_dr_features, "fit_on": None if p.num_dr_bcs is None else settle(_some(m, p.num_dr_bcs, p.random_seed))}
+    kinds = {"lsa": lambda: reduce.lsa(m, p.num_comps, seed=p.random_seed, **how), "pca": lambda: reduce.pca(m, p.num_comps, seed=p.random_seed, **how), "plsa": lambda: reduce.plsa(m, p.num_comps, seed=p.random_seed).withColumnRenamed("topics", "score")}
     if p.dim_reduce not in kinds:
         raise ValueError(f"no such reduction: {p.dim_reduce}")
     scores = settle(kinds[p.dim_reduce]())
+    points = scores if p.dim_reduce == "pca" else settle(scores.withColumn("score", _unit(F.col("score"))))
     out = {"scores": scores}
     for k in range(2, p.max_clusters + 1):
-        out[f"kmeans_{k}_clusters"] = models.kmeans(scores, k, seed=p.random_seed + 1)
+        out[f"kmeans_{k}_clusters"] = models.kmeans(points, k, seed=p.random_seed + 1)
+    near = graph.neighbour_count(points.count(), p.graphclust_neighbors, p.neighbor_a, p.neighbor_b)
+    if near:
+        edges = settle(graph.nearest(points, "barcode_id", "score", near).select("src", "dst"))
+        found = graph.communities(edges).withColumnRenamed("node", "barcode_id")
+        out["graphclust"] = matrix.relabel_by_size(found, "barcode_id", "community")
     return out
 
 
+def _some(m: DataFrame, n: int, seed: int) -> DataFrame:
+    """``n`` barcodes in the order of a seeded hash, which is as good as drawn."""
+    return m.select("barcode_id").distinct().orderBy(F.xxhash64("barcode_id", F.lit(seed)), "barcode_id").limit(n)
+
+
+def _unit(v):
+    """A vector at length one; one of zeros becomes one of equal numbers."""
+    moved = F.transform(v, lambda x: x + F.lit(1e-120))
+    top = F.array_max(F.transform(moved, lambda x: F.abs(x)))  # squares of 1e-120 would vanish
+    even = F.transform(moved, lambda x: x / top)
+    return F.transform(even, lambda x: x / F.sqrt(F.aggregate(even, F.lit(0.0), lambda a, b: a + b * b)))
+
+
 def aggregate(fragments: DataFrame, cells: DataFrame, kind: str | None = "unique", seed: int = 0) -> dict[str, DataFrame]:
     """Libraries (a column ``library``) at equal depth as one, with peaks called anew."""
     rates = metrics.library_depth(fragments, cells, kind or "unique")

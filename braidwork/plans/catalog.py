@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import sequence as seq
 from ..functions import stats
 from ..operators import fragments as fr
-from ..operators import graph, intervals, matrix, models
+from ..operators import graph, intervals, matrix, models, reduce
 from ..streaming import windows
 from .fixtures import DEPTH_SQL, PEAKS_SQL, cte, derived
 
@@ -554,12 +554,12 @@ def louvain_labels(spark, d):
 
 @query()
 def pca_projection(spark, d):
-    return models.pca(derived(spark, d, "coo"), 5)
+    return reduce.pca(derived(spark, d, "coo"), 5)
 
 
 @query()
 def kmeans_labels(spark, d):
-    return models.kmeans(models.pca(derived(spark, d, "coo"), 5), 4)
+    return models.kmeans(reduce.pca(derived(spark, d, "coo"), 5), 4)
 
 
 @query()

@@ -61,8 +61,9 @@ def test_count_and_analyse(spark):
     inside = both.select("contig", F.explode(F.array("start", "stop")).alias("p")).join(got["peaks"].withColumnRenamed("contig", "c"), (F.col("contig") == F.col("c")) & (F.col("p") >= F.col("start")) & (F.col("p") < F.col("end"))).count()
     assert total == inside
     m = derived(spark, "/root/testdata/sf0.001", "coo")
-    out = analysis.analyse(m, analysis.Parameters(num_comps=3, max_clusters=3))
-    assert out["scores"].count() == 211 and out["kmeans_3_clusters"].select("label").distinct().count() == 3
+    some = analysis.analyse(m, analysis.Parameters(dim_reduce="pca", num_comps=2, max_clusters=2, num_analysis_bcs=50, num_dr_bcs=30, num_dr_features=100, graphclust_neighbors=5))
+    assert some["scores"].count() == some["graphclust"].count() == 50 and some["graphclust"].agg(F.min("label")).first()[0] == 1
+    assert some["kmeans_2_clusters"].select("label").distinct().count() == 2
 
 
 def test_libraries_come_to_equal_depth(spark):

@@ -204,3 +204,71 @@ def test_inferred_doublets():
     assert cells.inferred_doublets(0, 100, 0) == 0
     # with equal shares half of the doublets show
     assert abs(cells.inferred_doublets(40, 500, 500) - 80) <= 2
+
+
+def random_matrix(spark, rows=60, cols=40):
+    """A count matrix of ``rows`` barcodes with a few strong directions, as a table and as an array."""
+    r = np.random.default_rng(11)
+    dense = r.poisson(0.2 + 3 * (r.random((rows, 4)) < 0.3) @ (r.random((4, cols)) * (r.random((4, cols)) < 0.5)))
+    dense[dense.sum(1) == 0, 0] = 1
+    at = [(int(f), int(b), int(dense[b, f])) for b, f in zip(*np.nonzero(dense))]
+    return spark.createDataFrame(at, "feature_id long, barcode_id long, value long"), dense
+
+
+def same_up_to_sign(got, want, tolerance):
+    got = got * np.where((got * want).sum(0) < 0, -1, 1)
+    assert np.abs(got - want).max() <= tolerance * np.abs(want).max()
+
+
+def scores_of(df, rows):
+    by = {x["barcode_id"]: x["score"] for x in df.collect()}
+    return np.array([by[b] for b in range(rows)])
+
+
+def test_lsa_against_dense_decomposition(spark):
+    m, dense = random_matrix(spark)
+    x = dense * (np.log(len(dense) + 1) - np.log1p((dense > 0).sum(0)))
+    u, d, _ = np.linalg.svd(x, full_matrices=False)
+    same_up_to_sign(scores_of(reduce.lsa(m, 4, tolerance=1e-7), 60), (u * d)[:, :4], 1e-4)
+
+
+def test_pca_against_dense_decomposition(spark):
+    m, dense = random_matrix(spark)
+    sums = dense.sum(1)
+    x = np.log2(1 + dense * (np.median(sums) / sums)[:, None])
+    x = (x - x.mean(0)) / np.where(x.std(0) > 0, x.std(0), 1)
+    u, d, _ = np.linalg.svd(x, full_matrices=False)
+    same_up_to_sign(scores_of(reduce.pca(m, 4, tolerance=1e-7), 60), (u * d)[:, :4], 1e-4)
+
+
+def test_reduction_of_low_rank_and_of_nothing(spark):
+    # two kinds of barcodes: rank two, whatever is asked for
+    rows = [(f, b, 1 + (f * (b % 2)) % 3) for b in range(12) for f in range(5) if (b + f) % 4]
+    m = spark.createDataFrame([(f, b % 2 + 2 * k, v) for k in range(6) for f, b, v in rows if b < 2], "feature_id long, barcode_id long, value long")
+    got = reduce.lsa(m, 4).collect()
+    assert {len(x["score"]) for x in got} <= {1, 2} and len(got) == 12
+    assert reduce.lsa(m.where("value < 0"), 4).count() == reduce.pca(m.where("value < 0"), 4).count() == reduce.plsa(m.where("value < 0"), 3).count() == 0
+
+
+def test_reduction_fitted_on_a_part_takes_all_barcodes(spark):
+    m, dense = random_matrix(spark)
+    got = reduce.pca(m, 3, features=20, fit_on=m.where("barcode_id < 30").select("barcode_id"))
+    assert got.count() == 60 and {len(x["score"]) for x in got.collect()} == {3}
+
+
+def test_topics_against_dense_rounds(spark):
+    m, dense = random_matrix(spark, 20, 12)
+    got = {x["barcode_id"]: x["topics"] for x in reduce.plsa(m, 3, tolerance=0.1).collect()}
+    start = spark.range(20).select("id", F.array(*[1.0 + F.pmod(F.xxhash64("id", F.lit(3 + j)), F.lit(1000)) / 1000.0 for j in range(3)]).alias("p")).collect()
+    p = np.array([x["p"] for x in sorted(start)])
+    have = dense.sum(0) > 0
+    w, d, n = p[:12][have], p, dense[:, have]
+    w, d = w / w.sum(0), d / d.sum(1, keepdims=True)
+    for r in range(3000):
+        z = n / np.maximum(d @ w.T, 1e-300)
+        w, new = w * (z.T @ d), d * (z @ w)
+        w, new = w / w.sum(0), new / new.sum(1, keepdims=True)
+        change, d = np.abs(new - d).sum(1).max(), new
+        if r >= 10 and change < 0.1:
+            break
+    assert np.abs(np.array([got[b] for b in range(20)]) - d).max() < 1e-6
