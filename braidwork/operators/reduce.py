@@ -60,6 +60,9 @@ def _part(m: DataFrame, features: int | None, barcodes: DataFrame | None) -> Dat
 
 # --- leading vectors of a sparse matrix
 
+#: Of so few barcodes the products of all pairs are summed and solved at once.
+SMALL = 512
+
 
 def leading(x: DataFrame, k: int, seed: int = 5, tolerance: float = 1e-4, means: DataFrame | None = None, n: int = 0, most_rounds: int = 50) -> DataFrame:
     """(feature_id, v): the k leading right singular vectors of a barcode by feature matrix.
@@ -71,45 +74,77 @@ def leading(x: DataFrame, k: int, seed: int = 5, tolerance: float = 1e-4, means:
     the driver.  It ends when every vector's residual is below ``tolerance`` times the
     largest singular value; with ``most_rounds`` passed it warns.  ``means`` centres the
     features over ``n`` barcodes without filling the matrix.  A matrix of lower rank
-    gives fewer vectors."""
+    gives fewer vectors.  Signs are arbitrary.  Up to SMALL barcodes are solved at once."""
+    few = [r[0] for r in x.select("barcode_id").distinct().limit(SMALL + 1).collect()]
+    if 0 < len(few) <= SMALL:
+        return _of_few(x, k, few, means is not None)
     names = x.select("feature_id").distinct()
-    width = k + 4
+    width = 2 * k + 4
     start = F.array(*[F.pmod(F.xxhash64("feature_id", F.lit(seed + j)), F.lit(2001)) / 1000.0 - 1.0 for j in range(width)])
     mean = names.withColumn("mean", F.lit(0.0)) if means is None else names.join(means, "feature_id")
-    t = settle(mean.select("feature_id", F.array("mean", F.lit(1.0)).alias("extra"), start.alias("v"), F.array().cast("array<double>").alias("w")))
+    t = settle(mean.select("feature_id", F.array("mean").alias("extra"), start.alias("v"), F.array().cast("array<double>").alias("w")))
     g = products(t)
     if not len(g):
         return names.withColumn("v", F.array().cast("array<double>"))
-    turn = whitened(g[2:, 2:])
-    t, along = turned(t, {"v": [], "w": [], "p": [("v", turn)]}), g[0, 2:] @ turn
+    turn = whitened(g[1:, 1:])
+    t, along = turned(t, {"v": [], "w": [], "p": [("v", turn)]}), g[0, 1:] @ turn
     for r in range(most_rounds):
         t = settle(_with_image(t, x, along * n))
         g = products(t)
-        j = (len(g) - 2) // 2
-        basis, image = slice(2, 2 + j), slice(2 + j, 2 + 2 * j)
+        j = len(g) // 2
+        basis, image = slice(1, 1 + j), slice(1 + j, 1 + 2 * j)
         free = whitened(g[basis, basis])
         inner = free.T @ g[basis, image] @ free
         values, best = np.linalg.eigh((inner + inner.T) / 2)
         values, best = np.maximum(values[::-1], 0), free @ best[:, ::-1]
-        kept = best[:, :k]
-        left = kept.T @ g[image, image] @ kept - np.diag(values[:k] ** 2)
-        top, own = np.sqrt(values[0]), np.sqrt(values[:k])
+        kept, own = best[:, :width], np.sqrt(values[:width])
+        left, top = kept.T @ g[image, image] @ kept - np.diag(own**4), own[0]
         far = np.sqrt(np.maximum(np.diag(left), 0)) > tolerance * top * np.maximum(own, 1e-3 * top)
-        if not far.any() or r == most_rounds - 1:
+        if not far[:k].any() or r == most_rounds - 1:
             break
         # At five blocks the basis begins again from its best vectors, images included.
-        stay = best[:, :width] if j + k > 5 * width else np.eye(j)
+        stay = best[:, :width] if j + width > 5 * width else np.eye(j)
         rest = left[np.ix_(far, far)]
         size = 1 / np.sqrt(np.diag(rest))
         out = whitened(rest * size[:, None] * size)
-        over_w, over_v = (kept[:, far] * size) @ out, -(kept[:, far] * values[:k][far] * size) @ out
+        over_w, over_v = (kept[:, far] * size) @ out, -(kept[:, far] * values[:width][far] * size) @ out
         along = g[0, image] @ over_w + g[0, basis] @ over_v
         t = turned(t, {"v": [("v", stay)], "w": [("w", stay)], "p": [("w", over_w), ("v", over_v)]})
-    if far.any():
-        warnings.warn(f"{int(far.sum())} of {k} vectors are not within {tolerance} after {most_rounds} rounds", stacklevel=2)
-    kept = kept[:, values[:k] > 1e-12 * values[0]]
-    sign = np.where(g[1, basis] @ kept < 0, -1.0, 1.0)
-    return turned(t, {"v": [("v", kept * sign)]}, extra=False).select("feature_id", "v")
+    if far[:k].any():
+        warnings.warn(f"{int(far[:k].sum())} of {k} vectors are not within {tolerance} after {most_rounds} rounds", stacklevel=2)
+    kept = kept[:, :k][:, values[:k] > 1e-12 * values[0]]
+    return turned(t, {"v": [("v", kept)]}, extra=False).select("feature_id", "v")
+
+
+def _of_few(x: DataFrame, k: int, barcodes: list, centred: bool) -> DataFrame:
+    """``leading`` from the products of all pairs of ``barcodes``, which a feature's entries bound."""
+    n = len(barcodes)
+    key = x.schema["barcode_id"].dataType.simpleString()
+    at = x.sparkSession.createDataFrame([(b, i) for i, b in enumerate(barcodes)], f"barcode_id {key}, at int")
+    rows = x.join(F.broadcast(at), "barcode_id").groupBy("feature_id").agg(F.collect_list(F.struct("at", "value")).alias("r")).select("r.at", "r.value")
+
+    def run(batches):
+        total = np.zeros((n, n))
+        for b in batches:
+            for some in (b.slice(lo, 1024) for lo in range(0, b.num_rows, 1024)):
+                places = some.column(0)
+                dense = np.zeros((some.num_rows, n))
+                sizes = np.diff(places.offsets.to_numpy())
+                np.add.at(dense, (np.repeat(np.arange(some.num_rows), sizes), places.flatten().to_numpy()), some.column(1).flatten().to_numpy())
+                total += dense.T @ dense
+        yield _pairs(total)
+
+    g = _summed(rows.mapInArrow(run, _PAIRS))
+    if centred:
+        g = g - g.mean(0) - g.mean(1)[:, None] + g.mean()
+    values, own = np.linalg.eigh(g)
+    values, own = values[::-1][:k], own[:, ::-1][:, :k]
+    good = values > 1e-12 * max(values[0], 1e-300)
+    turn = own[:, good] / np.sqrt(values[good])
+    if not turn.shape[1]:
+        return x.select("feature_id").distinct().withColumn("v", F.array().cast("array<double>"))
+    sides = x.sparkSession.createDataFrame([(b, r.tolist()) for b, r in zip(barcodes, turn)], f"barcode_id {key}, v array<double>")
+    return _times(x, F.broadcast(sides), "barcode_id", "feature_id", turn.shape[1])
 
 
 def project(x: DataFrame, barcodes: DataFrame, vectors: DataFrame, means: DataFrame | None = None) -> DataFrame:
@@ -153,10 +188,22 @@ def products(t: DataFrame) -> np.ndarray:
                 rows = np.concatenate([_table(c) for c in b.columns if len(c.flatten())], 1)
                 total = total + rows.T @ rows
         if not np.isscalar(total):
-            i, j = np.indices(total.shape)
-            yield pa.record_batch([pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(total.ravel())], ["i", "j", "s"])
+            yield _pairs(total)
+
+    return _summed(t.select("extra", "v", "w").mapInArrow(run, _PAIRS))
+
+
+_PAIRS = "i int, j int, s double"
+
+
+def _pairs(total: np.ndarray):
+    i, j = np.indices(total.shape)
+    return pa.record_batch([pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(total.ravel())], ["i", "j", "s"])
+
 
-    sums = t.select("extra", "v", "w").mapInArrow(run, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).toPandas()
+def _summed(parts: DataFrame) -> np.ndarray:
+    """The sum of the tasks' matrices, one row for each pair."""
+    sums = parts.groupBy("i", "j").agg(F.sum("s").alias("s")).toPandas()
     size = int(sums["i"].max()) + 1 if len(sums) else 0
     g = np.zeros((size, size))
     g[sums["i"], sums["j"]] = sums["s"]
@@ -197,13 +244,13 @@ def whitened(g: np.ndarray) -> np.ndarray:
 # --- latent topics
 
 
-def plsa(m: DataFrame, k: int, seed: int = 3, tolerance: float = 0.002, most_rounds: int = 3000) -> DataFrame:
+def plsa(m: DataFrame, k: int, seed: int = 3, tolerance: float = 0.02, most_rounds: int = 3000) -> DataFrame:
     """(barcode_id, topics): shares of k latent topics, fitted by expectation-maximisation in joins.
 
     Each round spreads every entry over the topics and adds up by feature and by
     barcode in one pass; the sums, k numbers for a row, are written.  It ends after more
     than ten rounds when no barcode's shares changed by ``tolerance`` in all; with
-    ``most_rounds`` passed it warns."""
+    ``most_rounds`` passed it warns.  On a flat matrix 0.002 takes hundreds of rounds more."""
     x = settle(m.where("value > 0").select("feature_id", "barcode_id", F.col("value").cast("double").alias("value")))
 
     def start(key, is_doc):

@@ -225,14 +225,18 @@ def scores_of(df, rows):
     return np.array([by[b] for b in range(rows)])
 
 
-def test_lsa_against_dense_decomposition(spark):
+@pytest.mark.parametrize("small", [0, 512])
+def test_lsa_against_dense_decomposition(spark, monkeypatch, small):
+    monkeypatch.setattr(reduce, "SMALL", small)
     m, dense = random_matrix(spark)
     x = dense * (np.log(len(dense) + 1) - np.log1p((dense > 0).sum(0)))
     u, d, _ = np.linalg.svd(x, full_matrices=False)
     same_up_to_sign(scores_of(reduce.lsa(m, 4, tolerance=1e-7), 60), (u * d)[:, :4], 1e-4)
 
 
-def test_pca_against_dense_decomposition(spark):
+@pytest.mark.parametrize("small", [0, 512])
+def test_pca_against_dense_decomposition(spark, monkeypatch, small):
+    monkeypatch.setattr(reduce, "SMALL", small)
     m, dense = random_matrix(spark)
     sums = dense.sum(1)
     x = np.log2(1 + dense * (np.median(sums) / sums)[:, None])
@@ -241,7 +245,9 @@ def test_pca_against_dense_decomposition(spark):
     same_up_to_sign(scores_of(reduce.pca(m, 4, tolerance=1e-7), 60), (u * d)[:, :4], 1e-4)
 
 
-def test_reduction_of_low_rank_and_of_nothing(spark):
+@pytest.mark.parametrize("small", [0, 512])
+def test_reduction_of_low_rank_and_of_nothing(spark, monkeypatch, small):
+    monkeypatch.setattr(reduce, "SMALL", small)
     # two kinds of barcodes: rank two, whatever is asked for
     rows = [(f, b, 1 + (f * (b % 2)) % 3) for b in range(12) for f in range(5) if (b + f) % 4]
     m = spark.createDataFrame([(f, b % 2 + 2 * k, v) for k in range(6) for f, b, v in rows if b < 2], "feature_id long, barcode_id long, value long")
