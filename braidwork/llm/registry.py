@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_rules, lm_score, packing, quality_cnn, secrets, shards, simhash, tokenfile, warc
+from . import decontaminate, fim, line_rules, lloyd, lm_score, packing, partenum, quality_cnn, secrets, shards, simhash, tokenfile, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,8 +62,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.report(_table(spark, sf_dir, "documents"))
+
+
+def op12_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.clusters(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.join(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op2_decontaminate, op3_quality, op4_warc, op5_shards, op6_lm_score, op7_pack, op8_secrets, op9_line_rules, op10_token_files)}
+    found = (op1_simhash, op2_decontaminate, op3_quality, op4_warc, op5_shards, op6_lm_score, op7_pack, op8_secrets, op9_line_rules, op10_token_files, op11_fim, op12_lloyd, op13_partenum)
+    return {f.__name__: f for f in found}
 
 
 OP2_SQL = r"""
@@ -116,5 +129,42 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 """.replace("PHRASES", "|".join(line_rules.PHRASES))
 
 
+#: Places are found in the text by the tokens' lengths, and the text is put together from substrings.
+OP11_SQL = r"""
+with d as (select row_number() over () as r, coalesce(cast(doc_id as varchar), 'null') as id, doc_id, coalesce(text, '') as t from documents),
+h as (select r, doc_id, t, len(regexp_replace(t, '[A-Za-z]+', 'x', 'g')) as n, sha256(concat('1:', id)) as h from d),
+u as (select *, [('0x' || h[8 * k + 1:8 * k + 8])::ubigint for k in range(4)] as u from h),
+c as (select *, least(u[1] % (n + 1), u[2] % (n + 1)) as lo, greatest(u[1] % (n + 1), u[2] % (n + 1)) as hi,
+  case when t = '' or regexp_matches(t, '<[PSM]>') or u[3] % 100 >= 90 then 'plain' when u[4] % 100 < 20 then 'spm' else 'psm' end as form,
+  list_transform(regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]'), lambda x: length(x)) as sizes from u),
+p as (select *, coalesce(list_sum(sizes[1:lo::bigint]), 0)::bigint as a, coalesce(list_sum(sizes[1:hi::bigint]), 0)::bigint as b from c),
+o as (select *, case form when 'plain' then t when 'psm' then concat('<P>', left(t, a), '<S>', substr(t, b + 1), '<M>', substr(t, a + 1, b - a))
+  else concat('<S>', substr(t, b + 1), '<P>', left(t, a), '<M>', substr(t, a + 1, b - a)) end as output from p)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+  sha256(output) as output_sha256, sha256(t) as restored_sha256 from o
+"""
+
+
+def _op12_sql(k: int = lloyd.CLUSTERS, rounds: int = lloyd.ROUNDS, dims: int = lloyd.DIMS, scale: int = lloyd.SCALE) -> str:
+    """Whole rounds, each comparing every vector with every centroid, component by component."""
+    steps = [f"""
+q as materialized (select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor({scale} * x::double)::bigint) as v from embeddings
+  where len(embedding) = {dims} and len(list_filter(embedding, lambda x: x is not null and isfinite(x::double))) = {dims}),
+x as materialized (select r, generate_subscripts(v, 1) as i, unnest(v) as x from q),
+c0 as materialized (select k, generate_subscripts(v, 1) as i, unnest(v) as c from (
+  select row_number() over (order by sha256(concat('2:', vec_id)), v) - 1 as k, v from q where vec_id is not null) where k < {k})"""]
+    for j in range(rounds + 1):
+        steps.append(f"""
+a{j} as materialized (select r, arg_min(k, (d, k)) as k, min(d) as d from (select r, k, sum((x - c) * (x - c))::bigint as d from x join c{j} using (i) group by r, k) group by r)""")
+        if j < rounds:
+            steps.append(f"""
+c{j + 1} as materialized (select k, i, coalesce(m, c) as c from c{j} left join (
+  select k, i, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) as m from x join a{j} using (r) group by k, i) using (k, i))""")
+    return f"""with {",".join(steps)},
+s as (select k, sha256(string_agg(c::bigint::varchar, ',' order by i)) as h from c{rounds} group by k)
+select vec_id, k::int as cluster, d as distance, (sum(d) over (partition by k))::bigint as cluster_inertia, (sum(d) over ())::bigint as inertia, h as centroid_sha256
+from q join a{rounds} using (r) join s using (k)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_rules": OP9_SQL, "op2_decontaminate": OP2_SQL, "op4_warc": OP4_SQL}
+    return {"op9_line_rules": OP9_SQL, "op2_decontaminate": OP2_SQL, "op4_warc": OP4_SQL, "op11_fim": OP11_SQL, "op12_lloyd": _op12_sql()}
