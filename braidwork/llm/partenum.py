@@ -31,8 +31,9 @@ from .staging import stage
 
 #: Percent of similarity at which texts are linked; words of a shingle.
 PERCENT, WIDTH = 90, 3
-#: Cells of a part; elements in the two cells of a signature below which it is thin.
-CELLS, THIN = 3, 4
+#: Cells of a part.  A signature is thin below so many elements, or if it has none where
+#: an instance has more than so many cells (long sets, which are few).
+CELLS, THIN, SHORT = 3, 4, 512
 #: Sets in a tile and bytes of their hashes, at most (one larger set is a tile).
 TILE, TILE_BYTES = 1024, 4 << 20
 #: Columns of the dense blocks in which shared elements are counted.
@@ -90,7 +91,7 @@ def signatures(h: np.ndarray, percent: int = PERCENT) -> np.ndarray:
         if not k:
             continue  # only equal sets
         found, sizes = cell_signatures(h, instance, k, 0)
-        thin = sizes < THIN
+        thin = sizes < (THIN if len(sizes) <= SHORT else min(THIN, 1))
         out.append(found[~thin])
         if thin.any():
             other = cell_signatures(h, instance, k, 1)[0]
@@ -342,10 +343,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
 
     Repeated rows count as rows.  A row whose id is null gets the smallest id of the
     others in its component, null if there is none.  An empty table gives none.  Texts
-    of any length are taken whole, one at a time.  Other columns are not read.
+    of any length are taken whole, one at a time.  Other columns are not read.  Below 85
+    percent signatures would hold too few elements to tell texts apart.
     """
-    if not 50 < percent < 100:
-        raise ValueError("a similarity between 51 and 99 percent is needed")
+    if not 85 <= percent < 100:
+        raise ValueError("a similarity of 85 to 99 percent is needed")
     rows = stage(with_signatures(docs, id_col, text_col, width, percent), "signed")
     filled = rows.where("n > 0")
     nodes = stage(filled.groupBy("name").agg(F.min("id").alias("least"), F.count("*").alias("copies"), F.first("n").alias("n"), F.min(F.struct("t1", "t2")).alias("t")), "sets")
