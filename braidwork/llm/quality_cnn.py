@@ -166,11 +166,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sizes = rows.select(*[c.alias(f"_{k}") for k, c in enumerate(place)], F.octet_length("_text").alias("n")).distinct().orderBy("_0", "_1", "_2", "_3").limit(sample).collect()
     fits, total = [], 0
     for r in sizes:
+        if total + r["n"] > sample_bytes:
+            continue  # this one doesn't fit, others may
         total += r["n"]
-        if total > sample_bytes:
-            break
         fits.append((r["_1"], r["_2"], r["_3"]))
     if not fits:
+        if sizes:
+            raise ValueError(f"none of {len(sizes)} labelled texts fits into sample_bytes={sample_bytes}")
         return blank_net()
     wanted = docs.sparkSession.createDataFrame(fits, rows.select("_id", "_label", place[3].alias("_h")).schema)
     got = rows.withColumn("_h", place[3]).join(F.broadcast(wanted), ["_id", "_label", "_h"]).dropDuplicates(["_id", "_label", "_h"]).orderBy(F.xxhash64("_id"), "_id", "_label", "_h").toArrow()

@@ -22,26 +22,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shingles import SEED, forest, shingle_hashes, similar
 from .staging import stage, unstage
 
-SEED = 42
 TILE = 2048
 
 
-def shingle_hashes(text: bytes, width: int) -> list[int]:
-    """XXH64 of each ``width``-word shingle, repeats included."""
-    words = text.lower().split()  # bytes: only A-Z change, only ASCII space splits
-    if not words:
-        return []
-    line, digest = b" ".join(words), xxhash.xxh64_intdigest
-    if len(words) <= width:
-        return [digest(line, SEED)]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(sizes) + np.arange(len(words))
-    starts = (ends - sizes)[: len(words) - width + 1].tolist()
-    return [digest(line[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist())]
-
-
 def fingerprint(text: bytes | None, width: int = 3) -> int:
     """A bit is 1 if it is set in over half of the hashes; no words: zero."""
     hashes = shingle_hashes(text or b"", width)
@@ -126,23 +112,6 @@ def cut_tiles(prints: DataFrame, segments: int, radius: int) -> DataFrame:
     return laid.repartitionByRange("cell", "fp").sortWithinPartitions("cell", "fp").mapInArrow(run, "cell long, first long, fps binary")
 
 
-def forest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """The smallest node of each node's component in a graph of ``n`` nodes."""
-    label = np.arange(n)
-    while len(u):
-        low = np.minimum(label[u], label[v])
-        new = label.copy()
-        np.minimum.at(new, u, low)
-        np.minimum.at(new, v, low)
-        np.minimum.at(new, label[u], low)
-        np.minimum.at(new, label[v], low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    return label
-
-
 def compare_tiles(nodes, prints, radius: int, other=None) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links between two tiles (``other`` None: within one).
 
@@ -277,10 +246,10 @@ def mixed(h: np.ndarray) -> np.ndarray:
 def radius_for(similarity: float, bits: int = 64 * WIDE) -> int:
     """Differing bits of two texts whose shingle sets have that Jaccard similarity.
 
-    Their expected number and one and a half standard deviations more, so that of
-    texts that are just so similar nine in ten are met."""
+    Their expected number and two and a half standard deviations more, so that texts
+    that are just so similar are met with a probability of 0.99."""
     p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(bits * p + 1.5 * np.sqrt(bits * p * (1 - p)))
+    return int(bits * p + 2.5 * np.sqrt(bits * p * (1 - p)))
 
 
 def wide_print(text: bytes | None, width: int) -> tuple[int, bytes, list[int]]:
@@ -386,21 +355,27 @@ def similar_links(nodes: DataFrame, radius: int) -> DataFrame:
     return done.unionByName(compared(pairs.select("a_first", "b_first", same, F.col("a_names").alias("a"), "a_prints", F.col("b_names").alias("b"), "b_prints"), radius))
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group of near copies: that of the smallest id.
 
     Near copies are texts whose sets of ``width``-word shingles have a Jaccard
-    similarity of ``similarity`` or more, as wide fingerprints tell it (``radius_for``).
-    A radius that wide would make tiles of bit counts meet nearly all others, so tiles
-    are laid out by cells of smallest hashes, which such texts share with a
-    probability of 0.9998, and compared as above.  Texts with equal sets are one
-    node.  Rows count as rows: ids may repeat or be null (null ids stand last, then
-    the order of reading decides).  Texts without words are one group.  An empty table
-    gives an empty one.  Columns of ``docs`` may have any names.
+    similarity of ``percent`` or more, and those that such links connect.  Candidates
+    are texts whose wide fingerprints differ by ``radius_for`` bits at most.  A radius
+    that wide would make tiles of bit counts meet nearly all others, so tiles are laid
+    out by cells of smallest hashes, which such texts share with a probability of
+    0.9998, and compared as above.  Inside the groups that candidates form, shared
+    shingles are counted exactly, so no text goes that isn't linked.
+
+    Texts with equal sets are one node.  Rows count as rows: ids may repeat or be null
+    (null ids stand last, then the order of reading decides).  Texts without words are
+    one group.  An empty table gives an empty one.  Columns of ``docs`` may have any names.
     """
     rows = stage(with_wide_prints(docs, text_col, width).withColumn("row", F.monotonically_increasing_id()), "wide-prints")
     place = F.struct(F.col("doc").getField(id_col).isNull().alias("no"), F.col("doc").getField(id_col).alias("id"), "row")
     nodes = stage(rows.groupBy("name").agg(F.min(place).alias("least"), F.first("print").alias("print"), F.first("bits").alias("bits"), F.first("cells").alias("cells"), F.count("*").alias("n")), "wide-nodes")
-    root = stars(similar_links(nodes, radius_for(similarity)))
+    group = stars(similar_links(nodes, radius_for(percent / 100)))
+    wanted = group.join(nodes, group["node"] == nodes["name"]).select("root", "name", F.col("n").alias("copies"), "least.row")
+    texts = rows.select("row", F.col("doc").getField(text_col).cast("string").alias("text")).join(wanted, "row")
+    root = stars(similar(texts, width, percent).where("u is not null").select("u", "v"))
     stay = components(nodes.select("name", "n", "least"), root, "name", "least").select(F.col("best.row").alias("row")).distinct()
     return rows.join(stay, "row", "left_semi").select("doc.*")

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from braidwork.llm import decontaminate, fastbpe, line_rules, lm_score, packing, quality_cnn, registry, secrets, shards, simhash, staging, tokenfile, warc
+from braidwork.llm import decontaminate, fastbpe, line_rules, lm_score, packing, quality_cnn, registry, secrets, shards, shingles, simhash, staging, tokenfile, warc
 
 WORDS = "the of red sky and a sea Stone moon in by old wind over Étoile night ship sail far home".split()
 #: The last columns clash with names that operators use inside.
@@ -125,14 +125,14 @@ def test_simhash_empty_and_hot_keys(none, docs, monkeypatch):
     assert sorted(map(tuple, simhash.near_duplicates(docs).collect()), key=key) == want
 
 
-def shingles(text, width=5):
+def shingle_sets(text, width=5):
     w = (text or "").lower().split()
     return frozenset(tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))) if w else frozenset()
 
 
 def brute_similar(texts, least):
     """Component labels of the texts under links of that Jaccard similarity, all pairs compared."""
-    label, sets = list(range(len(texts))), [shingles(t) for t in texts]
+    label, sets = list(range(len(texts))), [shingle_sets(t) for t in texts]
     for a in range(len(texts)):
         for b in range(a):
             if len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
@@ -144,6 +144,7 @@ def brute_similar(texts, least):
 @pytest.mark.parametrize("tile", [2048, 3])
 def test_keep_first(spark, docs, monkeypatch, tile):
     monkeypatch.setattr(simhash, "TILE", tile)
+    monkeypatch.setattr(shingles, "TILE", tile)
     r = random.Random(30)
     rows, at = [(x[0], x[1]) for x in docs_rows()], 1000
     for _ in range(25):  # copies with one changed word, and half copies, which stay
@@ -152,7 +153,9 @@ def test_keep_first(spark, docs, monkeypatch, tile):
         for k in near:
             k[r.randrange(len(k))] = "changed"
         half = t[: len(t) // 2] + [f"v{r.randrange(500)}" for _ in range(len(t) // 2)]
-        for words in (t, *near, half):
+        # a run of other words at the end: similarities of 0.6 to 0.85 with the first
+        border = [t[: round(len(t) * c)] + [f"u{r.randrange(500)}" for _ in range(len(t) - round(len(t) * c))] for c in (0.75, 0.82, 0.87, 0.9, 0.93)]
+        for words in (t, *near, half, *border):
             rows.append((at, " ".join(words)))
             at += 1
     rows += [(None, rows[-1][1] + " x"), (1001, "another text of that id " * 9)]
@@ -318,6 +321,12 @@ def test_quality_bounds(spark, none, monkeypatch):
     assert seen["n"] == 10
     quality_cnn.train(d, l, sample_bytes=400)
     assert 300 < seen["size"] <= 400
+    # a text beyond the bound is passed over, whatever its place; others are learnt from
+    for huge in (ids[0], ids[-1]):
+        quality_cnn.train(d.where(f"doc_id <> {huge}").unionByName(d.where(f"doc_id = {huge}").limit(1).selectExpr("doc_id", "repeat('x', 20000) as text")), l, sample_bytes=15000)
+        assert seen["n"] == len(ids) - 1
+    with pytest.raises(ValueError, match="none of"):
+        quality_cnn.train(d, l, sample_bytes=3)
     unknown = quality_cnn.classify(d, l.limit(0)).select("score").distinct().collect()
     assert [x["score"] for x in unknown] == [0.5]
     assert quality_cnn.classify(none, l).count() == 0
