@@ -100,11 +100,29 @@ def good_turing(counts: list[int], frequencies: list[int]) -> tuple[np.ndarray,
     return (1 - unseen) * out / (out * n).sum(), unseen
 
 
+def lgamma(x) -> np.ndarray:
+    """The log of the gamma function of positive numbers, by Stirling's series from 8 upwards."""
+    x = np.array(x, float)
+    down = np.zeros(x.shape)
+    low = x < 8
+    if low.any():
+        y = x[low]
+        product = np.ones(y.shape)
+        for _ in range(8):
+            small = y < 8
+            product = np.where(small, product * y, product)
+            y = np.where(small, y + 1, y)
+        x[low], down[low] = y, np.log(product)
+    r = 1 / (x * x)
+    series = (1 / 12 - r * (1 / 360 - r * (1 / 1260 - r * (1 / 1680 - r * (1 / 1188 - r * 691 / 360360))))) / x
+    return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + series - down
+
+
 def log_nb_pmf(k: np.ndarray, mu: float, phi: float) -> np.ndarray:
     """Log probabilities of a negative binomial with mean ``mu`` and dispersion ``phi``."""
     r = 1 / phi
-    lg = np.vectorize(math.lgamma)
-    return lg(k + r) - lg(k + 1.0) - math.lgamma(r) + r * math.log(r / (r + mu)) + k * math.log(mu / (r + mu))
+    k = np.asarray(k, float)
+    return lgamma(k + r) - lgamma(k + 1.0) - math.lgamma(r) + r * math.log(r / (r + mu)) + k * math.log(mu / (r + mu))
 
 
 def fit_two_nb(values: np.ndarray, weights: np.ndarray, cut: float, rounds: int = 250, eps: float = 1e-6) -> dict:
@@ -133,25 +151,6 @@ def fit_two_nb(values: np.ndarray, weights: np.ndarray, cut: float, rounds: int
     return dict(zip(("mu_noise", "alpha_noise", "mu_signal", "alpha_signal", "signal_share"), params.tolist()))
 
 
-def nb_glm(y: np.ndarray, x: np.ndarray, alpha: float, rounds: int = 100, eps: float = 1e-8) -> tuple[np.ndarray, np.ndarray]:
-    """(coefficients, covariance) of a log-link negative binomial regression by reweighted least squares."""
-    mu = (y + y.mean()) / 2 + 1e-3
-    beta = np.zeros(x.shape[1])
-    for _ in range(rounds):
-        eta = np.log(mu)
-        w = mu / (1 + alpha * mu)
-        z = eta + (y - mu) / mu
-        info = x.T @ (w[:, None] * x) + 1e-10 * np.eye(x.shape[1])
-        new = np.linalg.solve(info, x.T @ (w * z))
-        mu = np.exp(np.clip(x @ new, -30, 30))
-        if np.abs(new - beta).max() < eps:
-            beta = new
-            break
-        beta = new
-    w = mu / (1 + alpha * mu)
-    return beta, np.linalg.inv(x.T @ (w[:, None] * x) + 1e-10 * np.eye(x.shape[1]))
-
-
 def incomplete_beta(a: float, b: float, x: float) -> float:
     """The regularised incomplete beta function, by its continued fraction."""
     if x <= 0 or x >= 1:

@@ -4,63 +4,13 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .neighbours import nearest  # noqa: F401  part of this module's interface
 from .ranks import ranked
 from .staged import settle
 
-#: Vectors in a block of the exact search.
-BLOCK = 2048
-
-
-def nearest(vectors: DataFrame, key: str, vector: str, k: int, blocks: int | None = None) -> DataFrame:
-    """(src, dst, distance): the exact k nearest others of each vector, smaller key on ties.
-
-    Vectors are packed into blocks by a hash of the key; each block meets every other
-    once, and of each meeting only the k best of a row by (distance, key) go on.  This is an exact search
-    of a stated query set, all rows here, against all rows.
-    """
-    n = blocks or max(1, -(-vectors.count() // BLOCK))
-    v = vectors.select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(key), F.lit(n)).alias("block"))
-    packed = v.groupBy("block").agg(F.collect_list(F.struct("key", "v")).alias("rows"))
-    left = packed.select("block", "rows", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("other"))
-    pairs = left.join(packed.select(F.col("block").alias("other"), F.col("rows").alias("others")), "other").select("rows", "others")
-
-    def run(batches):
-        def arrays(rows):
-            keys = rows.field("key").to_numpy(zero_copy_only=False)
-            vs = rows.field("v")
-            return keys, np.asarray(vs.flatten()).reshape(len(keys), -1)
-
-        for b in batches:
-            for i in range(b.num_rows):
-                a, x = arrays(b.column(0)[i].values)
-                c, y = arrays(b.column(1)[i].values)
-                order = np.argsort(c, kind="stable")
-                c, y = c[order], y[order]
-                for lo in range(0, len(a), 512):
-                    part = x[lo : lo + 512]
-                    d2 = np.maximum((part**2).sum(1)[:, None] + (y**2).sum(1)[None] - 2 * part @ y.T, 0)
-                    d2[a[lo : lo + 512, None] == c[None]] = np.inf
-                    # all up to the k-th distance and what rounding may hide, so no tie is lost
-                    kth = np.partition(d2, k - 1, axis=1)[:, k - 1] if k < len(c) else np.full(len(part), np.inf)
-                    margin = 8 * np.finfo(float).eps * (x.shape[1] + 2) * ((part**2).sum(1) + (y**2).sum(1).max())
-                    at, to = np.nonzero(d2 <= (kth + margin)[:, None])
-                    exact = np.concatenate([np.sqrt(((part[at[s : s + 65536]] - y[to[s : s + 65536]]) ** 2).sum(1)) for s in range(0, max(len(at), 1), 65536)])
-                    src, dst = a[lo : lo + 512][at], c[to]
-                    ok = src != dst
-                    at, src, dst, exact = at[ok], src[ok], dst[ok], exact[ok]
-                    order = np.lexsort((dst, exact, at))
-                    ok = order[np.arange(len(at)) - np.searchsorted(at, at) < k]  # at ascends, also in this order
-                    yield pa.record_batch([pa.array(src[ok]), pa.array(dst[ok]), pa.array(exact[ok])], ["src", "dst", "distance"])
-
-    found = pairs.mapInArrow(run, "src long, dst long, distance double")
-    w = Window.partitionBy("src").orderBy("distance", "dst")
-    return found.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
-
 
 def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:
     """(modularity) of a labelling of an undirected graph; each row is an edge."""

@@ -43,7 +43,9 @@ def presence_test(m: DataFrame, groups: DataFrame) -> DataFrame:
         return pd.Series([fisher_two_sided(x, y, na - x, nb - y) for x, y in zip(a, b)], dtype="float64")
 
     ratio = F.log2((F.col("in_a") + 1) * (nb + 2) / F.lit(float(na + 2)) / (F.col("in_b") + 1))
-    return per.select("feature_id", "in_a", "in_b", ratio.alias("log2_ratio"), p("in_a", "in_b").alias("p_value"))
+    per = settle(per)
+    kinds = per.select("in_a", "in_b").distinct().withColumn("p_value", p("in_a", "in_b"))  # far fewer than features
+    return per.join(kinds, ["in_a", "in_b"]).select("feature_id", "in_a", "in_b", ratio.alias("log2_ratio"), "p_value")
 
 
 def size_factors(m: DataFrame) -> DataFrame:
@@ -70,63 +72,110 @@ def shrunk_dispersions(m: DataFrame, quantile: float = 0.995) -> DataFrame:
     return g.join(F.broadcast(a)).select("feature_id", "mean", "var", ((1 - F.col("delta")) * F.col("raw") + F.col("delta") * F.col("zeta")).alias("phi"))
 
 
-def count_regression(y: np.ndarray, x: np.ndarray, w: np.ndarray, alpha: float, rounds: int = 1500, eps: float = 1e-6) -> tuple[np.ndarray, np.ndarray]:
-    """(coefficients, covariance) of a log-link negative binomial fit to weighted rows,
-    by reweighted least squares until the coefficients stand still."""
-    mu, beta, ridge = (y + np.average(y, weights=w)) / 2 + 1e-3, np.zeros(x.shape[1]), 1e-10 * np.eye(x.shape[1])
+#: Features whose regressions are solved together, and rows of the design at a time.
+TOGETHER, DESIGNS = 256, 8192
+#: Distinct (group, depth, covariates) rows, at most: they are the same for all features and are broadcast.
+MOST_DESIGNS = 1 << 18
+
+
+def count_regressions(y: np.ndarray, x: np.ndarray, w: np.ndarray, alpha: np.ndarray, rounds: int = 200, eps: float = 1e-6) -> tuple[np.ndarray, np.ndarray]:
+    """(coefficients, covariances) of log-link negative binomial fits of many features.
+
+    ``y`` (features, rows) holds sums of counts over the ``w`` barcodes of each design
+    row of ``x``; as the score is linear in the counts, no more is needed.  Scoring
+    steps go on until each feature's coefficients stand still, or until what a step
+    would gain is nothing (a group without counts has no finite coefficient)."""
+    n, p = len(y), x.shape[1]
+    beta = np.zeros((n, p))
+    rate = (y.sum(1) / w.sum())[:, None]
+    start, weight = np.log(np.maximum((y + rate * w) / (2 * w), 1e-9)), w * x.T  # a fit to halfway between the counts and their mean
+    beta = np.linalg.solve(weight @ x + 1e-10 * np.eye(p), (weight @ start.T)).T
+    ridge, going, info = 1e-10 * np.eye(p), np.arange(n), np.zeros((n, p, p))
+    outer = (x[:, :, None] * x[:, None, :]).reshape(len(x), p * p)
     for _ in range(rounds):
-        k = w * mu / (1 + alpha * mu)
-        info = x.T @ (k[:, None] * x) + ridge
-        new = np.linalg.solve(info, x.T @ (k * (np.log(mu) + (y - mu) / mu)))
-        mu = np.exp(np.clip(x @ new, -30, 30))
-        if np.abs(new - beta).max() < eps:
+        a, score, now = alpha[going][:, None], np.zeros((len(going), p)), np.zeros((len(going), p * p))
+        for lo in range(0, len(x), DESIGNS):
+            at = slice(lo, lo + DESIGNS)
+            mu = np.exp(np.clip(beta[going] @ x[at].T, -30, 30))
+            over = 1 + a * mu
+            score += ((y[going, at] - w[at] * mu) / over) @ x[at]
+            now += (w[at] * mu / over) @ outer[at]
+        now = now.reshape(-1, p, p) + ridge
+        step = np.linalg.solve(now, score[:, :, None])[:, :, 0]
+        gain = (step * score).sum(1)
+        info[going] = now
+        beta[going] += step * np.minimum(1, 4 / np.maximum(np.abs(step).max(1), 1e-300))[:, None]
+        going = going[(np.abs(step).max(1) >= eps) & (gain >= 1e-10)]
+        if not len(going):
             break
-        beta = new
-    k = w * mu / (1 + alpha * mu)
-    return new, np.linalg.inv(x.T @ (k[:, None] * x) + ridge)
+    return beta, np.linalg.inv(info)
 
 
-def glm_test(m: DataFrame, groups: DataFrame, alpha: float = 1e-4, dispersions: DataFrame | None = None) -> DataFrame:
+def glm_test(m: DataFrame, groups: DataFrame, alpha: float = 1e-4, dispersions: DataFrame | None = None, covariates: tuple[str, ...] = ()) -> DataFrame:
     """(feature_id, log2_ratio, z, p_value, adjusted): a count regression per feature on
-    group and log depth, and a one-sided Wald test of the groups' difference.
+    group, log depth and ``covariates`` (numeric columns of ``groups``), and a one-sided
+    Wald test of the groups' difference.
 
     ``alpha``: 1e-4 for nearly Poisson counts, 1 for geometric ones; ``dispersions``
-    (feature_id, alpha) gives a feature its own.  Barcodes of the same group, depth and
-    count are one weighted row.  The rows without an entry come from the (group, depth)
-    pairs, at most one for each barcode, which are sent to the driver and back: barcodes
-    here are called cells, some 20,000 of them.
+    (feature_id, alpha) gives a feature its own.  Barcodes of equal group, depth and
+    covariates are one row of the design, which is broadcast; there are as many at most
+    as called cells, and more than MOST_DESIGNS is an error.  A feature is sent as its
+    sums in the rows where it was seen, and TOGETHER features are solved at once.
     """
     depth = m.groupBy("barcode_id").agg(F.sum("value").alias("depth")).join(groups, "barcode_id")
-    base = [tuple(r) for r in depth.groupBy("in_group", "depth").agg(F.count("*").alias("w")).collect()]
-    cells = m.join(depth, "barcode_id").groupBy("feature_id", "in_group", "depth", "value").agg(F.count("*").alias("w"))
-    cells = cells.join(dispersions.select("feature_id", "alpha"), "feature_id") if dispersions is not None else cells.withColumn("alpha", F.lit(float(alpha)))
-    free = sum(w for *_, w in base) - 3
+    named = [F.col(c).cast("double").alias(f"_c{k}") for k, c in enumerate(covariates)]
+    rows = settle(depth.select("barcode_id", F.col("in_group").cast("int").alias("_g"), F.col("depth").alias("_d"), *named))
+    by = ["_g", "_d", *[f"_c{k}" for k in range(len(covariates))]]
+    design = rows.groupBy(*by).agg(F.count("*").alias("_w"), F.min("barcode_id").alias("_row"))
+    found = design.limit(MOST_DESIGNS + 1).toPandas()
+    if len(found) > MOST_DESIGNS:
+        raise ValueError(f"over {MOST_DESIGNS} different (group, depth, covariates): select cells first, or round the covariates")
+    found = found.sort_values("_row").reset_index(drop=True)
+    g = found["_g"].to_numpy(float)
+    x = np.column_stack([g, 1 - g, np.log(found["_d"].to_numpy(float)), *[found[c].to_numpy(float) for c in by[2:]]])
+    centre = x[:, 2:].mean(0) if len(x) else 0
+    x[:, 2:] -= centre  # the intercepts take this up, their difference stays
+    w = found["_w"].to_numpy(float)
+    spark = m.sparkSession
+    shared, free = spark.sparkContext.broadcast((x, w)), w.sum() - x.shape[1]
+    place = spark.createDataFrame(pd.DataFrame({"_row": found["_row"], "_p": np.arange(len(found), dtype=np.int32)}), "_row long, _p int")
+    place = design.select(*by, F.col("_row")).join(place, "_row")
+    at = settle(rows.join(place, by).select("barcode_id", "_p"))
+    sums = m.join(at, "barcode_id").groupBy("feature_id", "_p").agg(F.sum("value").cast("double").alias("y"))
+    sums = sums.groupBy("feature_id").agg(F.collect_list(F.struct("_p", "y")).alias("s"))  # a row of the design at most once
+    sums = sums.join(dispersions.select("feature_id", F.col("alpha").cast("double").alias("alpha")), "feature_id") if dispersions is not None else sums.withColumn("alpha", F.lit(float(alpha)))
+    out = "feature_id long, log2_ratio double, z double, p_value double"
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        used = pdf.groupby(["in_group", "depth"])["w"].sum()
-        zero = [(g, d, 0, w - int(used.get((g, d), 0))) for g, d, w in base]
-        rows = [(g, d, v, w) for g, d, v, w in zip(pdf["in_group"], pdf["depth"], pdf["value"], pdf["w"])] + [r for r in zero if r[3] > 0]
-        g, d, y, w = (np.array(c, float) for c in zip(*rows))
-        beta, var = count_regression(y, np.stack([g, 1 - g, np.log(d)], 1), w, float(pdf["alpha"].iloc[0]))
-        z = (beta[0] - beta[1]) / math.sqrt(max(var[0, 0] + var[1, 1] - 2 * var[0, 1], 1e-300))
-        p = stats.student_sf(abs(z), free) if free > 0 else 1.0
-        return pd.DataFrame({"feature_id": [pdf["feature_id"].iloc[0]], "log2_ratio": [(beta[0] - beta[1]) / math.log(2)], "z": [z], "p_value": [p]})
+    def run(pdfs):
+        x, w = shared.value
+        for pdf in pdfs:
+            for lo in range(0, len(pdf), TOGETHER):
+                part = pdf.iloc[lo : lo + TOGETHER]
+                y = np.zeros((len(part), len(x)))
+                for k, s in enumerate(part["s"]):
+                    y[k, [r["_p"] for r in s]] = [r["y"] for r in s]
+                beta, var = count_regressions(y, x, w, part["alpha"].to_numpy(float))
+                z = (beta[:, 0] - beta[:, 1]) / np.sqrt(np.maximum(var[:, 0, 0] + var[:, 1, 1] - 2 * var[:, 0, 1], 1e-300))
+                p = [stats.student_sf(abs(v), free) if free > 0 else 1.0 for v in z]
+                yield pd.DataFrame({"feature_id": part["feature_id"].to_numpy(), "log2_ratio": (beta[:, 0] - beta[:, 1]) / math.log(2), "z": z, "p_value": p})
 
-    found = settle(cells.groupBy("feature_id").applyInPandas(fit, "feature_id long, log2_ratio double, z double, p_value double"))
-    return stats.bh_adjust(found, "feature_id", "p_value").select("feature_id", "log2_ratio", "z", "p_value", "adjusted")
+    tested = settle(sums.select("feature_id", "s", "alpha").mapInPandas(run, out))
+    return stats.bh_adjust(tested, "feature_id", "p_value").select("feature_id", "log2_ratio", "z", "p_value", "adjusted")
 
 
 def clusters_against_rest(m: DataFrame, labels: DataFrame, test=glm_test, **how) -> DataFrame:
     """``test`` of each cluster of (barcode_id, label) against all others, with ``label``.
 
-    Of two clusters the second's result is the first's turned round, as its one-sided
-    p-values are then one less the first's."""
+    Each cluster is tested by itself, so any test of this module will do; of two
+    clusters' Wald tests the second is the first with its signs turned, with one less
+    its one-sided p-values."""
     names = sorted(r["label"] for r in labels.select("label").distinct().collect())  # clusters are few
+    turn = test is glm_test and len(names) == 2
     out = None
-    for name in names[:1] if len(names) == 2 else names:
-        one = test(m, labels.select("barcode_id", (F.col("label") == F.lit(name)).alias("in_group")), **how).withColumn("label", F.lit(name))
+    for name in names[:1] if turn else names:
+        one = test(m, labels.select("barcode_id", (F.col("label") == F.lit(name)).alias("in_group"), *how.get("covariates", ())), **how).withColumn("label", F.lit(name))
         out = one if out is None else out.unionByName(one)
-    if len(names) == 2:
+    if turn:
         turned = out.withColumns({"label": F.lit(names[1]), "log2_ratio": -F.col("log2_ratio"), "z": -F.col("z"), "p_value": 1 - F.col("p_value"), "adjusted": 1 - F.col("adjusted")})
         out = out.unionByName(turned)
     return out
@@ -134,17 +183,27 @@ def clusters_against_rest(m: DataFrame, labels: DataFrame, test=glm_test, **how)
 
 def nb_log_pmf(k: np.ndarray, mu: float, phi: float) -> np.ndarray:
     """Log probabilities of counts with a mean and a dispersion (Poisson where that is 0)."""
-    lg = np.vectorize(math.lgamma, otypes=[float])
-    return stats.log_nb_pmf(k, mu, phi) if phi > 0 else k * math.log(mu) - mu - lg(k + 1.0)
+    return stats.log_nb_pmf(k, mu, phi) if phi > 0 else k * math.log(mu) - mu - stats.lgamma(k + 1.0)
 
 
 def exact_nb_test(a: int, b: int, size_a: float, size_b: float, mu: float, phi: float) -> float:
     """The chance, given a + b, of a split no likelier than the one seen, where the sums
-    are negative binomial with means ``mu`` times the groups' sizes."""
-    k = np.arange(a + b + 1)
-    logp = nb_log_pmf(k, size_a * mu, phi / size_a) + nb_log_pmf(a + b - k, size_b * mu, phi / size_b)
-    p = np.exp(logp - logp.max())
-    return float(min(1.0, p[logp <= logp[a] + 1e-9].sum() / p.sum()))
+    are negative binomial with means ``mu`` times the groups' sizes.
+
+    Splits are looked at in slices, so memory doesn't grow with the sums."""
+
+    def logs(k):
+        return nb_log_pmf(k, size_a * mu, phi / size_a) + nb_log_pmf(a + b - k, size_b * mu, phi / size_b)
+
+    here = float(logs(np.array([float(a)]))[0])
+    total, tail, top = 0.0, 0.0, -np.inf
+    for lo in range(0, a + b + 1, WALK):
+        logp = logs(np.arange(lo, min(lo + WALK, a + b + 1), dtype=float))
+        new = max(top, float(logp.max()))
+        scale = math.exp(top - new) if top > -np.inf else 0.0
+        p = np.exp(logp - new)
+        total, tail, top = total * scale + p.sum(), tail * scale + p[logp <= here + 1e-9].sum(), new
+    return float(min(1.0, tail / total))
 
 
 def asymptotic_nb_test(a: int, b: int, size_a: float, size_b: float, mu: float, phi: float) -> float:

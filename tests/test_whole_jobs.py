@@ -63,15 +63,15 @@ def test_ambient_against_all_outcomes(spark, monkeypatch):
         assert got[b] == pytest.approx(want, abs=5 * math.sqrt(want * (1 - want) / 4000) + 1e-3)
 
 
-@pytest.mark.parametrize("blocks", [1, 3])
-def test_nearest_among_equal_vectors(spark, blocks):
+@pytest.mark.parametrize("block", [2048, 90])
+def test_nearest_among_equal_vectors(spark, block):
     r = np.random.default_rng(4)
     some = r.normal(size=8)
     vectors = [some.tolist() if i < 50 else r.normal(size=8).tolist() for i in range(400)]
     keys = r.permutation(400).tolist()
     df = spark.createDataFrame(list(zip(keys, vectors)), "key long, v array<double>")
     got = {}
-    for e in graph.nearest(df, "key", "v", 3, blocks).collect():
+    for e in graph.nearest(df, "key", "v", 3, block).collect():
         got.setdefault(e["src"], []).append((e["distance"], e["dst"]))
     x = np.array(vectors)
     for i, key in enumerate(keys):
@@ -123,6 +123,10 @@ def test_clusters_against_rest(spark):
     assert len(got) == 18
     for k in range(3):
         assert max((r for r in got if r["label"] == k), key=lambda r: r["z"])["feature_id"] == k
+    sums = inference.clusters_against_rest(m, labels.withColumn("label", F.col("label") % 2), test=inference.sum_test).collect()
+    assert len(sums) == 12
+    p = {(r["feature_id"], r["label"]): r for r in sums}
+    assert all(p[f, 1]["p_value"] == pytest.approx(p[f, 0]["p_value"]) and p[f, 1]["log2_ratio"] == pytest.approx(-p[f, 0]["log2_ratio"]) for f in range(6))
     two = inference.clusters_against_rest(m, labels.withColumn("label", F.col("label") % 2)).collect()
     by = {(r["feature_id"], r["label"]): r for r in two}
     assert all(by[f, 1]["p_value"] == pytest.approx(1 - by[f, 0]["p_value"]) and by[f, 1]["z"] == -by[f, 0]["z"] for f in range(6))
@@ -133,14 +137,53 @@ def test_regression_recovers_known_coefficients():
     g = (np.arange(100_000) < 30_000).astype(float)
     mean = np.where(g > 0, 2.5, 0.9)
     y = r.negative_binomial(10, 10 / (10 + mean)).astype(float)
-    beta, _ = inference.count_regression(y, np.stack([g, 1 - g], 1), np.ones(len(y)), 0.1)
-    assert np.exp(beta) == pytest.approx([2.5, 0.9], rel=0.02)
+    beta, var = inference.count_regressions(y[None], np.stack([g, 1 - g], 1), np.ones(len(y)), np.array([0.1]))
+    assert np.exp(beta[0]) == pytest.approx([2.5, 0.9], rel=0.02)
+    # sums over equal barcodes tell as much
+    sums = np.array([[y[g == 1].sum(), y[g == 0].sum()]])
+    again, same = inference.count_regressions(sums, np.eye(2), np.array([30_000.0, 70_000.0]), np.array([0.1]))
+    assert again == pytest.approx(beta, abs=1e-6) and same == pytest.approx(var, rel=1e-4)
+
+
+def test_regression_of_a_group_without_counts():
+    y = np.array([[0.0, 50.0], [0.0, 0.0], [3.0, 4.0]])
+    beta, var = inference.count_regressions(y, np.eye(2), np.array([40.0, 40.0]), np.full(3, 0.1))
+    assert np.isfinite(beta).all() and np.isfinite(var).all() and beta[0, 0] < -15
+    assert np.exp(beta[2]) == pytest.approx([3 / 40, 0.1], rel=1e-6)
+
+
+def test_covariates_take_up_what_they_explain(spark):
+    """Groups that differ in a covariate alone show no difference once it is known."""
+    r = np.random.default_rng(9)
+    gc = np.concatenate([r.normal(0.4, 0.05, 150), r.normal(0.5, 0.05, 150)])
+    slope = np.where((np.arange(80) >= 6) & (np.arange(80) < 18), np.where(np.arange(80) % 2, 8.0, -8.0), 0.0)
+    true = np.where(np.arange(80) < 6, 1.2, 0.0)
+    mean = 5 * np.exp(slope * (gc[:, None] - 0.45) + true * (np.arange(300)[:, None] >= 150))
+    y = r.poisson(mean)
+    b, f = np.nonzero(y)
+    m = spark.createDataFrame(list(zip(f.tolist(), b.tolist(), y[b, f].tolist())), "feature_id long, barcode_id long, value long")
+    groups = spark.createDataFrame([(k, k >= 150, float(gc[k])) for k in range(300)], "barcode_id long, in_group boolean, gc double")
+    with_gc = {x["feature_id"]: x for x in inference.glm_test(m, groups, covariates=("gc",)).collect()}
+    without = {x["feature_id"]: x for x in inference.glm_test(m, groups).collect()}
+    steep = [k for k in range(6, 80) if slope[k]]
+    assert sum(without[k]["adjusted"] < 0.025 for k in steep) > 0.8 * len(steep)
+    assert all(with_gc[k]["adjusted"] < 0.025 and with_gc[k]["log2_ratio"] > 0.8 for k in range(6))
+    assert np.mean([abs(with_gc[k]["log2_ratio"]) for k in steep]) < 0.4 * np.mean([abs(without[k]["log2_ratio"]) for k in steep])
+
+
+def test_design_that_is_too_large_is_refused(planted, monkeypatch):
+    monkeypatch.setattr(inference, "MOST_DESIGNS", 10)
+    with pytest.raises(ValueError, match="over 10 different"):
+        inference.glm_test(planted[0], planted[1])
 
 
-def test_exact_and_large_sample_tests_agree():
+def test_exact_and_large_sample_tests_agree(monkeypatch):
     for a, b in ((2000, 2200), (2000, 2000), (1500, 1000)):
         args = (a, b, 100.0, 100.0, (a + b) / 200, 0.05)
         assert inference.asymptotic_nb_test(*args) == pytest.approx(inference.exact_nb_test(*args), rel=0.1, abs=2e-3)
+    whole = inference.exact_nb_test(3, 4000, 40.0, 90.0, 30.0, 0.2)
+    monkeypatch.setattr(inference, "WALK", 100)  # in slices
+    assert inference.exact_nb_test(3, 4000, 40.0, 90.0, 30.0, 0.2) == pytest.approx(whole)
     # without dispersion the split is binomial
     want = sum(math.comb(12, k) for k in range(13) if math.comb(12, k) <= math.comb(12, 2)) / 2**12
     assert inference.exact_nb_test(2, 10, 5.0, 5.0, 1.2, 0.0) == pytest.approx(want)
