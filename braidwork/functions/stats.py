@@ -118,6 +118,46 @@ def lgamma(x) -> np.ndarray:
     return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + series - down
 
 
+def digamma(x) -> np.ndarray:
+    """The derivative of ``lgamma`` at positive numbers, by its series from 10 upwards."""
+    x = np.array(x, float)
+    down = np.zeros(x.shape)
+    for _ in range(10):
+        low = x < 10
+        down = down + np.where(low, 1 / x, 0.0)
+        x = np.where(low, x + 1, x)
+    r = 1 / (x * x)
+    return np.log(x) - 0.5 / x - r * (1 / 12 - r * (1 / 120 - r * (1 / 252 - r * (1 / 240 - r / 132)))) - down
+
+
+def nb_dispersion(values: np.ndarray, weights: np.ndarray, least: float = 1e-6, most: float = 1e6) -> float:
+    """The dispersion of largest likelihood of a negative binomial histogram.
+
+    The score in the size r = 1 / dispersion is a sum of digammas over distinct counts;
+    its root is bracketed on a logarithmic scale.  Counts that vary no more than
+    Poisson ones have none, and give ``least``."""
+    n = weights.sum()
+    if n <= 0:
+        return least
+    mean = (weights * values).sum() / n
+    if mean <= 0 or (weights * (values - mean) ** 2).sum() / n <= mean:
+        return least
+    score = lambda r: (weights * (digamma(values + r) - digamma(np.full(1, r)))).sum() / n + math.log(r / (r + mean))
+    low, high = math.log(1 / most), math.log(1 / least)  # the score falls through zero between them
+    if score(math.exp(high)) >= 0:
+        return least
+    for _ in range(80):
+        mid = (low + high) / 2
+        low, high = (mid, high) if score(math.exp(mid)) > 0 else (low, mid)
+    return math.exp(-(low + high) / 2)
+
+
+def nb_cdf(k: float, mu: float, phi: float) -> float:
+    """The chance of at most ``k`` counts."""
+    r = 1 / phi
+    return incomplete_beta(r, k + 1.0, r / (r + mu)) if k >= 0 else 0.0
+
+
 def log_nb_pmf(k: np.ndarray, mu: float, phi: float) -> np.ndarray:
     """Log probabilities of a negative binomial with mean ``mu`` and dispersion ``phi``."""
     r = 1 / phi

@@ -66,6 +66,7 @@ class Mean:
 
 def shifts(points: DataFrame, reference: DataFrame, pairs: DataFrame, key: str, vector: str, sigma: float) -> DataFrame:
     """(key, shift) for each of ``points``: the kernel-weighted mean of the pairs' differences.
+    Without pairs there are no rows.
 
     Every vector weighs every pair, block against block; a task takes up to PARTNERS
     blocks of pairs and leaves one row for each vector of its block."""
@@ -102,12 +103,13 @@ def shifts(points: DataFrame, reference: DataFrame, pairs: DataFrame, key: str,
             yield mean.rows()
 
     some = settle(rows.select("a", "part", "at", "keys", "x", "w", "s").mapInArrow(run, "key long, top double, weight double, s array<double>"))
+    some = some.where("weight > 0")
     most = some.groupBy("key").agg(F.max("top").alias("most"))
     scaled = some.join(most, "key").withColumn("f", F.exp(F.col("top") - F.col("most")))
     weight = scaled.groupBy("key").agg(F.sum(F.col("f") * F.col("weight")).alias("weight"))
     added = scaled.select("key", "f", F.posexplode("s").alias("i", "x")).groupBy("key", "i").agg(F.sum(F.col("f") * F.col("x")).alias("x"))
     whole = added.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda z: z.x).alias("s")).join(weight, "key")
-    return whole.select("key", F.when(F.col("weight") > 0, F.transform("s", lambda x: x / F.col("weight"))).alias("shift"))
+    return whole.select("key", F.transform("s", lambda x: x / F.col("weight")).alias("shift"))
 
 
 def correct(points: DataFrame, reference: DataFrame, key: str, vector: str, k: int = 20, sigma: float = 1.0, block: int = BLOCK) -> DataFrame:

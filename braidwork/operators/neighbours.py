@@ -7,7 +7,8 @@ cells around; by the triangle inequality only blocks within that distance are me
 A block's partners come nearest first, and one task keeps the k best of each query
 while they pass, so what goes on is k rows for a query and run of partners.
 
-Scale: pivots (at most PIVOTS) and the distances between them are broadcast; pairs are
+Scale: pivots (at most PIVOTS, from a bounded sample, which sets the speed and not the
+result) and the distances between them are broadcast; pairs are
 planned from one small row for each block, and only planned partners are shuffled.
 """
 
@@ -20,8 +21,9 @@ from pyspark.sql import functions as F
 
 from .staged import settle
 
-#: Vectors in a block, pivots at most, and partners that one task takes for a block.
-BLOCK, PIVOTS, PARTNERS = 2048, 1024, 64
+#: Vectors in a block, pivots at most, vectors drawn for each pivot, and partners that
+#: one task takes for a block.
+BLOCK, PIVOTS, SAMPLE, PARTNERS = 2048, 1024, 8, 64
 ASKS, GIVEN = 1, 2
 _FOUND = "src long, dst long, distance double"
 
@@ -49,6 +51,25 @@ def _rows(lists: pa.Array) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(lists), -1)
 
 
+def spread(sample: np.ndarray, n: int, rounds: int = 3) -> np.ndarray:
+    """Up to ``n`` pivots for a sample: the next is always the farthest from those before;
+    then a few rounds of moving each to the mean of its own."""
+    if not len(sample):
+        return sample
+    at, away = [0], _squares(sample, sample[:1])[:, 0]
+    while len(at) < n and away.max() > 0:
+        at.append(int(away.argmax()))
+        away = np.minimum(away, _squares(sample, sample[at[-1:]])[:, 0])
+    pivots = sample[at]
+    for _ in range(rounds):
+        own = _squares(sample, pivots).argmin(1)
+        size = np.bincount(own, minlength=len(pivots))
+        mean = np.zeros(pivots.shape)
+        np.add.at(mean, own, sample)
+        pivots = np.where(size[:, None] > 0, mean / np.maximum(size, 1)[:, None], pivots)
+    return pivots
+
+
 class Layout:
     """Blocks of the vectors, and what the driver knows of their cells."""
 
@@ -56,8 +77,8 @@ class Layout:
         self.k, self.apart, spark = k, apart, rows.sparkSession
         given = rows.where(F.col("flags").bitwiseAND(F.lit(GIVEN)) != 0)
         most = min(PIVOTS, -(-rows.count() // block))
-        chosen = given.orderBy(F.xxhash64("key"), "key").limit(most).select("v").collect()
-        self.pivots = np.array([r["v"] for r in chosen], float)
+        chosen = given.orderBy(F.xxhash64("key"), "key").limit(SAMPLE * most).select("v").collect()
+        self.pivots = spread(np.array([r["v"] for r in chosen], float), most)
         self.empty = not len(self.pivots)
         if self.empty:
             return

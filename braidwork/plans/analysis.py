@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import fragments as fr
-from ..operators import graph, inference, intervals, matrix, metrics, models, reduce
+from ..operators import cellcalling, graph, inference, intervals, matrix, metrics, models, reduce
 from ..operators.staged import settle
 
 
@@ -57,18 +57,36 @@ def coordinates(counts: DataFrame) -> DataFrame:
     return counts.select(F.xxhash64("contig", "start", "end").alias("feature_id"), F.xxhash64("barcode").alias("barcode_id"), F.col("n").alias("value"))
 
 
-def count(fragments: DataFrame, peaks: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Peaks, cells and the peak by cell counts of one library."""
+def count(fragments: DataFrame, peaks: DataFrame | None = None, whitelist: int = cellcalling.WHITELIST, excluded: DataFrame | None = None, force: int | None = None) -> dict[str, DataFrame]:
+    """Peaks, cells and the peak by cell counts of one library.
+
+    Cells are called by a fit to the barcodes' fragments in peaks, less what stray
+    fragments add; ``excluded`` (barcode) can't be cells, ``force`` asks for so many."""
     peaks = settle(inference.call_peaks(fragments) if peaks is None else peaks)
-    targeted = intervals.overlap_join(fragments, peaks, "left_semi").groupBy("barcode").agg(F.count("*").alias("n"))
-    cells = models.cell_calls(targeted).where("is_cell").select("barcode")
+    targeted = settle(intervals.overlap_join(fragments, peaks, "left_semi").groupBy("barcode").agg(F.count("*").alias("n")).withColumn("species", F.lit("")))
+    barred = None if excluded is None else excluded.select(F.lit("").alias("species"), "barcode")
+    cells, summary = cellcalling.call(targeted, fragments.count(), whitelist, barred, None if force is None else {"default": force})
+    cells = settle(cells.select("barcode"))
     counts = fr.peak_matrix(fragments.join(cells, "barcode", "left_semi"), peaks)
-    return {"peaks": peaks, "cells": cells, "counts": counts}
+    return {"peaks": peaks, "cells": cells, "counts": counts, "calling": summary.get("", {})}
+
+
+def differential(counts: DataFrame, labels: DataFrame, covariates: DataFrame | None = None) -> DataFrame:
+    """Each cluster of (barcode_id, label) against the rest: negative binomial regressions on
+    depth and ``covariates`` (barcode_id, more), with each feature's own dispersion.
+
+    (feature_id, label, log2_ratio, z, p_value, adjusted)."""
+    m = settle(counts.join(labels.select("barcode_id"), "barcode_id", "left_semi"))
+    moments = matrix.moments(m, "feature_id", labels.count())
+    own = settle(moments.select("feature_id", F.greatest((F.col("var") - F.col("mean")) / (F.col("mean") * F.col("mean")), F.lit(1e-4)).alias("alpha")))
+    extra = () if covariates is None else tuple(c for c in covariates.columns if c != "barcode_id")
+    named = labels.select("barcode_id", "label") if covariates is None else labels.select("barcode_id", "label").join(covariates, "barcode_id")
+    return inference.clusters_against_rest(m, settle(named), dispersions=own, covariates=extra)
 
 
 def analyse(counts: DataFrame, p: Parameters) -> dict[str, DataFrame]:
-    """Reduction, k-means for 2 to ``max_clusters`` and graph clusters of a count matrix
-    (feature_id, barcode_id, value).
+    """Reduction, k-means for 2 to ``max_clusters``, graph clusters and their differential
+    features, of a count matrix (feature_id, barcode_id, value).
 
     Vectors of lsa and plsa are brought to length one before they are clustered.  The
     tsne parameters have no effect, and ``num_dr_bcs`` and ``num_dr_features`` none on plsa."""
@@ -89,7 +107,8 @@ def analyse(counts: DataFrame, p: Parameters) -> dict[str, DataFrame]:
     if near:
         edges = settle(graph.nearest(points, "barcode_id", "score", near).select("src", "dst"))
         found = graph.communities(edges).withColumnRenamed("node", "barcode_id")
-        out["graphclust"] = matrix.relabel_by_size(found, "barcode_id", "community")
+        out["graphclust"] = settle(matrix.relabel_by_size(found, "barcode_id", "community"))
+        out["differential"] = differential(m, out["graphclust"])
     return out
 
 

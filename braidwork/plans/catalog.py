@@ -588,12 +588,12 @@ def session_counts(spark, d):
 
 
 def queries() -> dict:
-    from . import catalog_cells, catalog_models  # noqa: F401  they register their own
+    from . import catalog_analysis, catalog_cells, catalog_models  # noqa: F401  they register their own
 
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import catalog_cells, catalog_models  # noqa: F401
+    from . import catalog_analysis, catalog_cells, catalog_models  # noqa: F401
 
     return dict(_SQL)

@@ -43,15 +43,24 @@ def read_cell_barcodes(spark: SparkSession, path: str) -> DataFrame:
 MEX_HEAD = "%%MatrixMarket matrix coordinate integer general"
 
 
+def _size_line(lines: DataFrame):
+    """(file, at) of the size line: the first line behind the comments of the headed part.
+
+    One pass: of each file the places of its header and of its first plain line."""
+    at = lines.groupBy("file").agg(F.min(F.when(F.col("value").startswith("%%MatrixMarket"), F.col("at"))).alias("head"), F.min(F.when(~F.col("value").startswith("%"), F.col("at"))).alias("at"))
+    return at.where("head is not null and at is not null").select("file", "at").first()
+
+
 def read_mex(spark: SparkSession, path: str) -> DataFrame:
     """(feature_id, barcode_id, value) with ids from 0, of a Matrix Market file or folder.
 
     The size line, three numbers like an entry, is the first after the comments of the
     part that begins with the header; parts without a header hold entries alone."""
-    lines = spark.read.text(path, wholetext=False).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at")).where(F.trim("value") != "")
-    headed = lines.where(F.col("value").startswith("%%MatrixMarket")).select("file")
-    first = lines.where(~F.col("value").startswith("%")).join(F.broadcast(headed), "file").groupBy("file").agg(F.min("at").alias("at"))
-    rows = lines.where(~F.col("value").startswith("%")).join(F.broadcast(first), ["file", "at"], "left_anti")
+    meta = "_metadata"
+    lines = spark.read.text(path).select("value", F.col(f"{meta}.file_path").alias("file"), F.monotonically_increasing_id().alias("at")).where(F.trim("value") != "")
+    size = _size_line(lines)
+    rows = lines.where(~F.col("value").startswith("%"))
+    rows = rows.where(~((F.col("file") == size["file"]) & (F.col("at") == size["at"]))) if size else rows
     f = F.split(F.trim("value"), "[ \t]+")
     return rows.select((F.get(f, F.lit(0)).cast("long") - 1).alias("feature_id"), (F.get(f, F.lit(1)).cast("long") - 1).alias("barcode_id"), F.get(f, F.lit(2)).cast("long").alias("value"))
 
@@ -62,7 +71,8 @@ def write_mex(m: DataFrame, path: str, features: DataFrame | None = None, barcod
 
     ``features`` (feature_id, more) and ``barcodes`` (barcode_id, barcode) give the shape
     and are written in order beside it; without them the largest ids do."""
-    count = lambda t, c: t.count() if t is not None else (m.agg(F.max(c)).first()[0] or -1) + 1 if m.limit(1).count() else 0
+    largest = m.agg(F.max("feature_id").alias("feature_id"), F.max("barcode_id").alias("barcode_id")).first()
+    count = lambda t, c: t.count() if t is not None else 0 if largest[c] is None else largest[c] + 1
     shape = (count(features, "feature_id"), count(barcodes, "barcode_id"), m.count())
     head = m.sparkSession.createDataFrame([(f"{MEX_HEAD}\n{shape[0]} {shape[1]} {shape[2]}",)], "value string").coalesce(1)
     entries = m.sortWithinPartitions("barcode_id", "feature_id").select(F.concat_ws(" ", F.col("feature_id") + 1, F.col("barcode_id") + 1, F.col("value")).alias("value"))
@@ -159,11 +169,17 @@ def gff3_to_gtf(spark: SparkSession, path: str) -> DataFrame:
     """(value): GTF rows of a GFF3 file.
 
     A record's gene is itself or its parent's; ``Name`` becomes gene_name on genes, and
-    ``ID`` and ``Parent`` become transcript_id and gene_id on what they name."""
+    ``ID`` and ``Parent`` become transcript_id and gene_id on what they name.  A record
+    of several parents (an exon that transcripts share) gives a row for each of them;
+    values are decoded after they are split at commas, and a double quote becomes single."""
     lines, f = _gene_rows(spark, path)
+    plain = lambda c: F.translate(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), '"', "'")
+    told = lambda c: F.coalesce(plain(c), c)  # noqa: E731  a stray percent sign stays as it is
     first = lambda k: F.get(F.col("a")[k], F.lit(0))
     rows = lines.select(*[F.get(f, F.lit(k)).alias(f"c{k}") for k in range(8)], attributes(F.get(f, F.lit(8))).alias("a"))
-    rows = rows.select("*", first("ID").alias("id"), first("Parent").alias("parent"), first("Name").alias("name"))
+    parents = F.explode_outer(F.split(first("Parent"), ",")).alias("parent")
+    rows = rows.select(*[f"c{k}" for k in range(8)], first("ID").alias("id"), first("Name").alias("name"), parents)
+    rows = rows.withColumns({c: told(F.col(c)) for c in ("id", "name", "parent")})
     genes = rows.where("c2 = 'gene'").select(F.col("id").alias("g"), F.coalesce("name", "id").alias("gene_name"))
     parts = rows.where("c2 in ('transcript', 'mRNA')").select(F.col("id").alias("t"), F.col("parent").alias("of"))
     joined = rows.join(parts, rows["parent"] == parts["t"], "left")
@@ -189,6 +205,38 @@ def read_vcf(spark: SparkSession, path: str, contig: str | None = None, start: i
     return rows.where((F.col("contig") == contig) & (F.col("pos") >= start) & (F.col("pos") < end if end is not None else F.lit(True)))
 
 
+def write_vcf(rows: DataFrame, path: str, contigs: list[tuple[str, int]] = ()) -> None:
+    """Rows as ``read_vcf`` gives them, as text below ``path``: the first part has the
+    header, and parts one after another, by their names, are the file in order.
+
+    ``contigs`` (name, length) are told in the header and lay down the order; contigs
+    that aren't among them follow by name."""
+    order = {n: k for k, (n, _) in enumerate(contigs)}
+    place = F.coalesce(F.create_map(*[F.lit(x) for p in order.items() for x in p])[F.col("contig")], F.lit(len(order))) if order else F.lit(0)
+    or_dot = lambda c: F.coalesce(F.nullif(c, F.lit("")), F.lit("."))
+    entry = lambda e: F.when(e["v"] == "true", e["k"]).otherwise(F.concat(e["k"], F.lit("="), e["v"]))
+    whole = F.col("qual") == F.floor("qual")
+    qual = F.when(whole, F.col("qual").cast("long").cast("string")).otherwise(F.col("qual").cast("string"))
+    fields = [F.col("contig"), (F.col("pos") + 1).cast("string"), or_dot(F.col("id")), F.col("ref"), F.concat_ws(",", "alts"), or_dot(qual), or_dot(F.concat_ws(";", "filters")), or_dot(F.concat_ws(";", F.transform("info", entry)))]
+    head = ["##fileformat=VCFv4.2", *[f"##contig=<ID={n},length={m}>" for n, m in contigs], "#" + "\t".join(("CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO"))]
+    top = rows.sparkSession.createDataFrame([(-1, "", -1, "\n".join(head))], "place int, contig string, pos long, value string")
+    body = rows.select(place.cast("int").alias("place"), "contig", F.col("pos").cast("long").alias("pos"), F.concat_ws("\t", *fields).alias("value"))
+    top.unionByName(body).orderBy("place", "contig", "pos", "value").select("value").write.text(path)
+
+
+def write_motifs(features: DataFrame, path: str) -> None:
+    """(feature_id, id, name) as lines of id and name, in feature order."""
+    features.orderBy("feature_id").select("id", "name").write.option("sep", "\t").csv(path)
+
+
+def write_row(values: dict, spark: SparkSession, path: str) -> None:
+    """A dictionary as CSV of a header and one row; missing values and NaN are empty."""
+    text = lambda v: None if v is None or v != v else str(v)
+    names = [f"_{k}" for k in range(len(values))]
+    row = spark.createDataFrame([tuple(text(v) for v in values.values())], ", ".join(f"{n} string" for n in names))
+    row.toDF(*values).coalesce(1).write.option("header", True).csv(path)
+
+
 VARIANT = ["contig", "pos", "ref", "alts"]
 
 
