@@ -120,3 +120,10 @@ def nearest_distance(points: DataFrame, targets: DataFrame, pos: str = "pos", ta
 
 def total_size(df: DataFrame) -> DataFrame:
     return df.agg(F.sum(F.col("end") - F.col("start")).alias("bases"))
+
+
+def tiled(contigs: DataFrame, step: int, overlap: int = 0) -> DataFrame:
+    """(contig, start, end): windows of (contig, length) every ``step`` bases, each going on
+    for ``overlap`` bases into the next, the last cut at the contig's end."""
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length").cast("long") - 1, F.lit(step).cast("long"))).alias("start")
+    return contigs.where("length > 0").select("contig", "length", starts).select("contig", "start", F.least(F.col("start") + step + overlap, F.col("length").cast("long")).alias("end"))

@@ -350,11 +350,11 @@ def sort_unique_bed(spark, d):
     return frag(spark, d).select("contig", "start", "stop").distinct().orderBy("contig", "start", "stop")
 
 
-@query("select contig, w * 100000 as start, least(w * 100000 + 110000, 1000000) as \"end\" from (select unnest(['chr1','chr2','chr3','chr4','chr5']) as contig), (select unnest(range(10)) as w)")
+@query(f"""with {cte('frag')}, c as (select contig, max(stop) as n from frag group by 1), w as (select contig, n, unnest(range(0, n, 100000)) as start from c)
+select contig, start, least(start + 110000, n) as "end" from w""")
 def tiling_windows(spark, d):
-    c = spark.range(1, 6).select(F.concat(F.lit("chr"), F.col("id").cast("string")).alias("contig"))
-    s = F.explode(F.sequence(F.lit(0), F.lit(LENGTH - 1), F.lit(100_000)))
-    return c.select("contig", s.alias("start")).select("contig", F.col("start").cast("long").alias("start"), F.least(F.col("start") + 110_000, F.lit(LENGTH)).cast("long").alias("end"))
+    lengths = frag(spark, d).groupBy("contig").agg(F.max("stop").alias("length"))
+    return intervals.tiled(lengths, 100_000, 10_000)
 
 
 # --- matrices
@@ -588,12 +588,12 @@ def session_counts(spark, d):
 
 
 def queries() -> dict:
-    from . import catalog_analysis, catalog_cells, catalog_models  # noqa: F401  they register their own
+    from . import catalog_analysis, catalog_cells, catalog_lanes, catalog_models  # noqa: F401  they register their own
 
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import catalog_analysis, catalog_cells, catalog_models  # noqa: F401
+    from . import catalog_analysis, catalog_cells, catalog_lanes, catalog_models  # noqa: F401
 
     return dict(_SQL)

@@ -8,7 +8,7 @@ from ..functions import sequence as seq
 from ..functions import summaries as su
 from ..operators import cells, contigs, matrix
 from ..operators import fragments as fr
-from .catalog import frag, query, rounded, table
+from .catalog import _SEQ, _seqs, frag, query, rounded, table
 from .fixtures import cte, derived
 
 #: A genome of five contigs; the last is no primary one, the fourth a sex chromosome.
@@ -403,9 +403,13 @@ def pearson(spark, d):
     return rounded(table(spark, d, "lineitem").agg(F.corr("l_quantity", "l_extendedprice").alias("pearson")), "pearson")
 
 
-@query("select a || b || c as seq from (select unnest(['A','C','G','T']) as a), (select unnest(['A','C','G','T']) as b), (select unnest(['A','C','G','T']) as c)")
+@query(f"""with q as ({_SEQ.format(s='varchar')}), k as (select substr(seq, i, 3) as seq, count(*) as n from q, (select unnest(range(1, 15)) as i) group by 1),
+a as (select a || b || c as seq from (select unnest(['A','C','G','T']) as a), (select unnest(['A','C','G','T']) as b), (select unnest(['A','C','G','T']) as c)) select seq, coalesce(n, 0) as n from a left join k using (seq)""")
 def all_sequences(spark, d):
-    return seq.all_sequences(spark, 3)
+    """How often each sequence of three bases stands in the parts' sequences."""
+    words = F.explode(F.transform(F.sequence(F.lit(1), F.length("seq") - 2), lambda i: F.col("seq").substr(i, F.lit(3)))).alias("seq")
+    seen = _seqs(spark, d).select(words).groupBy("seq").agg(F.count("*").alias("n"))
+    return seq.all_sequences(spark, 3).join(seen, "seq", "left").fillna(0, ["n"])
 
 
 @query(f"{_COUNTS} select substr(barcode, 3, 2) as part, string_agg(distinct substr(barcode, 5, 2), ',' order by substr(barcode, 5, 2)) as rest from b group by 1")
