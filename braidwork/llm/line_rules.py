@@ -1,7 +1,7 @@
 """Line-first quality rules.
 
-Every line is judged by itself: does it end like a sentence, is it navigation, is it
-boilerplate.  Lines that fail are removed, and a document that loses too much of its
+Every line is judged: does it end like a sentence, is it navigation (by separators, or
+as part of a run of very short lines), is it boilerplate.  Lines that fail are removed, and a document that loses too much of its
 text is rejected.  Whole-document figures (symbols, repeated lines and windows) come
 from the same pass.
 """
@@ -23,17 +23,24 @@ _CLOSE = r"""["'”’»)\]]*"""
 SENTENCE_END = re.compile(rf"[.!?…:;。！？]{_CLOSE}{_S}*$")
 #: A sentence that ends inside a line and is followed by a word: running text, even if cut off at the end.
 SENTENCE_INSIDE = re.compile(rf"[.!?…]{_CLOSE}{_S}+[^\x20\x09-\x0D|»›>•]")
-#: Fixed phrases of page furniture, in English, German, French and Spanish.
+#: Fixed phrases of page furniture, in English, German, French and Spanish; single words
+#: that running text has as well aren't among them.
 PHRASES = (
-    "javascript|cookie|privacy policy|terms of (?:use|service)|all rights reserved|click here|lorem ipsum|log ?in to|subscribe",
-    "datenschutzerklärung|nutzungsbedingungen|alle rechte vorbehalten|hier klicken|klicken sie hier|impressum|newsletter abonnieren",
-    "politique de confidentialité|conditions d.utilisation|tous droits réservés|cliquez ici|mentions légales|abonnez-vous|se connecter",
-    "política de privacidad|términos de uso|términos y condiciones|todos los derechos reservados|haga clic aquí|aviso legal|suscríbe(?:te|ase)|iniciar sesión",
+    "(?:enable|requires?|turn on|disable) javascript|javascript (?:is|must be) (?:disabled|enabled|required|turned)",
+    "(?:uses?|using|accept|reject|manage|store|set) (?:[a-z]+ )?cookies|cookies? (?:policy|settings|consent|notice|preferences|statement)|cookies (?:on|to) (?:this|our|give|improve|personali[sz]e)",
+    "privacy policy|terms of (?:use|service)|all rights reserved|click here|lorem ipsum|log ?in to (?:your|continue|see|view|comment|the)|subscribe (?:to|now|for|today|and)",
+    "datenschutzerklärung|nutzungsbedingungen|alle rechte vorbehalten|hier klicken|klicken sie hier|newsletter abonnieren|verwende[nt]+ (?:[a-zäöü]+ )?cookies|cookies (?:akzeptieren|ablehnen)",
+    "politique de confidentialité|conditions d.utilisation|tous droits réservés|cliquez ici|mentions légales|abonnez-vous (?:à|a|au|pour)|utilis(?:e|ons) des cookies|accepter les cookies",
+    "política de privacidad|términos de uso|términos y condiciones|todos los derechos reservados|haga clic aquí|aviso legal|suscríb(?:ete|ase) (?:a|al|para|ya)|utiliza(?:mos)? cookies|aceptar (?:las )?cookies",
 )
 BOILERPLATE = re.compile("|".join(PHRASES), re.I)
 NAVIGATION = re.compile(rf"{_S}[|»›>•]{_S}")
 #: A line with more symbols than this share of its words fails; so does one with so many separators.
 MOST_SYMBOLS, MOST_SEPARATORS = 0.3, 2
+#: A menu is a run of so many lines, blank ones aside, of so few words each, none of which
+#: ends like a sentence or in a comma.
+MENU_LINES, MENU_WORDS = 5, 3
+MENU_END = re.compile(rf"[.!?…:;,。！？]{_CLOSE}{_S}*$")
 #: A document must keep this share of its word characters.
 LEAST_KEPT = 0.5
 WINDOW = 8
@@ -55,8 +62,29 @@ def line_kept(line: str) -> bool:
     return len(words) <= 12 or bool(SENTENCE_END.search(line) or SENTENCE_INSIDE.search(line))
 
 
+def in_menus(lines: list[str]) -> set[int]:
+    """The places of lines that stand in a menu."""
+    found, held = set(), []
+    for k, line in enumerate([*lines, "."]):
+        words = len(line.encode().split())
+        if words and (words > MENU_WORDS or MENU_END.search(line)):
+            if len(held) >= MENU_LINES:
+                found.update(held)
+            held = []
+        elif words:
+            held.append(k)
+    return found
+
+
+def lines_kept(text: str) -> list[tuple[str, bool]]:
+    """Each line and whether it passes, by itself and among its neighbours."""
+    lines = text.split("\n")
+    menu = in_menus(lines)
+    return [(x, k not in menu and line_kept(x)) for k, x in enumerate(lines)]
+
+
 def cleaned(text: str) -> str:
-    return "\n".join(x for x in text.split("\n") if line_kept(x))
+    return "\n".join(x for x, good in lines_kept(text) if good)
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -92,8 +120,8 @@ def figures(text: str | None, clean: bool) -> tuple:
     joined = b"".join(words)
     chars = len(joined) if joined.isascii() else len(joined.decode())
     seen, again, left, stay = set(), 0, 0, []
-    for line in text.split("\n"):
-        if line_kept(line):
+    for line, good in lines_kept(text):
+        if good:
             left += len(b"".join(line.encode().split()).decode())
             stay.append(line)
         if line in seen:

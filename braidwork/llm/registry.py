@@ -114,13 +114,16 @@ w as (select r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w, len(regexp_extr
 g as (select r, i, array_to_string(w[i:i + 7], ' ') as g from (select r, w, unnest(range(1, len(w) - 6)) as i from w where len(w) >= 8)),
 again as (select r, i from g qualify count(*) over (partition by r, g) > 1),
 rep as (select r, count(distinct p) as n from (select r, unnest(range(i, i + 8)) as p from again) group by r),
-l as (select r, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as n from (select r, unnest(string_split(t, chr(10))) as line from d)),
-k as (select *, n = 0 or not (
+l as (select r, i, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as n from (select r, unnest(string_split(t, chr(10))) as line, generate_subscripts(string_split(t, chr(10)), 1) as i from d)),
+m as (select r, i, n > 3 or regexp_matches(line, '[.!?…:;,。！？]["''”’»)\]]*[\x20\x09-\x0D]*$') as solid from l where n > 0),
+u as (select r, i, solid, sum(solid::int) over (partition by r order by i) as run from m),
+menu as (select r, i from u where not solid qualify count(*) over (partition by r, run) >= 5),
+k as (select l.*, n = 0 or not (menu.i is not null or
     len(regexp_extract_all(line, '[\x20\x09-\x0D][|»›>•][\x20\x09-\x0D]')) >= 2
     or (n <= 30 and regexp_matches(line, '(?i)PHRASES'))
     or len(regexp_extract_all(line, '[#*$%&|<>]')) > 0.3 * n or (n >= 4 and len(regexp_extract_all(line, '!!')) > 0.3 * n)
     or not (n <= 12 or regexp_matches(line, '[.!?…:;。！？]["''”’»)\]]*[\x20\x09-\x0D]*$') or regexp_matches(line, '[.!?…]["''”’»)\]]*[\x20\x09-\x0D]+[^\x20\x09-\x0D|»›>•]'))
-  ) as good, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) as chars from l),
+  ) as good, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) as chars from l left join menu using (r, i)),
 s as (select r, sum(chars) as word_chars, sum(case when good then chars else 0 end) as kept_chars, count(case when n > 0 then 1 end) - count(distinct case when n > 0 then line end) as n_dup_lines from k group by r),
 f as (select doc_id, len(w)::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols, n_dup_lines::bigint as n_dup_lines, coalesce(rep.n, 0)::bigint as n_repeat_words, kept_chars
   from d join w using (r) join s using (r) left join rep using (r))
