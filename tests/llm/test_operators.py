@@ -735,7 +735,7 @@ def test_menus_and_common_words(spark):
     r = random.Random(13)
     good = "\n".join(" ".join(r.sample(WORDS, 14)) + "." for _ in range(10))
     menu = "\n".join(["Home", "Products", "About us", "", "Contact", "News", "Sign in"] * 3)
-    cookie = "Grandmother used to shape each cookie by hand and bake it until the edges were brown and crisp"
+    cookie = "Grandmother used to shape each cookie by hand and bake it until the edges were brown and crisp."
     poem = "Red sky,\nold sea,\nfar moon,\ncold wind,\ndark ship,\nhome."
     few = "Home\nNews\nSport\nHelp"
     texts = {1: f"{menu}\n{good}", 2: f"{good}\n{cookie}", 3: f"{good}\n{poem}", 4: f"{good}\n{few}", 5: f"{good}\nThis site uses cookies to improve your visit.\nPlease enable JavaScript"}
