@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -36,9 +36,11 @@ def nx(lengths: DataFrame, length: str, fraction: float) -> DataFrame:
     """The largest length such that lengths of at least it make up ``fraction`` of all.
 
     Equal lengths are counted first, so the running sum is over distinct lengths."""
+    from ..operators.ranks import folded, ordered
+
     h = lengths.groupBy(length).agg(F.sum(length).alias("s"))
     total = h.agg(F.sum("s").alias("t"))
-    run = h.withColumn("c", F.sum("s").over(Window.orderBy(F.desc(length))))
+    run = folded(ordered(h, F.col(length).desc()), F.col("s"), "c")
     return run.join(F.broadcast(total)).where(F.col("c") >= fraction * F.col("t")).agg(F.max(length).alias("nx"))
 
 
@@ -49,10 +51,10 @@ def bh_adjust(p: DataFrame, key: str, value: str) -> DataFrame:
     from ..operators.ranks import folded, ordered
 
     groups = p.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
-    up = folded(ordered(groups, F.col(value)), F.col("_n"), "_rank").drop("_part", "_at")
-    total = p.agg(F.count(value).alias("_total"))
-    q = up.join(F.broadcast(total)).withColumn("_q", F.col(value) * F.col("_total") / F.col("_rank")).select(value, "_q")
-    q = folded(ordered(q, F.col(value).desc()), F.col("_q"), "_least", "min")
+    down = folded(ordered(groups, F.col(value).desc()), F.col("_n"), "_down")  # how many are at least as large
+    total = down.agg(F.sum("_n").alias("_total"))
+    q = down.join(F.broadcast(total)).withColumn("_q", F.col(value) * F.col("_total") / (F.col("_total") - F.col("_down") + F.col("_n")))
+    q = folded(q.select(value, "_q", "_part", "_at"), F.col("_q"), "_least", "min")
     return p.join(q.select(value, F.least("_least", F.lit(1.0)).alias("adjusted")), value, "left")
 
 

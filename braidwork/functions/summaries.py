@@ -29,8 +29,14 @@ def nested_add(parts: list[DataFrame], keys: list[str], value: str) -> DataFrame
 
 
 def ecdf(counts: DataFrame, *by: str) -> DataFrame:
-    """``counts`` with ``share``: of all, those at most as large.  The window holds distinct values."""
-    over = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    """``counts`` with ``share``: of all, those at most as large.  The window holds distinct
+    values of a group; without groups, ranges of them."""
+    if not by:
+        from ..operators.ranks import folded, ordered
+
+        upto = folded(ordered(counts, F.col("value")), F.col("n"), "_to").drop("_part", "_at")
+        return upto.join(F.broadcast(counts.agg(F.sum("n").alias("_all")))).withColumn("share", F.col("_to") / F.col("_all")).drop("_to", "_all")
+    over = Window.partitionBy(*by)
     return counts.withColumn("share", F.sum("n").over(over.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)) / F.sum("n").over(over))
 
 
@@ -48,9 +54,12 @@ def spread(counts: DataFrame, *by: str) -> DataFrame:
 
 def index_spread(counts: DataFrame, left: float = 0.25, right: float = 0.25) -> DataFrame:
     """(low, high, width): values at the places n * left and n - 1 - n * right of the sorted values."""
+    from ..operators.ranks import folded, ordered
+
     total = counts.agg(F.sum("n").alias("_all"))
-    upto = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("value"))
-    at = counts.withColumn("_to", upto).join(F.broadcast(total))
+    # equal values in several rows are one step
+    steps = counts.groupBy("value").agg(F.sum("n").alias("n"))
+    at = folded(ordered(steps, F.col("value")), F.col("n"), "_to").join(F.broadcast(total))
     low, high = F.floor(F.col("_all") * left), F.col("_all") - 1 - F.floor(F.col("_all") * right)
     inside = lambda k: F.min(F.when((F.col("_to") > k), F.col("value")))
     return at.agg(inside(low).alias("low"), inside(high).alias("high")).withColumn("width", F.col("high") - F.col("low"))

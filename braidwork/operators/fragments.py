@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .intervals import depth, merge, overlap_join, point_join
@@ -58,15 +58,17 @@ def classify(reads: DataFrame, mapq: Column, mate_mapq: Column, mito: Column, ch
 def targeting(fragments: DataFrame, tracks: dict[str, DataFrame]) -> DataFrame:
     """(barcode, n, one count for each track) of fragments that overlap the track.
 
-    All tracks are one tagged table, so the fragments meet them in one join; a fragment
-    counts once for a track, however many of its regions it meets."""
+    All tracks are one tagged table, so the fragments meet them in one join.  A track's
+    regions are united first, so they lie apart, and a fragment counts with the first of
+    them that it meets: pairs are added up where they arise, without telling them apart."""
     tagged = None
     for name, regions in tracks.items():
         rows = merge(regions.select("contig", "start", "end"), 0).withColumn("_track", F.lit(name))
         tagged = rows if tagged is None else tagged.unionByName(rows)
-    rows = fragments.select("contig", "start", "stop", "barcode").groupBy("contig", "start", "stop", "barcode").agg(F.count("*").alias("_n"))
-    met = overlap_join(rows, tagged, "inner").select("contig", "start", "stop", "barcode", "_n", F.col("r__track").alias("_track")).distinct()
-    hits = met.groupBy("barcode").agg(*[F.sum(F.when(F.col("_track") == name, F.col("_n")).otherwise(0)).alias(name) for name in tracks])
+    tagged = tagged.withColumn("_before", F.lag("end").over(Window.partitionBy("_track", "contig").orderBy("start")))
+    met = overlap_join(fragments.select("contig", "start", "stop", "barcode"), tagged, "inner")
+    first = met.where(F.col("r__before").isNull() | (F.col("r__before") < F.col("start")))
+    hits = first.groupBy("barcode").agg(*[F.count_if(F.col("r__track") == name).alias(name) for name in tracks])
     return fragments.groupBy("barcode").agg(F.count("*").alias("n")).join(hits, "barcode", "left").fillna(0, list(tracks))
 
 

@@ -44,23 +44,21 @@ def overlap_join(left: DataFrame, right: DataFrame, how: str = "inner", touching
         first = F.greatest(F.floor(F.col("start") / bin_width), F.floor(F.col("r_start") / bin_width))
         rows = _spread(left, F.col("start"), F.col(end) - 1, bin_width)
         return rows.join(r, met & (F.col("_bin") == F.col("r_bin")) & (F.col("_bin") == first), "inner").drop("_bin", "r_bin", "r_contig")
-    keyed = left.withColumn("_row", F.monotonically_increasing_id())
+    one = F.floor(F.col("start") / bin_width) == F.floor((F.col(end) - 1) / bin_width)
+    # Rows inside one bin need nothing more.  The few others are told apart by all their
+    # columns, equal ones counted, so no number of theirs depends on the order of reading.
+    if how not in ("left_semi", "left_anti"):
+        raise ValueError(f"no such join: {how}")
+    narrow = left.where(one).withColumn("_bin", F.floor(F.col("start") / bin_width)).join(r, met & (F.col("_bin") == F.col("r_bin")), how).drop("_bin")
+    wide = left.where(~one).groupBy(*left.columns).agg(F.count("*").alias("_copies"))
+    bins = _spread(wide, F.col("start"), F.col(end) - 1, bin_width).join(r, met & (F.col("_bin") == F.col("r_bin")), how)
     if how == "left_semi":
-        one = F.floor(F.col("start") / bin_width) == F.floor((F.col(end) - 1) / bin_width)
-        # Rows inside one bin need no deduplication; the few others are told apart by their row.
-        narrow = left.where(one).withColumn("_bin", F.floor(F.col("start") / bin_width)).join(r, met & (F.col("_bin") == F.col("r_bin")), "left_semi").drop("_bin")
-        wide = _spread(keyed.where(~one), F.col("start"), F.col(end) - 1, bin_width).join(r, met & (F.col("_bin") == F.col("r_bin")), "left_semi")
-        return narrow.unionByName(wide.drop("_bin").dropDuplicates(["_row"]).select(*left.columns))
-    if how == "left_anti":
-        one = F.floor(F.col("start") / bin_width) == F.floor((F.col(end) - 1) / bin_width)
-        narrow = left.where(one).withColumn("_bin", F.floor(F.col("start") / bin_width)).join(r, met & (F.col("_bin") == F.col("r_bin")), "left_anti").drop("_bin")
-        bins = _spread(keyed.where(~one), F.col("start"), F.col(end) - 1, bin_width)
-        misses = bins.join(r, met & (F.col("_bin") == F.col("r_bin")), "left_anti")
+        found = bins.drop("_bin").distinct()
+    else:
         # A row is clear if it is in all the bins that it touches.
         whole = F.floor((F.col(end) - 1) / bin_width) - F.floor(F.col("start") / bin_width) + 1
-        clear = misses.groupBy("_row", *left.columns).agg(F.count("*").alias("_n")).where(F.col("_n") == whole)
-        return narrow.unionByName(clear.select(*left.columns))
-    raise ValueError(f"no such join: {how}")
+        found = bins.groupBy(*left.columns, "_copies").agg(F.count("*").alias("_n")).where(F.col("_n") == whole).drop("_n")
+    return narrow.unionByName(found.withColumn("_copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*left.columns))
 
 
 def merge(df: DataFrame, gap: int = 0, closed: bool = True, key: list[str] | None = None, end: str = "end") -> DataFrame:

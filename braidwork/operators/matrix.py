@@ -130,12 +130,14 @@ def stacked(top: DataFrame, below: DataFrame) -> DataFrame:
 def join_features(a: DataFrame, b: DataFrame) -> DataFrame:
     """Two feature tables (feature_id, id, more) as one, numbered from 0; an id in both is an error.
 
-    The window runs over features, which are few beside the entries."""
+    Numbers come from ranges of the order, so no task holds all features."""
+    from .ranks import ranked
+
     again = a.join(b.select("id"), "id", "left_semi").limit(1).collect()
     if again:
         raise ValueError(f"feature {again[0]['id']} is in both tables")
     rows = a.withColumn("_k", F.lit(0)).unionByName(b.withColumn("_k", F.lit(1)))
-    return rows.withColumn("feature_id", F.row_number().over(Window.orderBy("_k", "feature_id")) - 1).drop("_k")
+    return ranked(rows, "_k", "feature_id", out="_rank").withColumn("feature_id", F.col("_rank") - 1).drop("_k", "_rank")
 
 
 def weighted_mean(m: DataFrame, weights: DataFrame, weight: str) -> DataFrame:
