@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 import pandas as pd
@@ -327,15 +328,39 @@ def two_pool_fit(total: np.ndarray, unique: np.ndarray, rounds: int = 300) -> np
     return p if np.isfinite(err) else np.full(3, np.nan)
 
 
-def ambient_p_values(m: DataFrame, background: DataFrame, draws: int = 1000, seed: int = 0) -> DataFrame:
+def background_profile(m: DataFrame, background: DataFrame, smooth: bool = True) -> DataFrame:
+    """(feature_id, p) of a background's counts, over all features that ``m`` has.
+
+    ``smooth``: by Good-Turing, from the histogram of sums (one row for each distinct sum
+    reaches the driver); features that the background lacks share what is left for the
+    unseen.  Where its frequencies fall too slowly for that, a warning is given and the
+    plain shares are taken, as without ``smooth``."""
+    sums = background.groupBy("feature_id").agg(F.sum("value").cast("long").alias("s")).where("s > 0")
+    plain = lambda: sums.join(F.broadcast(sums.agg(F.sum("s").alias("t")))).select("feature_id", (F.col("s") / F.col("t")).alias("p"))
+    if not smooth:
+        return plain()
+    sums = settle(sums)
+    h = sums.groupBy("s").agg(F.count("*").alias("n")).orderBy("s").collect()
+    try:
+        share, unseen = stats.good_turing([r["s"] for r in h], [r["n"] for r in h])
+    except ValueError as why:
+        warnings.warn(str(why), stacklevel=2)
+        return plain()
+    other = settle(m.where("value > 0").select("feature_id").distinct().join(sums.select("feature_id"), "feature_id", "left_anti"))
+    missing = other.count()
+    scale = 1.0 if missing else 1 / (1 - unseen)
+    named = m.sparkSession.createDataFrame([(r["s"], float(v * scale)) for r, v in zip(h, share)], "s long, p double")
+    seen = sums.join(F.broadcast(named), "s").select("feature_id", "p")
+    return seen.unionByName(other.withColumn("p", F.lit(unseen / missing))) if missing and unseen > 0 else seen
+
+
+def ambient_p_values(m: DataFrame, background: DataFrame, draws: int = 1000, seed: int = 0, smooth: bool = True) -> DataFrame:
     """(barcode_id, total, p_value): how often a draw from the background profile is less likely than the barcode.
 
     A draw is a walk that adds one count at a time and is read at every distinct total,
     so all totals share ``draws`` walks, which are dealt over the tasks.  Barcodes meet
     the draws of their total in a join that adaptive execution can split."""
-    prof = background.groupBy("feature_id").agg(F.sum("value").alias("s")).withColumn("s", F.col("s").cast("double"))
-    t = prof.agg(F.sum("s").alias("t"))
-    p = prof.join(F.broadcast(t)).select("feature_id", (F.col("s") / F.col("t")).alias("p"))
+    p = settle(background_profile(m, background, smooth))
 
     @F.pandas_udf("double")
     def lgam(v: pd.Series) -> pd.Series:
@@ -371,10 +396,3 @@ def ambient_p_values(m: DataFrame, background: DataFrame, draws: int = 1000, see
     sims = walks.groupBy("total").agg(F.collect_list("sim").alias("sims"))
     low = F.size(F.filter("sims", lambda x: x < F.col("ll") + 1e-9))
     return like.join(sims, "total").select("barcode_id", "total", ((1 + low) / F.lit(1.0 + draws)).alias("p_value"))
-
-
-def kolmogorov(histogram: DataFrame, cdf) -> float:
-    """The largest distance between a histogram (n, w) and a distribution function of arrays."""
-    h = histogram.orderBy("n").toPandas()
-    seen = h["w"].cumsum() / h["w"].sum()
-    return float(np.abs(seen - cdf(h["n"].to_numpy(float))).max())

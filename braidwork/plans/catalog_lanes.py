@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import sequence as seq
+from ..operators import barcodes, cells, intervals, lanes, mixtures, periodicity
 from ..operators import fragments as fr
-from ..operators import intervals, lanes, mixtures, periodicity
-from .catalog import _sweep_sql, frag, query, rounded, table
+from .catalog import _SEQ, _seqs, _sweep_sql, frag, query, rounded, table
 from .fixtures import cte, derived
 
 # --- copies on lanes: reads lie on a coarse raster with a little noise
@@ -71,8 +72,8 @@ def perturbation_efficiency(spark, d):
 
 @query()
 def multiplet_bootstrap(spark, d):
-    cells = frag(spark, d).groupBy("barcode").agg(F.count_if(F.col("contig") == "chr1").alias("c0"), F.count_if(F.col("contig") == "chr2").alias("c1"))
-    return mixtures.bootstrap_multiplets(cells)
+    own = frag(spark, d).groupBy("barcode").agg(F.count_if(F.col("contig") == "chr1").alias("c0"), F.count_if(F.col("contig") == "chr2").alias("c1"))
+    return mixtures.bootstrap_multiplets(own)
 
 
 @query()
@@ -80,6 +81,28 @@ def spread_points(spark, d):
     return mixtures.spread_sample(table(spark, d, "lineitem").select(F.xxhash64("l_orderkey", "l_linenumber").alias("id"), "l_quantity", "l_extendedprice"), 500, "l_quantity", "l_extendedprice", "id")
 
 
+# --- barcodes as read, lots, random cells
+
+_READ = f"q as ({_SEQ.format(s='varchar')}), c as (select reverse(translate(seq, 'ACGT', 'TGCA')) as barcode, count(*) as n from q group by 1), w as (select distinct seq as barcode from q where id % 3 = 0)"
+
+
+@query(f"with {_READ}, a as (select coalesce(sum(n), 0) as n from c where barcode in (select barcode from w)), b as (select coalesce(sum(n), 0) as n from c where reverse(translate(barcode, 'ACGT', 'TGCA')) in (select barcode from w)) select case when a.n > 0 then b.n >= 0.5 * (a.n + b.n) else b.n > 0 end as reversed from a, b")
+def barcodes_reversed(spark, d):
+    q = _seqs(spark, d)
+    read = q.groupBy(seq.reverse_complement(F.col("seq")).alias("barcode")).agg(F.count("*").alias("n"))
+    found = cells.reads_reversed(read, q.where("id % 3 = 0").select(F.col("seq").alias("barcode")), lambda c: seq.reverse_complement(F.col(c)))
+    return spark.createDataFrame([(found,)], "reversed boolean")
+
+
+@query(f"""with q as ({_SEQ.format(s='varchar')}), h as (select seq, 1 + id % 5 as n from q), l as (select distinct substr(seq, 1, 7) as part, 'lot' || (ascii(substr(seq, 3, 1)) % 3) as lot from q),
+p as (select lot, sum(n)::bigint as n from h join l on substr(seq, 1, 7) = part group by 1), t as (select lot, n / (select sum(n) from p) as share, (select sum(n) from p)::bigint as reads from p order by n desc, lot desc limit 1)
+select lot, round(share, 6) as share, reads, share >= 0.95 and reads >= 1000 as confident from t""")
+def barcode_lot(spark, d):
+    q = _seqs(spark, d)
+    lots = q.select(F.substring("seq", 1, 7).alias("part"), F.concat(F.lit("lot"), F.ascii(F.substring("seq", 3, 1)) % 3).alias("lot")).distinct()
+    return rounded(barcodes.lot_of(q.select(F.col("seq").alias("barcode"), (1 + F.col("id") % 5).alias("n")), lots), "share")
+
+
 # --- relations on fixtures in which intervals and barcodes do meet
 
 

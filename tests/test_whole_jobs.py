@@ -55,7 +55,7 @@ def test_ambient_against_all_outcomes(spark, monkeypatch):
     background = spark.createDataFrame([(0, 0, 5), (1, 0, 3), (2, 0, 2)], "feature_id long, barcode_id long, value long")
     cells = [(b, c) for b, c in enumerate(c for c in product(range(6), repeat=3) if 1 <= sum(c) <= 5)]
     m = spark.createDataFrame([(f, b, v) for b, c in cells for f, v in enumerate(c) if v], "feature_id long, barcode_id long, value long")
-    got = {r["barcode_id"]: r["p_value"] for r in inference.ambient_p_values(m, background, draws=4000).collect()}
+    got = {r["barcode_id"]: r["p_value"] for r in inference.ambient_p_values(m, background, draws=4000, smooth=False).collect()}
     chance = {c: math.factorial(sum(c)) * math.prod(p**v / math.factorial(v) for p, v in zip((0.5, 0.3, 0.2), c)) for _, c in cells}
     assert set(got) == {b for b, _ in cells}
     for b, c in cells:
@@ -63,6 +63,23 @@ def test_ambient_against_all_outcomes(spark, monkeypatch):
         assert got[b] == pytest.approx(want, abs=5 * math.sqrt(want * (1 - want) / 4000) + 1e-3)
 
 
+def test_smoothed_background(spark):
+    """The unseen features share what Good-Turing leaves; the whole is one."""
+    n = [1] * 120 + [2] * 40 + [3] * 24 + [4] * 13 + [5] * 15 + [6] * 5 + [7] * 11 + [20, 31, 50]
+    background = spark.createDataFrame([(f, 0, v) for f, v in enumerate(n)], "feature_id long, barcode_id long, value long")
+    m = background.unionByName(spark.createDataFrame([(1000 + k, 1, 2) for k in range(10)], background.schema))
+    p = {r["feature_id"]: r["p"] for r in inference.background_profile(m, background).collect()}
+    assert set(p) == set(range(len(n))) | set(range(1000, 1010)) and sum(p.values()) == pytest.approx(1)
+    assert sum(p[1000 + k] for k in range(10)) == pytest.approx(120 / sum(n)) and p[0] < 1 / sum(n)
+    alone = inference.background_profile(background, background).agg(F.sum("p")).first()[0]
+    assert alone == pytest.approx(1)
+    flat = spark.createDataFrame([(f, 0, 1 + f % 3) for f in range(90)], background.schema)
+    with pytest.warns(UserWarning, match="too slowly"):
+        got = inference.background_profile(flat, flat).agg(F.min("p"), F.max("p")).first()
+    assert tuple(got) == pytest.approx((1 / 180, 3 / 180))
+    assert inference.ambient_p_values(m, background, draws=20).count() == 2
+
+
 @pytest.mark.parametrize("block", [2048, 90])
 def test_nearest_among_equal_vectors(spark, block):
     r = np.random.default_rng(4)
