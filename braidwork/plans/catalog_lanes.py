@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import sequence as seq
 from ..operators import barcodes, cells, intervals, lanes, mixtures, periodicity
 from ..operators import fragments as fr
+from ..sources import checks
 from .catalog import _SEQ, _seqs, _sweep_sql, frag, query, rounded, table
 from .fixtures import cte, derived
 
@@ -130,3 +131,27 @@ select x.barcode, x.other from b x join b y on x.barcode = y.other and x.other =
 def coarse_partners(spark, d):
     f = frag(spark, d).select("contig", F.floor(F.col("start") / 2000).alias("start"), F.floor(F.col("stop") / 2000).alias("stop"), F.concat(F.lit("B"), F.substring("barcode", 3, 4).cast("int") % 40).alias("barcode"))
     return fr.mutual_partners(fr.adjacency(f))
+
+
+# --- faults of inputs
+
+_FAULTY = """t as (select contig, case when start % 7 = 0 then start - 900000 else start end as start, case when start % 11 = 0 then start else "end" + 40000 end as "end" from track),
+n as (select contig, 900000::bigint as length from track where contig <> 'chr5' group by 1)"""
+
+
+@query(f"""with {cte('track')}, {_FAULTY}, s as (select row_number() over () as k, * from t where "end" > start), o as (select contig, start, "end" from s where exists (select 1 from s x where x.contig = s.contig and x.k <> s.k and (x.start = s.start or (x.start < s.start and x."end" > s.start))))
+select contig, start, "end", 'empty' as fault from t where "end" <= start union all select contig, start, "end", 'negative' from t where start < 0
+union all select contig, start, "end", 'contig' from t where contig = 'chr5' union all select contig, start, "end", 'beyond' from t where contig <> 'chr5' and "end" > 900000 union all select contig, start, "end", 'overlap' from o""")
+def region_faults(spark, d):
+    t = derived(spark, d, "track")
+    bad = t.select("contig", F.when(F.col("start") % 7 == 0, F.col("start") - 900_000).otherwise(F.col("start")).alias("start"), F.when(F.col("start") % 11 == 0, F.col("start")).otherwise(F.col("end") + 40_000).alias("end"))
+    lengths = t.where("contig <> 'chr5'").groupBy("contig").agg(F.lit(900_000).alias("length"))
+    return checks.region_faults(bad, lengths)
+
+
+@query(f"""with {cte('frag')}, x as (select *, case when dup = 3 then 0 else dup end as d from frag), e as (select *, concat_ws(':', contig, start, stop, barcode) as example from x)
+select 'contig' as fault, count(*) as n, min(example) as example from e where contig = 'chr5' union all select 'beyond', count(*), min(example) from e where contig <> 'chr5' and stop > 900000 union all select 'copies', count(*), min(example) from e where d < 1""")
+def fragment_faults(spark, d):
+    f = frag(spark, d)
+    lengths = f.where("contig <> 'chr5'").groupBy("contig").agg(F.lit(900_000).alias("length"))
+    return checks.fragment_faults(f.withColumn("dup", F.when(F.col("dup") == 3, 0).otherwise(F.col("dup"))), lengths)

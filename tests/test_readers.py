@@ -92,3 +92,31 @@ def test_variants(spark, tmp_path):
     assert readers.shared_variants(rows, other).count() == 2 and readers.other_variants(rows, other).count() == 1
     regions = spark.createDataFrame([("chr1", 21, 30)], "contig string, start long, end long")
     assert [r["pos"] for r in readers.variants_in(rows, regions).collect()] == [20]
+
+
+def test_reference_definitions(spark):
+    from braidwork.sources import checks
+
+    lengths = spark.createDataFrame([("hs_1", 10), ("hs_2", 0), ("mm_1", 5), ("mm_1", 5), ("x", 3)], "contig string, length long")
+    faults = checks.contig_faults(lengths, ["hs_1", "hs_2", "hs_1", "gone"], ["mm_1", "hs_1"], ["hs_", "mm_"])
+    assert set(faults) == {"contig gone is not in the sequence", "contig hs_1 is in two lists", "contig hs_1 is named again", "contig mm_1 stands 2 times in the sequence", "contig hs_2 has no bases", "contig x is of no or of several species"}
+    assert checks.contig_faults(lengths.where("contig = 'hs_1'"), ["hs_1"]) == []
+
+
+def test_sequence_files_of_both_layouts(spark, tmp_path):
+    from braidwork.sources import checks
+
+    names = ["a_S1_L001_R1_001.fastq.gz", "a_S1_L001_R3_001.fastq.gz", "b_c_S2_R1_002.fastq", "b_c_S2_R3_002.fastq", "read-RA_si-ACGT_lane-003-chunk-004.fastq.gz", "notes.txt", "odd.fastq"]
+    for n in names:
+        (tmp_path / n).write_text("@r\n")
+    files = checks.sequence_files(spark, str(tmp_path)).cache()
+    got = {r["path"].rsplit("/", 1)[1]: tuple(r)[1:] for r in files.collect()}
+    assert got == {
+        names[0]: ("sample", "a", "1", "R1", 1, 1), names[1]: ("sample", "a", "1", "R3", 1, 1), names[2]: ("sample", "b_c", "2", "R1", None, 2),
+        names[3]: ("sample", "b_c", "2", "R3", None, 2), names[4]: ("preprocess", None, "ACGT", "RA", 3, 4),
+    }
+    sets = checks.read_sets(files.where("layout = 'sample'")).collect()
+    assert {r["sample"]: sorted(r["paths"]) for r in sets} == {"a": ["R1", "R3"], "b_c": ["R1", "R3"]}
+    assert checks.read_sets(files, ("RA",), samples=["ACGT"], lanes=[3]).count() == 1
+    with pytest.raises(ValueError, match="lack a read kind"):
+        checks.read_sets(files.where("read <> 'R3' and layout = 'sample'"))
