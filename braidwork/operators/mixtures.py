@@ -176,7 +176,8 @@ def spread_sample(points: DataFrame, n: int, x: str, y: str, key: str, seed: int
     Places are standardised logarithms on a grid.  One point of each grid cell, that of
     the smallest hash, stands for it.  If these are too few, others by hash fill up; if
     too many, cells are drawn without replacement by keys -log(u) / weight, the weight
-    being one over the number of cells within ``radius``.  Ties fall to the smaller key."""
+    being one over the number of cells within ``radius``.  Ties fall to the smaller key.
+    Keys are distinct."""
     total = points.count()
     if total <= n:
         return points

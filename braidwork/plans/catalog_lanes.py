@@ -79,7 +79,7 @@ def multiplet_bootstrap(spark, d):
 
 @query()
 def spread_points(spark, d):
-    return mixtures.spread_sample(table(spark, d, "lineitem").select(F.xxhash64("l_orderkey", "l_linenumber").alias("id"), "l_quantity", "l_extendedprice"), 500, "l_quantity", "l_extendedprice", "id")
+    return mixtures.spread_sample(table(spark, d, "part").select("p_partkey", "p_size", "p_retailprice"), 150, "p_size", "p_retailprice", "p_partkey")
 
 
 # --- barcodes as read, lots, random cells
