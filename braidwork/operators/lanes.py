@@ -12,6 +12,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .staged import settle
+
 #: Distances of optical copies and of those by diffusion, and the largest share of a
 #: lane that the circle of the latter may cover.
 OPTICAL, DIFFUSION, MOST_COVERED = 100.0, 25e3, 0.025
@@ -42,25 +44,45 @@ def on_lane(placed: DataFrame, extents: DataFrame) -> DataFrame:
     return joined.withColumns(at).drop("width", "height", "swaths", "tiles")
 
 
-def near_earlier(reads: DataFrame, by: list[str], x: str, y: str, order: str, radius: float) -> DataFrame:
-    """Rows that have one before them, in ``order``, less than ``radius`` away inside their
-    ``by`` group.  ``order`` tells the rows of a group apart."""
-    side = radius / math.sqrt(2) * (1 - 1e-9)  # a cell's diagonal is under the radius
-    laid = reads.withColumns({"_i": F.floor(F.col(x) / side), "_j": F.floor(F.col(y) / side)})
-    cell = [*by, "_i", "_j"]
-    least = laid.groupBy(*cell).agg(F.min(order).alias("_least"))
-    told = laid.join(least, cell)
-    later = told.where(F.col(order) > F.col("_least")).drop("_i", "_j", "_least")
-    first = told.where(F.col(order) == F.col("_least"))
+def _laid(reads: DataFrame, x: str, y: str, radius: float) -> DataFrame:
+    """``reads`` with their cell; a cell's diagonal is under the radius."""
+    side = radius / math.sqrt(2) * (1 - 1e-9)
+    return reads.withColumns({"_i": F.floor(F.col(x) / side), "_j": F.floor(F.col(y) / side)})
+
+
+def _near_firsts(laid: DataFrame, by: list[str], x: str, y: str, order: str, radius: float) -> DataFrame:
+    """(by, _i, _j) of cells whose first read lies near an earlier one of a cell around.
+
+    One first read of a cell looks into 24 cells; it stops at the first that it finds, and
+    reads at one place count once, so nothing grows faster than the reads."""
+    first = laid.groupBy(*by, "_i", "_j").agg(F.min(F.struct(F.col(order).alias("o"), F.col(x).alias("x"), F.col(y).alias("y"))).alias("_f"))
     around = [(i, j) for i in range(-2, 3) for j in range(-2, 3) if (i, j) != (0, 0)]
     steps = F.explode(F.array(*[F.struct(F.lit(i).cast("long").alias("i"), F.lit(j).cast("long").alias("j")) for i, j in around])).alias("_s")
-    other = laid.select(*by, "_i", "_j", F.col(x).alias("_x"), F.col(y).alias("_y"), F.col(order).alias("_o"), steps)
-    other = other.select(*by, (F.col("_i") + F.col("_s.i")).alias("_i"), (F.col("_j") + F.col("_s.j")).alias("_j"), "_x", "_y", "_o")
-    away = F.pow(F.col(x) - F.col("_x"), F.lit(2)) + F.pow(F.col(y) - F.col("_y"), F.lit(2))
-    # One first read in a cell, so each of the 24 copies of a read meets one row at most.
-    met = first.join(other, cell).where((F.col("_o") < F.col(order)) & (away < radius**2))
-    near = met.select(*by, order).distinct()
-    return later.unionByName(first.join(near, [*by, order], "left_semi").drop("_i", "_j", "_least"))
+    looks = first.select(*by, "_i", "_j", "_f", steps).withColumns({"_at_i": F.col("_i") + F.col("_s.i"), "_at_j": F.col("_j") + F.col("_s.j")})
+    places = laid.groupBy(*[F.col(c).alias(f"_by{k}") for k, c in enumerate(by)], F.col("_i").alias("_pi"), F.col("_j").alias("_pj"), F.col(x).alias("_x"), F.col(y).alias("_y")).agg(F.min(order).alias("_o"))
+    away = F.pow(F.col("_f.x") - F.col("_x"), F.lit(2)) + F.pow(F.col("_f.y") - F.col("_y"), F.lit(2))
+    met = (F.col("_at_i") == F.col("_pi")) & (F.col("_at_j") == F.col("_pj")) & (F.col("_o") < F.col("_f.o")) & (away < radius**2)
+    for k, c in enumerate(by):
+        met = met & (F.col(c) == F.col(f"_by{k}"))
+    return looks.join(places, met, "left_semi").select(*by, "_i", "_j").distinct()
+
+
+def near_earlier(reads: DataFrame, by: list[str], x: str, y: str, order: str, radius: float) -> DataFrame:
+    """Rows that have one before them, in ``order``, less than ``radius`` away inside their
+    ``by`` group.  ``order`` tells the rows of a group apart; equal rows count as one."""
+    laid, cell = _laid(reads, x, y, radius), [*by, "_i", "_j"]
+    told = laid.join(laid.groupBy(*cell).agg(F.min(order).alias("_least")), cell)
+    near = _near_firsts(laid, by, x, y, order, radius).withColumn("_near", F.lit(True))
+    return told.join(near, cell, "left").where((F.col(order) > F.col("_least")) | F.col("_near")).drop("_i", "_j", "_least", "_near")
+
+
+def count_near(reads: DataFrame, by: list[str], x: str, y: str, order: str, radius: float, n: str) -> DataFrame:
+    """(by, near): the sum of ``n`` over the rows that ``near_earlier`` gives, from sums by cell."""
+    laid, cell = _laid(reads, x, y, radius), [*by, "_i", "_j"]
+    per = laid.groupBy(*cell).agg(F.sum(n).alias("_all"), F.min_by(n, order).alias("_first"))
+    near = _near_firsts(laid, by, x, y, order, radius).withColumn("_near", F.lit(True))
+    found = F.col("_all") - F.when(F.col("_near"), F.lit(0)).otherwise(F.col("_first"))
+    return per.join(near, cell, "left").groupBy(*by).agg(F.sum(found).alias("near")).where("near > 0")
 
 
 def lane_copies(reads: DataFrame, group: list[str], name: str = "qname", optical: float = OPTICAL, diffusion: float = DIFFUSION) -> DataFrame:
@@ -68,13 +90,13 @@ def lane_copies(reads: DataFrame, group: list[str], name: str = "qname", optical
     them lie near an earlier one of their lane.
 
     Reads whose names tell no place count as copies alone; lanes too small for copies by
-    diffusion have none."""
-    placed = positions(reads, name)
+    diffusion have none.  Reads of one name and group lie at one place, so they are counted
+    first and written once."""
+    counted = settle(reads.groupBy(*group, name).agg(F.count("*").alias("_n")))
+    placed = positions(counted, name)
     at = on_lane(placed, layouts(placed))
     by = [*group, "flowcell", "lane"]
-    close = near_earlier(at, by, "lane_x", "lane_y", name, optical).groupBy(*group).agg(F.count("*").alias("optical"))
-    far = near_earlier(at.where("wide"), by, "lane_x", "lane_y", name, diffusion).groupBy(*group).agg(F.count("*").alias("diffusion"))
-    n = reads.groupBy(*group).agg(F.count("*").alias("copies"))
+    near = lambda rows, radius, out: count_near(rows, by, "lane_x", "lane_y", name, radius, "_n").groupBy(*group).agg(F.sum("near").alias(out))
+    close, far = near(at, optical, "optical"), near(at.where("wide"), diffusion, "diffusion")
+    n = counted.groupBy(*group).agg(F.sum("_n").alias("copies"))
     return n.join(close, group, "left").join(far, group, "left").fillna(0, ["optical", "diffusion"])
-
-

@@ -5,6 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from braidwork.operators import fragments as fr
+from braidwork.operators import intervals, lanes
 
 
 def plan(df) -> str:
@@ -27,3 +28,54 @@ def test_positions_around_sites_make_no_pairs(spark):
     got = fr.relative_positions(crowd, same, 20)
     assert "Join" not in plan(got)
     assert [tuple(r) for r in got.collect()] == [(10, 600_000_000)]
+
+
+def shuffled(spark, run):
+    """What ``run`` gives, and the rows that it shuffles."""
+
+    def rows():
+        store, gate = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+        stages = store.stageList(None, False, False, gate.new_array(gate.jvm.double, 0), None)
+        return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()))
+
+    before = rows()
+    return run(), rows() - before
+
+
+def test_lane_copies_shuffle_no_copy_of_each_read(spark):
+    """Reads of one crowded place were repeated for 24 cells; only the first of a cell looks around."""
+    x = F.when(F.col("id") < 5990, 100_000).otherwise(100_000 + 60 * (F.col("id") - 5990)).cast("string")
+    reads = spark.range(6000).select(F.lit("d").alias("pos"), F.concat(F.lit("M:r:FC:1:1"), F.lpad((1 + F.col("id") % 5).cast("string"), 2, "1"), F.lit(":"), x, F.lit(":900000")).alias("qname"), "id")
+    # names of their own in every read, as they carry the place alone: a leading machine number
+    reads = reads.select("pos", F.concat(F.lit("A"), F.col("id").cast("string"), F.substring("qname", 2, 99)).alias("qname"))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables too large for it
+    try:
+        got, rows = shuffled(spark, lambda: [tuple(r) for r in lanes.lane_copies(reads, ["pos"], diffusion=100.0).collect()])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert got[0][1] == 6000 and got[0][2] >= 5985
+    assert rows < 12 * 6000
+
+
+def test_merge_of_equal_intervals(spark):
+    """Equal intervals stay in one island, whichever of them is read first."""
+    rows = spark.range(0, 60_000, numPartitions=8).select((F.col("id") % 3).cast("string").alias("contig"), (F.col("id") * 7919 % 997 * 10).alias("start"))
+    rows = rows.withColumn("end", F.col("start") + 3 + F.xxhash64("start") % 3)
+    for k, closed in ((0, False), (0, True), (1, False)):
+        want = [tuple(r) for r in intervals.merge(rows.distinct(), k, closed).orderBy("contig", "start").collect()]
+        assert [tuple(r) for r in intervals.merge(rows, k, closed).orderBy("contig", "start").collect()] == want
+    # both orders of two equal rows
+    order = []
+    held = intervals.running
+
+    def seen(df, key, pos, value, out, how="max", before=False, then=None, down=False, **more):
+        order.append(then)
+        return held(df, key, pos, value, out, how, before, then, down, **more)
+
+    intervals.running = seen
+    try:
+        intervals.merge(rows)
+    finally:
+        intervals.running = held
+    assert len(order[1]) == 2  # the end, and the fresh one of equal rows first
