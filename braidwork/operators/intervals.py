@@ -68,7 +68,8 @@ def merge(df: DataFrame, gap: int = 0, closed: bool = True, key: list[str] | Non
     key = key or ["contig"]
     seen = running(df.select(*key, "start", F.col(end).alias("end")), key, "start", F.col("end"), "_last", "max", before=True, then=["end"])
     fresh = F.col("_last").isNull() | ((F.col("start") - gap > F.col("_last")) if closed else (F.col("start") - gap >= F.col("_last")))
-    islands = running(seen.withColumn("_new", fresh.cast("int")), key, "start", F.col("_new"), "_island", "sum", then=["end"])
+    # Of equal intervals the fresh one comes first, or the others would count with the island before.
+    islands = running(seen.withColumn("_new", fresh.cast("int")), key, "start", F.col("_new"), "_island", "sum", then=["end", F.desc("_new")])
     return islands.groupBy(*key, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 

@@ -21,7 +21,7 @@ def _both(how: str, a: Column, b: Column) -> Column:
     return F.greatest(a, b) if how == "max" else F.least(a, b)
 
 
-def running(df: DataFrame, key: list[str], pos: str, value: Column, out: str, how: str = "max", before: bool = False, then: list[str] | None = None, down: bool = False, width: int = WIDTH) -> DataFrame:
+def running(df: DataFrame, key: list[str], pos: str, value: Column, out: str, how: str = "max", before: bool = False, then: list | None = None, down: bool = False, width: int = WIDTH) -> DataFrame:
     """``df`` with ``out``: sum, max or min of ``value`` over the rows up to each one.
 
     The rows are written once, as both windows read them.  They are ordered by ``pos`` (descending if ``down``), ties by ``then``; ``before``
