@@ -118,11 +118,11 @@ def cigar_offsets(cigar: Column) -> Column:
     return F.aggregate(cigar, start, step, lambda acc: acc["out"])
 
 
-def changes(seq: Column, after: Column | None = None) -> Column:
+def changes(seq: Column, after: Column | None = None, letters: str = "ACGT") -> Column:
     """All sequences at one substitution behind place ``after``, as structs (at, seq)."""
     first = F.lit(1) if after is None else after + 1
     at = F.filter(F.sequence(F.lit(1), F.length(seq)), lambda k: k >= first)
-    others = lambda k: F.filter(F.array(*[F.lit(b) for b in "ACGT"]), lambda b: b != F.substring(seq, k, F.lit(1)))
+    others = lambda k: F.filter(F.array(*[F.lit(b) for b in letters]), lambda b: b != F.substring(seq, k, F.lit(1)))
     put = lambda k, b: F.concat(F.substring(seq, F.lit(1), k - 1), b, F.substring(seq, k + 1, F.length(seq)))
     return F.flatten(F.transform(at, lambda k: F.transform(others(k), lambda b: F.struct(k.alias("at"), put(k, b).alias("seq")))))
 

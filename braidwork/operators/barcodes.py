@@ -17,26 +17,67 @@ def whitelist_histogram(reads: DataFrame, whitelist: DataFrame) -> DataFrame:
     return known.unionByName(other)
 
 
-def near(seqs: DataFrame, whitelist: DataFrame, most: int = 2) -> DataFrame:
-    """(seq, cand): listed barcodes at 1 to ``most`` substitutions of each distinct sequence.
+#: Bits of a change in a number that tells all changes of a sequence: 13 of the place, 7 of the letter.
+BITS, MOST = 20, 3
 
-    Neighbours are made and looked up by an equality join, never all pairs."""
-    # Few sequences make many neighbours, so they are dealt out whatever their size.
-    parts = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    one = seqs.select("seq").distinct().repartition(parts, "seq").select("seq", F.lit(0).alias("at"), F.col("seq").alias("cand"))
-    out = None
-    for _ in range(most):  # each change lies behind the one before, so no set of changes comes twice
-        one = one.select("seq", F.explode(seq.changes(F.col("cand"), F.col("at"))).alias("c")).select("seq", "c.at", F.col("c.seq").alias("cand"))
-        out = one if out is None else out.unionByName(one)
-    listed = whitelist.select(F.col("barcode").alias("cand"))
-    return out.select("seq", "cand").join(listed, "cand", "left_semi")
+
+def _change(at: Column, letter: Column) -> Column:
+    return at.cast("long") * 128 + F.ascii(letter)
+
+
+def _at(code: Column, k: int) -> Column:
+    """The place of the k-th last change of ``code``, 0 if there are fewer."""
+    return F.shiftright(code, BITS * k + 7).bitwiseAND(F.lit((1 << (BITS - 7)) - 1)).cast("int")
 
 
-def changed_quality(a: Column, b: Column, qual: Column) -> Column:
-    """Sum over differing positions of the quality, held between 3 and 40."""
-    q = lambda k: F.greatest(F.least(F.ascii(F.substring(qual, k, F.lit(1))) - 33, F.lit(40)), F.lit(3))
-    at = F.filter(F.sequence(F.lit(1), F.length(a)), lambda k: F.substring(a, k, F.lit(1)) != F.substring(b, k, F.lit(1)))
-    return F.aggregate(F.transform(at, q), F.lit(0), lambda acc, x: acc + x)
+def changed(seq_: Column, code: Column) -> Column:
+    """The sequence with the changes of ``code`` made."""
+    out = seq_
+    for k in range(MOST):
+        letter = F.char(F.shiftright(code, BITS * k).bitwiseAND(F.lit(127)))
+        out = F.when(_at(code, k) > 0, F.concat(F.substring(out, F.lit(1), _at(code, k) - 1), letter, F.substring(out, _at(code, k) + 1, F.length(out)))).otherwise(out)
+    return out
+
+
+def near(seqs: DataFrame, whitelist: DataFrame, most: int = 2) -> DataFrame:
+    """(seq, cand, k, code, and what else the whitelist holds): listed barcodes at 1 to
+    ``most`` substitutions of each distinct sequence; ``code`` tells the ``k`` changes.
+
+    Both sides meet half way: the first changes are made to the sequence, the last to the
+    listed barcode, so with two changes some 50 rows for each take the place of 1128 for a
+    sequence.  The places of the first lie before the others, so a pair meets once."""
+    if most > MOST:
+        raise ValueError(f"at most {MOST} changes")
+    # Few sequences and barcodes make many neighbours, so they are dealt out whatever their size.
+    parts = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    one = seqs.select("seq").where("seq is not null").distinct().repartition(parts, "seq")
+    usual = F.col("seq").rlike("^[ACGTN]+$")
+    start = lambda df: df.select("seq", F.lit(0).alias("at"), F.lit(0).alias("k"), F.lit(0).cast("long").alias("code"), F.col("seq").alias("mid"))
+
+    def forward(rows, times):
+        out = None
+        for _ in range(times):  # each change lies behind the one before, so no set of changes comes twice
+            step = rows.select("seq", "k", "code", F.explode(seq.changes(F.col("mid"), F.col("at"))).alias("c"))
+            rows = step.select("seq", F.col("c.at").alias("at"), (F.col("k") + 1).alias("k"), (F.col("code") * (1 << BITS) + _change(F.col("c.at"), F.substring("c.seq", F.col("c.at"), F.lit(1)))).alias("code"), F.col("c.seq").alias("mid"))
+            out = rows if out is None else out.unionByName(rows)
+        return out
+
+    more = [c for c in whitelist.columns if c != "barcode"]
+    listed = whitelist.select(F.col("barcode").alias("cand"), *more).repartition(parts, "cand")
+    back = listed.select("cand", *more, F.lit(0).alias("from"), F.lit(0).alias("last"), F.lit(0).alias("j"), F.lit(0).cast("long").alias("tail"), F.col("cand").alias("mid"))
+    ends = back
+    for _ in range(most // 2):
+        step = back.select("cand", *more, "from", "j", "tail", F.col("mid").alias("was"), F.explode(seq.changes(F.col("mid"), F.col("last"), "ACGTN")).alias("c"))
+        old = F.substring("was", F.col("c.at"), F.lit(1))
+        step = step.where(old.isin(*"ACGT"))
+        back = step.select("cand", *more, F.when(F.col("j") == 0, F.col("c.at")).otherwise(F.col("from")).alias("from"), F.col("c.at").alias("last"), (F.col("j") + 1).alias("j"), (F.col("tail") * (1 << BITS) + _change(F.col("c.at"), old)).alias("tail"), F.col("c.seq").alias("mid"))
+        ends = ends.unionByName(back)
+    met = forward(start(one.where(usual)), -(-most // 2)).join(ends, "mid").where("(k = j or k = j + 1) and (j = 0 or at < `from`)")
+    moved = F.col("code") * F.element_at(F.array(*[F.lit(1 << BITS * j).cast("long") for j in range(most // 2 + 1)]), F.col("j") + 1) + F.col("tail")
+    met = met.where(F.col("k") + F.col("j") <= most).select("seq", "cand", (F.col("k") + F.col("j")).alias("k"), moved.alias("code"), *more)
+    # Letters beyond these can't be guessed from the listed side; their sequences make all changes.
+    odd = forward(start(one.where(~usual)), most).join(listed, F.col("mid") == F.col("cand")).select("seq", "cand", "k", "code", *more)
+    return met.unionByName(odd)
 
 
 def correct(reads: DataFrame, whitelist: DataFrame, threshold: float = 0.975, most: int = 2) -> DataFrame:
@@ -44,17 +85,27 @@ def correct(reads: DataFrame, whitelist: DataFrame, threshold: float = 0.975, mo
 
     A listed sequence whose qualities all exceed 24 stands.  Else the listed ones at
     up to ``most`` changes compete: each weighs its prior times the chance of the
-    changes.  A sequence that differs by unread bases alone has no candidate."""
-    listed = whitelist.select(F.col("barcode").alias("cand"), "prior")
+    changes, qualities held between 3 and 40.  A sequence that differs by unread bases
+    alone has no candidate."""
+    listed = whitelist.select(F.col("barcode").alias("seq"), "prior")
     sure = F.forall(seq.qualities(F.col("qual")), lambda q: q > 24)
-    own = reads.join(listed.withColumnRenamed("cand", "seq"), "seq").select("id", F.col("seq").alias("cand"), F.col("prior").cast("double").alias("w"), sure.alias("sure"))
+    none = F.lit(0).cast("long").alias("code")
+    own = reads.join(listed, "seq").select("id", none, F.col("prior").cast("double").alias("w"), sure.alias("sure"))
     doubtful = reads.join(own.where("sure").select("id"), "id", "left_anti")
-    pairs = doubtful.join(near(doubtful, whitelist, most), "seq").where(seq.hamming(F.col("seq"), F.col("cand")) > F.regexp_count("seq", F.lit("N")))
-    others = pairs.join(listed, "cand").select("id", "cand", (F.col("prior") * F.pow(F.lit(10.0), -changed_quality(F.col("seq"), F.col("cand"), F.col("qual")) / 10)).alias("w"))
-    every = own.where("not sure").select("id", "cand", "w").unionByName(others)
-    best = every.groupBy("id").agg(F.max_by("cand", F.struct("w", "cand")).alias("c"), (F.max("w") / F.sum("w")).alias("p"))
-    found = best.where(F.col("p") > threshold).select("id", F.col("c").alias("barcode")).unionByName(own.where("sure").select("id", F.col("cand").alias("barcode")))
-    return reads.join(found, "id", "left")
+    found = near(doubtful, whitelist.select("barcode", "prior"), most).where(F.col("k") > F.regexp_count("seq", F.lit("N"))).select("seq", "code", "prior")
+    found = found.repartition(int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions")), "seq")
+    held = F.transform(seq.qualities(F.col("qual")), lambda q: F.greatest(F.least(q, F.lit(40)), F.lit(3)))
+    pairs = doubtful.select("id", "seq", held.alias("_held")).join(found, "seq")
+    lost = sum((F.coalesce(F.get("_held", _at(F.col("code"), k) - 1), F.lit(0)) for k in range(most)), F.lit(0))
+    others = pairs.select("id", "code", (F.col("prior") * F.pow(F.lit(10.0), -lost / 10)).alias("w"))
+    every = own.where("not sure").select("id", "code", "w").unionByName(others)
+    if threshold >= 0.5:  # what holds more than half has no tie, so numbers do
+        best = every.groupBy("id").agg(F.max_by("code", "w").alias("code"), (F.max("w") / F.sum("w")).alias("p"))
+    else:
+        named = every.join(reads.select("id", "seq"), "id").withColumn("cand", changed(F.col("seq"), F.col("code")))
+        best = named.groupBy("id").agg(F.max_by("code", F.struct("w", "cand")).alias("code"), (F.max("w") / F.sum("w")).alias("p"))
+    stands = best.where(F.col("p") > threshold).select("id", "code").unionByName(own.where("sure").select("id", "code"))
+    return reads.join(stands, "id", "left").withColumn("barcode", F.when(F.col("code").isNotNull(), changed(F.col("seq"), F.col("code")))).drop("code")
 
 
 def correct_umis(counts: DataFrame, key: list[str]) -> DataFrame:

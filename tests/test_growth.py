@@ -1,11 +1,12 @@
 """Steps whose work must not grow faster than their input, and what they must still give."""
 
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 from braidwork.operators import fragments as fr
-from braidwork.operators import intervals, lanes
+from braidwork.operators import barcodes, intervals, lanes
 
 
 def plan(df) -> str:
@@ -79,3 +80,18 @@ def test_merge_of_equal_intervals(spark):
     finally:
         intervals.running = held
     assert len(order[1]) == 2  # the end, and the fresh one of equal rows first
+
+
+def test_barcodes_near_meet_half_way(spark):
+    """Two changes of each of 300 sequences are 338,400 rows; both sides make one change instead."""
+    r = random.Random(3)
+    draw = lambda n, letters: ["".join(r.choice(letters) for _ in range(n)) for _ in range(300)]
+    listed = sorted({*draw(16, "ACGT"), *("AAAAAAAA" + x for x in draw(8, "AC"))})
+    seqs = sorted({*("AAAAAAAA" + x for x in draw(8, "ACN"))}) + [listed[0], listed[0][:5] + "x" + listed[0][6:], "N" + listed[1][1:], "A"]
+    seqs = sorted(set(seqs))
+    a, b = spark.createDataFrame([(s,) for s in seqs], "seq string"), spark.createDataFrame([(x,) for x in listed], "barcode string")
+    got, rows = shuffled(spark, lambda: barcodes.near(a, b).select("seq", "cand", "k", barcodes.changed(F.col("seq"), F.col("code")).alias("made")).collect())
+    far = lambda x, y: sum(p != q for p, q in zip(x, y)) if len(x) == len(y) else 99
+    assert sorted((g["seq"], g["cand"], g["k"]) for g in got) == sorted((s, c, far(s, c)) for s in seqs for c in listed if 0 < far(s, c) <= 2)
+    assert all(g["made"] == g["cand"] for g in got) and len(got) > 900
+    assert rows < 100 * (len(seqs) + len(listed))
