@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from .neighbours import BLOCK, PARTNERS, nearest_across
 from .staged import settle
 
-#: Vectors of the set that is moved, in a block.
-MOVED = 8192
+#: Vectors of the set that is moved, in a block at most, and blocks that they make at
+#: least: each block is met by all pairs, so few blocks shuffle little.
+MOVED, PARTS = 32768, 24
 
 
 def mutual_pairs(a: DataFrame, b: DataFrame, key: str, vector: str, k: int, block: int = BLOCK) -> DataFrame:
@@ -29,13 +30,25 @@ def mutual_pairs(a: DataFrame, b: DataFrame, key: str, vector: str, k: int, bloc
 def _packed(rows: DataFrame, block: int) -> DataFrame:
     """(block, keys, x, w, s): rows (key, v, w, s) in runs of up to ``block``."""
 
+    def out(held):
+        part = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        cells = [part.column(0).to_numpy().tobytes()] + [part.column(c).flatten().to_numpy(zero_copy_only=False).astype(float).tobytes() for c in (1, 3)]
+        w = part.column(2).to_numpy().astype(float).tobytes()
+        return pa.record_batch([pa.array([v], pa.binary()) for v in (cells[0], cells[1], w, cells[2])], ["keys", "x", "w", "s"])
+
     def run(batches):
+        held, n = [], 0
         for b in batches:
-            for lo in range(0, b.num_rows, block):
-                part = b.slice(lo, block)
-                cells = [part.column(0).to_numpy().tobytes()] + [part.column(c).flatten().to_numpy(zero_copy_only=False).astype(float).tobytes() for c in (1, 3)]
-                w = part.column(2).to_numpy().astype(float).tobytes()
-                yield pa.record_batch([pa.array([v], pa.binary()) for v in (cells[0], cells[1], w, cells[2])], ["keys", "x", "w", "s"])
+            lo = 0
+            while lo < b.num_rows:
+                part = b.slice(lo, block - n)
+                held.append(part)
+                n, lo = n + part.num_rows, lo + part.num_rows
+                if n == block:
+                    yield out(held)
+                    held, n = [], 0
+        if held:
+            yield out(held)
 
     return settle(rows.mapInArrow(run, "keys binary, x binary, w binary, s binary").withColumn("block", F.monotonically_increasing_id()))
 
@@ -78,7 +91,8 @@ def shifts(points: DataFrame, reference: DataFrame, pairs: DataFrame, key: str,
     s = apart.groupBy("a", "i").agg(F.sum("x").alias("x"), F.count("*").alias("w"))
     s = s.groupBy("a").agg(F.max("w").alias("w"), F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda z: z.x).alias("s"))
     anchors = _packed(s.join(p, F.col("a") == F.col("key")).select("key", "v", "w", "s").repartition(int(p.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key"), BLOCK)
-    moved = _packed(p.select("key", "v", F.lit(0).alias("w"), F.array(F.lit(0.0)).alias("s")), MOVED)
+    size = min(MOVED, max(BLOCK, -(-p.count() // PARTS)))
+    moved = _packed(p.select("key", "v", F.lit(0).alias("w"), F.array(F.lit(0.0)).alias("s")), size)
     runs = anchors.select("block").orderBy("block").collect()  # an id for each block
     dealt = p.sparkSession.createDataFrame([(r["block"], k // PARTNERS, k % PARTNERS + 1) for k, r in enumerate(runs)], "block long, part int, at int")
     parts = -(-len(runs) // PARTNERS)

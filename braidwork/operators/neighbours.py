@@ -4,12 +4,15 @@ Vectors go to cells around pivots and are cut, in order of their distance to the
 pivot, into blocks that are rings of a cell.  Each block knows how far the k-th
 neighbour of its queries is at most, from its own vectors or from the sizes of the
 cells around; by the triangle inequality only blocks within that distance are met.
-A block's partners come nearest first, and one task keeps the k best of each query
-while they pass, so what goes on is k rows for a query and run of partners.
+Neighbouring blocks ask as a team: its partners are sent to it once, nearest first, and
+one task keeps the k best of each query while they pass, so what goes on is k rows for
+a query and run of partners.
 
 Scale: pivots (at most PIVOTS, from a bounded sample, which sets the speed and not the
 result) and the distances between them are broadcast; pairs are
 planned from one small row for each block, and only planned partners are shuffled.
+There are at most TEAMS teams until one holds TOGETHER blocks, so what is shuffled
+grows with the vectors up to about three million, though every pair be met.
 """
 
 from __future__ import annotations
@@ -22,8 +25,10 @@ from pyspark.sql import functions as F
 from .staged import settle
 
 #: Vectors in a block, pivots at most, vectors drawn for each pivot, and partners that
-#: one task takes for a block.
+#: one task takes for a team.
 BLOCK, PIVOTS, SAMPLE, PARTNERS = 2048, 1024, 8, 64
+#: Teams at most, and blocks in one at most, which wins.
+TEAMS, TOGETHER = 24, 64
 ASKS, GIVEN = 1, 2
 _FOUND = "src long, dst long, distance double"
 
@@ -167,34 +172,43 @@ class Layout:
         return wanted.join(index, "cell").select("a", "b", "tau", bound.alias("bound")).where("bound <= tau")
 
     def found(self) -> DataFrame:
-        """(src, dst, distance) of the k nearest in each run of partners."""
+        """(src, dst, distance) of the k nearest in each run of a team's partners."""
         k, apart, slack, pivots = self.k, self.apart, self.slack, self.shared
-        place = F.row_number().over(Window.partitionBy("a").orderBy("bound", "b"))
-        pairs = settle(self.pairs().withColumn("at", place).withColumn("part", F.floor((F.col("at") - 1) / PARTNERS)))
+        n = self.blocks.count()
+        together = min(TOGETHER, -(-n // TEAMS))
+        # A row for each block; blocks of a cell follow each other.
+        teams = settle(self.blocks.select("block", F.floor((F.row_number().over(Window.orderBy("block")) - 1) / together).alias("team")))
+        pairs = settle(self.pairs().join(teams, F.col("a") == F.col("block")).drop("block"))
+        met = pairs.groupBy("team", "b").agg(F.min("bound").alias("bound"))
+        place = F.row_number().over(Window.partitionBy("team").orderBy("bound", "b"))
+        met = settle(met.withColumn("at", place).withColumn("part", F.floor((F.col("at") - 1) / PARTNERS)))
         payload = self.blocks.select("block", "cell", "lo", "hi", "keys", "x", "flags", "kth")
-        heads = pairs.groupBy("a", "part").agg(F.max("tau").alias("tau")).withColumn("at", F.lit(0)).join(payload, F.col("a") == F.col("block"))
-        rest = pairs.join(payload.withColumn("kth", F.lit(b"")), F.col("b") == F.col("block"))
-        names = ["a", "part", "at", "tau", "cell", "lo", "hi", "keys", "x", "flags", "kth"]
-        tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows = heads.select(*names).unionByName(rest.select(*names)).repartition(tasks, "a", "part").sortWithinPartitions("a", "part", "at")
+        asking = pairs.groupBy("team", F.col("a").alias("block")).agg(F.max("tau").alias("tau"))
+        heads = met.select("team", "part").distinct().join(asking, "team").withColumn("at", F.lit(0)).join(payload, "block")
+        rest = met.join(payload.withColumn("kth", F.lit(b"")), F.col("b") == F.col("block")).withColumn("tau", F.lit(None).cast("double"))
+        names = ["team", "part", "at", "tau", "cell", "lo", "hi", "keys", "x", "flags", "kth"]
+        runs = -(-n // together) * -(-n // PARTNERS)
+        tasks = max(int(met.sparkSession.conf.get("spark.sql.shuffle.partitions")), runs)
+        rows = heads.select(*names).unionByName(rest.select(*names)).repartition(tasks, "team", "part").sortWithinPartitions("team", "part", "at")
 
         def run(batches):
-            best = None
+            best, of = [], None
             for b in batches:
-                for k_, (a, part, at, tau, cell, lo, hi) in enumerate(zip(*(b.column(c).to_pylist() for c in range(7)))):
+                for k_, (team, part, at, tau, cell, lo, hi) in enumerate(zip(*(b.column(c).to_pylist() for c in range(7)))):
                     keys = np.frombuffer(b.column(7)[k_].as_py(), np.int64)
                     x = np.frombuffer(b.column(8)[k_].as_py(), float).reshape(len(keys), -1)
                     flags = np.frombuffer(b.column(9)[k_].as_py(), np.uint8)
+                    if (team, part) != of:
+                        yield from (one.rows() for one in best)
+                        best, of = [], (team, part)
                     if at == 0:
-                        if best is not None:
-                            yield best.rows()
                         asks = (flags & ASKS) > 0
-                        best = Best(keys[asks], x[asks], np.minimum(np.frombuffer(b.column(10)[k_].as_py(), float)[asks], tau), k, apart, slack)
+                        best.append(Best(keys[asks], x[asks], np.minimum(np.frombuffer(b.column(10)[k_].as_py(), float)[asks], tau), k, apart, slack))
                         continue
                     given = (flags & GIVEN) > 0
-                    best.meet(keys[given], x[given], pivots.value[cell], lo, hi)
-            if best is not None:
-                yield best.rows()
+                    for one in best:
+                        one.meet(keys[given], x[given], pivots.value[cell], lo, hi)
+            yield from (one.rows() for one in best)
 
         return rows.mapInArrow(run, _FOUND)
 

@@ -3,10 +3,11 @@
 import random
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from braidwork.operators import fragments as fr
-from braidwork.operators import barcodes, intervals, lanes
+from braidwork.operators import barcodes, intervals, lanes, neighbours
 
 
 def plan(df) -> str:
@@ -95,3 +96,22 @@ def test_barcodes_near_meet_half_way(spark):
     assert sorted((g["seq"], g["cand"], g["k"]) for g in got) == sorted((s, c, far(s, c)) for s in seqs for c in listed if 0 < far(s, c) <= 2)
     assert all(g["made"] == g["cand"] for g in got) and len(got) > 900
     assert rows < 100 * (len(seqs) + len(listed))
+
+
+def test_neighbours_shuffle_as_the_vectors_do(spark):
+    """Where no pair of 60 blocks can be left out, a block was sent to 60 others; it goes to 24 teams at most."""
+    x = np.random.default_rng(4).normal(size=(1200, 64))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "key long, v array<double>")
+
+    def written():
+        store, gate = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+        stages = store.stageList(None, False, False, gate.new_array(gate.jvm.double, 0), None)
+        return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+    before = written()
+    got = neighbours.nearest(df, "key", "v", 3, block=20).orderBy("src", "distance", "dst").collect()
+    taken = written() - before
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    np.fill_diagonal(d, np.inf)
+    assert [(r["src"], r["dst"]) for r in got] == [(k, int(j)) for k in range(1200) for j in np.argsort(d[k])[:3]]
+    assert taken < neighbours.TEAMS * 1200 * 64 * 8
