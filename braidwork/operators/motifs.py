@@ -21,6 +21,8 @@ BINS, LOW, HIGH = 25, 0.33, 0.7
 #: The chance that a random place reaches a motif's cutoff.
 P_VALUE = 1e-7
 BASES = "ACGT"
+#: Letters that are scanned at once, or those of one peak.
+TOGETHER = 1 << 18
 _HITS = "id long, motif string, at int, strand string, score double"
 
 
@@ -97,25 +99,37 @@ for _k, _b in enumerate(BASES):
     _CODE[ord(_b)] = _CODE[ord(_b.lower())] = _k
 
 
+def laid(peaks: pd.DataFrame, scanner: Scanner):
+    """Frames of hits of (id, seq) peaks laid end to end, a letter that never fits between them."""
+    ids, seqs = peaks["id"].to_numpy(), [(seq or "").encode() for seq in peaks["seq"]]
+    ends = np.cumsum([len(seq) + 1 for seq in seqs])
+    lo = 0
+    while lo < len(seqs):
+        past = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, past + TOGETHER, side="right")))
+        starts = np.concatenate([[0], ends[lo : hi - 1] - past])
+        for name, strand, at, score in scanner.hits(_CODE[np.frombuffer(b" ".join(seqs[lo:hi]), np.uint8)]):
+            of = np.searchsorted(starts, at, side="right") - 1
+            yield pd.DataFrame({"id": ids[lo + of], "motif": name, "at": (at - starts[of]).astype(np.int32), "strand": strand, "score": score})
+        lo = hi
+
+
 def scan(peaks: DataFrame, motifs: dict[str, np.ndarray], p_value: float = P_VALUE, pseudo: float = 1.0) -> DataFrame:
     """(id, motif, at, strand, score): where (id, seq, gc_bin, ...) of ``binned`` fits a motif.
 
     ``motifs`` are base counts, rows A, C, G and T, a bounded set.  Peaks are scanned
-    where they are: a bin's scores are worked out once in a task, when it is first met."""
+    where they are: a bin's scores are worked out once in a task, when it is first met,
+    and its peaks are laid end to end."""
     known = {r["gc_bin"]: (r["at"], r["cg"]) for r in backgrounds(peaks, pseudo).collect()}  # a row for each bin
     shared = peaks.sparkSession.sparkContext.broadcast((motifs, known))
 
     def run(pdfs):
         (motifs, known), ready = shared.value, {}
         for pdf in pdfs:
-            parts = []
-            for i, seq, gc in zip(pdf["id"], pdf["seq"], pdf["gc_bin"]):
+            for gc, own in pdf.groupby("gc_bin", sort=False):
                 if gc not in ready:
                     ready[gc] = Scanner(motifs, *known[gc], p_value, pseudo)
-                for name, strand, at, score in ready[gc].hits(_CODE[np.frombuffer((seq or "").encode(), np.uint8)]):
-                    parts.append(pd.DataFrame({"id": i, "motif": name, "at": at.astype(np.int32), "strand": strand, "score": score}))
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
+                yield from laid(own, ready[gc])
 
     return peaks.select(F.col("id").cast("long").alias("id"), "seq", "gc_bin").mapInPandas(run, _HITS)
 

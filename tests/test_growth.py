@@ -4,10 +4,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from braidwork.operators import fragments as fr
-from braidwork.operators import barcodes, intervals, lanes, neighbours
+from braidwork.operators import barcodes, intervals, lanes, motifs, neighbours
 
 
 def plan(df) -> str:
@@ -115,3 +116,19 @@ def test_neighbours_shuffle_as_the_vectors_do(spark):
     np.fill_diagonal(d, np.inf)
     assert [(r["src"], r["dst"]) for r in got] == [(k, int(j)) for k in range(1200) for j in np.argsort(d[k])[:3]]
     assert taken < neighbours.TEAMS * 1200 * 64 * 8
+
+
+def test_motifs_pass_once_over_many_peaks(spark, monkeypatch):
+    """Each peak was scanned by itself; laid end to end, none fits across two of them."""
+    r = random.Random(5)
+    seqs = ["".join(r.choice("ACGTN") for _ in range(r.randrange(12))) for _ in range(300)] + [None, "", "ACG", "T"]
+    scanner = motifs.Scanner({"m": np.array([[9, 0, 0], [0, 9, 0], [0, 0, 9], [0, 0, 0]]), "w": np.array([[5, 1], [1, 5], [1, 1], [1, 1]])}, 0.25, 0.25, 0.1, 1.0)
+    want = sorted((k, n, int(p), t, float(v)) for k, q in enumerate(seqs) for n, t, at, sc in scanner.hits(motifs._CODE[np.frombuffer((q or "").encode(), np.uint8)]) for p, v in zip(at, sc))
+    peaks, asked, held = pd.DataFrame({"id": range(len(seqs)), "seq": seqs}), [], scanner.hits
+    monkeypatch.setattr(scanner, "hits", lambda q: asked.append(len(q)) or held(q))
+    for together, passes in ((motifs.TOGETHER, 1), (40, 100)):
+        asked.clear()
+        monkeypatch.setattr(motifs, "TOGETHER", together)
+        got = pd.concat(motifs.laid(peaks, scanner))
+        assert sorted(got.itertuples(index=False, name=None)) == want and len(want) > 50
+        assert len(asked) <= passes
