@@ -1,8 +1,8 @@
 """Contigs as a dimension: which are primary, whose they are, and what reads on them count.
 
 A contig table has a row per contig: contig, length, species, is_primary, is_sex, in
-reference order by ``idx``.  It is a genome's, so it is small, but joins on it are left
-to Spark's own choice.
+reference order by ``idx``.  It is a genome's, so it is small; its primary ones are
+broadcast, as a join that shuffles rows by contig puts a whole contig into one task.
 """
 
 from __future__ import annotations
@@ -24,13 +24,13 @@ def primary(contigs: DataFrame, species: str | None = None, sex: bool = False) -
 
 def on_primary(rows: DataFrame, contigs: DataFrame, **which) -> DataFrame:
     """``rows`` on primary contigs."""
-    return rows.join(primary(contigs, **which).select("contig"), "contig", "left_semi")
+    return rows.join(F.broadcast(primary(contigs, **which).select("contig")), "contig", "left_semi")
 
 
 def with_primary(rows: DataFrame, contigs: DataFrame, **which) -> DataFrame:
     """``rows`` with ``is_primary``; false on contigs that aren't listed."""
     listed = primary(contigs, **which).select("contig", F.lit(True).alias("is_primary"))
-    return rows.join(listed, "contig", "left").withColumn("is_primary", F.coalesce("is_primary", F.lit(False)))
+    return rows.join(F.broadcast(listed), "contig", "left").withColumn("is_primary", F.coalesce("is_primary", F.lit(False)))
 
 
 def species_of(contig: Column, species: list[str]) -> Column:

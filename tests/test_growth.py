@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from braidwork.operators import fragments as fr
-from braidwork.operators import barcodes, intervals, lanes, motifs, neighbours
+from braidwork.operators import barcodes, contigs, intervals, lanes, motifs, neighbours
 
 
 def plan(df) -> str:
@@ -132,3 +132,12 @@ def test_motifs_pass_once_over_many_peaks(spark, monkeypatch):
         got = pd.concat(motifs.laid(peaks, scanner))
         assert sorted(got.itertuples(index=False, name=None)) == want and len(want) > 50
         assert len(asked) <= passes
+
+
+def test_rows_on_primary_contigs_stay_where_they_are(spark):
+    """Rows were shuffled by contig, so that one task had all rows of a contig."""
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "c1").when(F.col("id") % 3 == 1, "c2").alias("contig"), "id")
+    genome = spark.createDataFrame([("c1", "a", True, False), ("c2", "a", False, False)], "contig string, species string, is_primary boolean, is_sex boolean")
+    for run, want in ((lambda: contigs.on_primary(rows, genome).count(), 1000), (lambda: contigs.with_primary(rows, genome).where("is_primary").count(), 1000)):
+        got, moved = shuffled(spark, run)
+        assert got == want and moved < 100
