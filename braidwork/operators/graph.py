@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .communities import Rounds
 from .neighbours import nearest  # noqa: F401  part of this module's interface
 from .ranks import ranked
 from .staged import settle
@@ -52,32 +53,18 @@ def weighted_modularity(both: DataFrame, labels: DataFrame) -> float:
 def moved(both: DataFrame, epsilon: float) -> tuple[DataFrame, float]:
     """(labels, modularity) after local moves, until two rounds gain ``epsilon`` at most.
 
-    Every round is joins and sums over the edges.  Half of the nodes, by a hash of node
-    and round, may move in a round, which breaks the swaps that moving all at once
-    would cause.  The best labelling met is returned, so a round never costs anything."""
-    degree = settle(both.groupBy("src").agg(F.sum("w").alias("deg")))
-    m2 = degree.agg(F.sum("deg")).first()[0] or 1
-    apart = both.where("src <> dst")
-    labels = degree.select(F.col("src").alias("node"), F.col("src").alias("community"))
-    best, found, idle, r = weighted_modularity(both, labels), labels, 0, 0
+    Half of the nodes, by a hash of node and round, may move in a round, which breaks the
+    swaps that moving all at once would cause.  The best labelling met is returned, so a
+    round never costs anything.  The rounds are those of ``communities.Rounds``."""
+    rounds = Rounds(both)
+    best, found, idle, r = rounds.modularity(0), 0, 0, 0
     while idle < 2:
-        at = labels.join(degree, labels.node == degree.src).select("node", "community", "deg")
-        tot = at.groupBy("community").agg(F.sum("deg").alias("tot"))
-        links = apart.join(labels, apart.dst == labels.node).groupBy("src", "community").agg(F.sum("w").alias("dnc"))
-        own = at.select(F.col("node").alias("src"), F.col("community").alias("own"), "deg")
-        gain = links.join(own, "src").join(tot, "community").withColumn("rest", F.col("tot") - F.when(F.col("community") == F.col("own"), F.col("deg")).otherwise(0))
-        score = F.round(F.col("dnc") - F.col("rest") * F.col("deg") / F.lit(float(m2)), 9)
-        # Staying counts even where no neighbour shares the community.
-        stay = at.join(tot, "community").select(F.col("node").alias("src"), F.col("community"), (-(F.col("tot") - F.col("deg")) * F.col("deg") / F.lit(float(m2))).alias("s"), F.lit(True).alias("same"))
-        moves = gain.select("src", "community", score.alias("s"), (F.col("community") == F.col("own")).alias("same"))
-        choice = moves.unionByName(stay).groupBy("src").agg(F.max_by("community", F.struct("s", "same", (-F.col("community")).alias("c"))).alias("best"))
-        free = F.pmod(F.xxhash64("node", F.lit(r)), F.lit(2)) == 0
-        labels = settle(labels.join(choice, labels.node == choice.src).select("node", F.when(free, F.col("best")).otherwise(F.col("community")).alias("community")))
-        now, r = weighted_modularity(both, labels), r + 1
+        r += 1
+        now = rounds.modularity(r)
         idle = 0 if now > best + epsilon else idle + 1
         if now > best:
-            best, found = now, labels
-    return found, best
+            best, found = now, r
+    return rounds.labels(found), best
 
 
 def hierarchy(edges: DataFrame, epsilon: float = 1e-6) -> list[DataFrame]:

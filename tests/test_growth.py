@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from braidwork.operators import fragments as fr
-from braidwork.operators import barcodes, contigs, intervals, lanes, motifs, neighbours
+from braidwork.operators import barcodes, communities, contigs, graph, intervals, lanes, motifs, neighbours
 
 
 def plan(df) -> str:
@@ -141,3 +141,38 @@ def test_rows_on_primary_contigs_stay_where_they_are(spark):
     for run, want in ((lambda: contigs.on_primary(rows, genome).count(), 1000), (lambda: contigs.with_primary(rows, genome).where("is_primary").count(), 1000)):
         got, moved = shuffled(spark, run)
         assert got == want and moved < 100
+
+
+def test_rounds_of_moves_in_blocks(spark, monkeypatch):
+    """A round was a dozen joins and a table of its own; now eight rounds are one job, or 64 where one block holds the graph."""
+    r = random.Random(6)
+    pairs = [(a, (a + r.randrange(7)) % 90, r.randrange(1, 4)) for a in range(90) for _ in range(4)]
+    both = graph.symmetric(spark.createDataFrame(pairs, "src long, dst long, w long"))
+    links = [tuple(x) for x in both.collect()]
+    degree = Counter()
+    for a, _, w in links:
+        degree[a] += w
+    m2, at = sum(degree.values()), {a: a for a in degree}
+    free = [{x["id"] for x in spark.range(90).where(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(2)) == 0).collect()} for k in range(10)]
+    want = []
+    for k in range(11):
+        tot = Counter()
+        for a, c in at.items():
+            tot[c] += degree[a]
+        want.append((dict(at), sum(w for a, b, w in links if at[a] == at[b]) / m2 - sum(t * t for t in tot.values()) / m2**2))
+        if k < 10:
+            near = {a: Counter({at[a]: 0}) for a in at}
+            for a, b, w in links:
+                if a != b:
+                    near[a][at[b]] += w
+            score = lambda a, c: round(near[a][c] - (tot[c] - degree[a] * (c == at[a])) * degree[a] / m2, 9)
+            at = {a: max(near[a], key=lambda c: (score(a, c), c == at[a], -c)) if a in free[k] else at[a] for a in at}
+    for edges, blocks in ((communities.EDGES, 1), (100, 6)):
+        monkeypatch.setattr(communities, "EDGES", edges)
+        rounds = communities.Rounds(both)
+        assert min(rounds.blocks, 6) == blocks
+        assert [rounds.modularity(k) for k in range(11)] == [q for _, q in want] and len(rounds.jobs) == (1 if blocks == 1 else 2)
+        assert {x["node"]: x["community"] for x in rounds.labels(10).collect()} == want[10][0]
+    ids = [0, 1, -5, 2**62, 12345]
+    got = spark.createDataFrame([(k,) for k in ids], "id long").select("id", F.xxhash64("id").alias("h"), F.xxhash64("id", F.lit(7)).alias("r")).collect()
+    assert [communities.hashed(np.array([x["id"]]))[0] for x in got] == [x["h"] for x in got] and [communities.hashed(np.array([x["id"]]), 7)[0] for x in got] == [x["r"] for x in got]
