@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .matrix import depth_normalise, idf, moments, normalised_dispersion, select
 from .staged import settle
+from .topics import Rounds
 
 
 def lsa(m: DataFrame, k: int, seed: int = 5, tolerance: float = 1e-4, features: int | None = None, fit_on: DataFrame | None = None) -> DataFrame:
@@ -245,40 +246,24 @@ def whitened(g: np.ndarray) -> np.ndarray:
 
 
 def plsa(m: DataFrame, k: int, seed: int = 3, tolerance: float = 0.02, most_rounds: int = 3000) -> DataFrame:
-    """(barcode_id, topics): shares of k latent topics, fitted by expectation-maximisation in joins.
+    """(barcode_id, topics): shares of k latent topics, fitted by expectation-maximisation.
 
     Each round spreads every entry over the topics and adds up by feature and by
-    barcode in one pass; the sums, k numbers for a row, are written.  It ends after more
-    than ten rounds when no barcode's shares changed by ``tolerance`` in all; with
-    ``most_rounds`` passed it warns.  On a flat matrix 0.002 takes hundreds of rounds more."""
+    barcode (``topics.Rounds``).  It ends after more than ten rounds when no barcode's
+    shares changed by ``tolerance`` in all; with ``most_rounds`` passed it warns.  On a
+    flat matrix 0.002 takes hundreds of rounds more."""
     x = settle(m.where("value > 0").select("feature_id", "barcode_id", F.col("value").cast("double").alias("value")))
-
-    def start(key, is_doc):
-        return x.select(key).distinct().select(F.lit(is_doc).alias("doc"), F.col(key).cast("long").alias("id"), F.array(*[1.0 + F.pmod(F.xxhash64(key, F.lit(seed + j)), F.lit(1000)) / 1000.0 for j in range(k)]).alias("p"))
-
-    def whole(v):
-        return F.aggregate(v, F.lit(0.0), lambda a, b: a + b)
-
-    def shares(v):
-        return F.transform(v, lambda p: p / F.greatest(whole(v), F.lit(1e-300)))
-
-    now = settle(start("feature_id", False).unionByName(start("barcode_id", True)).withColumn("was", F.lit(None).cast("array<double>")))
-    for r in range(most_rounds):
-        change = whole(F.zip_with(shares("p"), "was", lambda a, b: F.abs(a - b)))
-        seen = now.agg(F.max(change).alias("change"), *[F.sum(F.when(~F.col("doc"), F.col("p")[j])).alias(f"t{j}") for j in range(k)]).first()
-        if seen["t0"] is None or (r > 10 and seen["change"] < tolerance):
+    if x.isEmpty():
+        return x.select(F.col("barcode_id").cast("long").alias("barcode_id"), F.array(F.col("value")).alias("topics"))
+    rounds = Rounds(x, k, seed)
+    for r in range(11, most_rounds):
+        if rounds.changed(r) < tolerance:
             break
-        total = [max(seen[f"t{j}"], 1e-300) for j in range(k)]
-        w = now.where("not doc").select(F.col("id").alias("feature_id"), F.array(*[F.col("p")[j] / total[j] for j in range(k)]).alias("w"))
-        d = now.where("doc").select(F.col("id").alias("barcode_id"), shares("p").alias("d"))
-        z = x.join(w, "feature_id").join(d, "barcode_id").withColumn("z", F.zip_with("w", "d", lambda a, b: a * b))
-        z = z.withColumn("z", F.transform("z", lambda v: F.col("value") * v / F.greatest(whole("z"), F.lit(1e-300))))
-        ends = F.array(F.struct(F.lit(False).alias("doc"), F.col("feature_id").cast("long").alias("id"), F.lit(None).cast("array<double>").alias("was")), F.struct(F.lit(True).alias("doc"), F.col("barcode_id").cast("long").alias("id"), F.col("d").alias("was")))
-        rows = z.select(F.explode(ends).alias("e"), "z").select("e.doc", "e.id", "e.was", "z")
-        now = settle(rows.groupBy("doc", "id").agg(F.array(*[F.sum(F.col("z")[j]) for j in range(k)]).alias("p"), F.first("was").alias("was")))
     else:
-        warnings.warn(f"topics still change by {seen['change']:.4f} after {most_rounds} rounds", stacklevel=2)
-    return now.where("doc").select(F.col("id").alias("barcode_id"), shares("p").alias("topics"))
+        r = most_rounds
+        warnings.warn(f"topics still change by {rounds.changed(r):.4f} after {most_rounds} rounds", stacklevel=2)
+    whole = F.aggregate("p", F.lit(0.0), lambda a, b: a + b)
+    return rounds.topics(r).select("barcode_id", F.transform("p", lambda v: v / F.greatest(whole, F.lit(1e-300))).alias("topics"))
 
 
 def davies_bouldin(points: DataFrame, labels: DataFrame, key: str, vector: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from braidwork.operators import fragments as fr
-from braidwork.operators import barcodes, communities, contigs, graph, intervals, lanes, motifs, neighbours
+from braidwork.operators import barcodes, communities, contigs, graph, intervals, lanes, motifs, neighbours, topics
 
 
 def plan(df) -> str:
@@ -176,3 +176,31 @@ def test_rounds_of_moves_in_blocks(spark, monkeypatch):
     ids = [0, 1, -5, 2**62, 12345]
     got = spark.createDataFrame([(k,) for k in ids], "id long").select("id", F.xxhash64("id").alias("h"), F.xxhash64("id", F.lit(7)).alias("r")).collect()
     assert [communities.hashed(np.array([x["id"]]))[0] for x in got] == [x["h"] for x in got] and [communities.hashed(np.array([x["id"]]), 7)[0] for x in got] == [x["r"] for x in got]
+
+
+def test_topic_rounds_shuffle_sums_and_no_entries(spark, monkeypatch):
+    """Every entry was joined and shuffled twice in each round; blocks of features keep theirs."""
+    r = np.random.default_rng(8)
+    dense = r.poisson(1.0, (150, 40)) * r.integers(1, 4, (150, 1))
+    m = spark.createDataFrame([(f, b, int(dense[f, b])) for f in range(150) for b in range(40) if dense[f, b]], "feature_id long, barcode_id long, value long")
+    start = spark.range(150).select(F.array(*[1.0 + F.pmod(F.xxhash64("id", F.lit(3 + j)), F.lit(1000)) / 1000.0 for j in range(3)]).alias("p"), "id").orderBy("id").collect()
+    p = np.array([x["p"] for x in start])
+    w, d = p / p.sum(0), p[:40] / p[:40].sum(1, keepdims=True)
+    want, change = [], []
+    for _ in range(16):
+        z = dense / np.maximum(w @ d.T, 1e-300)
+        w, new = w * (z @ d), d * (z.T @ w)
+        w, new = w / w.sum(0), new / new.sum(1, keepdims=True)
+        change.append(np.abs(new - d).sum(1).max())
+        d = new
+        want.append(d)
+    for entries, barcodes, blocks, owners in ((topics.ENTRIES, 4096, 1, 1), (500, 15, 8, 3)):
+        monkeypatch.setattr(topics, "ENTRIES", entries)
+        monkeypatch.setattr(topics, "BARCODES", barcodes)
+        rounds = topics.Rounds(m, 3, 3)
+        assert (min(rounds.blocks, 8), rounds.owners) == (blocks, owners)
+        got, moved = shuffled(spark, lambda: [rounds.changed(k) for k in range(1, 17)])
+        assert np.allclose(got, change, atol=1e-9) and moved < 16 * m.count()
+        have = {x["barcode_id"]: x["p"] for x in rounds.topics(13).collect()}
+        have = np.array([have[b] for b in range(40)])
+        assert len(have) == 40 and np.abs(have / have.sum(1, keepdims=True) - want[12]).max() < 1e-9
