@@ -44,7 +44,7 @@ def call_peaks(steps: DataFrame, threshold: int, gap: int = PEAK_GAP) -> DataFra
 
 def peak_matrix(fragments: DataFrame, peaks: DataFrame) -> DataFrame:
     """(barcode, contig, start, end, n): cut sites of each barcode in each peak."""
-    hits = point_join(cut_sites(fragments), peaks)
+    hits = point_join(cut_sites(fragments), peaks, bin_width=BIN)
     return hits.groupBy("barcode", "contig", F.col("r_start").alias("start"), F.col("r_end").alias("end")).agg(F.count("*").alias("n"))
 
 

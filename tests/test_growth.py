@@ -204,3 +204,28 @@ def test_topic_rounds_shuffle_sums_and_no_entries(spark, monkeypatch):
         have = {x["barcode_id"]: x["p"] for x in rounds.topics(13).collect()}
         have = np.array([have[b] for b in range(40)])
         assert len(have) == 40 and np.abs(have / have.sum(1, keepdims=True) - want[12]).max() < 1e-9
+
+
+def test_joins_compare_few_pairs_beside_those_they_report(spark, monkeypatch):
+    """In bins of 16384, all rows of a dense place were compared with all regions there; columns of a row were computed for each pair."""
+    r = random.Random(9)
+    spans = [("a", s, s + r.randrange(200, 900)) for s in (r.randrange(16000) for _ in range(1500))] + [("a", -70000, 90000), ("b", 5, 6)]
+    rows = [("a", s, s + r.randrange(20, 400), k) for k, s in enumerate(r.randrange(16000) for _ in range(300))] + [("b", 5, 5, 300), ("c", 5, 9, 301)]
+    regions, left = spark.createDataFrame(spans, "contig string, start long, end long"), spark.createDataFrame(rows, "contig string, start long, stop long, k long")
+    points, sides, held = left.select("contig", F.col("start").alias("pos"), "k"), [], type(left).join
+    monkeypatch.setattr(type(left), "join", lambda self, other, *how: sides.append((self, other)) or held(self, other, *how))
+    for run, want in (
+        (lambda: intervals.point_join(points, regions), sum(c == x and s <= p < e for c, p, _, _ in rows for x, s, e in spans)),
+    ):
+        sides.clear()
+        got = run()
+        asked, compared = list(sides), 0
+        for a, b in asked:
+            keys = [("_asked", "_level"), ("_cell", "_bin")] if "_asked" in a.columns else [("_bin", "r_bin")]
+            other = "r_contig" if "r_contig" in b.columns else "contig"
+            own = "contig" if other == "r_contig" else "r_contig"
+            at, of = a.groupBy(own, *[k for k, _ in keys]).count().toPandas(), b.groupBy(other, *[k for _, k in keys]).count().toPandas()
+            both = at.merge(of, left_on=[own, *[k for k, _ in keys]], right_on=[other, *[k for _, k in keys]])
+            compared += int((both["count_x"] * both["count_y"]).sum())
+        assert got.count() == want > 9000 and compared < 3 * want
+        assert "Repartition" in plan(got)
