@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .intervals import overlap_join
+from .intervals import BIN, overlap_join
 from .scan import running
 from .staged import settle
 
@@ -32,7 +32,7 @@ def nearest_starts(peaks: DataFrame, starts: DataFrame) -> DataFrame:
     high = running(ends.unionByName(mark), ["contig"], "_p", F.col("_t"), "near", "min", then=tie, down=True).where("_k is not null").select("_k", "near")
     gap = F.when(F.col("near") < F.col("start"), F.col("start") - F.col("near")).when(F.col("near") >= F.col("end"), F.col("near") - F.col("end") + 1).otherwise(0)
     first = low.unionByName(high).where("near is not null").select("_k.*", "near").withColumn("gap", gap).distinct()
-    inside = overlap_join(p.withColumnRenamed("end", "stop"), starts.select("contig", "start", "end"), touching=False).select("contig", "start", F.col("stop").alias("end"), F.col("r_start").alias("near"), F.lit(0).cast("long").alias("gap")).distinct()
+    inside = overlap_join(p.withColumnRenamed("end", "stop"), starts.select("contig", "start", "end"), touching=False, bin_width=BIN).select("contig", "start", F.col("stop").alias("end"), F.col("r_start").alias("near"), F.lit(0).cast("long").alias("gap")).distinct()
     every = settle(first.unionByName(inside).distinct())
     least = every.groupBy("contig", "start", "end").agg(F.min("gap").alias("gap"))
     best = every.join(least, ["contig", "start", "end", "gap"])
@@ -56,7 +56,7 @@ def annotate(peaks: DataFrame, starts: DataFrame, transcripts: DataFrame | None
     first = called.groupBy(*key, "gene").agg(F.bool_or(F.col("kind") == "promoter").alias("p"))
     called = settle(called.join(first, [*key, "gene"]).where("kind = 'promoter' or not p").drop("p"))
     if transcripts is not None:
-        body = overlap_join(peaks.withColumnRenamed("end", "stop"), transcripts.select("contig", "start", "end", "name"), touching=False)
+        body = overlap_join(peaks.withColumnRenamed("end", "stop"), transcripts.select("contig", "start", "end", "name"), touching=False, bin_width=BIN)
         body = body.select("contig", "start", F.col("stop").alias("end"), F.col("r_name").alias("gene")).distinct().join(called, [*key, "gene"], "left_anti")
         called = called.unionByName(body.withColumns({"distance": F.lit(0).cast("long"), "kind": F.lit("distal")}).select(called.columns))
     rest = peaks.select(*key).join(called, key, "left_anti")

@@ -68,7 +68,7 @@ def targeting(fragments: DataFrame, tracks: dict[str, DataFrame]) -> DataFrame:
         rows = merge(regions.select("contig", "start", "end"), 0).withColumn("_track", F.lit(name))
         tagged = rows if tagged is None else tagged.unionByName(rows)
     tagged = tagged.withColumn("_before", F.lag("end").over(Window.partitionBy("_track", "contig").orderBy("start")))
-    met = overlap_join(fragments.select("contig", "start", "stop", "barcode"), tagged, "inner")
+    met = overlap_join(fragments.select("contig", "start", "stop", "barcode"), tagged, "inner", bin_width=BIN)
     first = met.where(F.col("r__before").isNull() | (F.col("r__before") < F.col("start")))
     hits = first.groupBy("barcode").agg(*[F.count_if(F.col("r__track") == name).alias(name) for name in tracks])
     return fragments.groupBy("barcode").agg(F.count("*").alias("n")).join(hits, "barcode", "left").fillna(0, list(tracks))

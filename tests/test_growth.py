@@ -216,6 +216,7 @@ def test_joins_compare_few_pairs_beside_those_they_report(spark, monkeypatch):
     monkeypatch.setattr(type(left), "join", lambda self, other, *how: sides.append((self, other)) or held(self, other, *how))
     for run, want in (
         (lambda: intervals.point_join(points, regions), sum(c == x and s <= p < e for c, p, _, _ in rows for x, s, e in spans)),
+        (lambda: intervals.overlap_join(left, regions), sum(c == x and e >= p and s < q for c, p, q, _ in rows for x, s, e in spans)),
     ):
         sides.clear()
         got = run()

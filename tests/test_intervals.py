@@ -114,3 +114,22 @@ def test_dispersion_and_planted_difference(spark):
     assert sorted(top) == [0, 1, 2, 3, 4]
     z = matrix.normalised_dispersion(matrix.moments(m, "feature_id", 60), bins=4)
     assert z.count() == 40
+
+
+odd = st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-90, 90)), st.one_of(st.none(), st.integers(-90, 90)))
+
+
+@QUICK
+@given(st.lists(odd, min_size=1, max_size=25), st.lists(odd, min_size=1, max_size=25))
+def test_fitted_bins_of_odd_intervals(spark, left, right):
+    """Empty, inverted, negative, repeated and null intervals; bins that fit the sizes or are given."""
+    a, b = table(spark, left, "stop"), table(spark, right)
+    order = lambda rows: sorted(map(tuple, rows), key=repr)
+    full = lambda x: None not in x
+    for wide in (None, 16):
+        for touching in (True, False):
+            want = [(*x, *r[1:]) for x in left for r in right if full(x) and full(r) and x[0] == r[0] and (r[2] >= x[1] if touching else r[2] > x[1]) and r[1] < x[2]]
+            got = intervals.overlap_join(a, b, touching=touching, bin_width=wide)
+            assert got.columns == ["contig", "start", "stop", "r_start", "r_end"] and order(got.collect()) == order(want)
+        want = [(x[0], x[1], *r[1:]) for x in left for r in right if full(x[:2]) and full(r) and x[0] == r[0] and r[1] <= x[1] < r[2]]
+        assert order(intervals.point_join(a.select("contig", F.col("start").alias("pos")), b, bin_width=wide).collect()) == order(want)
