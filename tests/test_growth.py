@@ -230,3 +230,37 @@ def test_joins_compare_few_pairs_beside_those_they_report(spark, monkeypatch):
             compared += int((both["count_x"] * both["count_y"]).sum())
         assert got.count() == want > 9000 and compared < 3 * want
         assert "Repartition" in plan(got)
+
+
+def dense(r) -> tuple[list, list]:
+    """Rows and regions of one place, copies, empty, inverted and null ones among them."""
+    spans = [("a", s, s + r.randrange(200, 900)) for s in (r.randrange(3000) for _ in range(600))] + [("a", 1500, 1500)] * 3 + [("a", 900, 1200)] * 70
+    spans += [("a", -5000, 9000), ("a", 20, 10), ("a", None, 5), ("a", 5, None), (None, 0, 3000), ("b", 5, 6)]
+    rows = [("a", s, s + r.randrange(1, 300), k) for k, s in enumerate(r.randrange(-50, 3500) for _ in range(120))]
+    return rows + [("a", 1000, 1100, 120)] * 2 + [("a", 1000, 1000, 121), ("a", 1000, 900, 122), ("a", None, 5, 123), ("a", 1000, None, 124), (None, 0, 9, 125), ("b", 5, 5, 126), ("c", 5, 9, 127)], spans
+
+
+def look_ups(a, b) -> int:
+    """How many rows of ``b`` the rows of ``a`` find in an inner join of dense regions."""
+    at, of = a.groupBy("contig", "_asked", "_cell").count().toPandas().dropna(), b.groupBy("r_contig", "_level", "_bin").count().toPandas().dropna()
+    both = at.merge(of, left_on=["contig", "_asked", "_cell"], right_on=["r_contig", "_level", "_bin"])
+    return int((both["count_x"] * both["count_y"]).sum())
+
+
+def test_an_overlap_is_one_join_and_finds_lists_of_regions(spark, monkeypatch):
+    """Rows were read and shuffled once for each of two joins, and looked each region up by itself."""
+    rows, spans = dense(random.Random(12))
+    left, regions = spark.createDataFrame(rows, "contig string, start long, stop long, k long"), spark.createDataFrame(spans, "contig string, start long, end long")
+    sides, held = [], type(left).join
+    monkeypatch.setattr(type(left), "join", lambda self, other, *how: sides.append((self, other)) or held(self, other, *how))
+    for touching in (True, False):
+        want = Counter((*row, s, e) for row in rows for x, s, e in spans if None not in (*row, x, s, e) and row[0] == x and (e >= row[1] if touching else e > row[1]) and s < row[2])
+        for listed, most in ((64, len(spans)), (3, len(spans) - 1)):
+            monkeypatch.setattr(intervals, "LISTED", listed)
+            monkeypatch.setattr(intervals, "BROADCAST", most)
+            sides.clear()
+            got = intervals.overlap_join(left, regions, touching=touching)
+            ((a, b),) = sides
+            assert plan(got).count("Repartition") == 1 and ("strategy=broadcast" in plan(got)) == (most == len(spans))
+            assert Counter(map(tuple, got.collect())) == want and want.total() > 9000
+            assert listed == 3 or look_ups(a, b) * 8 < want.total()
