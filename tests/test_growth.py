@@ -247,6 +247,23 @@ def look_ups(a, b) -> int:
     return int((both["count_x"] * both["count_y"]).sum())
 
 
+def test_a_point_finds_lists_of_regions(spark, monkeypatch):
+    """A point looked each region of its bin up by itself, and each look-up cost more than the pair."""
+    rows, spans = dense(random.Random(11))
+    points = spark.createDataFrame(rows, "contig string, start long, stop long, k long").select("contig", F.col("start").alias("pos"), "k")
+    regions, sides, held = spark.createDataFrame(spans, "contig string, start long, end long"), [], type(points).join
+    want = Counter((c, p, k, s, e) for c, p, _, k in rows for x, s, e in spans if None not in (c, p, x, s, e) and c == x and s <= p < e)
+    monkeypatch.setattr(type(points), "join", lambda self, other, *how: sides.append((self, other)) or held(self, other, *how))
+    assert Counter(map(tuple, intervals.point_join(points, regions).collect())) == want
+    ((a, b),) = sides
+    assert look_ups(a, b) * 8 < want.total() and want.total() > 9000
+    for listed, most in ((3, len(spans)), (3, len(spans) - 1)):  # sent to all, or shuffled
+        monkeypatch.setattr(intervals, "LISTED", listed)
+        monkeypatch.setattr(intervals, "BROADCAST", most)
+        got = intervals.point_join(points, regions)
+        assert ("strategy=broadcast" in plan(got)) == (most == len(spans)) and Counter(map(tuple, got.collect())) == want
+
+
 def test_an_overlap_is_one_join_and_finds_lists_of_regions(spark, monkeypatch):
     """Rows were read and shuffled once for each of two joins, and looked each region up by itself."""
     rows, spans = dense(random.Random(12))
